@@ -10,6 +10,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from permitwright.session import fresh_dir
+
+SPREAD_TABLES = {"orders", "lineitem"}
 BASE_TABLES = ["orders", "customer", "nation", "lineitem", "events", "pages"]
 
 VIEWS: dict[str, str] = {}
@@ -235,8 +238,16 @@ def with_views(sql: str, first: list[str] | None = None) -> str:
     return "with " + ",\n".join(parts) + "\n" + body
 
 
+# Views already written, by application, folder and name.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
 class Fixtures:
-    """The views over one folder of driver tables."""
+    """The views over one folder of driver tables.
+
+    A view is written as a Parquet table to the shared folder when it is first asked for, so that queries start from
+    stored tables, as they do in use, and their filters and column lists reach the scan.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -245,15 +256,24 @@ class Fixtures:
     def base(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
 
-    def sql(self, statement: str) -> DataFrame:
-        names = needed_views(statement)
-        text = statement + " ".join(VIEWS[name] for name in names)
-        scans = [
-            f"{table} as (select * from parquet.`{self.sf_dir}/{table}.parquet`)"
-            for table in BASE_TABLES
-            if re.search(rf"\b{table}\b", text)
-        ]
-        return self.spark.sql(with_views(statement, scans))
+    def _scan(self, table: str) -> str:
+        """Scan of a table. One of fewer files than cores would keep most cores idle, so its rows are spread once;
+        the hint lets column pruning and filters through."""
+        cores = self.spark.sparkContext.defaultParallelism
+        few = table in SPREAD_TABLES and len(self.base(table).inputFiles()) < cores
+        hint = f"/*+ REPARTITION({cores}) */ " if few else ""
+        return f"{table} as (select {hint}* from parquet.`{self.sf_dir}/{table}.parquet`)"
+
+    def derived(self, view: str) -> DataFrame:
+        """The view as a plan over the driver's tables."""
+        text = view + " " + " ".join(VIEWS[name] for name in needed_views(view))
+        scans = [self._scan(table) for table in BASE_TABLES if re.search(rf"\b{table}\b", text)]
+        return self.spark.sql(with_views(f"select * from {view}", scans))
 
     def __getitem__(self, view: str) -> DataFrame:
-        return self.sql(f"select * from {view}")
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, view)
+        if key not in _STORED:
+            path = fresh_dir(self.spark, view)
+            self.derived(view).write.parquet(path)
+            _STORED[key] = path
+        return self.spark.read.parquet(_STORED[key])

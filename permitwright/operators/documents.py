@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from permitwright.functions.text import folder_name, is_blank, year_strict
+from permitwright.operators.rank import key_set
 
 # The permit term in a document type, the first year wanted, and the page width in mm plans start at.
 PERMIT_TERM = "היתר בניה"
@@ -40,7 +41,8 @@ def first_permit_page(geometry: DataFrame) -> DataFrame:
 
 def with_permit_page(documents: DataFrame, geometry: DataFrame) -> DataFrame:
     """Documents that have a permit page."""
-    return documents.join(permit_pages(geometry).select("pdf_path"), "pdf_path", "left_semi")
+    pages = key_set(permit_pages(geometry), ["pdf_path"])
+    return documents.join(pages, "pdf_path", "left_semi").select(*documents.columns)
 
 
 def _name_file(url: Column) -> Column:

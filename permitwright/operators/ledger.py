@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from permitwright.operators.rank import keep_first
+from permitwright.operators.rank import keep_first, key_set
 from permitwright.schema import DOC_META_TYPE, DOWNLOADED, ERROR, LEDGER_COLUMNS, PENDING, PROCESSED, SKIPPED
 
 KEY = ["city", "file_id"]
@@ -17,8 +17,8 @@ MARK_STATES = [DOWNLOADED, PROCESSED, SKIPPED, ERROR]
 
 def new_listing_entries(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     """Listed files the ledger does not know, each once, the first listing counting."""
-    fresh = listing.join(ledger.select(*KEY), KEY, "left_anti")
-    return keep_first(fresh, KEY, [F.col("pos")])
+    once = keep_first(listing, KEY, [F.col("pos")])
+    return once.join(ledger.select(*KEY), KEY, "left_anti").select(*listing.columns)
 
 
 def merge_listing(ledger: DataFrame, listing: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def ledger_documents(ledger: DataFrame) -> DataFrame:
 def pending_extraction(ledger: DataFrame, records: DataFrame) -> DataFrame:
     """Documents of downloaded entries that have no record yet."""
     documents = ledger_documents(ledger.filter(F.col("status") == DOWNLOADED)).drop("status")
-    return documents.join(records.select("pdf_path"), "pdf_path", "left_anti").select(*documents.columns)
+    return documents.join(key_set(records, ["pdf_path"]), "pdf_path", "left_anti").select(*documents.columns)
 
 
 def mark_processed(ledger: DataFrame, records: DataFrame, failures: DataFrame | None = None, literal: bool = False) -> DataFrame:
@@ -61,7 +61,8 @@ def mark_processed(ledger: DataFrame, records: DataFrame, failures: DataFrame |
     settled = records.select("pdf_path")
     if failures is not None:
         settled = settled.unionByName(failures.select("pdf_path"))
-    open_documents = ledger_documents(ledger.filter(F.col("status") == DOWNLOADED)).join(settled, "pdf_path", "left_anti")
+    documents = ledger_documents(ledger.filter(F.col("status") == DOWNLOADED))
+    open_documents = documents.join(key_set(settled, ["pdf_path"]), "pdf_path", "left_anti")
     unfinished = open_documents.select(*KEY).distinct().withColumn("_open", F.lit(True))
     done = (F.col("status") == DOWNLOADED) & F.col("_open").isNull()
     return (

@@ -7,6 +7,21 @@ from pyspark.sql import functions as F
 
 from permitwright.session import shared_dir
 
+# Sort keys: a column name or an expression, and whether it ascends.
+Order = list[tuple[str | Column, bool]]
+
+
+def with_sort_columns(df: DataFrame, order: Order) -> tuple[DataFrame, list[Column]]:
+    """Add a column per expression in the order. Spark would evaluate an expression anew in every comparison."""
+    sort = []
+    for place, (key, ascending) in enumerate(order):
+        name = key
+        if isinstance(key, Column):
+            name = f"_sort{place}"
+            df = df.withColumn(name, key)
+        sort.append(F.col(name).asc() if ascending else F.col(name).desc())
+    return df, sort
+
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One whole row per key, the first in `order`; remaining ties break on the row's own values.
@@ -19,21 +34,52 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return first.select(*[F.col(f"_first.{c}").alias(c) if c in rest else F.col(c) for c in df.columns])
 
 
-def numbered(df: DataFrame, order: list[Column], name: str, within: list[str] | None = None) -> DataFrame:
+def key_set(df: DataFrame, keys: list[str], shares: int = 16) -> DataFrame:
+    """Keys for the far side of a semi or anti join, at most `shares` rows per key.
+
+    Repeats are dropped before anything is shuffled, so a key with very many rows costs nothing. The last step of
+    that is left out on purpose: an aggregate directly below a join keeps Spark from splitting a hot key on the
+    near side, as it splits only joins of two shuffles.
+    """
+    share = F.spark_partition_id() % shares
+    return df.select(*keys, share.alias("_share")).distinct().select(*keys)
+
+
+def join_side(df: DataFrame, keys: list[str]) -> DataFrame:
+    """An aggregate made ready to be joined with a side that may have hot keys.
+
+    Rewriting the text keys gives up the aggregate's partitioning. The join then shuffles this side itself, which
+    lets Spark split a hot key on the other side.
+    """
+    return df.withColumns({key: F.concat(F.col(key), F.lit("")) for key in keys})
+
+
+def numbered(
+    df: DataFrame, order: Order, name: str, within: list[str] | None = None, copies: bool = True
+) -> DataFrame:
     """Add the exact 1-based row number in `order`, over the table or within the `within` columns.
 
     The rows are range-partitioned on the full order, so a hot leading value or a hot group spreads over many tasks.
     A row's number is its place inside its partition plus the rows before it in earlier partitions; the latter comes
     from one count per partition (and group). The checkpoint pins partition and place, so that both uses agree and a
-    lost executor cannot change them. Order columns must be total over distinct rows.
+    lost executor cannot change them.
+
+    The order must be total but for equal rows. These are told apart by a running number, so that very many copies
+    of one row spread as well; `copies=False` saves that where rows are known to differ. The local sort before it
+    makes the number the same when a task runs again.
     """
     keys = list(within or [])
     shared_dir(df.sparkSession)
-    sort = [F.col(k).asc() for k in keys] + order
+    rows, sort = with_sort_columns(df, order)
+    sort = [F.col(k).asc() for k in keys] + sort
+    spread = sort
+    if copies:
+        rows = rows.sortWithinPartitions(*sort).withColumn("_copy", F.monotonically_increasing_id())
+        spread = [*sort, F.col("_copy").asc()]
     laid_out = (
-        df.repartitionByRange(*sort)
+        rows.repartitionByRange(*spread)
         .sortWithinPartitions(*sort)
-        .withColumn("_place", F.monotonically_increasing_id())
+        .select(*df.columns, F.monotonically_increasing_id().alias("_place"))
         # The upper bits of the place are the partition's number.
         .withColumn("_part", F.shiftright("_place", 33))
         .checkpoint(eager=True)
@@ -49,13 +95,16 @@ def numbered(df: DataFrame, order: list[Column], name: str, within: list[str] |
     )
 
 
-def page_slice(df: DataFrame, order: list[Column], start: int, size: int, name: str, shallow: int = 10_000) -> DataFrame:
+def page_slice(
+    df: DataFrame, order: Order, start: int, size: int, name: str, copies: bool = True, shallow: int = 10_000
+) -> DataFrame:
     """Rows `start` to `start + size` in `order` with their 1-based position.
 
     Near the top this is a top-k, which keeps `start + size` rows per task. Farther down every row is numbered.
     """
     if start + size <= shallow:
-        page = df.orderBy(*order).offset(start).limit(size)
-        position = F.row_number().over(Window.orderBy(*order)) + F.lit(start)
-        return page.withColumn(name, position.cast("bigint"))
-    return numbered(df, order, name).filter((F.col(name) > start) & (F.col(name) <= start + size))
+        rows, sort = with_sort_columns(df, order)
+        page = rows.orderBy(*sort).offset(start).limit(size)
+        position = F.row_number().over(Window.orderBy(*sort)) + F.lit(start)
+        return page.select(*df.columns, position.cast("bigint").alias(name))
+    return numbered(df, order, name, copies=copies).filter((F.col(name) > start) & (F.col(name) <= start + size))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from permitwright.functions.text import detail_path, is_blank, is_complete, is_valid_field
 from permitwright.operators.documents import document_targets, is_permit_type, with_permit_page
-from permitwright.operators.rank import keep_first
+from permitwright.operators.rank import join_side, keep_first
 
 # Fields a second extraction may fill, fields a reviewer may correct, and the price of a batch page.
 BACKFILL_FIELDS = [
@@ -42,9 +42,13 @@ def first_records(records: DataFrame, order: list[Column]) -> DataFrame:
 
 
 def new_records(candidates: DataFrame, existing: DataFrame, order: list[Column]) -> DataFrame:
-    """Candidates whose document has no record, each document once."""
-    fresh = candidates.join(existing.select("pdf_path"), "pdf_path", "left_anti").select(*candidates.columns)
-    return first_records(fresh, order)
+    """Candidates whose document has no record, each document once.
+
+    Both sides are reduced to one row per document before they are shuffled, and one shuffle serves reducing and
+    joining.
+    """
+    known = existing.select("pdf_path").distinct()
+    return first_records(candidates, order).join(known, "pdf_path", "left_anti").select(*candidates.columns)
 
 
 def review_queue(records: DataFrame) -> DataFrame:
@@ -58,7 +62,10 @@ def reextract_candidates(records: DataFrame, inventory: DataFrame) -> DataFrame:
 
 
 def backfill(records: DataFrame, extracted: DataFrame) -> DataFrame:
-    """Fill empty fields from a second extraction; `changed` marks records that gained something."""
+    """Fill empty fields from a second extraction, which has one row per document.
+
+    `changed` marks records that gained something.
+    """
     again = extracted.select("pdf_path", *[F.col(name).alias(f"_{name}") for name in BACKFILL_FIELDS])
     takes = {
         name: is_blank(F.col(name)) & (F.coalesce(F.col(f"_{name}"), F.lit("")) != "") for name in BACKFILL_FIELDS
@@ -79,7 +86,7 @@ def backfill(records: DataFrame, extracted: DataFrame) -> DataFrame:
 def apply_corrections(records: DataFrame, corrections: DataFrame) -> DataFrame:
     """Reviewed values replace owner and architect where these are invalid and the record was not skipped.
 
-    An empty edit keeps the field. `changed` marks records that were corrected.
+    An empty edit keeps the field. `corrections` has one row per document. `changed` marks corrected records.
     """
     edits = corrections.select(
         "pdf_path", *[F.col(name).alias(f"_{name}") for name in CORRECTED_FIELDS], F.col("action").alias("_action")
@@ -143,7 +150,8 @@ def redownload_plan(records: DataFrame, inventory: DataFrame, links: DataFrame,
         [F.col("pos"), F.col("url")],
     ).select("file_id", "url", "entity_number")
     wanted = missing.select("pdf_path", "address", F.col("building_file_number").alias("file_id"))
-    planned = document_targets(wanted.join(first, "file_id"), root, prefer_entity_number=False)
+    found = wanted.join(join_side(first, ["file_id"]), "file_id")
+    planned = document_targets(found, root, prefer_entity_number=False)
     return planned.select(
         "pdf_path", "file_id", detail_path(F.col("file_id")).alias("page"), "url", "target", "error"
     )
@@ -173,7 +181,8 @@ def batch_summary(documents: DataFrame, geometry: DataFrame, responses: DataFram
     valid = with_permit_page(documents, geometry).agg(F.count("*").alias("with_permit_page"))
     answers = responses.select(F.col("record_id").alias("pdf_path"))
     answered = answers.agg(F.count("*").alias("responses"))
-    written = answers.join(existing, "pdf_path", "left_anti").agg(F.count_distinct("pdf_path").alias("written"))
+    known = existing.select("pdf_path").distinct()
+    written = answers.distinct().join(known, "pdf_path", "left_anti").agg(F.count("*").alias("written"))
     row = found.select("documents", valid.scalar().alias("with_permit_page"), answered.scalar().alias("responses"),
                        written.scalar().alias("written"))
     return row.select(

@@ -22,7 +22,7 @@ from permitwright.functions.text import (
     utf16_length,
     year_lenient,
 )
-from permitwright.operators.rank import numbered, page_slice
+from permitwright.operators.rank import Order, numbered, page_slice
 from permitwright.sources.tables import EXPORT_LABELS
 
 # Fixed values of the page.
@@ -118,21 +118,24 @@ def filtered(records: DataFrame, filters: Filters) -> DataFrame:
     return records if test is None else records.filter(test)
 
 
-def _total_order(records: DataFrame, sort: Sort) -> list[Column]:
+def total_order(records: DataFrame, sort: Sort) -> Order:
     """Sort key, tie break, then every other column, so that the order has no ties but between equal rows."""
-    first = sort.key().asc() if sort.ascending else sort.key().desc()
+    plain = sort.column not in NUMERIC_SORTS
     rest = [name for name in records.columns if name not in sort.tie_break]
-    return [first, *[F.col(name).asc() for name in [*sort.tie_break, *rest]]]
+    return [
+        (sort.column if plain else sort.key(), sort.ascending),
+        *[(name, True) for name in [*sort.tie_break, *rest]],
+    ]
 
 
 def sorted_records(records: DataFrame, sort: Sort | None = None) -> DataFrame:
     """Records with their 1-based `position` in the sort order."""
-    return numbered(records, _total_order(records, sort or Sort()), "position")
+    return numbered(records, total_order(records, sort or Sort()), "position")
 
 
 def page_of_records(records: DataFrame, page: int, sort: Sort | None = None, size: int = PAGE_SIZE) -> DataFrame:
     """One page of the ungrouped table."""
-    return page_slice(records, _total_order(records, sort or Sort()), page * size, size, "position")
+    return page_slice(records, total_order(records, sort or Sort()), page * size, size, "position")
 
 
 def group_key() -> Column:
@@ -183,13 +186,14 @@ def grouped_heads(records: DataFrame, sort: Sort | None = None) -> DataFrame:
 def grouped_by_address(records: DataFrame, sort: Sort | None = None) -> DataFrame:
     """All group heads with the group's 1-based `position`."""
     heads = grouped_heads(records, sort)
-    return numbered(heads, [F.col("_first").asc()], "position").drop("_first")
+    return numbered(heads, [("_first", True)], "position", copies=False).drop("_first")
 
 
 def page_of_groups(records: DataFrame, page: int, sort: Sort | None = None, size: int = PAGE_SIZE) -> DataFrame:
     """One page of group heads, with the number of groups and pages. The count needs no more than the keys."""
     total = records.select(F.count_distinct(group_key())).scalar()
-    rows = page_slice(grouped_heads(records, sort), [F.col("_first").asc()], page * size, size, "position")
+    heads = grouped_heads(records, sort)
+    rows = page_slice(heads, [("_first", True)], page * size, size, "position", copies=False)
     return rows.drop("_first").withColumn("groups", total).withColumn("pages", F.ceil(F.col("groups") / size))
 
 
@@ -200,7 +204,7 @@ def group_rows(records: DataFrame, sort: Sort | None = None) -> DataFrame:
     """
     sort = sort or Sort()
     keyed = records.withColumn("group_key", group_key())
-    order = [year_lenient(F.col("date")).desc(), *_total_order(records, sort)]
+    order = [(year_lenient(F.col("date")), False), *total_order(records, sort)]
     return numbered(keyed, order, "place_in_group", ["group_key"])
 
 
@@ -235,22 +239,26 @@ def top_architects(records: DataFrame, count: int = TOP_ARCHITECTS) -> DataFrame
     return top.select("architect", "records", share.alias("bar"), F.row_number().over(order).alias("rank"))
 
 
-def facet_values(records: DataFrame) -> DataFrame:
-    """Values to choose from: facet, value, and number for facets that sort as numbers.
-
-    One scan: each record gives its values as tagged rows, and repeats are dropped before the shuffle.
-    """
+def facet_choices() -> dict[str, Column]:
+    """What a record offers per facet, NULL for nothing."""
     year = year_lenient(F.col("date"))
     street = street_name(F.col("address"))
-    choices = {
+    return {
         "year": F.when(year.between(FIRST_FACET_YEAR, LAST_FACET_YEAR), year.cast("string")),
         "gush": F.when(F.col("gush").rlike(r"\A[0-9]+\z"), F.col("gush")),
         "street": F.when(utf16_length(street) > 2, street),
         "architect": F.nullif(clean(F.col("architect")), F.lit("")),
         "city": F.nullif(F.col("city"), F.lit("")),
     }
+
+
+def facet_values(records: DataFrame) -> DataFrame:
+    """Values to choose from: facet, value, and number for facets that sort as numbers.
+
+    One scan: each record gives its values as tagged rows, and repeats are dropped before the shuffle.
+    """
     tagged = F.array(
-        *[F.struct(F.lit(facet).alias("facet"), value.alias("value")) for facet, value in choices.items()]
+        *[F.struct(F.lit(facet).alias("facet"), value.alias("value")) for facet, value in facet_choices().items()]
     )
     values = records.select(F.inline(tagged)).filter(F.col("value").isNotNull()).distinct()
     number = F.when(F.col("facet").isin("year", "gush"), F.col("value").try_cast("bigint"))
@@ -259,18 +267,13 @@ def facet_values(records: DataFrame) -> DataFrame:
 
 def suggest_values(records: DataFrame, facet: str, needle: str = "", count: int = SUGGESTIONS) -> DataFrame:
     """First values of a facet, in order, that contain the text as typed."""
-    values = facet_values(records).filter(F.col("facet") == facet).select("value")
+    values = records.select(facet_choices()[facet].alias("value")).filter(F.col("value").isNotNull())
     if needle:
         values = values.filter(F.col("value").contains(needle))
-    top = values.orderBy("value").limit(count)
+    top = values.distinct().orderBy("value").limit(count)
     return top.withColumn("rank", F.row_number().over(Window.orderBy("value")))
 
 
-def export_order(records: DataFrame, sort: Sort | None = None) -> list[Column]:
-    """Order in which filtered records are exported."""
-    return _total_order(records, sort or Sort())
-
-
 def labelled(records: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """The exported columns under their headings."""
     return records.select(*[F.col(name).alias(label) for name, label in EXPORT_LABELS.items()], *(extra or []))

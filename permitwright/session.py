@@ -31,6 +31,13 @@ def build_session(app_name: str = "permits", master: str | None = None, **settin
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Apply the skew settings to a session made elsewhere."""
+    for key in RUNTIME_SETTINGS:
+        if "skew" in key.lower():
+            spark.conf.set(key, RUNTIME_SETTINGS[key])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (`spark.checkpoint.dir`); a local temp folder only for a local master."""
     context = spark.sparkContext

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from permitwright.fixtures import Fixtures, with_views
+from permitwright.session import tune
 
 Build = Callable[[Fixtures], DataFrame]
 
@@ -18,6 +19,7 @@ class Query:
     sql: str | None
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
         return self.build(Fixtures(spark, sf_dir))
 
 
