@@ -230,8 +230,10 @@ def metric_cards(records: DataFrame) -> DataFrame:
 
 def top_architects(records: DataFrame, count: int = TOP_ARCHITECTS) -> DataFrame:
     """Architects with most records, their rank and bar length in percent of the longest."""
-    names = records.select(clean(F.col("architect")).alias("architect")).filter(~is_blank(F.col("architect")))
-    top = names.groupBy("architect").agg(F.count("*").alias("records")).orderBy(F.desc("records"), "architect").limit(count)
+    names = records.select(clean(F.col("architect")).alias("architect"))
+    # Blank names count as zero and go by that: a filter on the name would be evaluated before the cleaned value is.
+    counts = names.groupBy("architect").agg(F.count(F.nullif(F.col("architect"), F.lit(""))).alias("records"))
+    top = counts.filter(F.col("records") > 0).orderBy(F.desc("records"), "architect").limit(count)
     # The windows run over the top rows only.
     order = Window.orderBy(F.desc("records"), "architect")
     longest = F.max("records").over(Window.partitionBy())
