@@ -90,7 +90,10 @@ def numbered(
     offsets = pieces.select(
         "_part", *keys, "_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
-    return laid_out.join(offsets, ["_part", *keys]).select(
+    # Without groups there is one offset per partition, a size known to be small. With groups the join shuffles the
+    # rows once more, by pieces that are never larger than a partition was.
+    side = offsets if keys else F.broadcast(offsets)
+    return laid_out.join(side, ["_part", *keys]).select(
         *df.columns, (F.col("_place") - F.col("_start") + F.col("_before") + 1).alias(name)
     )
 
