@@ -257,11 +257,11 @@ class Fixtures:
         return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
 
     def _scan(self, table: str) -> str:
-        """Scan of a table. One of fewer files than cores would keep most cores idle, so its rows are spread once;
-        the hint lets column pruning and filters through."""
-        cores = self.spark.sparkContext.defaultParallelism
-        few = table in SPREAD_TABLES and len(self.base(table).inputFiles()) < cores
-        hint = f"/*+ REPARTITION({cores}) */ " if few else ""
+        """Scan of a table. On one machine the tables are single files, which would keep all cores but one idle, so
+        their rows are spread once. On a cluster nothing is added to the scan."""
+        context = self.spark.sparkContext
+        spread = table in SPREAD_TABLES and context.master.startswith("local")
+        hint = f"/*+ REPARTITION({context.defaultParallelism}) */ " if spread else ""
         return f"{table} as (select {hint}* from parquet.`{self.sf_dir}/{table}.parquet`)"
 
     def derived(self, view: str) -> DataFrame:

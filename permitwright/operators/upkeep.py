@@ -168,6 +168,15 @@ def merge_cities(records: DataFrame, cities: DataFrame) -> DataFrame:
     return records.join(names, "source").withColumn("city", city).drop("_name")
 
 
+def normalise_cities(records: DataFrame, cities: DataFrame) -> DataFrame:
+    """Records whose city is a configured name or subdomain get the subdomain; other values stay."""
+    either = F.explode(F.array_distinct(F.array("subdomain", "name")))
+    known = keep_first(cities.select(either.alias("city"), "subdomain"), ["city"], [])
+    city = F.coalesce(F.col("subdomain"), F.col("city"))
+    joined = records.join(known, "city", "left").withColumn("city", city)
+    return joined.select(*records.columns)
+
+
 def records_per_city(records: DataFrame) -> DataFrame:
     return records.groupBy("city").agg(F.count("*").alias("records"))
 

@@ -208,6 +208,20 @@ def group_rows(records: DataFrame, sort: Sort | None = None) -> DataFrame:
     return numbered(keyed, order, "place_in_group", ["group_key"])
 
 
+def browse(
+    records: DataFrame,
+    filters: Filters | None = None,
+    sort: Sort | None = None,
+    grouped: bool = False,
+    page: int | None = None,
+) -> DataFrame:
+    """What the page shows: filtered, sorted, perhaps grouped by address, and one page of it or, without a page, all."""
+    found = filtered(records, filters or Filters())
+    if grouped:
+        return grouped_by_address(found, sort) if page is None else page_of_groups(found, page, sort)
+    return sorted_records(found, sort) if page is None else page_of_records(found, page, sort)
+
+
 def metric_cards(records: DataFrame) -> DataFrame:
     """One row: records, distinct addresses, architects, streets and numeric gush values, and records missing data."""
     architect = clean(F.col("architect"))

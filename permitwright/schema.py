@@ -55,7 +55,10 @@ LEDGER_ENTRY_TYPE = T.StructType(
         T.StructField("error", T.StringType()),
     ]
 )
-LEDGER_COLUMNS = ["city", "file_id", *LEDGER_ENTRY_TYPE.fieldNames()]
+LEDGER_SCHEMA = T.StructType(
+    [T.StructField("city", T.StringType()), T.StructField("file_id", T.StringType()), *LEDGER_ENTRY_TYPE.fields]
+)
+LEDGER_COLUMNS = LEDGER_SCHEMA.fieldNames()
 
 # The states of a ledger entry.
 PENDING = "pending"

@@ -126,6 +126,15 @@ def merge_cities(fx):
     return U.merge_cities(fx["fx_permits"].withColumn("source", source), fx["fx_cities"])
 
 
+@query(
+    "normalise_cities",
+    f"""select coalesce(subdomain, city) as city, {", ".join(R.RECORD[1:])}
+    from fx_permits left join fx_cities on name = city or subdomain = city""",
+)
+def normalise_cities(fx):
+    return U.normalise_cities(fx["fx_permits"], fx["fx_cities"])
+
+
 @query("records_per_city", "select city, count(*) as records from fx_permits group by city")
 def records_per_city(fx):
     return U.records_per_city(fx["fx_permits"])

@@ -35,3 +35,21 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
 def test_top_list_is_a_top_k(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan_of(entry_point.queries()["top_architects"](spark, sf_dir))
     assert "TakeOrderedAndProject" in plan_of(entry_point.queries()["page_of_groups"](spark, sf_dir))
+
+
+def test_group_numbers_are_joined_by_piece(spark, sf_dir):
+    """A join on the group alone would put a hot group in one task."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(entry_point.queries()["group_subrows"](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = plan[plan.index("SortMergeJoin") :]
+    assert join.count("Exchange hashpartitioning(_part") >= 2
+
+
+def test_tables_are_written_rebalanced_by_city(spark, sf_dir):
+    from permitwright.fixtures import Fixtures
+
+    plan = plan_of(Fixtures(spark, sf_dir)["fx_permits"].hint("rebalance", "city"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
