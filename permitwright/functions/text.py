@@ -71,14 +71,18 @@ def utf16_length(value: Column) -> Column:
 
 
 def is_garbage(value: Column) -> Column:
-    """Reading noise as the page sees it: no Hebrew, or too little, in a value that is not short and not a number."""
+    """Reading noise as the page sees it: no Hebrew, or too little, in a value that is not short and not a number.
+
+    Shares are compared by multiplying. Code points bound UTF-16 units from both sides, so that lengths which decide
+    already by code points, as nearly all do, are not encoded.
+    """
     hebrew = _hebrew_count(value)
-    size = utf16_length(F.regexp_replace(value, f"[{PAGE_SPACE_CLASS}]", ""))
-    # The share is compared as 4 * hebrew < size, which needs no division.
+    wanted = hebrew * int(1 / HEBREW_SHARE)
+    dense = F.regexp_replace(value, f"[{PAGE_SPACE_CLASS}]", "")
     return (
-        (utf16_length(value) >= 3)
+        ((F.length(value) >= 3) | (utf16_length(value) >= 3))
         & ~value.rlike(rf"\A[0-9{PAGE_SPACE_CLASS}./\-]+\z")
-        & ((hebrew == 0) | (hebrew * int(1 / HEBREW_SHARE) < size))
+        & ((hebrew == 0) | ((wanted < F.length(value) * 2) & (wanted < utf16_length(dense))))
     )
 
 

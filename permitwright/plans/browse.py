@@ -16,6 +16,7 @@ from permitwright.functions.text import (
     PAGE_SPACE,
     clean,
     is_blank,
+    is_garbage,
     is_single_parcel,
     leading_integer,
     street_name,
@@ -83,8 +84,13 @@ def contains_anywhere(columns: list[str], text: str) -> Column:
     return F.lower(F.concat_ws("\0", *columns)).contains(needle)
 
 
+def lacks(value: Column) -> Column:
+    """True where nothing is left of the value once it is cleaned."""
+    return is_blank(value) | is_garbage(value)
+
+
 def is_missing_data() -> Column:
-    return is_blank(clean(F.col("owner"))) | is_blank(clean(F.col("architect")))
+    return lacks(F.col("owner")) | lacks(F.col("architect"))
 
 
 def predicate(filters: Filters, columns: list[str]) -> Column | None:
@@ -224,21 +230,25 @@ def browse(
 
 def metric_cards(records: DataFrame) -> DataFrame:
     """One row: records, distinct addresses, architects, streets and numeric gush values, and records missing data."""
-    architect = clean(F.col("architect"))
-    prepared = records.select(
-        F.nullif(F.col("address"), F.lit("")).alias("address"),
-        F.nullif(architect, F.lit("")).alias("architect"),
-        F.nullif(street_name(F.col("address")), F.lit("")).alias("street"),
-        F.when(F.col("gush").rlike(r"\A[0-9]+\z"), F.col("gush")).alias("gush"),
-        is_missing_data().alias("missing"),
+    # Each rule is applied once; the aggregates use the results.
+    rules = records.select(
+        "address",
+        "gush",
+        clean(F.col("architect")).alias("architect"),
+        street_name(F.col("address")).alias("street"),
+        lacks(F.col("owner")).alias("no_owner"),
     )
-    return prepared.agg(
+
+    def given(name: str) -> Column:
+        return F.nullif(F.col(name), F.lit(""))
+
+    return rules.agg(
         F.count("*").alias("records"),
-        F.count_distinct("address").alias("addresses"),
-        F.count_distinct("architect").alias("architects"),
-        F.count_distinct("street").alias("streets"),
-        F.count_distinct("gush").alias("gushes"),
-        F.count_if(F.col("missing")).alias("missing"),
+        F.count_distinct(given("address")).alias("addresses"),
+        F.count_distinct(given("architect")).alias("architects"),
+        F.count_distinct(given("street")).alias("streets"),
+        F.count_distinct(F.when(F.col("gush").rlike(r"\A[0-9]+\z"), F.col("gush"))).alias("gushes"),
+        F.count_if(F.col("no_owner") | is_blank(F.col("architect"))).alias("missing"),
     )
 
 

@@ -16,6 +16,10 @@ RUNTIME_SETTINGS = {
     # Split a skewed side even where that costs one more shuffle downstream: one hot key must never be one task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # The JVM does not compile methods of more than 8000 bytes; such a stage runs faster as several methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Building the larger expressions is several times faster without a Python stack trace per column.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -31,11 +35,13 @@ def build_session(app_name: str = "permits", master: str | None = None, **settin
     return builder.getOrCreate()
 
 
+# Settings that are safe to apply to a session made elsewhere: none changes a result or a size its owner chose.
+TUNED = [key for key in RUNTIME_SETTINGS if "skew" in key.lower() or "huge" in key or "Debugging" in key]
+
+
 def tune(spark: SparkSession) -> None:
-    """Apply the skew settings to a session made elsewhere."""
-    for key in RUNTIME_SETTINGS:
-        if "skew" in key.lower():
-            spark.conf.set(key, RUNTIME_SETTINGS[key])
+    for key in TUNED:
+        spark.conf.set(key, RUNTIME_SETTINGS[key])
 
 
 def shared_dir(spark: SparkSession) -> str:
