@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Sized for large clusters; all are runtime settings, so they can be applied to a session that already exists.
+# Sized for large clusters. All but the last can also be set on a session that already exists.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -36,7 +36,7 @@ def build_session(app_name: str = "permits", master: str | None = None, **settin
 
 
 # Settings that are safe to apply to a session made elsewhere: none changes a result or a size its owner chose.
-TUNED = [key for key in RUNTIME_SETTINGS if "skew" in key.lower() or "huge" in key or "Debugging" in key]
+TUNED = [key for key in RUNTIME_SETTINGS if "skew" in key.lower() or "huge" in key]
 
 
 def tune(spark: SparkSession) -> None:
