@@ -21,9 +21,9 @@ def new_listing_entries(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     return once.join(ledger.select(*KEY), KEY, "left_anti").select(*listing.columns)
 
 
-def merge_listing(ledger: DataFrame, listing: DataFrame) -> DataFrame:
-    """Ledger plus a pending entry per new file; existing entries stay as they are."""
-    added = new_listing_entries(listing, ledger).select(
+def new_entries(listing: DataFrame, ledger: DataFrame) -> DataFrame:
+    """A pending entry for each listed file the ledger does not know."""
+    return new_listing_entries(listing, ledger).select(
         *KEY,
         "url",
         "address",
@@ -32,7 +32,11 @@ def merge_listing(ledger: DataFrame, listing: DataFrame) -> DataFrame:
         F.array().cast(DOC_META_TYPE).alias("doc_meta"),
         F.lit(None).cast("string").alias("error"),
     )
-    return ledger.select(*LEDGER_COLUMNS).unionByName(added)
+
+
+def merge_listing(ledger: DataFrame, listing: DataFrame) -> DataFrame:
+    """Ledger plus the new entries; existing entries stay as they are."""
+    return ledger.select(*LEDGER_COLUMNS).unionByName(new_entries(listing, ledger))
 
 
 def ledger_documents(ledger: DataFrame) -> DataFrame:

@@ -30,9 +30,9 @@ class Archive:
         """Every configured city with its progress."""
         return ledger.city_overview(cities, self.ledger.read())
 
-    def update(self, listing: DataFrame) -> int:
-        """Add files that the listing has and the ledger does not."""
-        return self.ledger.rewrite(ledger.merge_listing(self.ledger.read(), listing))
+    def update(self, listing: DataFrame) -> None:
+        """Add files that the listing has and the ledger does not. Known entries are not written again."""
+        self.ledger.append(ledger.new_entries(listing, self.ledger.read()))
 
     def retry_errors(self) -> int:
         """Put failed files back in line."""

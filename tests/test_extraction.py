@@ -7,7 +7,15 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from permitwright.functions.patterns import SET_A, SET_B, extract_values, extract_with_confidence, is_permit_text
+from permitwright.functions.patterns import (
+    DIGITS,
+    SET_A,
+    SET_B,
+    FieldPattern,
+    extract_values,
+    extract_with_confidence,
+    is_permit_text,
+)
 from permitwright.functions.responses import RESPONSE_FIELDS, parse_responses
 from permitwright.operators import documents, extract
 from permitwright.schema import ALL_COLUMNS
@@ -62,6 +70,12 @@ def test_empty_label_takes_the_next_line(columns):
     assert extract_values(rows, "t", SET_A, []).first().owner == "גוש: 5"
 
 
+def test_a_third_set_is_just_data(columns):
+    mine = [FieldPattern("engineer", r"מהנדס[:\s]*(.+)"), FieldPattern("floors", r"קומות[:\s]*(\d+)", DIGITS)]
+    row = extract_with_confidence(columns(t=["קומות: 4\nקומה"]), "t", mine, []).first()
+    assert row.asDict() == {"engineer": "", "engineer_confidence": "none", "floors": "4", "floors_confidence": "high"}
+
+
 def test_permit_phrases(columns):
     rows = columns(t=["טופס 3", "היתר זה", "תקנה 18", "x היתר בניה", "תוכנית"])
     assert [r[0] for r in rows.select(is_permit_text(F.col("t"))).collect()] == [True, True, True, True, False]
