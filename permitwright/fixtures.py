@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from permitwright.session import fresh_dir
@@ -272,8 +273,14 @@ class Fixtures:
 
     def __getitem__(self, view: str) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, view)
-        if key not in _STORED:
-            path = fresh_dir(self.spark, view)
-            self.derived(view).write.parquet(path)
-            _STORED[key] = path
-        return self.spark.read.parquet(_STORED[key])
+        if key in _STORED:
+            try:
+                return self.spark.read.parquet(_STORED[key])
+            except AnalysisException as problem:
+                # The shared folder may have been cleared; then the view is written again.
+                if problem.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        path = fresh_dir(self.spark, view)
+        self.derived(view).write.parquet(path)
+        _STORED[key] = path
+        return self.spark.read.parquet(path)

@@ -124,13 +124,15 @@ def cleanup_plan(records: DataFrame, inventory: DataFrame) -> DataFrame:
     A document may have several records; the first complete one already removes it.
     """
     finished = records.filter(complete()).select(F.col("pdf_path").alias("path")).distinct().withColumn("_done", F.lit(True))
-    stored = inventory.join(finished, "path", "left")
-    deleted = stored.filter(F.col("_done").isNotNull()).select(F.lit("delete_document").alias("action"), "path")
-    folders = stored.groupBy("folder").agg(F.count_if(F.col("_done").isNull()).alias("left_over"))
-    emptied = folders.filter(F.col("left_over") == 0).select(
-        F.lit("remove_folder").alias("action"), F.col("folder").alias("path")
+    stays = F.col("_done").isNull()
+    # One join for both: a stored document speaks for itself and for its folder, and what nothing keeps is removed.
+    votes = F.array(
+        F.struct(F.lit("delete_document").alias("action"), F.col("path").alias("path"), stays.alias("stays")),
+        F.struct(F.lit("remove_folder").alias("action"), F.col("folder").alias("path"), stays.alias("stays")),
     )
-    return deleted.unionByName(emptied)
+    stored = inventory.join(finished, "path", "left").select(F.inline(votes))
+    kept = stored.groupBy("action", "path").agg(F.count_if(F.col("stays")).alias("kept"))
+    return kept.filter(F.col("kept") == 0).select("action", "path")
 
 
 def cleanup_summary(records: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -173,7 +175,7 @@ def normalise_cities(records: DataFrame, cities: DataFrame) -> DataFrame:
     either = F.explode(F.array_distinct(F.array("subdomain", "name")))
     known = keep_first(cities.select(either.alias("city"), "subdomain"), ["city"], [])
     city = F.coalesce(F.col("subdomain"), F.col("city"))
-    joined = records.join(known, "city", "left").withColumn("city", city)
+    joined = records.join(join_side(known, ["city"]), "city", "left").withColumn("city", city)
     return joined.select(*records.columns)
 
 

@@ -68,7 +68,7 @@ def cleaned(value: str, collapse: bool) -> str:
     return rf"regexp_replace({text}, '\s{{2,}}', ' ', 'g')" if collapse else text
 
 
-# The two pattern sets, stated again.
+# The two pattern sets, stated again.
 PATTERNS_A = {
     "owner": r"בעל[_ ]הי?תר[:\s]*(.+)",
     "architect": r"ע?ורך[_ ]הבקשה[:\s]*(.+)",
