@@ -7,6 +7,7 @@ import itertools
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -15,43 +16,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CAPACITY = 2048
-# Entries of a task's memory of encoded words; it starts anew when full.
-_WORDS_KEPT = 300_000
-_CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-# Characters on which every Unicode version agrees; texts with others are encoded whole.
-_PLAIN = re.compile(r"[ \n!-~¡-¬®-ɏ‐-‧]*")
+# How a byte-level BPE tokenizer of this kind cuts a text before merging (a fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Characters on which every Unicode version agrees; texts with others are encoded by the tokenizer's own library.
+_PLAIN = re.compile(r"[\t\n !-~¡-ɏ‐-‧]*")
 
 
 class ByteEncoder:
-    """Ids of a byte-level BPE tokenizer file, word by word.
+    """Ids of a byte-level BPE tokenizer file, as its library gives them without added special tokens.
 
-    Such a tokenizer cuts a text in front of every run of blanks, so words with the blanks before them are encoded by
-    themselves and remembered. Texts that hold a special token's string or unusual characters are encoded whole.
+    The file's vocabulary is in merge order, so it also serves as ranks for a faster merger, which encodes ordinary
+    texts. Strings of special tokens in a text become those tokens, as the library does by default.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.special = list(special)
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+        hidden = [b for b in range(256) if b not in shown]
+        byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+        self.fast = Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(self, text: str) -> np.ndarray:
         if not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
-            return np.frombuffer(self._ids([text])[0], "<u4")
-        words = _CHUNK.findall(text)
-        known = self.known
-        fresh = [w for w in set(words) if w not in known]
-        if fresh:
-            if len(known) > _WORDS_KEPT:
-                known.clear()
-                fresh = list(set(words))
-            known.update(zip(fresh, self._ids(fresh), strict=True))
-        return np.frombuffer(b"".join([known[w] for w in words]), "<u4")
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.fast.encode_ordinary(text), np.uint32)
+
+
+@lru_cache(maxsize=2)
+def byte_encoder(path: str) -> ByteEncoder:
+    """One encoder per worker process."""
+    return ByteEncoder(path)
 
 
 def cut_documents(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id",
@@ -65,7 +67,7 @@ def cut_documents(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: in
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = ByteEncoder(path)
+        encoder = byte_encoder(path)
         block, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for frame in frames:
             for begin in range(0, len(frame), 200):

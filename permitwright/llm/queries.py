@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from permitwright.llm.common import id_remainder
+from permitwright.llm.best_fit import cut_documents, pack
+from permitwright.llm.common import id_remainder, saved
 from permitwright.llm.line_dedup import MAX_RATIO, MIN_PAGES, drop_boilerplate
+from permitwright.llm.ngram_join import near_duplicates
 from permitwright.llm.quality import learn_quality, score_quality
 from permitwright.llm.toxicity import learn_lexicon, score_toxicity
 from permitwright.session import tune
@@ -85,3 +92,55 @@ select d.doc_id, d.source, case when d.text is null then null else coalesce(k.te
   case when d.text is null then 0 else len(d.lines) - coalesce(k.n, 0) end as n_dropped
 from pages d left join kept k on d.doc_id = k.doc_id
 """
+
+
+@query
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+SQL["op8_ngram_join"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+shingles as (
+  select distinct doc_id, unnest(case when len(w) = 0 then []::varchar[] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) end) as s
+  from words
+),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as common
+  from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id
+),
+links as (
+  select x, y from shared join sizes p on x = p.doc_id join sizes q on y = q.doc_id
+  where 100 * common >= 90 * (p.n + q.n - common)
+),
+reach as (
+  select doc_id as x, doc_id as y from documents
+  union
+  select reach.x, links.y from reach join links on reach.y = links.x
+)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, r.component_id
+from documents d left join sizes s on d.doc_id = s.doc_id
+join (select x, min(y) as component_id from reach group by x) r on d.doc_id = r.x
+"""
+
+
+@F.pandas_udf(LongType())
+def ids_crc32(ids: pd.Series) -> pd.Series:
+    return pd.Series([zlib.crc32(np.asarray(part, "<u4").tobytes()) for part in ids], dtype="int64")
+
+
+def digests(pieces: DataFrame) -> DataFrame:
+    """The pieces with a checksum of their ids in place of the ids."""
+    return pieces.select(*[ids_crc32(c).alias("ids_crc32") if c == "ids" else c for c in pieces.columns])
+
+
+@query
+def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = cut_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(saved(digests(pieces), "pieces"))
