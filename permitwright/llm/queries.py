@@ -14,10 +14,13 @@ from pyspark.sql.types import LongType
 
 from permitwright.llm.best_fit import cut_documents, pack
 from permitwright.llm.common import id_remainder, saved
+from permitwright.llm.license_scan import BASE, SIMILARITY, SLACK, WORDINGS, license_report
 from permitwright.llm.line_dedup import MAX_RATIO, MIN_PAGES, drop_boilerplate
 from permitwright.llm.ngram_join import near_duplicates
+from permitwright.llm.piece_encoding import encode_documents
 from permitwright.llm.quality import learn_quality, score_quality
 from permitwright.llm.toxicity import learn_lexicon, score_toxicity
+from permitwright.llm.warc import REVISIT_BYTES, read_archives, with_revisits, write_archives
 from permitwright.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +147,92 @@ def digests(pieces: DataFrame) -> DataFrame:
 def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = cut_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pack(saved(digests(pieces), "pieces"))
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = with_revisits(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    return read_archives(spark, write_archives(pages), payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "error")
+
+
+SQL["op1_warc"] = f"""
+with payloads as (
+  select page_id, url, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+),
+newest as (
+  select payload_digest, payload_bytes, max(page_id) as page from payloads where payload_bytes >= {REVISIT_BYTES}
+  group by payload_digest, payload_bytes
+)
+select p.page_id, p.payload_bytes, p.payload_digest,
+  case when n.page <> p.page_id then 'revisit' else 'response' end as record_type,
+  case when n.page <> p.page_id then n.page end as refers_to, p.url, cast(null as varchar) as error
+from payloads p left join newest n on p.payload_digest = n.payload_digest and p.payload_bytes = n.payload_bytes
+"""
+
+
+@query
+def op2_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents"))
+
+
+_PHRASES = ", ".join(
+    f"({number}, '{phrase}', '{label}', {str(number < len(BASE)).lower()})"
+    for number, (phrase, label) in enumerate((*BASE, *WORDINGS))
+)
+SQL["op4_license_scan"] = rf"""
+with phrases(template, phrase, label, base) as (values {_PHRASES}),
+split as (select *, string_split(phrase, ' ') as t from phrases),
+pairs as (select template, label, base, len(t) - 1 as n, t, unnest(range(1, len(t))) as tplace from split),
+words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+),
+grams as (select doc_id, w, unnest(range(1, len(w))) as place from words),
+hits as (
+  select doc_id, template, label, base, n, tplace, place, place - tplace as diagonal
+  from (select doc_id, place, w[place] as w1, w[place + 1] as w2 from grams) g
+  join pairs p on g.w1 = p.t[p.tplace] and g.w2 = p.t[p.tplace + 1]
+),
+votes as (
+  select doc_id, template, label, base, n, diagonal, count(distinct tplace) as v from hits
+  group by doc_id, template, label, base, n, diagonal
+),
+opened as (
+  select *, case when diagonal - lag(diagonal) over (partition by doc_id, template order by diagonal) <= {SLACK}
+    then 0 else 1 end as fresh
+  from votes where not base
+),
+merged as (
+  select doc_id, template, diagonal, sum(fresh) over (partition by doc_id, template order by diagonal) as part from opened
+),
+spans as (
+  select doc_id, label, base, diagonal, cast(1 as double) as score from votes where base and v = n
+  union all
+  select h.doc_id, h.label, h.base, min(h.diagonal), cast(count(distinct h.tplace) as double) / h.n
+  from hits h join merged m on h.doc_id = m.doc_id and h.template = m.template and h.diagonal = m.diagonal
+  group by h.doc_id, h.template, h.label, h.base, h.n, m.part
+  having cast(count(distinct h.tplace) as double) / h.n >= {SIMILARITY} and max(h.place) - min(h.place) + 1 <= h.n + {SLACK}
+),
+found as (
+  select doc_id, count(*) filter (base) as n_base, min(diagonal) filter (base) as first_word,
+    max(diagonal) filter (base) as last_word, string_agg(distinct label, ',' order by label) filter (base) as base_labels,
+    string_agg(distinct label, ',' order by label) as labels, max(score) as score
+  from spans group by doc_id
+)
+select d.doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0) as score
+from words d left join found f on d.doc_id = f.doc_id
+"""
