@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from permitwright.llm.best_fit import cut_documents, pack
 from permitwright.llm.common import saved
 from permitwright.llm.line_dedup import drop_boilerplate
+from permitwright.llm.ngram_join import near_duplicates
 from permitwright.llm.quality import learn_quality, with_quality
-from permitwright.llm.queries import ACCEPTED, held_out, table
+from permitwright.llm.queries import ACCEPTED, digests, held_out, table
 from permitwright.llm.toxicity import learn_lexicon, without_toxic
 from permitwright.session import tune
 
@@ -35,7 +39,31 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_boilerplate(docs, "source", "text", max_share=0.5).select(*docs.columns)
 
 
-STAGES = [("toxicity", drop_toxic), ("quality classifier", keep_quality), ("line dedup", drop_lines)]
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that share most of their five-word shingles, directly or by way of others, the one with the smallest id.
+
+    The ids to drop are written down, so that Spark knows their size before it joins them to the texts.
+    """
+    tune(spark)
+    groups = near_duplicates(docs, words=5, percent=80)
+    dropped = saved(groups.where("component_id != doc_id").select(F.col("doc_id").alias("_copy")).distinct(), "copies")
+    return docs.join(dropped, F.col("doc_id") == F.col("_copy"), "left_anti")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of a document's ids lies in training sequences, with a checksum of the piece."""
+    tune(spark)
+    pieces = cut_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(saved(digests(pieces), "pieces"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality classifier", keep_quality),
+    ("line dedup", drop_lines),
+    ("n-gram jaccard join", one_of_each),
+    ("best-fit packing", pack_sequences),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

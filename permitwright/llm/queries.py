@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from permitwright.llm.ann import nearest
 from permitwright.llm.best_fit import cut_documents, pack
 from permitwright.llm.common import id_remainder, saved
+from permitwright.llm.cover_tree import near_vectors
 from permitwright.llm.license_scan import BASE, SIMILARITY, SLACK, WORDINGS, license_report
 from permitwright.llm.line_dedup import MAX_RATIO, MIN_PAGES, drop_boilerplate
 from permitwright.llm.ngram_join import near_duplicates
@@ -236,3 +238,32 @@ select d.doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, l
   coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0) as score
 from words d left join found f on d.doc_id = f.doc_id
 """
+
+
+@query
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+@query
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+SQL["op7_near_vectors"] = """
+with recursive vectors as (
+  select vec_id, label, cast(embedding as double[]) as v from embeddings
+),
+links as (
+  select a.vec_id as x, b.vec_id as y from vectors a join vectors b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.v, b.v) >= 0.93
+),
+reach as (
+  select vec_id as x, vec_id as y from vectors
+  union
+  select reach.x, links.y from reach join links on reach.y = links.x
+)
+select r.x as vec_id, coalesce(n.n, 0) as n_links, min(r.y) as component_id, r.x = min(r.y) as kept
+from reach r left join (select x, count(*) as n from links group by x) n on r.x = n.x
+group by r.x, n.n
+"""
