@@ -48,9 +48,15 @@ def _wrapped(body: Column) -> Column:
     return F.concat(F.lit('{"body":'), body, F.lit(',"closed":1}'))
 
 
+def _breaks_out(body: Column) -> Column:
+    """Whether a body closes its object and goes on with members of the object around it."""
+    return body.rlike(r"\}\s*,") & (F.coalesce(F.size(F.json_object_keys(_wrapped(body))), F.lit(0)) != 2)
+
+
 def response_json(text: Column) -> Column:
     """Parsed response, for `response_values`."""
-    return F.from_json(_wrapped(response_body(text)), _WRAPPED_TYPE, _JSON_OPTIONS)
+    body = response_body(text)
+    return F.when(~_breaks_out(body), F.from_json(_wrapped(body), _WRAPPED_TYPE, _JSON_OPTIONS))
 
 
 def response_values(parsed: Column) -> tuple[dict[str, Column], dict[str, Column]]:
@@ -79,7 +85,7 @@ def response_problem(text: Column) -> Column:
     closed = F.from_json(_wrapped(body), "body string, closed int", _JSON_OPTIONS).getField("closed")
     return (
         F.when(fenced_without_body(text), "fence_without_body")
-        .when(F.coalesce(closed, F.lit(0)) != 1, "invalid_json")
+        .when((F.coalesce(closed, F.lit(0)) != 1) | _breaks_out(body), "invalid_json")
         .when(~body.startswith("{"), "not_an_object")
         .otherwise("")
     )

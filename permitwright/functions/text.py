@@ -92,9 +92,9 @@ def clean(value: Column) -> Column:
 
 
 def leading_integer(value: Column) -> Column:
-    """Integer at the start of the text, else 0. Up to 18 digits are read, enough to keep comparisons right."""
-    digits = F.regexp_extract(value, rf"\A[{PAGE_SPACE_CLASS}]*([+-]?[0-9]{{1,18}})", 1)
-    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Integer at the start of the text, else 0, as a double: numbers of any length compare as the page compares them."""
+    digits = F.regexp_extract(value, rf"\A[{PAGE_SPACE_CLASS}]*([+-]?[0-9]+)", 1)
+    return F.coalesce(digits.try_cast("double"), F.lit(0.0))
 
 
 def last_date_part(date: Column) -> Column:

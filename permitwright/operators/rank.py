@@ -54,21 +54,12 @@ def join_side(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumns({key: F.concat(F.col(key), F.lit("")) for key in keys})
 
 
-def numbered(
-    df: DataFrame, order: Order, name: str, within: list[str] | None = None, copies: bool = True
-) -> DataFrame:
-    """Add the exact 1-based row number in `order`, over the table or within the `within` columns.
+def _laid_out(df: DataFrame, order: Order, keys: list[str], copies: bool) -> DataFrame:
+    """The rows in `order` within the keys, over range partitions, with their partition and a place that ascends in it.
 
-    The rows are range-partitioned on the full order, so a hot leading value or a hot group spreads over many tasks.
-    A row's number is its place inside its partition plus the rows before it in earlier partitions; the latter comes
-    from one count per partition (and group). The checkpoint pins partition and place, so that both uses agree and a
-    lost executor cannot change them.
-
-    The order must be total but for equal rows. These are told apart by a running number, so that very many copies
-    of one row spread as well; `copies=False` saves that where rows are known to differ. The local sort before it
-    makes the number the same when a task runs again.
+    The rows are range-partitioned on the full order, so a hot leading value or a hot group spreads over many tasks. The
+    checkpoint pins partition and place, so that all uses agree and a lost executor cannot change them.
     """
-    keys = list(within or [])
     shared_dir(df.sparkSession)
     rows, sort = with_sort_columns(df, order)
     sort = [F.col(k).asc() for k in keys] + sort
@@ -76,7 +67,7 @@ def numbered(
     if copies:
         rows = rows.sortWithinPartitions(*sort).withColumn("_copy", F.monotonically_increasing_id())
         spread = [*sort, F.col("_copy").asc()]
-    laid_out = (
+    return (
         rows.repartitionByRange(*spread)
         .sortWithinPartitions(*sort)
         .select(*df.columns, F.monotonically_increasing_id().alias("_place"))
@@ -84,10 +75,29 @@ def numbered(
         .withColumn("_part", F.shiftright("_place", 33))
         .checkpoint(eager=True)
     )
-    pieces = laid_out.groupBy("_part", *keys).agg(F.min("_place").alias("_start"), F.count("*").alias("_rows"))
+
+
+def _pieces(laid_out: DataFrame, keys: list[str]) -> DataFrame:
+    return laid_out.groupBy("_part", *keys).agg(F.min("_place").alias("_start"), F.count("*").alias("_rows"))
+
+
+def numbered(
+    df: DataFrame, order: Order, name: str, within: list[str] | None = None, copies: bool = True
+) -> DataFrame:
+    """Add the exact 1-based row number in `order`, over the table or within the `within` columns.
+
+    A row's number is its place inside its partition plus the rows before it in earlier partitions; the latter comes
+    from one count per partition (and group). The call runs the sort; what it returns is lazy.
+
+    The order must be total but for equal rows. These are told apart by a running number, so that very many copies
+    of one row spread as well; `copies=False` saves that where rows are known to differ. The local sort before it
+    makes the number the same when a task runs again.
+    """
+    keys = list(within or [])
+    laid_out = _laid_out(df, order, keys, copies)
     # One row per partition and group: a group has at most as many pieces as there are partitions.
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
+    offsets = _pieces(laid_out, keys).select(
         "_part", *keys, "_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
     # Without groups there is one offset per partition, a size known to be small. With groups the join shuffles the
@@ -99,15 +109,22 @@ def numbered(
 
 
 def page_slice(
-    df: DataFrame, order: Order, start: int, size: int, name: str, copies: bool = True, shallow: int = 10_000
+    df: DataFrame, order: Order, start: int, size: int, name: str, copies: bool = True, total: str | None = None
 ) -> DataFrame:
-    """Rows `start` to `start + size` in `order` with their 1-based position.
+    """Rows `start` to `start + size` in `order` with their 1-based position and, in `total`, the number of all rows.
 
-    Near the top this is a top-k, which keeps `start + size` rows per task. Farther down every row is numbered.
+    One way for every depth: the rows are laid out over range partitions, and the number of rows of each partition
+    tells which of them hold the page. Only the page's rows leave their partitions.
     """
-    if start + size <= shallow:
-        rows, sort = with_sort_columns(df, order)
-        page = rows.orderBy(*sort).offset(start).limit(size)
-        position = F.row_number().over(Window.orderBy(*sort)) + F.lit(start)
-        return page.select(*df.columns, position.cast("bigint").alias(name))
-    return numbered(df, order, name, copies=copies).filter((F.col(name) > start) & (F.col(name) <= start + size))
+    laid_out = _laid_out(df, order, [], copies)
+    position, wanted, before = F.lit(0), F.lit(False), 0
+    for piece in _pieces(laid_out, []).orderBy("_part").collect():  # one row per partition
+        first, last = max(start, before), min(start + size, before + piece["_rows"])
+        if first < last:
+            low = piece["_start"] + first - before
+            here = F.col("_place").between(low, low + last - first - 1)
+            position = F.when(here, F.col("_place") - (piece["_start"] - before - 1)).otherwise(position)
+            wanted = wanted | here
+        before += piece["_rows"]
+    found = laid_out.filter(wanted).select(*df.columns, position.cast("bigint").alias(name))
+    return found.withColumn(total, F.lit(before).cast("bigint")) if total else found

@@ -1,7 +1,7 @@
 """Browsing the records of all cities: filters, facets, metrics, grouping, sorting, paging and top lists.
 
-Everything is composed lazily, so Spark sees one plan from scan to result. Where several results are wanted of one
-filter, filter once and cache that.
+Filters, facets, metrics and group heads are composed lazily, so Spark sees one plan from scan to result. What gives exact
+positions sorts when it is called and checkpoints that. Where several results are wanted of one filter, cache that.
 """
 
 from __future__ import annotations
@@ -196,11 +196,10 @@ def grouped_by_address(records: DataFrame, sort: Sort | None = None) -> DataFram
 
 
 def page_of_groups(records: DataFrame, page: int, sort: Sort | None = None, size: int = PAGE_SIZE) -> DataFrame:
-    """One page of group heads, with the number of groups and pages. The count needs no more than the keys."""
-    total = records.select(F.count_distinct(group_key())).scalar()
+    """One page of group heads, with the number of groups and pages: one scan and one aggregate give all of it."""
     heads = grouped_heads(records, sort)
-    rows = page_slice(heads, [("_first", True)], page * size, size, "position", copies=False)
-    return rows.drop("_first").withColumn("groups", total).withColumn("pages", F.ceil(F.col("groups") / size))
+    rows = page_slice(heads, [("_first", True)], page * size, size, "position", copies=False, total="groups")
+    return rows.drop("_first").withColumn("pages", F.ceil(F.col("groups") / size))
 
 
 def group_rows(records: DataFrame, sort: Sort | None = None) -> DataFrame:
@@ -270,7 +269,7 @@ def facet_choices() -> dict[str, Column]:
     year = year_lenient(F.col("date"))
     street = street_name(F.col("address"))
     return {
-        "year": F.when(year.between(FIRST_FACET_YEAR, LAST_FACET_YEAR), year.cast("string")),
+        "year": F.when(year.between(FIRST_FACET_YEAR, LAST_FACET_YEAR), year.cast("bigint").cast("string")),
         "gush": F.when(F.col("gush").rlike(r"\A[0-9]+\z"), F.col("gush")),
         "street": F.when(utf16_length(street) > 2, street),
         "architect": F.nullif(clean(F.col("architect")), F.lit("")),
@@ -287,7 +286,7 @@ def facet_values(records: DataFrame) -> DataFrame:
         *[F.struct(F.lit(facet).alias("facet"), value.alias("value")) for facet, value in facet_choices().items()]
     )
     values = records.select(F.inline(tagged)).filter(F.col("value").isNotNull()).distinct()
-    number = F.when(F.col("facet").isin("year", "gush"), F.col("value").try_cast("bigint"))
+    number = F.when(F.col("facet").isin("year", "gush"), F.col("value").try_cast("double"))
     return values.withColumn("number", number)
 
 

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Sized for large clusters. All but the last can also be set on a session that already exists.
+# Sized for large clusters. Those of sql can also be set on a session that already exists.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,6 +18,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # The JVM does not compile methods of more than 8000 bytes; such a stage runs faster as several methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Checkpoints go when nothing refers to them any more, and are compressed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     # Building the larger expressions is several times faster without a Python stack trace per column.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -45,18 +48,17 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (`spark.checkpoint.dir`); a local temp folder only for a local master."""
+    """The cluster's shared folder, `spark.checkpoint.dir`. A session on one machine that sets none gets its own."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if folder:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(folder)
-        return folder
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+    folder = folder or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="permits-"))
-    return context.getCheckpointDir()
+        folder = tempfile.mkdtemp(prefix="permits-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

@@ -95,7 +95,7 @@ def top_architects(fx):
 
 
 _FACETS = f"""facets as (select distinct facet, value from (
-    select 'year' as facet, case when {R.year()} between 2000 and 2030 then cast({R.year()} as varchar) end as value
+    select 'year' as facet, case when {R.year()} between 2000 and 2030 then cast(cast({R.year()} as bigint) as varchar) end as value
       from fx_permits
     union all select 'gush', case when regexp_full_match(gush, '[0-9]+') then gush end from fx_permits
     union all select 'street', case when length({R.street()}) > 2 then {R.street()} end from fx_permits
@@ -105,7 +105,7 @@ _FACETS = f"""facets as (select distinct facet, value from (
 
 @query(
     "facet_values",
-    f"""with {_FACETS} select facet, value, case when facet in ('year', 'gush') then cast(value as bigint) end as number
+    f"""with {_FACETS} select facet, value, case when facet in ('year', 'gush') then cast(value as double) end as number
     from facets""",
 )
 def facet_values(fx):

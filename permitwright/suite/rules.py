@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from permitwright.functions.responses import RESPONSE_FIELDS
+from permitwright.schema import CONFIDENCE_FIELDS, RECORD_COLUMNS
+
 HEBREW = r"[^\x{0590}-\x{05FF}]"
 
 
@@ -38,7 +41,7 @@ def missing() -> str:
 
 
 def integer(value: str) -> str:
-    return rf"coalesce(try_cast(regexp_extract({value}, '^\s*([+-]?\d+)', 1) as bigint), 0)"
+    return rf"coalesce(try_cast(regexp_extract({value}, '^\s*([+-]?\d+)', 1) as double), 0)"
 
 
 def year(value: str = "date") -> str:
@@ -87,6 +90,7 @@ PATTERNS_B = {
     "address": r"כתובת(?:\s*הבניה)?[:\s]*([^\n]+)",
     "date": r"בתאריך[:\s]*(\S+)",
 }
+# Phrases that mark a permit, stated again.
 PERMIT_TEXT = (
     "(contains(ocr_text, 'היתר בני') or contains(ocr_text, 'טופס 3') or contains(ocr_text, 'תקנה 18')"
     " or contains(ocr_text, 'היתר זה'))"
@@ -105,18 +109,6 @@ def confidence_b(name: str, text: str = "ocr_text") -> str:
     return f"case when regexp_matches({text}, '{PATTERNS_B[name]}') then 'high' else 'none' end"
 
 
-RESPONSE_FIELDS = [
-    "owner",
-    "architect",
-    "address",
-    "gush",
-    "helka",
-    "migrash",
-    "permit_number",
-    "date",
-    "city_plan",
-]
-
 # Responses with their parsed object `j`, NULL where there is none.
 PARSED = rf"""parsed as (select *, case when json_type(doc) = 'OBJECT' then doc end as j from (
   select *, try_cast(case when starts_with(t, '```') then
@@ -136,22 +128,8 @@ def response_confidence(name: str) -> str:
     return f"case when {raw} is null or {raw} = 'null' then 'none' else 'high' end"
 
 
-RECORD = [
-    "city",
-    "building_file_number",
-    "permit_number",
-    "address",
-    "gush",
-    "helka",
-    "migrash",
-    "city_plan",
-    "owner",
-    "architect",
-    "structural_planner",
-    "pdf_path",
-    "date",
-]
-CONFIDENT = ["permit_number", "address", "gush", "helka", "migrash", "city_plan", "owner", "architect", "date"]
+RECORD = RECORD_COLUMNS
+CONFIDENT = CONFIDENCE_FIELDS
 RECORD_LIST = ", ".join(RECORD)
 FULL_LIST = RECORD_LIST + ", " + ", ".join(f"{c}_confidence" for c in CONFIDENT)
 BLANK_CONFIDENCES = ", ".join(f"'' as {c}_confidence" for c in CONFIDENT)

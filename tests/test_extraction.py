@@ -1,8 +1,6 @@
 """Pattern sets, responses and the extraction modes on literal texts."""
 
 import json
-import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,41 +20,45 @@ from permitwright.schema import ALL_COLUMNS
 from permitwright.sources import batch
 
 
-def cleaned(value, collapse):
-    value = re.sub(r"[|\[\]{}><]+", "", value.strip()).strip()
-    return re.sub(r"\s{2,}", " ", value) if collapse else value
-
-
-def texts():
-    rng = random.Random(11)
-    labels = ["בעל היתר", "בעל_התר", "עורך הבקשה", "ורך_הבקשה", "מתכנן שלד", "גוש", "חלקה", "מגרש", "היתר בניה מספר",
-              "היתר בני מספר", "מספר בקשה", "תיק בנין", "תוכנית", "כתובת", "כתובת הבניה", "בתאריך", "טופס 3"]
-    glue = [": ", ":\xa0", ":\n", " ", "::\t", ":\n\n"]
-    values = ["משה כהן", "| דנה  לוי []", "123", "4/5", "", "הרצל 5,  חיפה\r", "<>{}", "א ב", "12/03/2004", "x\u0085y"]
-    made = []
-    for _ in range(1500):
-        made.append("\n".join(rng.choice(labels) + rng.choice(glue) + rng.choice(values) for _ in range(rng.randint(1, 6))))
-    return made
-
-
-@pytest.fixture(scope="module")
-def table(spark):
-    return spark.createDataFrame([(t,) for t in texts()], "t string")
-
-
-def test_set_a_equals_model(table):
-    for row in extract_values(table, "t", SET_A, ["t"]).collect():
-        for p in SET_A:
-            m = re.search(p.pattern, row.t)
-            assert row[p.name] == (cleaned(m.group(1), True) if m else ""), (p.name, row.t)
+# Text, what the first set finds, what the second finds; absent fields are empty.
+TEXTS = [
+    (
+        "כתובת הבניה 12/03/2004\nחלקה:\xa012/03/2004\nבתאריך:\n\nx\x85y",
+        {"helka": "12", "address": "הבניה 12/03/2004"},
+        {"helka": "12", "address": "12/03/2004", "date": "x"},
+    ),
+    (
+        "מתכנן שלד: 12/03/2004\nבעל_התר::\t<>{}\nכתובת הבניה:\n\nx\x85y",
+        {"structural_planner": "12/03/2004", "owner": "", "address": "הבניה:"},
+        {"owner": "", "address": "x\x85y"},
+    ),
+    (
+        "גוש::\tמשה כהן\nבעל_התר:\xa04/5\nבעל היתר הרצל 5,  חיפה\r\nכתובת הבניה::\t4/5",
+        {"owner": "4/5", "address": "הבניה::\t4/5"},
+        {"owner": "4/5", "address": "4/5"},
+    ),
+    (
+        "בעל היתר:\n\n| דנה  לוי []\nהיתר בניה מספר:\n4/5",
+        {"owner": "דנה לוי", "permit_number": "4/5"},
+        {"owner": "דנה  לוי", "permit_number": "4"},
+    ),
+    ("ורך_הבקשה: 123\nעורך הבקשה: 4/5\nמגרש::\t4/5", {"architect": "123", "migrash": "4"}, {"architect": "123", "migrash": "4"}),
+    ("תוכנית 4/5\nתיק בנין: 17\nמספר בקשה: 8", {"city_plan": "4/5", "building_file": "17"}, {"city_plan": "4/5", "permit_number": "8"}),
+    ("היתר בניה מספר::\t", {"permit_number": ":"}, {}),
+    ("חלקה:\xa0<>{}", {}, {}),
+    ("", {}, {}),
+]
 
 
-def test_set_b_equals_model(table):
-    for row in extract_with_confidence(table, "t", SET_B, ["t"]).collect():
-        for p in SET_B:
-            m = re.search(p.pattern, row.t)
-            assert row[p.name] == (cleaned(m.group(1), False) if m else ""), (p.name, row.t)
-            assert row[p.name + "_confidence"] == ("high" if m else "none")
+@pytest.mark.parametrize("text, first, second", TEXTS)
+def test_pattern_sets(columns, text, first, second):
+    rows = columns(t=[text])
+    got = extract_values(rows, "t", SET_A, []).first().asDict()
+    assert got == dict.fromkeys(got, "") | first
+    got = extract_with_confidence(rows, "t", SET_B, []).first().asDict()
+    names = [n for n in got if not n.endswith("_confidence")]
+    assert {n: got[n] for n in names} == dict.fromkeys(names, "") | second
+    assert {n: got[n + "_confidence"] for n in names} == {n: "high" if n in second else "none" for n in names}
 
 
 def test_both_sets_keep_their_own_address_rule(columns):
@@ -82,41 +84,32 @@ def test_permit_phrases(columns):
 
 
 FENCE = "```"
-RESPONSES = [
-    '{"owner": " א ", "gush": 12, "helka": null, "migrash": "null", "x": {"y": 1}}',
-    FENCE + 'json\n{"owner": "ב"}\n' + FENCE,
-    FENCE + '\n{"owner": "ב"}\n' + FENCE + "\nand more",
-    FENCE + '\n{"owner": "a' + FENCE + 'b"}\n' + FENCE,
-    '  \n{"owner": "ג"}\n ',
-    '{"owner": "ד"} trailing',
-    '{"owner": "ד"}}',
-    '{"owner": "ד"}]',
-    '{"owner": "ד"',
-    "{'owner': 'ד'}",
-    "",
-    "nope",
-]
-
-
-def model(text):
-    body = text.strip()
-    if body.startswith(FENCE):
-        body = body.split("\n", 1)[1].rsplit(FENCE, 1)[0]
-    try:
-        data = json.loads(body)
-    except ValueError:
-        data = {}
-    found = {}
-    for name in RESPONSE_FIELDS:
-        value = data.get(name)
-        found[name] = ("", "none") if value in (None, "null") else (str(value).strip(), "high")
-    return found
-
-
-def test_responses_equal_model(columns):
-    for row in parse_responses(columns(t=RESPONSES), "t", ["t"]).collect():
-        for name, (value, confidence) in model(row.t).items():
-            assert (row[name], row[name + "_confidence"]) == (value, confidence), (name, row.t)
+# Response and the values it gives; every other field is empty with confidence none.
+RESPONSES = {
+    '{"owner": " א ", "gush": 12, "helka": null, "migrash": "null", "x": {"y": 1}}': {"owner": "א", "gush": "12"},
+    FENCE + 'json\n{"owner": "ב"}\n' + FENCE: {"owner": "ב"},
+    FENCE + '\n{"owner": "ב"}\n' + FENCE + "\nand more": {"owner": "ב"},
+    FENCE + '\n{"owner": "a' + FENCE + 'b"}\n' + FENCE: {"owner": "a" + FENCE + "b"},
+    '  \n{"owner": "ג"}\n ': {"owner": "ג"},
+    '{"owner": ""}': {"owner": ""},
+    '{"owner": "ד"} trailing': {},
+    '{"owner": "ד"}}': {},
+    '{"owner": "ד"}]': {},
+    '{"owner": "ד"': {},
+    '{"owner":"a"},"z":{"b":1}': {},
+    '{"owner":"a"},"closed":1,"z":{"b":1}': {},
+    "{'owner': 'ד'}": {},
+    "": {},
+    "nope": {},
+}
+
+
+def test_responses(columns):
+    for row in parse_responses(columns(t=list(RESPONSES)), "t", ["t"]).collect():
+        given = RESPONSES[row.t]
+        for name in RESPONSE_FIELDS:
+            want = (given[name], "high") if name in given else ("", "none")
+            assert (row[name], row[name + "_confidence"]) == want, (name, row.t)
 
 
 def test_unusable_responses_are_set_aside(columns):

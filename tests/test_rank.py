@@ -63,11 +63,13 @@ def test_numbered_by_an_expression(table, rows):
     assert [tuple(r)[:3] for r in sorted(got.collect(), key=lambda r: r.place)] == want
 
 
-@pytest.mark.parametrize("shallow", [10_000, 0])
-def test_page_slice(table, rows, shallow):
-    got = page_slice(table, ORDER, 100, 25, "place", shallow=shallow).collect()
-    assert [tuple(r)[:3] for r in sorted(got, key=lambda r: r.place)] == in_order(rows)[100:125]
-    assert sorted(r.place for r in got) == list(range(101, 126))
+@pytest.mark.parametrize("start, size", [(0, 25), (100, 25), (8990, 25), (20_000, 5), (0, 9000)])
+def test_page_slice(table, rows, start, size):
+    got = page_slice(table, ORDER, start, size, "place", total="all").collect()
+    want = in_order(rows)[start : start + size]
+    assert [tuple(r)[:3] for r in sorted(got, key=lambda r: r.place)] == want
+    assert sorted(r.place for r in got) == list(range(start + 1, start + 1 + len(want)))
+    assert {r["all"] for r in got} <= {len(rows)}
 
 
 def test_keep_first(table, rows):
