@@ -78,36 +78,77 @@ def hashed_words(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, mixed(value + (ends - starts).astype(np.uint64) * _MIX[1])
 
 
+# Edges that one task joins by itself.
+_EDGES_AT_ONCE = 500_000
+
+
+def _stars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A task's edges as stars: every id with the smallest id its edges reach, ids that reach none smaller left out."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    def told() -> pd.DataFrame:
+        return pd.DataFrame([(x, top(x)) for x in list(up) if top(x) != x], columns=["hi", "lo"], dtype="int64")
+
+    seen = 0
+    for frame in frames:
+        for x, y in zip(frame["hi"].tolist(), frame["lo"].tolist(), strict=True):
+            x, y = top(x), top(y)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+        seen += len(frame)
+        if seen >= 2 * _EDGES_AT_ONCE:  # more than was dealt to a task: start anew, the next round joins both
+            yield told()
+            up, seen = {}, 0
+    yield told()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(id, component): the smallest id reachable from each id that occurs in the undirected edges.
 
-    Alternates between hooking every neighbourhood on its smallest member for larger and for smaller neighbours, which
-    ends in stars. Rows stay in proportion to the edges, minima combine in the map tasks, and a round's edges are
-    written down. Null ends and loops are left out; no edges give no rows. Raises if `rounds` do not suffice, which
-    are ample for any graph: the number needed grows with the logarithm of the longest path.
+    In each round tasks first turn a bounded number of edges into stars, which shortens paths and drops edges that close
+    circles. If one task held all of them, that is the answer. Otherwise every neighbourhood is hooked on its smallest
+    member, for larger and for smaller neighbours in turn, until only stars are left. Rows stay in proportion to the edges,
+    minima combine in the map tasks, and a round's edges are written down. Null ends and loops are left out; no edges give no rows.
+    Raises if `rounds` do not suffice, which are ample: the number needed grows with the logarithm of the longest path.
     """
-    ordered = edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
-    pairs = saved(ordered.distinct(), "edges")
+    ordered = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
+    pairs = saved(ordered, "edges")
     before = None
     for _ in range(rounds):
-        both = pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
-            pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            (F.col("u") + 0).alias("u"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        small_least = large.groupBy("hi").agg(F.min("lo").alias("m")).select((F.col("hi") + 0).alias("hi"), "m")
-        joined = large.join(small_least, "hi")
-        small = joined.select("hi", F.col("m").alias("lo")).unionAll(
-            joined.where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
-        pairs = saved(small.distinct(), "edges")
-        state = pairs.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
-        if state == before:
+        tasks = -(-pairs.count() // _EDGES_AT_ONCE)
+        stars = pairs.coalesce(max(1, tasks)).mapInPandas(_stars, "hi long, lo long")
+        state = None
+        if tasks > 1:
+            pairs = saved(_hooked(stars), "edges")
+            state = pairs.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
+        else:
+            pairs = saved(stars, "edges")
+        if tasks <= 1 or state == before:
             hubs = pairs.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct()
             return pairs.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionAll(hubs)
         before = state
     raise RuntimeError("connected components did not settle")
 
 
+def _hooked(pairs: DataFrame) -> DataFrame:
+    """Every neighbourhood hooked on its smallest member: larger neighbours first, then smaller ones."""
+    both = pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
+        pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select((F.col("u") + 0).alias("u"), F.least("u", "m").alias("m"))
+    large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+    small_least = large.groupBy("hi").agg(F.min("lo").alias("m")).select((F.col("hi") + 0).alias("hi"), "m")
+    joined = large.join(small_least, "hi")
+    small = joined.select("hi", F.col("m").alias("lo")).unionAll(
+        joined.where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
+    return small.distinct()
+
+
 def passing(df: DataFrame, text_col: str, keeps: Callable[[list[str | None]], list[bool]]) -> DataFrame:
     """The rows whose texts `keeps` marks. Rows travel as Arrow batches, so that no type or name is touched."""
 
