@@ -31,7 +31,7 @@ def boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float
     """
     rows = pages.select(F.col(host_col).alias("host"), _lines(F.col(text_col)).alias("lines"))
     totals = rows.groupBy("host").agg(F.count("*").alias("pages"))
-    keys = F.array_distinct(F.transform(F.filter(F.transform("lines", F.trim), lambda s: s != ""), line_key))
+    keys = F.array_distinct(F.transform(F.filter(F.transform("lines", lambda s: F.trim(s)), lambda s: s != ""), line_key))
     counts = rows.select("host", F.explode(keys).alias("key")).groupBy("host", "key").agg(F.count("*").alias("n"))
     counts = counts.where(F.col("n") >= min_pages)
     frequent = counts.join(totals, counts["host"].eqNullSafe(totals["host"])).where(F.col("n") > max_ratio * F.col("pages"))

@@ -23,6 +23,8 @@ FREQUENT = 16
 # Frequent tokens are dealt to one class per so many tokens of a set, by size band.
 CLASS_WIDTH = 16
 _TOKENS_AT_ONCE = 1_000_000
+# Longs of the bitmap by which sets that are still apart are told from each other.
+SKETCH_LONGS = 8
 
 
 def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,10 +60,10 @@ def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray
 
 def _set_keys(owner: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
     """One 64-bit key per text for its set: the sum of its scrambled hashes."""
-    sums = np.zeros(n + 1, np.uint64)
-    running = np.concatenate(([0], np.cumsum(mixed(value ^ np.uint64(0x5555555555555555)))))
+    running = np.zeros(len(value) + 1, np.uint64)
+    np.cumsum(mixed(value ^ np.uint64(0x5555555555555555)), out=running[1:])
     edges = np.searchsorted(owner, np.arange(n + 1))
-    sums[: n + 1] = running[edges]
+    sums = running[edges]
     return mixed(sums[1:] - sums[:-1] + (edges[1:] - edges[:-1]).astype(np.uint64))
 
 
@@ -237,6 +239,30 @@ def _may_link(a: str, b: str, percent: int) -> Column:
         F.least(c(a, "n"), c(b, "n")) * 100 >= percent * F.greatest(c(a, "n"), c(b, "n")))
 
 
+def _sketches(sets: DataFrame) -> DataFrame:
+    """(key, b0, b1, ...): a bitmap of a set's shared tokens in longs."""
+    names = [f"b{i}" for i in range(SKETCH_LONGS)]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            bits = np.zeros((len(frame), SKETCH_LONGS), np.uint64)
+            for row, tokens in enumerate(frame["tokens"]):
+                place = mixed(np.asarray(tokens, np.int64).view(np.uint64)) % np.uint64(64 * SKETCH_LONGS)
+                np.bitwise_or.at(bits[row], (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+            yield pd.DataFrame(bits.view(np.int64), columns=names).assign(key=frame["key"].to_numpy())[["key", *names]]
+
+    return sets.select("key", "tokens").mapInPandas(run, "key long, " + ", ".join(f"{n} long" for n in names))
+
+
+def _sketches_allow(percent: int) -> Column:
+    """Whether the bitmaps leave room for enough shared tokens: a bit that only one side has is a token that it alone has."""
+    def lacking(one: str, other: str) -> Column:
+        return sum((F.bit_count(F.col(f"{one}b{i}").bitwiseAND(F.bitwise_not(F.col(f"{other}b{i}")))) for i in range(SKETCH_LONGS)), F.lit(0))
+
+    room = F.least(F.col("a_r") - lacking("a_", "b_"), F.col("b_r") - lacking("b_", "a_")).cast("long")
+    return room * (100 + percent) >= percent * (F.col("a_n") + F.col("b_n")).cast("long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of keys whose sets are similar enough."""
     sides = [sets.select(F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("tokens").alias(f"t_{s}")) for s in "ab"]
@@ -248,11 +274,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of keys that connect exactly what all similar pairs would connect.
 
-    First each signature's sets are compared with one of them. That mostly connects them. Only sets of one signature
-    that are then still apart are compared with each other, so copies of a text do not multiply into all pairs.
+    First each signature's sets are compared with one of them, the one with the fewest tokens of its own: what others are
+    copies of. That mostly connects them. Only sets of one signature that are then still apart are compared with each
+    other, so copies of a text do not multiply into all pairs.
     """
     posted = saved(_postings(sets, percent), "postings")
-    lead = posted.groupBy("sig").agg(F.min(F.struct("key", "n", "place", "r")).alias("l"), F.count("*").alias("m"))
+    lead = posted.groupBy("sig").agg(
+        F.min(F.struct((F.col("n") - F.col("r")).alias("own"), "key", "n", "place", "r")).alias("l"), F.count("*").alias("m"))
     lead = lead.where("m > 1").select(
         (F.col("sig") + 0).alias("sig"), *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("key", "n", "place", "r")])
     near = posted.join(lead, "sig").where(F.col("key") != F.col("l_key")).where(_may_link("", "l_", percent))
@@ -262,11 +290,13 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         posted.join(group, "key", "left").withColumn("component", F.coalesce("component", "key")), "placed")
     mixed_ones = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ones = saved(placed.join(mixed_ones.select((F.col("sig") + 0).alias("sig")), "sig", "left_semi"), "open")
+    sketched = sets.join(open_ones.select("key").distinct(), "key", "left_semi")
+    open_ones = open_ones.join(saved(_sketches(sketched), "sketches"), "key")
     left = open_ones.select(*[F.col(c).alias(f"a_{c}") for c in open_ones.columns])
     right = open_ones.select(*[F.col(c).alias(f"b_{c}") for c in open_ones.columns])
     apart = left.join(
         right, (F.col("a_sig") == F.col("b_sig")) & (F.col("a_key") < F.col("b_key"))
-        & (F.col("a_component") != F.col("b_component")) & _may_link("a_", "b_", percent))
+        & (F.col("a_component") != F.col("b_component")) & _may_link("a_", "b_", percent) & _sketches_allow(percent))
     rest = _verified(apart.select(F.col("a_key").alias("a"), F.col("b_key").alias("b")).distinct(), sets, percent)
     return first.unionAll(rest)
 
@@ -277,7 +307,8 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     Two documents link when 100 * shared >= percent * (shared or not) over their sets of `words`-word shingles. Null and
     empty texts, and texts of blanks only, have empty sets and link with nothing; a text of fewer words is one shingle.
     Rows that repeat an id are one node of the graph, each with its own size. Rows without an id come back without a
-    component. Copies meet at once by a 64-bit key of their set. An empty table gives no rows; other columns are not
+    component. `percent` lies above 60. Copies meet at once by a
+    64-bit key of their set. An empty table gives no rows; other columns are not
     read, so their names cannot clash.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

@@ -8,6 +8,7 @@ to shorter ones, and steps back where none is left; a bitfield remembers the pos
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -17,11 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
+from permitwright.llm.common import batches
+
 _BLANK = "▁"
 _CHUNK = re.compile("\n|▁*[^▁\n]+|▁+")
-# Entries of a worker's memories of encoded words and of compared neighbours; each starts anew when full.
-_WORDS_KEPT = 300_000
-_PAIRS_KEPT = 1_000_000
+# Entries of a worker's memories of encoded words, of which it keeps two, and of compared neighbours.
+_WORDS_KEPT = 200_000
+_PAIRS_KEPT = 500_000
+_NEVER = float("inf")
 
 
 class PieceModel:
@@ -58,81 +62,94 @@ class PieceModel:
         # Pieces that merging never yields cannot occur; single characters always can.
         real = [p for p in self.score if len(p) == 1 or self.merged(p) == [p]]
         self.id = {p: ids[p] for p in real}
+        self.size = {ids[p]: len(p) for p in real}
         self.piece = {ids[p]: p for p in real}
-        self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.id), None) for p in real}
+        self.shorter = {ids[p]: next((ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in self.id), -1) for p in real}
         # Where no piece has two characters side by side, a text may be cut between them.
         self.beside = {p[i : i + 2] for p in real for i in range(len(p) - 1)}
-        self.ends = ahocorasick.Automaton()
+        self.found = ahocorasick.Automaton()
         for p in real:
-            self.ends.add_word(p[::-1], p)
-        self.ends.make_automaton()
-        self.agreeing: dict[tuple[str, str], bool] = {}
+            self.found.add_word(p, (len(p) - 1, ids[p]))
+        self.found.make_automaton()
+        self.agreeing: dict[int, bool] = {}
+        # Words encoded lately, and those before them.
         self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def merged(self, text: str) -> list[str]:
         """A short string's pieces by merging itself: the best-scored neighbours first, leftmost on a tie."""
-        parts = list(text)
-        while True:
-            options = [
-                (-self.score[a + b], i) for i, (a, b) in enumerate(zip(parts[:-1], parts[1:], strict=True)) if a + b in self.score
-            ]
-            if not options:
-                return parts
-            at = min(options)[1]
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-
-    def agree(self, left: str, right: str) -> bool:
-        known = self.agreeing.get((left, right))
+        parts, score = list(text), self.score
+        costs = [-score[a + b] if a + b in score else _NEVER for a, b in zip(parts[:-1], parts[1:], strict=True)]
+        while costs and (least := min(costs)) < _NEVER:
+            at = costs.index(least)
+            parts[at] += parts.pop(at + 1)
+            costs.pop(at)
+            for i in (at - 1, at):
+                if 0 <= i < len(costs):
+                    costs[i] = -score.get(parts[i] + parts[i + 1], -_NEVER)
+        return parts
+
+    def agree(self, left: int, right: int) -> bool:
+        """Whether two pieces stay as they are when their joined string is merged anew."""
+        known = self.agreeing.get(left << 32 | right)
         if known is None:
             if len(self.agreeing) > _PAIRS_KEPT:
                 self.agreeing.clear()
-            known = self.agreeing[left, right] = (
-                left[-1] + right[0] not in self.beside or self.merged(left + right) == [left, right])
+            one, two = self.piece[left], self.piece[right]
+            known = self.agreeing[left << 32 | right] = (
+                one[-1] + two[0] not in self.beside or self.merged(one + two) == [one, two])
         return known
 
-    def _walk(self, text: str) -> list[str]:
-        """Pieces of a string whose characters all are pieces."""
-        size = len(text)
-        longest: list[str | None] = [None] * size
-        for end, piece in self.ends.iter(text[::-1]):
-            start = size - 1 - end
-            if longest[start] is None or len(piece) > len(longest[start]):
-                longest[start] = piece
-        taken: list[str] = []
+    def _walk(self, text: str) -> list[int]:
+        """Ids of a string whose characters all are pieces."""
+        size, agree, length, shorter = len(text), self.agree, self.size, self.shorter
+        longest = [0] * size
+        # Matches come by ascending end, so the last one kept for a start is the longest.
+        for end, (back, piece) in self.found.iter(text):
+            longest[end - back] = piece
+        taken: list[int] = []
         failed, at, piece = 0, 0, longest[0]
         while True:
-            if piece is None:
+            if piece < 0:
                 # Nothing is left here: no way leads on from this position.
                 failed |= 1 << at
                 piece = taken.pop()
-                at -= len(piece)
-                piece = self.shorter[piece]
+                at -= length[piece]
+                piece = shorter[piece]
                 continue
-            end = at + len(piece)
-            if not failed >> end & 1 and (not taken or self.agree(taken[-1], piece)):
+            end = at + length[piece]
+            if not failed >> end & 1 and (not taken or agree(taken[-1], piece)):
                 taken.append(piece)
                 if end == size:
                     return taken
                 at, piece = end, longest[end]
             else:
-                piece = self.shorter[piece]
+                piece = shorter[piece]
 
-    def _cut(self, word: str) -> list[int]:
+    def _known(self, word: str) -> tuple[int, ...] | None:
+        found = self.older.get(word)
+        if found is not None:
+            self.words[word] = found
+        return found
+
+    def _cut(self, word: str) -> tuple[int, ...]:
+        """Ids of a word, part by part between the places where no piece can reach across."""
         out: list[int] = []
-        start = 0
-        for i in range(1, len(word) + 1):
-            if i < len(word) and word[i - 1 : i + 1] in self.beside:
+        start, beside, size = 0, self.beside, len(word)
+        for i in range(1, size + 1):
+            if i < size and word[i - 1 : i + 1] in beside:
                 continue
             part, start = word[start:i], i
-            known = self.words.get(part)
+            if len(part) == 1:
+                out += [self.id[part]] if part in self.id else [self.bytes[b] for b in part.encode("utf-8", "replace")]
+                continue
+            known = self.words.get(part) or self._known(part)
             if known is None:
-                if len(part) == 1:
-                    known = (self.id[part],) if part in self.id else tuple(self.bytes[b] for b in part.encode("utf-8", "replace"))
-                else:
-                    known = tuple(self.id[p] for p in self._walk(part))
-                self.words[part] = known
+                known = tuple(self._walk(part))
+                if len(part) < size:
+                    self.words[part] = known
             out += known
-        return out
+        return tuple(out)
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, as the library's encode gives them without begin, end or sampling.
@@ -141,14 +158,14 @@ class PieceModel:
         """
         if not text:
             return []
+        if len(self.words) > _WORDS_KEPT:
+            self.words, self.older = {}, self.words
         words = self.words
         out: list[int] = []
         for chunk in _CHUNK.findall(self.prefix + text.replace(" ", _BLANK)):
             known = words.get(chunk)
             if known is None:
-                if len(words) > _WORDS_KEPT:
-                    words.clear()
-                known = words[chunk] = tuple(self._cut(chunk))
+                known = words[chunk] = self._known(chunk) or self._cut(chunk)
             out += known
         return out
 
@@ -193,7 +210,16 @@ def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """(doc_id, ids, decoded) per row. Null texts count as empty; null ids and repeated rows are kept.
 
     A text is encoded whole, however long; the work of a step back is bounded by the word. An empty table gives no rows,
-    and other columns are not read, so their names cannot clash.
+    and other columns are not read, so their names cannot clash. Rows are handed on a few hundred at a time.
     """
-    ids = df.select(F.col(id_col).alias("doc_id"), encoded(F.col(text_col), path).alias("ids"))
-    return ids.withColumn("decoded", decoded(F.col("ids"), path))
+    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = piece_model(path)
+        for frame in batches(frames, 200):
+            ids = [model.encode(t or "") for t in frame["text"]]
+            texts = [model.decode(i) for i in ids]
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "ids": [np.array(i, np.int32) for i in ids], "decoded": texts})
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInPandas(run, f"doc_id {kind}, ids array<int>, decoded string")

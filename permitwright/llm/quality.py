@@ -38,7 +38,7 @@ N_FEATURES = len(_CLASSES) + BIGRAMS + _WORD_FEATURES
 def passage_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """A feature row per passage, and per text the number of its passages.
 
-    A text is cut every PASSAGE_BYTES bytes; an empty one is one passage of zeros. The features are shares of byte
+    A text is cut every PASSAGE_BYTES bytes; an empty one is one passage of a line end. The features are shares of byte
     classes, shares of pairs of neighbouring byte classes and letters (hashed), and word statistics: mean length,
     share of distinct words, of words equal to the one before, of words in capitals, of long ones, words per byte.
     """
@@ -47,25 +47,24 @@ def passage_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     first = np.concatenate(([0], np.cumsum(counts)))[:-1]
     total = int(counts.sum())
     rows = np.zeros((total, N_FEATURES), np.float32)
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    if not len(data):
+    if not len(texts):
         return rows, counts
-    starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-    text_of = np.repeat(np.arange(len(texts)), sizes)
-    passage = first[text_of] + (np.arange(len(data)) - starts[text_of]) // PASSAGE_BYTES
+    # Every text gets a line end, which keeps its last word from the next text and belongs to its last passage.
+    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    starts = np.concatenate(([0], np.cumsum(sizes + 1)))[:-1]
+    text_of = np.repeat(np.arange(len(texts)), sizes + 1)
+    inner = (np.arange(len(data)) - starts[text_of]) // PASSAGE_BYTES
+    passage = first[text_of] + np.minimum(inner, counts[text_of] - 1)
     length = np.maximum(1, np.bincount(passage, minlength=total)).astype(np.float32)
     kind = _CLASS[data]
     n = len(_CLASSES)
     rows[:, :n] = np.bincount(passage * n + kind, minlength=total * n).reshape(total, n) / length[:, None]
     pair = (kind[:-1].astype(np.int64) * 37 + kind[1:] * 11 + (data[1:] & 31) * (kind[1:] < 2)) % BIGRAMS
+    within = text_of[1:] == text_of[:-1]
     rows[:, n : n + BIGRAMS] = (
-        np.bincount(passage[:-1] * BIGRAMS + pair, minlength=total * BIGRAMS).reshape(total, BIGRAMS) / length[:, None]
+        np.bincount((passage[:-1] * BIGRAMS + pair)[within], minlength=total * BIGRAMS).reshape(total, BIGRAMS) / length[:, None]
     )
-    # A zero byte class would join the last word of one text to the first of the next, so texts end words.
-    inside = (kind != 3) & (kind != 4)
-    ends_text = np.zeros(len(data), bool)
-    ends_text[starts[(starts > 0) & (starts < len(data))] - 1] = True
-    begin, end, word = hashed_words(data, inside & ~ends_text)
+    begin, end, word = hashed_words(data, (kind != 3) & (kind != 4))
     if len(begin):
         at = passage[begin]
         words = np.maximum(1, np.bincount(at, minlength=total)).astype(np.float32)
@@ -79,7 +78,8 @@ def passage_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         count = lambda mask: np.bincount(at, weights=mask, minlength=total).astype(np.float32)
         rows[:, n + BIGRAMS :] = np.column_stack([
             count(size) / words / 10, np.bincount(at[order], weights=fresh, minlength=total) / words,
-            count(same) / words, count(capital) / words, count(size > 12) / words, words / length,
+            count(same) / words, count(capital) / words, count(size > 12) / words,
+            np.bincount(at, minlength=total) / length,
         ])
     return rows, counts
 
@@ -195,7 +195,7 @@ def learn_quality(docs: DataFrame, labels: DataFrame, sample: int = 6_000, id_co
 def score_quality(df: DataFrame, model: AttentionModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `df`: doc_id, score (0 to 1, higher is better) and passages.
 
-    A null text counts as empty, and an empty one is a single passage of zeros. Null ids and repeated rows are kept;
+    A null text counts as empty, and an empty one is a single passage of a line end. Null ids and repeated rows are kept;
     other columns are not read, so their names cannot clash. An empty table gives no rows. A text is cut into as many
     passages as it has kilobytes, all of which are read; arrays hold a few megabytes of text at a time.
     """
