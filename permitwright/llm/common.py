@@ -32,7 +32,7 @@ def id_remainder(id_col: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def byte_groups(texts: list[str], limit: int = 4 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def byte_groups(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive texts as UTF-8, about `limit` bytes at a time, with the position of the first.
 
     Keeps a task's arrays small however many long documents follow each other; one longer text comes alone.

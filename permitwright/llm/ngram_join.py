@@ -22,7 +22,7 @@ from permitwright.llm.common import byte_groups, components, hashed_words, mixed
 FREQUENT = 16
 # Frequent tokens are dealt to one class per so many tokens of a set, by size band.
 CLASS_WIDTH = 16
-_TOKENS_AT_ONCE = 1_000_000
+_TOKENS_AT_ONCE = 500_000
 # Longs of the bitmap by which sets that are still apart are told from each other.
 SKETCH_LONGS = 8
 
@@ -96,7 +96,7 @@ def shared_tokens(rows: DataFrame, words: int) -> DataFrame:
     a token it has seen in FREQUENT sets is frequent for sure, and of it the bucket gets one notice instead of one entry
     per set. So no bucket grows with a token's number of sets.
     """
-    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, tokens, held = [], [], 0
