@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from permitwright.session import fresh_dir
 
-SPREAD_TABLES = {"orders", "lineitem"}
 BASE_TABLES = ["orders", "customer", "nation", "lineitem", "events", "pages"]
 
 VIEWS: dict[str, str] = {}
@@ -54,7 +53,7 @@ select case when k % 53 = 0 then '' else city end as city,
     when k % 47 = 0 then 'א' else concat('משפחת ', sur) end as owner,
   case when k % 14 = 0 then '' when k % 26 = 0 then 'Arch Ltd א' when k % 33 = 0 then '77'
     else concat('אדריכל ', sur, ' ', cast(ck % 12 as string)) end as architect,
-  '' as structural_planner,
+  case when k % 6 = 0 then '' else concat('מהנדס ', sur) end as structural_planner,
   doc_path as pdf_path,
   case when k % 37 = 0 then '' when k % 41 = 0 then 'לא ידוע' else concat(dd, '/', mm, '/', yy) end as date,
   k, ost, prio
@@ -127,6 +126,17 @@ select pdf_path as record_id,
 from fx_permits_all
 """
 
+# Lines of response files in reading order: answers, second answers that are broken, and lines that are none.
+VIEWS["fx_response_lines"] = """
+select record_id, response_text, 'job1' as file, 0 as block, 0 as place from fx_responses
+union all
+select doc_path, 'not json {', 'job2', 0, 1 from fx_base where prio = '1-URGENT'
+union all
+select doc_path, '{"owner":"תשובה מאוחרת"}', 'job2', 0, 2 from fx_base where prio = '2-HIGH'
+union all
+select cast(null as string), '{}', 'job3', 0, k from fx_base where prio = '5-LOW'
+"""
+
 # Calls that came back: those of open orders; the others count as failed calls.
 VIEWS["fx_answered"] = """
 select record_id, response_text from fx_responses join fx_permits_all on record_id = pdf_path where ost = 'O'
@@ -138,8 +148,9 @@ select doc_path as pdf_path, l_linenumber - 1 as page_idx,
 from lineitem join fx_base on l_orderkey = k
 """
 
+# File numbers are a city's own: other cities use the same ones.
 VIEWS["fx_doc_links"] = """
-select cast(l_orderkey as string) as file_id, l_linenumber - 1 as pos,
+select city, cast(ck % 1000 as string) as file_id, cast(k as string) as listing_id, l_linenumber - 1 as pos,
   case l_returnflag when 'A' then 'היתר בניה' when 'N' then 'היתר בניה - שינויים' else 'תכנית הגשה' end as doc_type,
   concat('doc ', cast(l_partkey as string)) as description,
   case when l_partkey % 31 = 0 then '' when l_partkey % 37 = 0 then 'לא ידוע'
@@ -148,13 +159,17 @@ select cast(l_orderkey as string) as file_id, l_linenumber - 1 as pos,
   'תיק' as entity_type,
   case when l_partkey % 6 = 0 then '' else cast(l_suppkey as string) end as entity_number,
   case when l_partkey % 97 = 0 then '/DocumentViewer?Other=1'
-    else concat('/DocumentViewer?Name_File=', cast(l_partkey as string), '&Type=', l_linestatus) end as url
-from lineitem
+    else concat('/DocumentViewer?Name_File=', cast(l_partkey as string), '&Type=', l_linestatus) end as url,
+  k, l_linenumber as line
+from lineitem join fx_base on l_orderkey = k
 """
 
 VIEWS["fx_doc_pages"] = """
-select file_id, pos, concat('<table><tbody><tr><td>', doc_type, '</td><td> ', description, ' </td><td>', date,
-  '</td><td>', entity_type, '</td><td>', entity_number, '</td><td><a href="', url, '">צפייה</a></td></tr>',
+select k, line, concat('<table><thead><tr><td>a</td><td>b</td><td>c</td><td>d</td><td>e</td><td><a href="/DocumentViewer?Name_File=0">',
+  '</a></td></tr></thead><tbody><tr><td>', replace(doc_type, 'ה', '&#1492;'), '</td><td> ', description, ' </td><td>', date,
+  '</td><td>', entity_type, '</td><td>&#x', '30;', entity_number, '</td><td><a class=x href=',
+  case when k % 2 = 0 then '"' else '''' end, replace(url, '&', '&amp;'), case when k % 2 = 0 then '"' else '''' end,
+  '>צפייה</a></td></tr>',
   '<tr><td>a</td><td>b</td><td>c</td><td>d</td><td>e</td></tr>',
   '<tr><td>x</td><td><a href="/DocumentViewer?Name_File=1">y</a></td></tr></tbody></table>') as html
 from fx_doc_links
@@ -169,19 +184,19 @@ select page_id, url, case page_id % 10
 from pages
 """
 
-# The listing as it is now. Urgent files are listed twice, the second time with another address.
-VIEWS["fx_listing"] = """
-select city, cast(k as string) as file_id, concat(street, ' ', house) as address,
+# All files as listed. Urgent files are listed twice, the second time with another address.
+VIEWS["fx_listing_all"] = """
+select prio, city, cast(k as string) as file_id, concat(street, ' ', house) as address,
   concat('גוש ', cast(3600 + ck % 50 as string)) as parcel_info,
   concat('/BuildingArchiveDetails?OrgEntityNumber=', cast(k as string)) as url, 0 as pos
-from fx_base where prio <> '5-LOW'
+from fx_base
 union all
-select city, cast(k as string), 'כתובת כפולה', '', concat('/BuildingArchiveDetails?OrgEntityNumber=', cast(k as string)), 1
+select prio, city, cast(k as string), 'כתובת כפולה', '', concat('/BuildingArchiveDetails?OrgEntityNumber=', cast(k as string)), 1
 from fx_base where prio = '1-URGENT'
 """
 
-# The ledger of an earlier run: files from before 2000. Lists are joined with ';'.
-VIEWS["fx_ledger"] = """
+# A ledger of all files. Lists are joined with ';'.
+VIEWS["fx_ledger_all"] = """
 select city, cast(k as string) as file_id, concat('/BuildingArchiveDetails?OrgEntityNumber=', cast(k as string)) as url,
   concat(street, ' ', house) as address,
   case when k % 20 = 1 then 'error' when k % 20 = 2 then 'skipped' when ost = 'F' then 'processed'
@@ -190,19 +205,36 @@ select city, cast(k as string) as file_id, concat('/BuildingArchiveDetails?OrgEn
     else concat(doc_path, ';data/', lower(city), '/pdfs/', cast(k as string), '/permit_b.pdf') end as pdfs_joined,
   case when k % 20 in (1, 2) or ost = 'O' then '' else concat(dd, '/', mm, '/', yy,
     case when k % 4 = 0 then '' else ';01/01/2001' end) end as dates_joined,
-  case when k % 20 = 1 then 'timeout' else '' end as error
-from fx_base where oy < 2000
+  case when k % 20 = 1 then 'timeout' else '' end as error, oy
+from fx_base
 """
 
-# Documents in the store: those of orders no longer open.
+# The listing of a later visit, on which some files are no longer.
+VIEWS["fx_listing"] = """
+select city, file_id, address, parcel_info, url, pos from fx_listing_all where prio <> '5-LOW'
+"""
+
+# The ledger of an earlier run: files from before 2000.
+VIEWS["fx_ledger"] = """
+select city, file_id, url, address, status, pdfs_joined, dates_joined, error from fx_ledger_all where oy < 2000
+"""
+
+# All documents, and those in the store: of orders no longer open.
+VIEWS["fx_documents"] = """
+select doc_path as path, folder from fx_base
+"""
 VIEWS["fx_inventory"] = """
 select doc_path as path, folder, k % 1000 + 1 as length from fx_base where ost <> 'O'
 """
 
+# Reviews in the order they were made. Of several of one document the last counts; blanks are no edit.
 VIEWS["fx_corrections"] = """
-select pdf_path, case when k % 2 = 0 then 'משפחת תיקון' else '' end as owner,
+select pdf_path, 'ערך קודם' as owner, 'ערך קודם' as architect, 'save' as action, 0 as seq
+from fx_permits_all where prio = '1-URGENT'
+union all
+select pdf_path, case when k % 2 = 0 then ' משפחת תיקון ' else ' ' end as owner,
   case when k % 3 = 0 then 'אדריכל תיקון' else '' end as architect,
-  case when k % 25 = 0 then 'skip' else 'save' end as action
+  case when k % 25 = 0 then 'skip' else 'save' end as action, 1 as seq
 from fx_permits_all where prio in ('1-URGENT', '2-HIGH')
 """
 
@@ -258,12 +290,7 @@ class Fixtures:
         return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
 
     def _scan(self, table: str) -> str:
-        """Scan of a table. On one machine the tables are single files, which would keep all cores but one idle, so
-        their rows are spread once. On a cluster nothing is added to the scan."""
-        context = self.spark.sparkContext
-        spread = table in SPREAD_TABLES and context.master.startswith("local")
-        hint = f"/*+ REPARTITION({context.defaultParallelism}) */ " if spread else ""
-        return f"{table} as (select {hint}* from parquet.`{self.sf_dir}/{table}.parquet`)"
+        return f"{table} as (select * from parquet.`{self.sf_dir}/{table}.parquet`)"
 
     def derived(self, view: str) -> DataFrame:
         """The view as a plan over the driver's tables."""

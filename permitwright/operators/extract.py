@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from permitwright.functions.patterns import SET_A, SET_B, is_permit_text, label_
 from permitwright.functions.responses import parse_responses, response_json, response_problem, response_values
 from permitwright.functions.text import is_blank
 from permitwright.operators.documents import with_permit_page
+from permitwright.operators.rank import keep_first
 from permitwright.schema import ALL_COLUMNS, CONFIDENCE_COLUMNS, CONFIDENCE_FIELDS, RECORD_COLUMNS, as_records
 
 CLOUD = "cloud"
@@ -61,6 +64,9 @@ def extract_records(
     skip       nothing
     The first pattern set applies only to texts that look like a permit, and gives no confidences. cloud and local
     need a permit page.
+
+    A document gets one record: of repeated texts the first by its values, of repeated responses the first that says
+    something. Fields are searched where the text is scanned; what is shuffled is the fields, never a text.
     """
     if mode not in (CLOUD, LOCAL, TEXT_ONLY, SKIP):
         raise ValueError(f"unknown mode: {mode}")
@@ -69,7 +75,6 @@ def extract_records(
     if mode in (CLOUD, LOCAL):
         if geometry is None:
             raise ValueError(f"mode {mode} needs page geometry")
-        texts = with_permit_page(texts, geometry)
 
     full = join_texts(F.col("ocr_text"), F.col("name_text")) if "name_text" in texts.columns else F.col("ocr_text")
     gate = is_permit_text(F.col("ocr_text"))
@@ -77,38 +82,64 @@ def extract_records(
     nothing = {name: F.lit("") for name in CONFIDENCE_FIELDS}
 
     if mode == TEXT_ONLY or (mode == LOCAL and not local_engine):
-        rows, values, confidences = texts.filter(gate), from_patterns, nothing
-    elif mode == LOCAL:
+        found = _one_per_document(_searched(texts.filter(gate), from_patterns, nothing))
+        return as_records(found if mode == TEXT_ONLY else with_permit_page(found, geometry))
+    if mode == LOCAL:
         rows = texts.withColumn("_match", label_matches(F.col("ocr_text"), SET_B))
-        found, confidences = matched_values(F.col("_match"), SET_B)
-        values = _record_values(found)
-    else:
-        if responses is None:
-            raise ValueError("mode cloud needs responses")
-        answers = responses.select(F.col("record_id").alias("pdf_path"), "response_text")
-        answered = F.col("response_text").isNotNull()
-        # One pass: a document takes one of the two ways, so no join or scan is done twice.
-        rows = (
-            texts.join(answers, "pdf_path", "left")
-            .filter(answered | gate)
-            .withColumn("_json", response_json(F.col("response_text")))
-        )
-        found, certain = response_values(F.col("_json"))
-        values = _either(answered, _record_values(found), from_patterns)
-        confidences = _either(answered, certain, nothing)
-
-    return as_records(
-        rows.select(
-            "pdf_path",
-            *[column.alias(name) for name, column in values.items()],
-            *[confidences[name].alias(f"{name}_confidence") for name in CONFIDENCE_FIELDS],
-        )
+        values, confidences = matched_values(F.col("_match"), SET_B)
+        found = _searched(rows, _record_values(values), confidences)
+        return as_records(with_permit_page(_one_per_document(found), geometry))
+
+    if responses is None:
+        raise ValueError("mode cloud needs responses")
+    fallback = _one_per_document(texts.select("pdf_path", gate.alias("_permit"), *_aliased(from_patterns, "_p_")))
+    answers = first_responses(responses).select(F.col("record_id").alias("pdf_path"), "response_text")
+    answered = F.col("response_text").isNotNull()
+    # One pass: a document takes one of the two ways, so no join or scan is done twice.
+    rows = (
+        with_permit_page(fallback, geometry)
+        .join(answers, "pdf_path", "left")
+        .filter(answered | F.col("_permit"))
+        .withColumn("_json", response_json(F.col("response_text")))
     )
+    found, certain = response_values(F.col("_json"))
+    values = _either(answered, _record_values(found), {name: F.col(f"_p_{name}") for name in from_patterns})
+    return as_records(_searched(rows, values, _either(answered, certain, nothing)))
+
+
+def _aliased(values: dict[str, Column], prefix: str = "") -> list[Column]:
+    return [column.alias(prefix + name) for name, column in values.items()]
+
+
+def _searched(rows: DataFrame, values: dict[str, Column], confidences: dict[str, Column]) -> DataFrame:
+    certain = [confidences[name].alias(f"{name}_confidence") for name in CONFIDENCE_FIELDS]
+    return rows.select("pdf_path", *_aliased(values), *certain)
+
+
+def _one_per_document(found: DataFrame) -> DataFrame:
+    return keep_first(found, ["pdf_path"], [])
+
+
+def says_something() -> Column:
+    """Whether a parsed response has a value."""
+    return reduce(Column.__or__, [F.col(f"{name}_confidence") == "high" for name in CONFIDENCE_FIELDS])
+
+
+def first_responses(responses: DataFrame) -> DataFrame:
+    """One response per document: the first that says something, else the first.
+
+    The order is that of `read_responses` (file, block, place) where these columns are there, then the text.
+    """
+    order = [c for c in ("file", "block", "place") if c in responses.columns]
+    kept = ["record_id", "response_text", *order]
+    parsed = parse_responses(responses.filter(F.col("record_id").isNotNull()), "response_text", kept)
+    marked = parsed.select(*kept, says_something().alias("_says"))
+    return keep_first(marked, ["record_id"], [~F.col("_says"), *[F.col(c) for c in order], F.col("response_text")]).select(*kept)
 
 
 def response_records(responses: DataFrame) -> DataFrame:
-    """Records from batch responses: city and file number stay empty."""
-    parsed = parse_responses(responses, "response_text", ["record_id"])
+    """Records from batch responses: city and file number stay empty. Lines without a document's name give none."""
+    parsed = parse_responses(responses.filter(F.col("record_id").isNotNull()), "response_text", ["record_id"])
     return as_records(parsed.withColumnRenamed("record_id", "pdf_path"))
 
 
@@ -143,8 +174,12 @@ def low_confidence_count(prefix: str = "") -> Column:
 def with_outcome(responses: DataFrame) -> DataFrame:
     """Responses with `error`, empty where the response is usable, and `outcome` ok or quarantined.
 
-    Broken JSON counts as an empty answer, so it is kept; what could not be read as an answer at all is set aside.
+    Broken JSON counts as an empty answer, so it is kept; what could not be read as an answer at all, or names no
+    document, is set aside.
     """
-    marked = responses.withColumn("error", response_problem(F.col("response_text")))
-    bad = F.col("error").isin("not_an_object", "fence_without_body")
+    problem = response_problem(F.col("response_text"))
+    if "record_id" in responses.columns:
+        problem = F.when(is_blank(F.coalesce("record_id", F.lit(""))), "no_document").otherwise(problem)
+    marked = responses.withColumn("error", problem)
+    bad = F.col("error").isin("no_document", "not_an_object", "fence_without_body")
     return marked.withColumn("outcome", F.when(bad, "quarantined").otherwise("ok"))

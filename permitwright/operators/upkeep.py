@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from permitwright.functions.text import detail_path, is_blank, is_complete, is_valid_field
+from permitwright.functions.text import detail_path, is_blank, is_complete, is_valid_field, strip
 from permitwright.operators.documents import document_targets, is_permit_type, with_permit_page
+from permitwright.operators.extract import first_responses, response_records, with_outcome
 from permitwright.operators.rank import join_side, keep_first
 
 # Fields a second extraction may fill, fields a reviewer may correct, and the price of a batch page.
@@ -51,6 +52,26 @@ def new_records(candidates: DataFrame, existing: DataFrame, order: list[Column])
     return first_records(candidates, order).join(known, "pdf_path", "left_anti").select(*candidates.columns)
 
 
+def redownloaded(records: DataFrame, plan: DataFrame) -> DataFrame:
+    """Records with the documents of a carried-out plan: pdf_path becomes the new target. `changed` marks them."""
+    done = keep_first(plan.filter(F.col("target") != "").select("city", "pdf_path", "target"), ["city", "pdf_path"], [])
+    joined = records.join(done, ["city", "pdf_path"], "left")
+    path = F.coalesce("target", "pdf_path")
+    return joined.select(
+        *[path.alias(c) if c == "pdf_path" else F.col(c) for c in records.columns], F.col("target").isNotNull().alias("changed")
+    )
+
+
+def batch_records(responses: DataFrame, existing: DataFrame, city: Column) -> DataFrame:
+    """Records of the documents that batch responses answer and that have none, one each (see `first_responses`).
+
+    Responses that cannot be read as an answer, or name no document, give none.
+    """
+    usable = with_outcome(responses.drop("error", "outcome")).filter("outcome = 'ok'")
+    found = response_records(first_responses(usable)).withColumn("city", city)
+    return found.join(existing.select("pdf_path").distinct(), "pdf_path", "left_anti").select(*found.columns)
+
+
 def review_queue(records: DataFrame) -> DataFrame:
     """Records that are not complete."""
     return records.filter(~complete())
@@ -62,11 +83,12 @@ def reextract_candidates(records: DataFrame, inventory: DataFrame) -> DataFrame:
 
 
 def backfill(records: DataFrame, extracted: DataFrame) -> DataFrame:
-    """Fill empty fields from a second extraction, which has one row per document.
+    """Fill empty fields from a second extraction; of a document read twice the first by its values counts.
 
     `changed` marks records that gained something.
     """
-    again = extracted.select("pdf_path", *[F.col(name).alias(f"_{name}") for name in BACKFILL_FIELDS])
+    again = keep_first(extracted.select("pdf_path", *BACKFILL_FIELDS), ["pdf_path"], [])
+    again = again.select("pdf_path", *[F.col(name).alias(f"_{name}") for name in BACKFILL_FIELDS])
     takes = {
         name: is_blank(F.col(name)) & (F.coalesce(F.col(f"_{name}"), F.lit("")) != "") for name in BACKFILL_FIELDS
     }
@@ -86,9 +108,13 @@ def backfill(records: DataFrame, extracted: DataFrame) -> DataFrame:
 def apply_corrections(records: DataFrame, corrections: DataFrame) -> DataFrame:
     """Reviewed values replace owner and architect where these are invalid and the record was not skipped.
 
-    An empty edit keeps the field. `corrections` has one row per document. `changed` marks corrected records.
+    Edits are stripped, and an empty edit keeps the field. Of several reviews of a document the last counts, by `seq` if
+    there is that column, then by its values. `changed` marks corrected records.
     """
-    edits = corrections.select(
+    stripped = [strip(F.coalesce(name, F.lit(""))).alias(name) for name in CORRECTED_FIELDS]
+    order = ["seq"] if "seq" in corrections.columns else []
+    last = keep_first(corrections.select("pdf_path", *stripped, "action", *order), ["pdf_path"], [-F.col(c) for c in order])
+    edits = last.select(
         "pdf_path", *[F.col(name).alias(f"_{name}") for name in CORRECTED_FIELDS], F.col("action").alias("_action")
     )
     takes = {
@@ -144,18 +170,21 @@ def cleanup_summary(records: DataFrame, inventory: DataFrame) -> DataFrame:
 
 
 def redownload_plan(records: DataFrame, inventory: DataFrame, links: DataFrame, root: Column) -> DataFrame:
-    """For incomplete records without a stored document: the first permit document of their file and where it goes."""
+    """For incomplete records without a stored document: the first permit document of their file and where it goes.
+
+    A file is known by its city and number.
+    """
     missing = without_document(records.filter(~complete() & ~is_blank(F.col("building_file_number"))), inventory)
     first = keep_first(
-        links.filter(is_permit_type(F.col("doc_type"))).select("file_id", "pos", "url", "entity_number", "date"),
-        ["file_id"],
+        links.filter(is_permit_type(F.col("doc_type"))).select("city", "file_id", "pos", "url", "entity_number", "date"),
+        ["city", "file_id"],
         [F.col("pos"), F.col("url")],
-    ).select("file_id", "url", "entity_number")
-    wanted = missing.select("pdf_path", "address", F.col("building_file_number").alias("file_id"))
-    found = wanted.join(join_side(first, ["file_id"]), "file_id")
+    ).select("city", "file_id", "url", "entity_number")
+    wanted = missing.select("city", "pdf_path", "address", F.col("building_file_number").alias("file_id"))
+    found = wanted.join(join_side(first, ["city", "file_id"]), ["city", "file_id"])
     planned = document_targets(found, root, prefer_entity_number=False)
     return planned.select(
-        "pdf_path", "file_id", detail_path(F.col("file_id")).alias("page"), "url", "target", "error"
+        "city", "pdf_path", "file_id", detail_path(F.col("file_id")).alias("page"), "url", "target", "error"
     )
 
 

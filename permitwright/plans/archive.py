@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from permitwright.operators import documents, extract, ledger, upkeep
 from permitwright.schema import PENDING
 from permitwright.session import fresh_dir
-from permitwright.sources.tables import LedgerTable, RecordTable
+from permitwright.plans import browse
+from permitwright.sources.tables import LedgerTable, RecordTable, write_export, write_record_csv
 
 
 class Archive:
@@ -68,10 +69,25 @@ class Archive:
         # The ledger is computed from the table as it now is, so a run that stops in between is made good by the next.
         self.ledger.rewrite(ledger.mark_processed(entries, self.records.read(), settled))
 
-    def take_batch_results(self, responses: DataFrame, city: str) -> None:
-        """Write records from batch responses, leaving out documents that have one."""
-        found = extract.response_records(responses).withColumn("city", F.lit(city))
-        self.records.append(upkeep.new_records(found, self.records.read(), []))
+    def take_batch_results(self, responses: DataFrame, city: str) -> DataFrame:
+        """Write records from batch responses, leaving out documents that have one.
+
+        Returns one row: lines read, records written, lines set aside (kept below `quarantine`) and lines skipped.
+        """
+        marked = self._stored(extract.with_outcome(responses), "responses")
+        fresh = self._stored(upkeep.batch_records(marked, self.records.read(), F.lit(city)), "batch-records")
+        self.records.append(fresh)
+        aside = marked.filter("outcome = 'quarantined'")
+        aside.write.mode("append").parquet(f"{self.root}/quarantine")
+        written = fresh.agg(F.count("*").alias("written"))
+        counts = marked.agg(F.count("*").alias("lines"), F.count_if(F.col("outcome") == "quarantined").alias("quarantined"))
+        row = counts.select("lines", written.scalar().alias("written"), "quarantined")
+        return row.withColumn("skipped", F.col("lines") - F.col("written") - F.col("quarantined"))
+
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = fresh_dir(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def reextract(
         self,
@@ -94,9 +110,7 @@ class Archive:
 
     def _change(self, changed: DataFrame) -> DataFrame:
         # Written once and read twice, for the new version and for the counts, instead of computed twice.
-        path = fresh_dir(self.spark, "changed")
-        changed.write.parquet(path)
-        result = self.spark.read.parquet(path)
+        result = self._stored(changed, "changed")
         self.records.rewrite(result)
         return upkeep.review_summary(result)
 
@@ -111,3 +125,19 @@ class Archive:
     def redownload(self, inventory: DataFrame, links: DataFrame, folder: Column) -> DataFrame:
         """Documents to fetch again for records that need a look."""
         return upkeep.redownload_plan(self.records.read(), inventory, links, folder)
+
+    def redownloaded(self, plan: DataFrame) -> DataFrame:
+        """Point records to the documents that were fetched by a plan; returns the counts."""
+        return self._change(upkeep.redownloaded(self.records.read(), plan))
+
+    def merge(self, cities: DataFrame, path: str) -> DataFrame:
+        """Write the configured cities' records, each with a city, as one table of CSV files; returns them."""
+        rows = self.records.read()
+        merged = upkeep.merge_cities(rows.withColumn("source", F.col("city")), cities)
+        write_record_csv(merged, path)
+        return merged
+
+    def export(self, path: str, sort: browse.Sort | None = None, filters: browse.Filters | None = None) -> None:
+        """Write what browsing shows as a CSV text in the order of the sort."""
+        found = browse.filtered(self.records.read(), filters or browse.Filters())
+        write_export(found, browse.total_order(found, sort or browse.Sort()), path)

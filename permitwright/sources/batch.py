@@ -51,14 +51,25 @@ def write_requests(requests: DataFrame, path: str) -> None:
 
 
 def read_responses(spark: SparkSession, path: str, files: str = RESPONSE_FILES) -> DataFrame:
-    """record_id, response_text and the raw `line`; record_id is NULL where a line is no envelope.
+    """record_id, response_text, the raw `line` and where it stands: file, block and place in it.
+
+    record_id is NULL where a line is no envelope.
 
     A response without content reads as an empty object.
     """
     lines = spark.read.option("pathGlobFilter", files).option("recursiveFileLookup", "true").text(path)
-    parsed = lines.filter(F.length("value") > 0).select("value", F.from_json("value", _ENVELOPE).alias("_e"))
+    placed = lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    parsed = placed.filter(F.length("value") > 0).withColumn("_e", F.from_json("value", _ENVELOPE))
     return parsed.select(
         F.col("_e.recordId").alias("record_id"),
         F.coalesce(F.get(F.col("_e.modelOutput.content"), F.lit(0)).getField("text"), F.lit("{}")).alias("response_text"),
         F.col("value").alias("line"),
+        "file",
+        "block",
+        "place",
     )

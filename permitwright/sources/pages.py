@@ -30,29 +30,54 @@ LISTING_ROW = RowShape(link_part="BuildingArchiveDetails", min_cells=3)
 DOCUMENT_ROW = RowShape(link_part="DocumentViewer", min_cells=5)
 
 # Named character references; the ampersand goes last so that nothing is decoded twice.
-_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\xa0", "&amp;": "&"}
+_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\xa0", "&amp;": "&"}
 
 
-def _text(html: Column) -> Column:
-    value = F.regexp_replace(html, r"<[^>]*>", "")
+def _character(reference: Column) -> Column:
+    """The character of a numeric reference's body, such as 1488 or x5D0; the replacement character for no such one."""
+    code = F.when(reference.rlike("^[xX]"), F.conv(F.substring(reference, 2, 8), 16, 10)).otherwise(reference).try_cast("bigint")
+    text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(usable, text).otherwise(F.lit("\ufffd"))
+
+
+def decoded(value: Column) -> Column:
+    """A text of markup with its character references replaced."""
+    # The text is cut in front of each numeric reference, and each piece but the first starts with one.
+    pieces = F.split(value, r"&#(?=[0-9]{1,7};|[xX][0-9a-fA-F]{1,6};)")
+    rest = F.transform(
+        F.slice(pieces, 2, F.size(pieces)),
+        lambda p: F.concat(_character(F.substring_index(p, ";", 1)), F.substr(p, F.instr(p, ";") + 1)),
+    )
+    numeric = F.when(value.contains("&#"), F.array_join(F.concat(F.slice(pieces, 1, 1), rest), "")).otherwise(value)
     for reference, character in _REFERENCES.items():
-        value = F.replace(value, F.lit(reference), F.lit(character))
-    return page_strip(value)
+        numeric = F.replace(numeric, F.lit(reference), F.lit(character))
+    return numeric
+
+
+def _text(html: Column) -> Column:
+    return page_strip(decoded(F.regexp_replace(html, r"<[^>]*>", "")))
 
 
 def html_rows(pages: DataFrame, html: str, shape: RowShape, keep: list[str]) -> DataFrame:
-    """`keep` columns, row_pos, href and cell texts (`cells`) of every row that has the link and enough cells."""
+    """`keep` columns, row_pos, href and cell texts (`cells`) of every row that has the link and enough cells.
+
+    Rows of a table's head do not count. Links and texts come decoded; links may stand in either kind of quotes.
+    """
+    body = F.regexp_replace(F.col(html), r"(?is)<thead\b.*?</thead>", "")
     found = pages.select(
         *keep,
-        F.posexplode(F.regexp_extract_all(html, F.lit(rf"(?is)<{shape.row}\b[^>]*>(.*?)</{shape.row}>"), F.lit(1))).alias(
+        F.posexplode(F.regexp_extract_all(body, F.lit(rf"(?is)<{shape.row}\b[^>]*>(.*?)</{shape.row}>"), F.lit(1))).alias(
             "row_pos", "_row"
         ),
     )
-    link = rf'(?is)<a\b[^>]*?href="([^"]*{shape.link_part}[^"]*)"'
+    part = shape.link_part
+    link = rf"""(?is)<a\b[^>]*?href\s*=\s*("[^"]*{part}[^"]*"|'[^']*{part}[^']*')"""
+    href = F.regexp_extract("_row", link, 1)
     parts = found.select(
         *keep,
         "row_pos",
-        F.regexp_extract("_row", link, 1).alias("href"),
+        decoded(F.substr(href, F.lit(2), F.greatest(F.length(href) - 2, F.lit(0)))).alias("href"),
         F.regexp_extract_all("_row", F.lit(rf"(?is)<{shape.cell}\b[^>]*>(.*?)</{shape.cell}>"), F.lit(1)).alias("_cells"),
     )
     kept = parts.filter((F.col("href") != "") & (F.size("_cells") >= shape.min_cells))

@@ -149,7 +149,7 @@ def extract_local(fx):
     "stamp_records",
     f"""with found as (select {_FROM_SET_A} from fx_permit_text where {R.PERMIT_TEXT}),
     work as (select city, file_id, address, unnest(string_split(pdfs_joined, ';')) as pdf_path,
-      unnest(string_split(dates_joined, ';')) as date from fx_ledger where pdfs_joined <> '')
+      unnest(string_split(dates_joined, ';')) as date from fx_ledger_all where pdfs_joined <> '')
     select w.city, w.file_id as building_file_number, permit_number,
       case when f.address = '' then w.address else f.address end as address, gush, helka, migrash, city_plan, owner,
       architect, structural_planner, pdf_path, coalesce(w.date, '') as date,
@@ -161,7 +161,7 @@ def stamp_records(fx):
     from permitwright.suite.ledger import typed_ledger
 
     records = extract.extract_records(fx["fx_permit_text"], extract.TEXT_ONLY)
-    return extract.stamp_records(records, ledger_documents(typed_ledger(fx)))
+    return extract.stamp_records(records, ledger_documents(typed_ledger(fx, "fx_ledger_all")))
 
 
 @query("folder_names", f"select pdf_path, {R.folder('address')} as folder from fx_permits")
@@ -171,18 +171,19 @@ def folder_names(fx):
 
 @query(
     "document_targets",
-    rf"""select file_id, pos, d.url, case when contains(d.url, 'Name_File=') then concat('data/',
-        case when {R.folder('address')} = '' then concat('file_', file_id) else {R.folder('address')} end, '/permit_',
+    rf"""select city, listing_id as file_id, pos, line, d.url, case when contains(d.url, 'Name_File=') then concat('data/',
+        case when {R.folder('address')} = '' then concat('file_', listing_id) else {R.folder('address')} end, '/permit_',
         case when entity_number <> '' then entity_number else regexp_extract(d.url, 'Name_File=([^&]*)', 1) end, '.pdf')
       else '' end as target,
       case when contains(d.url, 'Name_File=') then '' else 'no document name in link' end as error
-    from fx_doc_links d join (select file_id, address from fx_listing where pos = 0) l using (file_id)""",
+    from fx_doc_links d join (select city, file_id as listing_id, address from fx_listing_all where pos = 0) l
+      using (city, listing_id)""",
 )
 def document_targets(fx):
-    listing = fx["fx_listing"].filter("pos = 0").select("file_id", "address")
-    links = fx["fx_doc_links"].join(listing, "file_id")
+    listing = fx["fx_listing_all"].filter("pos = 0").select("city", "file_id", "address")
+    links = fx["fx_doc_links"].drop("file_id").withColumnRenamed("listing_id", "file_id").join(listing, ["city", "file_id"])
     targets = documents.document_targets(links, F.lit(DATA_ROOT))
-    return targets.select("file_id", "pos", "url", "target", "error")
+    return targets.select("city", "file_id", "pos", "line", "url", "target", "error")
 
 
 @query("year_parse", f"select pdf_path, date, {R.year()} as year from fx_permits")
@@ -238,11 +239,11 @@ def detail_links(fx):
 @query(
     "absolute_links",
     """select city, file_id, pos, case when starts_with(url, 'http') then url
-      else concat('https://', lower(city), '.archive.example', url) end as link from fx_listing""",
+      else concat('https://', lower(city), '.archive.example', url) end as link from fx_listing_all""",
 )
 def absolute_links(fx):
     base = browse.portal_base(PORTAL, F.lower("city"))
-    return fx["fx_listing"].select("city", "file_id", "pos", T.absolute_link(F.col("url"), base).alias("link"))
+    return fx["fx_listing_all"].select("city", "file_id", "pos", T.absolute_link(F.col("url"), base).alias("link"))
 
 
 @query(
@@ -272,9 +273,9 @@ def first_permit_page(fx):
     return documents.first_permit_page(fx["fx_geometry"])
 
 
-@query("permit_pdfs", f"select path from fx_inventory where {_ON_PERMIT_PAGE.replace('pdf_path in', 'path in')}")
+@query("permit_pdfs", f"select path from fx_documents where {_ON_PERMIT_PAGE.replace('pdf_path in', 'path in')}")
 def permit_pdfs(fx):
-    stored = fx["fx_inventory"].withColumnRenamed("path", "pdf_path")
+    stored = fx["fx_documents"].withColumnRenamed("path", "pdf_path")
     return documents.with_permit_page(stored, fx["fx_geometry"]).select(F.col("pdf_path").alias("path"))
 
 
@@ -326,11 +327,11 @@ def html_listing_rows(fx):
 
 @query(
     "html_document_links",
-    """select file_id, pos, 0 as row_pos, doc_type, description, date, entity_type, entity_number, url
+    """select k, line, 0 as row_pos, doc_type, description, date, entity_type, concat('0', entity_number) as entity_number, url
     from fx_doc_links""",
 )
 def html_document_links(fx):
-    return pages.document_rows(fx["fx_doc_pages"], "html", ["file_id", "pos"])
+    return pages.document_rows(fx["fx_doc_pages"], "html", ["k", "line"])
 
 
 @query(

@@ -10,8 +10,8 @@ from permitwright.operators import ledger as L
 from permitwright.suite.registry import query
 
 
-def typed_ledger(fx: Fixtures) -> DataFrame:
-    """The ledger view with its lists as arrays and an absent error as NULL."""
+def typed_ledger(fx: Fixtures, view: str = "fx_ledger_all") -> DataFrame:
+    """A ledger view with its lists as arrays and an absent error as NULL."""
 
     def listed(name: str):
         return F.filter(F.split(name, ";"), lambda item: item != "")
@@ -19,7 +19,7 @@ def typed_ledger(fx: Fixtures) -> DataFrame:
     meta = F.transform(
         listed("dates_joined"), lambda d: F.struct(d.alias("date"), F.lit("").alias("entity_number"))
     )
-    return fx["fx_ledger"].select(
+    return fx[view].select(
         "city",
         "file_id",
         "url",
@@ -53,7 +53,7 @@ _LEDGER = "select city, file_id, url, address, status, pdfs_joined, dates_joined
 
 @query("incremental_update", _FRESH)
 def incremental_update(fx):
-    return L.new_listing_entries(fx["fx_listing"], typed_ledger(fx)).drop("pos")
+    return L.new_listing_entries(fx["fx_listing"], typed_ledger(fx, "fx_ledger")).drop("pos")
 
 
 @query(
@@ -61,13 +61,13 @@ def incremental_update(fx):
     f"""{_LEDGER} union all select city, file_id, url, address, 'pending', '', '', '' from ({_FRESH}) n""",
 )
 def ledger_merge(fx):
-    return flat_ledger(L.merge_listing(typed_ledger(fx), fx["fx_listing"]))
+    return flat_ledger(L.merge_listing(typed_ledger(fx, "fx_ledger"), fx["fx_listing"]))
 
 
 _DOCUMENTS = """documents as (select city, file_id, address, status, cast(p as int) - 1 as pos, pdfs[p] as pdf_path,
       coalesce(dates[p], '') as date
     from (select *, unnest(generate_series(1, len(pdfs))) as p from (select *, string_split(pdfs_joined, ';') as pdfs,
-      string_split(dates_joined, ';') as dates from fx_ledger where pdfs_joined <> '') s) e)"""
+      string_split(dates_joined, ';') as dates from fx_ledger_all where pdfs_joined <> '') s) e)"""
 
 
 @query("ledger_documents", f"with {_DOCUMENTS} select * from documents")
@@ -90,7 +90,7 @@ def pending_extraction(fx):
       where pdf_path not in (select pdf_path from fx_permits) and pdf_path not in (
         select pdf_path from documents where contains(pdf_path, 'permit_b') and city < 'J'))
     select city, file_id, case when status = 'downloaded' and not exists (select 1 from unfinished u
-      where u.city = g.city and u.file_id = g.file_id) then 'processed' else status end as status from fx_ledger g""",
+      where u.city = g.city and u.file_id = g.file_id) then 'processed' else status end as status from fx_ledger_all g""",
 )
 def mark_processed(fx):
     ledger = typed_ledger(fx)
@@ -101,7 +101,7 @@ def mark_processed(fx):
 
 @query(
     "ledger_by_status",
-    "select status, city, file_id, url from fx_ledger where status in ('pending', 'downloaded', 'error')",
+    "select status, city, file_id, url from fx_ledger_all where status in ('pending', 'downloaded', 'error')",
 )
 def ledger_by_status(fx):
     return L.with_status(typed_ledger(fx), "pending", "downloaded", "error").select("status", "city", "file_id", "url")
@@ -109,8 +109,8 @@ def ledger_by_status(fx):
 
 @query(
     "ledger_progress",
-    """select status, count(*) as files from fx_ledger group by status
-    union all select 'total', count(*) from fx_ledger""",
+    """select status, count(*) as files from fx_ledger_all group by status
+    union all select 'total', count(*) from fx_ledger_all""",
 )
 def ledger_progress(fx):
     return L.progress(typed_ledger(fx))
@@ -119,7 +119,7 @@ def ledger_progress(fx):
 @query(
     "retry_errors",
     """select city, file_id, case when status = 'error' then 'pending' else status end as status,
-      case when status = 'error' then '' else error end as error from fx_ledger""",
+      case when status = 'error' then '' else error end as error from fx_ledger_all""",
 )
 def retry_errors(fx):
     return flat_ledger(L.retry_errors(typed_ledger(fx))).select("city", "file_id", "status", "error")
@@ -128,7 +128,7 @@ def retry_errors(fx):
 @query(
     "city_overview",
     """select subdomain, name, ord, total, processed from fx_cities left join (select lower(city) as c, count(*) as total,
-      count(*) filter (status = 'processed') as processed from fx_ledger group by 1) l on subdomain = c""",
+      count(*) filter (status = 'processed') as processed from fx_ledger_all group by 1) l on subdomain = c""",
 )
 def city_overview(fx):
     ledger = typed_ledger(fx).withColumn("city", F.lower("city"))

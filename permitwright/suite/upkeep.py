@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from permitwright.functions.patterns import SET_A, extract_values
 from permitwright.operators import upkeep as U
+from permitwright.operators.extract import with_outcome
 from permitwright.suite import rules as R
 from permitwright.suite.registry import query
 
@@ -37,7 +38,7 @@ _BACKFILLED = """backfilled as (select p.*, """ + ", ".join(
 _AGAIN = (
     "again as (select pdf_path, "
     + ", ".join(f"{R.field_a(n)} as {n}" for n in U.BACKFILL_FIELDS)
-    + " from fx_permit_text)"
+    + f" from fx_permit_text where pdf_path in (select pdf_path from fx_permits where (owner = '' or architect = '') and {_IN_STORE}))"
 )
 
 
@@ -50,8 +51,9 @@ _AGAIN = (
     + ") as changed from backfilled",
 )
 def backfill_fields(fx):
-    again = extract_values(fx["fx_permit_text"], "ocr_text", SET_A, ["pdf_path"])
-    return U.backfill(fx["fx_permits"], again)
+    wanted = U.reextract_candidates(fx["fx_permits"], fx["fx_inventory"]).select("pdf_path").distinct()
+    texts = fx["fx_permit_text"].join(wanted, "pdf_path", "left_semi")
+    return U.backfill(fx["fx_permits"], extract_values(texts, "ocr_text", SET_A, ["pdf_path"]))
 
 
 _CORRECTED = f"""corrected as (select p.* exclude (owner, architect),
@@ -60,7 +62,8 @@ _CORRECTED = f"""corrected as (select p.* exclude (owner, architect),
     from (select p.*, c.owner as new_owner, c.architect as new_architect,
       coalesce(c.action = 'save' and c.owner <> '' and not {R.valid('p.owner')}, false) as takes_owner,
       coalesce(c.action = 'save' and c.architect <> '' and not {R.valid('p.architect')}, false) as takes_architect
-    from fx_permits p left join fx_corrections c using (pdf_path)) p)"""
+    from fx_permits p left join (select pdf_path, action, trim(owner) as owner, trim(architect) as architect from fx_corrections
+      qualify row_number() over (partition by pdf_path order by seq desc) = 1) c using (pdf_path)) p)"""
 
 
 @query("apply_corrections", f"with {_CORRECTED} select {R.RECORD_LIST}, changed from corrected")
@@ -101,15 +104,15 @@ def cleanup_summary(fx):
 
 @query(
     "redownload_plan",
-    rf"""select pdf_path, file_id, concat('/BuildingArchiveDetails?OrgEntityNumber=', file_id,
+    rf"""select p.city, pdf_path, file_id, concat('/BuildingArchiveDetails?OrgEntityNumber=', file_id,
         '&pageId=8575&DefinementEntityType=10&BuildingNum=', file_id) as page, url,
       case when contains(url, 'Name_File=') then concat('data/', case when {R.folder('address')} = ''
         then concat('file_', file_id) else {R.folder('address')} end, '/permit_', regexp_extract(url, 'Name_File=([^&]*)', 1),
         '.pdf') else '' end as target,
       case when contains(url, 'Name_File=') then '' else 'no document name in link' end as error
-    from fx_permits join (select file_id, url, row_number() over (partition by file_id
+    from fx_permits p join (select city, file_id, url, row_number() over (partition by city, file_id
         order by pos, url, date, entity_number) as rn from fx_doc_links where contains(doc_type, 'היתר בניה')) d
-      on file_id = building_file_number and rn = 1
+      on d.city = p.city and file_id = building_file_number and rn = 1
     where not {R.complete()} and building_file_number <> '' and not {_IN_STORE}""",
 )
 def redownload_plan(fx):
@@ -143,15 +146,15 @@ def records_per_city(fx):
 @query(
     "batch_summary",
     """select documents, with_permit_page, with_permit_page * 0.006e0 as price, written, responses - written as skipped
-    from (select (select count(*) from fx_inventory) as documents,
-      (select count(*) from fx_inventory where path in (select pdf_path from fx_geometry
+    from (select (select count(*) from fx_documents) as documents,
+      (select count(*) from fx_documents where path in (select pdf_path from fx_geometry
         where width_pt * 25.4e0 / 72 < 300)) as with_permit_page,
       (select count(*) from fx_responses) as responses,
       (select count(distinct record_id) from fx_responses
         where record_id not in (select pdf_path from fx_known_records)) as written) s""",
 )
 def batch_summary(fx):
-    stored = fx["fx_inventory"].select(F.col("path").alias("pdf_path"))
+    stored = fx["fx_documents"].select(F.col("path").alias("pdf_path"))
     return U.batch_summary(stored, fx["fx_geometry"], fx["fx_responses"], fx["fx_known_records"])
 
 
@@ -162,3 +165,43 @@ def batch_summary(fx):
 )
 def first_record_per_document(fx):
     return U.first_records(fx["fx_repeated"], [F.col("seq")]).drop("seq")
+
+
+_USABLE = f"""{R.PARSED.replace("fx_responses", "fx_response_lines")}, usable as (select *,
+      {" or ".join(f"{R.response_confidence(n)} = 'high'" for n in R.RESPONSE_FIELDS)} as says
+    from parsed where record_id is not null and not (starts_with(t, '```') and not contains(t, chr(10)))
+      and (doc is null or j is not null))"""
+
+
+@query(
+    "batch_results",
+    f"""with {_USABLE} select 'akko' as city, '' as building_file_number,
+      {", ".join(f"{R.response_field(n)} as {n}" for n in R.RESPONSE_FIELDS)}, '' as structural_planner, record_id as pdf_path,
+      {", ".join(f"{R.response_confidence(n)} as {n}_confidence" for n in R.RESPONSE_FIELDS)}
+    from (select * from usable qualify row_number() over (partition by record_id order by says desc, file, block, place) = 1) u
+    where record_id not in (select pdf_path from fx_known_records)""",
+)
+def batch_results(fx):
+    return U.batch_records(fx["fx_response_lines"], fx["fx_known_records"], F.lit("akko"))
+
+
+@query(
+    "batch_quarantine",
+    f"""with {R.PARSED.replace("fx_responses", "fx_response_lines")} select record_id, file, place, error from (
+      select *, case when record_id is null then 'no_document'
+        when starts_with(t, '```') and not contains(t, chr(10)) then 'fence_without_body'
+        when doc is not null and j is null then 'not_an_object' end as error from parsed) q where error is not null""",
+)
+def batch_quarantine(fx):
+    marked = with_outcome(fx["fx_response_lines"])
+    return marked.filter("outcome = 'quarantined'").select("record_id", "file", "place", "error")
+
+
+@query(
+    "redownloaded_records",
+    f"""select p.city, {", ".join(n for n in R.RECORD if n not in ("city", "pdf_path"))},
+      case when k % 3 = 0 then concat(pdf_path, '.new') else pdf_path end as pdf_path, k % 3 = 0 as changed from fx_permits_all p""",
+)
+def redownloaded_records(fx):
+    plan = fx["fx_permits_all"].filter("k % 3 = 0").select("city", "pdf_path", F.concat("pdf_path", F.lit(".new")).alias("target"))
+    return U.redownloaded(fx["fx_permits"], plan.unionAll(plan))

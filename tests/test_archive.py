@@ -63,9 +63,11 @@ def test_a_run_from_listing_to_browsing(spark, archive, columns):
 
 
 def test_batch_results_corrections_and_second_extraction(spark, archive, columns):
-    answers = columns(record_id=["p1", "p1", "p2"], response_text=['{"owner": "דן"}', '{"owner": "רן"}', "bad"])
-    archive.take_batch_results(answers, "akko")
-    archive.take_batch_results(answers, "akko")
+    answers = spark.createDataFrame(
+        [("p1", "bad", 0), ("p1", '{"owner": "דן"}', 1), ("p1", '{"owner": "אב"}', 2), ("p2", "bad", 3), (None, "{}", 4), ("p3", "[1]", 5)],
+        "record_id string, response_text string, place int")
+    assert tuple(archive.take_batch_results(answers, "akko").first()) == (6, 2, 2, 2)
+    assert tuple(archive.take_batch_results(answers, "akko").first()) == (6, 0, 2, 4)
     rows = archive.records.read().collect()
     assert sorted((r.city, r.pdf_path, r.owner, r.owner_confidence) for r in rows) == [
         ("akko", "p1", "דן", "high"), ("akko", "p2", "", "none"),

@@ -154,6 +154,18 @@ def test_modes(spark, documents_and_pages):
         extract.extract_records(rows, "other")
 
 
+def test_repeats_give_one_record(spark, documents_and_pages):
+    rows, pages = documents_and_pages
+    answers = spark.createDataFrame(
+        [("a", "broken", 0), ("a", '{"gush": 9}', 1), ("a", '{"gush": 8}', 2), (None, '{"gush": 7}', 0)],
+        "record_id string, response_text string, place int")
+    twice = rows.unionAll(rows)
+    for mode, given in (("cloud", answers), ("local", None), ("tesseract", None)):
+        found = extract.extract_records(twice, mode, pages, given)
+        assert sorted(r.pdf_path for r in found.collect()) == {"cloud": ["a", "b"], "local": ["a", "b", "c"], "tesseract": ["a", "b", "d"]}[mode]
+    assert gush(extract.extract_records(twice, "cloud", pages, answers))["a"] == ("9", "high")
+
+
 def test_the_gate_looks_at_the_page_only_but_patterns_at_both_texts(columns):
     rows = columns(pdf_path=["a", "b"], ocr_text=["טופס 3", "אין"], name_text=["בעל היתר: דן", "טופס 3\nבעל היתר: רן"])
     assert {r.pdf_path: r.owner for r in extract.extract_records(rows, "tesseract").collect()} == {"a": "דן"}

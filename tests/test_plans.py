@@ -34,7 +34,24 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
 
 def test_top_list_is_a_top_k(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan_of(entry_point.queries()["top_architects"](spark, sf_dir))
-    assert "TakeOrderedAndProject" in plan_of(entry_point.queries()["page_of_groups"](spark, sf_dir))
+
+
+@pytest.mark.parametrize("name", ["extract_with_fallback", "extract_local"])
+def test_no_text_is_shuffled(name, spark, sf_dir):
+    """What an exchange sends on is in its child's output; no plan above a scan's own projection has the text."""
+    plan = entry_point.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan()
+    todo, sent = [plan], 0
+    while todo:
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            todo.append(node.executedPlan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        if node.nodeName().startswith("Exchange"):
+            sent += 1
+            output = node.output()
+            assert "ocr_text" not in [output.apply(i).name() for i in range(output.size())]
+    assert sent
 
 
 def test_group_numbers_are_joined_by_piece(spark, sf_dir):

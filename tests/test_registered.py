@@ -4,9 +4,10 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_point
+from permitwright.suite.registry import QUERIES as REGISTERED
 
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = {name: entry_point.queries()[name] for name in REGISTERED}
+ORACLE = {name: sql for name, sql in entry_point.oracle_sql().items() if name in REGISTERED}
 
 # Python workers, and joins that pair every row with every other.
 UNWANTED = ["EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin"]

@@ -131,3 +131,14 @@ def test_page_verdicts(columns):
     rows = columns(html=["Cloudflare blocked", "Cloudflare", "blocked", "חלה שגיאה", "Cloudflare Ray ID חלה שגיאה"])
     out = [r[0] for r in rows.select(pages.page_verdict(F.col("html"))).collect()]
     assert out == ["blocked", "ok", "ok", "error", "blocked"]
+
+
+def test_record_files_are_read_by_header(spark, tmp_path):
+    for city, text in (("akko", "address,city,pdf_path\nהרצל 1,akko,p1\n"), ("arad", "pdf_path,unknown,owner,building_file_number\np2,x,דן,7\n")):
+        (tmp_path / city).mkdir()
+        (tmp_path / city / "output.csv").write_text(text, encoding="utf-8-sig" if city == "arad" else "utf-8")
+    got = {r.pdf_path: r for r in tables.read_city_tables(spark, str(tmp_path)).collect()}
+    assert (got["p1"].city, got["p1"].address, got["p1"].source, got["p1"].owner) == ("akko", "הרצל 1", "akko", "")
+    assert (got["p2"].owner, got["p2"].building_file_number, got["p2"].source, got["p2"].city) == ("דן", "7", "arad", "")
+    assert tables.read_record_csv(spark, str(tmp_path / "none")).count() == 0
+    assert tables.read_city_tables(spark, str(tmp_path / "none")).columns[0] == "source"

@@ -62,13 +62,26 @@ def test_redownload_takes_the_first_permit_document(spark, columns):
          ("e", "", "", "", "", "8")],
     )
     store = columns(path=["d"])
+    table = table.withColumn("city", F.lit("akko"))
     links = spark.createDataFrame(
-        [("7", 0, "תכנית", "/v?Name_File=0", "1", ""), ("7", 2, "היתר בניה", "/v?Name_File=2", "1", "1/1/1990"),
-         ("7", 1, "היתר בניה", "/v?Name_File=1", "1", "")],
-        "file_id string, pos int, doc_type string, url string, entity_number string, date string",
+        [("akko", "7", 0, "תכנית", "/v?Name_File=0", "1", ""), ("akko", "7", 2, "היתר בניה", "/v?Name_File=2", "1", "1/1/1990"),
+         ("akko", "7", 1, "היתר בניה", "/v?Name_File=1", "1", ""), ("arad", "7", 0, "היתר בניה", "/v?Name_File=9", "1", "")],
+        "city string, file_id string, pos int, doc_type string, url string, entity_number string, date string",
     )
     out = U.redownload_plan(table, store, links, F.lit("data")).collect()
     assert [(r.pdf_path, r.target, r.error) for r in out] == [("a", "data/הרצל_1/permit_1.pdf", "")]
+    moved = U.redownloaded(table, U.redownload_plan(table, store, links, F.lit("data")))
+    assert {r.pdf_path: r.changed for r in moved.collect()} == {
+        "data/הרצל_1/permit_1.pdf": True, "b": False, "c": False, "d": False, "e": False}
+
+
+def test_of_several_reviews_the_last_counts_and_blanks_are_none(spark, columns):
+    table = records(spark, [("a", "x", "y", "", "", ""), ("b", "x", "y", "", "", "")])
+    edits = spark.createDataFrame(
+        [("a", " דן כהן ", "", "save", 2), ("a", "אחר", "אחר", "save", 1), ("b", " ", "רן לוי", "save", 1)],
+        "pdf_path string, owner string, architect string, action string, seq int")
+    got = {r.pdf_path: (r.owner, r.architect, r.changed) for r in U.apply_corrections(table, edits).collect()}
+    assert got == {"a": ("דן כהן", "y", True), "b": ("x", "רן לוי", True)}
 
 
 def test_merge_fills_the_city_and_leaves_out_unknown_folders(spark, columns):
