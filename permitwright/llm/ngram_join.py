@@ -23,6 +23,8 @@ FREQUENT = 16
 # Frequent tokens are dealt to one class per so many tokens of a set, by size band.
 CLASS_WIDTH = 16
 _TOKENS_AT_ONCE = 500_000
+# Hash buckets in which tokens are counted, where Spark has no more shuffle partitions than that.
+LEAST_BUCKETS = 64
 # Longs of the bitmap by which sets that are still apart are told from each other.
 SKETCH_LONGS = 8
 
@@ -89,14 +91,14 @@ def members(rows: DataFrame, words: int) -> DataFrame:
 
 
 def shared_tokens(rows: DataFrame, words: int) -> DataFrame:
-    """(key, tokens): per distinct set its tokens that other sets hold too, in parts.
+    """(key, tokens): per distinct set its tokens that other sets hold too, in order.
 
     A token is a long: its number of sets (FREQUENT at most) in the top byte, then its identity, so that ascending
     order is the global order of tokens. Tokens are counted by hash bucket. Each task first counts what it has read:
     a token it has seen in FREQUENT sets is frequent for sure, and of it the bucket gets one notice instead of one entry
     per set. So no bucket grows with a token's number of sets.
     """
-    buckets = 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = groups = max(LEAST_BUCKETS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, tokens, held = [], [], 0
@@ -124,8 +126,9 @@ def shared_tokens(rows: DataFrame, words: int) -> DataFrame:
             # Frequent tokens go straight on to their sets; any bucket may carry them.
             order = np.argsort(key[known], kind="stable")
             k, t = key[known][order], ident[known][order]
-            for one, lo, hi in _runs(k):
-                out.append((int(one) % buckets, [one], None, None, t[lo:hi]))
+            if len(k):
+                runs = list(_runs(k))
+                out.append((int(k[0]) % buckets, [r[0] for r in runs], [r[2] - r[1] for r in runs], None, t))
             yield pd.DataFrame(out, columns=["bucket", "keys", "counts", "tokens", "frequent"])
 
         for frame in frames:
@@ -144,18 +147,20 @@ def shared_tokens(rows: DataFrame, words: int) -> DataFrame:
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, idents, notices = [], [], [np.zeros(0, np.int64)]
+        known: list[tuple[np.ndarray, np.ndarray]] = []
         for frame in frames:
-            known = []
             for b, k, c, t, f in frame.itertuples(index=False):
                 if k is None:
                     notices.append(np.asarray(f, np.int64))
-                elif t is None:
-                    known.append((k[0], np.asarray(f, np.int64) | (FREQUENT << 56)))
+                    continue
+                owners = np.repeat(np.asarray(k, np.int64), np.asarray(c, np.int64))
+                if t is None:
+                    known.append((owners, np.asarray(f, np.int64) | (FREQUENT << 56)))
                 else:
-                    keys.append(np.repeat(np.asarray(k, np.int64), np.asarray(c, np.int64)))
+                    keys.append(owners)
                     idents.append((np.int64(b) << 32) | np.asarray(t, np.int32).view(np.uint32).astype(np.int64))
-            if known:
-                yield pd.DataFrame(known, columns=["key", "tokens"])
+        for owners, values in known:
+            yield packed(owners, values)
         if not keys:
             return
         key, ident = np.concatenate(keys), np.concatenate(idents)
@@ -166,15 +171,41 @@ def shared_tokens(rows: DataFrame, words: int) -> DataFrame:
         key, ident = key[fresh], ident[fresh]
         distinct, group, number = np.unique(ident, return_inverse=True, return_counts=True)
         number = np.where(np.isin(distinct, np.concatenate(notices)), FREQUENT, np.minimum(number, FREQUENT))[group]
-        key, value = key[number > 1], (ident | (number << 56))[number > 1]
-        order = np.argsort(key, kind="stable")
+        yield packed(key[number > 1], (ident | (number << 56))[number > 1])
+
+    def packed(key: np.ndarray, value: np.ndarray) -> pd.DataFrame:
+        """One row per group of sets, so that rows do not multiply with buckets and sets."""
+        group = (mixed(key.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+        order = np.lexsort((key, group))
+        group, key, value = group[order], key[order], value[order]
+        out = []
+        for g, lo, hi in _runs(group):
+            runs = list(_runs(key[lo:hi]))
+            out.append((g, [r[0] for r in runs], [r[2] - r[1] for r in runs], value[lo:hi]))
+        return pd.DataFrame(out, columns=["group", "keys", "counts", "tokens"])
+
+    def gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, values = [], []
+        for frame in frames:
+            for _, k, c, t in frame.itertuples(index=False):
+                keys.append(np.repeat(np.asarray(k, np.int64), np.asarray(c, np.int64)))
+                values.append(np.asarray(t, np.int64))
+        if not keys:
+            return
+        key, value = np.concatenate(keys), np.concatenate(values)
+        order = np.lexsort((value, key))
         key, value = key[order], value[order]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (value[1:] != value[:-1])
+        key, value = key[fresh], value[fresh]
         out = [(k, value[lo:hi]) for k, lo, hi in _runs(key)]
-        for at in range(0, len(out), 5000):
-            yield pd.DataFrame(out[at : at + 5000], columns=["key", "tokens"])
+        for at in range(0, len(out), 2000):
+            yield pd.DataFrame(out[at : at + 2000], columns=["key", "tokens"])
 
     dealt = rows.mapInPandas(deal, "bucket int, keys array<long>, counts array<int>, tokens array<int>, frequent array<long>")
-    return dealt.repartition(buckets, "bucket").mapInPandas(count, "key long, tokens array<long>")
+    counted = dealt.repartition(buckets, "bucket").mapInPandas(
+        count, "group int, keys array<long>, counts array<int>, tokens array<long>")
+    return counted.repartition(groups, "group").mapInPandas(gather, "key long, tokens array<long>")
 
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -315,8 +346,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     known = saved(members(rows, words), "members")
     heads = saved(known.where("id is not null and key is not null").groupBy("key").agg(
         F.min("id").alias("head"), F.max("n").alias("n")), "heads")
-    parts = shared_tokens(rows.where("id is not null"), words)
-    whole = parts.groupBy("key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("tokens")))).alias("tokens"))
+    whole = shared_tokens(rows.where("id is not null"), words)
     # A set that has more tokens of its own than any partner may miss links with nothing.
     sets = saved(whole.join(heads, "key").where(F.size("tokens") * 100 >= percent * F.col("n")).select(
         "key", "n", "tokens"), "sets")
