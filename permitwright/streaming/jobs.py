@@ -34,11 +34,13 @@ def extract_stream(
 
     A document is written once: repeats inside a batch keep the first in `order`, and documents with a record are
     dropped by an anti-join with the table. A batch that runs again after a failure finds its own rows there. The
-    repeats are dropped before extraction, so no text is searched twice.
+    repeats are dropped before extraction, so no text is searched twice. Of the table only the batch's own documents
+    are looked at beyond the scan of their column.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = new_records(batch, table.read(), [F.col(name) for name in order or []])
+        known = table.read().select("pdf_path").join(batch.select("pdf_path").distinct(), "pdf_path", "left_semi")
+        fresh = new_records(batch, known, [F.col(name) for name in order or []])
         table.append(extract(fresh))
 
     return texts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -30,11 +30,5 @@ def test_entry_has_rows(spark):
     assert entry_point.entry(spark).limit(1).count() == 1
 
 
-def test_only_the_inventory_has_no_sql():
-    assert set(QUERIES) - set(ORACLE) == {"document_inventory"}
-
-
-def test_inventory_lists_the_tables(spark, sf_dir):
-    rows = QUERIES["document_inventory"](spark, sf_dir)
-    assert rows.count() == 14
-    assert rows.filter("length > 0 and folder like '%sf0.001'").count() == 14
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
