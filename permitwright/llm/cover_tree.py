@@ -46,6 +46,13 @@ def grow(points: np.ndarray) -> list[Level]:
         centres, radii, parents = [], [], []
         for p in range(len(above.centre)):
             members = order[edges[p] : edges[p + 1]]
+            if above.radius[p] <= radius:  # one node of this level covers it
+                node[members] = len(centres)
+                centres.append(int(above.centre[p]))
+                parents.append(p)
+                radii.append(float(above.radius[p]))
+                continue
+            base = len(centres)
             gap = np.full(len(members), np.inf)
             mine = np.zeros(len(members), np.int64)
             centre = int(np.flatnonzero(members == above.centre[p])[0])
@@ -56,13 +63,13 @@ def grow(points: np.ndarray) -> list[Level]:
                 gap[closer], mine[closer] = d[closer], len(centres)
                 centres.append(members[centre])
                 parents.append(p)
-                radii.append(0.0)
                 centre = int(np.argmax(gap))
                 if gap[centre] <= radius:
                     break
             node[members] = mine
-            np.maximum.at(radii_now := np.array(radii), mine, gap)
-            radii = radii_now.tolist()
+            own = np.zeros(len(centres) - base)
+            np.maximum.at(own, mine - base, gap)
+            radii += own.tolist()
         levels.append(Level(np.array(centres), np.array(radii), np.array(parents), node))
     return [*levels, Level(np.arange(n), np.zeros(n), levels[-1].node, np.arange(n))]
 
@@ -75,7 +82,7 @@ def _children(level: Level, nodes: int) -> tuple[np.ndarray, np.ndarray]:
 def walk(a: np.ndarray, tree_a: list[Level], b: np.ndarray, tree_b: list[Level], reach: float):
     """Yield (points of a, points of b, sure) whose distances are at most `reach`; `sure` pairs of nodes need no check.
 
-    Each yield is all points of one node against all of another. Together they cover every such pair once, both ways
+    Each yield is all points of one node against all of others. Together they cover every such pair once, both ways
     round where a and b are the same.
     """
     pairs = [(0, np.zeros(1, np.int64))]
@@ -93,14 +100,16 @@ def walk(a: np.ndarray, tree_a: list[Level], b: np.ndarray, tree_b: list[Level],
             near = gap <= reach + spread + _EPS
             whole = gap + spread <= reach - _EPS
             for i, one in enumerate(mine):
-                for other in theirs[whole[i]]:
-                    yield np.flatnonzero(la.node == one), np.flatnonzero(lb.node == other), True
+                if last:
+                    for found, sure in ((whole[i], True), (near[i] & ~whole[i], False)):
+                        if found.any():
+                            yield la.centre[one : one + 1], lb.centre[theirs[found]], sure
+                    continue
+                if whole[i].any():
+                    yield np.flatnonzero(la.node == one), np.flatnonzero(np.isin(lb.node, theirs[whole[i]])), True
                 rest = theirs[near[i] & ~whole[i]]
                 if len(rest):
-                    if last:
-                        yield np.array([la.centre[one]]), lb.centre[rest], False
-                    else:
-                        following.append((one, rest))
+                    following.append((one, rest))
         pairs = following
 
 
@@ -141,8 +150,10 @@ def near_pairs(left: pd.DataFrame, right: pd.DataFrame, cosine: float, same: boo
         links[xs] += copies[1][ys].sum()
         if not same:
             np.add.at(links, ys + shift, copies[0][xs].sum())
-        for y in ys:
-            join(int(xs[0]), int(y) + shift)
+        # Only ends that are not yet known to be together are joined one by one.
+        here = top(int(xs[0]))
+        for y in (ys + shift)[root[ys + shift] != here]:
+            join(int(xs[0]), int(y))
         for x in xs[1:]:
             join(int(x), int(ys[0]) + shift)
     if same:
