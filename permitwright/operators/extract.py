@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from permitwright.functions.patterns import SET_A, SET_B, is_permit_text, label_matches, matched_values, pattern_values
-from permitwright.functions.responses import parse_responses, response_json, response_problem, response_values
+from permitwright.functions.responses import RESPONSE_FIELDS, parse_responses, response_problem
 from permitwright.functions.text import is_blank
 from permitwright.operators.documents import with_permit_page
 from permitwright.operators.rank import keep_first
@@ -93,17 +93,13 @@ def extract_records(
     if responses is None:
         raise ValueError("mode cloud needs responses")
     fallback = _one_per_document(texts.select("pdf_path", gate.alias("_permit"), *_aliased(from_patterns, "_p_")))
-    answers = first_responses(responses).select(F.col("record_id").alias("pdf_path"), "response_text")
-    answered = F.col("response_text").isNotNull()
+    answers = first_answers(responses).withColumnRenamed("record_id", "pdf_path").withColumn("_answered", F.lit(True))
+    answered = F.col("_answered").isNotNull()
     # One pass: a document takes one of the two ways, so no join or scan is done twice.
-    rows = (
-        with_permit_page(fallback, geometry)
-        .join(answers, "pdf_path", "left")
-        .filter(answered | F.col("_permit"))
-        .withColumn("_json", response_json(F.col("response_text")))
-    )
-    found, certain = response_values(F.col("_json"))
-    values = _either(answered, _record_values(found), {name: F.col(f"_p_{name}") for name in from_patterns})
+    rows = with_permit_page(fallback, geometry).join(answers, "pdf_path", "left").filter(answered | F.col("_permit"))
+    found = _record_values({name: F.col(name) for name in RESPONSE_FIELDS})
+    certain = {name: F.col(f"{name}_confidence") for name in CONFIDENCE_FIELDS}
+    values = _either(answered, found, {name: F.col(f"_p_{name}") for name in from_patterns})
     return as_records(_searched(rows, values, _either(answered, certain, nothing)))
 
 
@@ -125,16 +121,15 @@ def says_something() -> Column:
     return reduce(Column.__or__, [F.col(f"{name}_confidence") == "high" for name in CONFIDENCE_FIELDS])
 
 
-def first_responses(responses: DataFrame) -> DataFrame:
-    """One response per document: the first that says something, else the first.
+def first_answers(responses: DataFrame) -> DataFrame:
+    """One parsed response per document: the first that says something, else the first.
 
-    The order is that of `read_responses` (file, block, place) where these columns are there, then the text.
+    The order is that of `read_responses` (file, block, place) where these columns are there, then that of the values.
     """
     order = [c for c in ("file", "block", "place") if c in responses.columns]
-    kept = ["record_id", "response_text", *order]
-    parsed = parse_responses(responses.filter(F.col("record_id").isNotNull()), "response_text", kept)
-    marked = parsed.select(*kept, says_something().alias("_says"))
-    return keep_first(marked, ["record_id"], [~F.col("_says"), *[F.col(c) for c in order], F.col("response_text")]).select(*kept)
+    parsed = parse_responses(responses.filter(F.col("record_id").isNotNull()), "response_text", ["record_id", *order])
+    first = keep_first(parsed, ["record_id"], [~says_something(), *[F.col(c) for c in order]])
+    return first.drop(*order)
 
 
 def response_records(responses: DataFrame) -> DataFrame:

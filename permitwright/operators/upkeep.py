@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from permitwright.functions.text import detail_path, is_blank, is_complete, is_valid_field, strip
 from permitwright.operators.documents import document_targets, is_permit_type, with_permit_page
-from permitwright.operators.extract import first_responses, response_records, with_outcome
+from permitwright.operators.extract import first_answers, with_outcome
 from permitwright.operators.rank import join_side, keep_first
+from permitwright.schema import as_records
 
 # Fields a second extraction may fill, fields a reviewer may correct, and the price of a batch page.
 BACKFILL_FIELDS = [
@@ -63,12 +64,12 @@ def redownloaded(records: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def batch_records(responses: DataFrame, existing: DataFrame, city: Column) -> DataFrame:
-    """Records of the documents that batch responses answer and that have none, one each (see `first_responses`).
+    """Records of the documents that batch responses answer and that have none, one each (see `first_answers`).
 
     Responses that cannot be read as an answer, or name no document, give none.
     """
     usable = with_outcome(responses.drop("error", "outcome")).filter("outcome = 'ok'")
-    found = response_records(first_responses(usable)).withColumn("city", city)
+    found = as_records(first_answers(usable).withColumnRenamed("record_id", "pdf_path")).withColumn("city", city)
     return found.join(existing.select("pdf_path").distinct(), "pdf_path", "left_anti").select(*found.columns)
 
 
