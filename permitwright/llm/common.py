@@ -7,16 +7,26 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from permitwright.session import fresh_dir
+from permitwright.session import fresh_dir, tune
 
 # An odd multiplier, so that it can be inverted modulo 2**64.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
+# Rows that reach a Python worker at once. Texts may be long, and several workers share an executor's memory.
+ROWS_AT_ONCE = 1000
+
+
+def prepared(spark: SparkSession) -> None:
+    """The session settings these operators are made for; none changes a result."""
+    tune(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write to a new folder in the cluster's shared folder and read it back.
 

@@ -164,13 +164,20 @@ def shared_tokens(rows: DataFrame, words: int) -> DataFrame:
         if not keys:
             return
         key, ident = np.concatenate(keys), np.concatenate(idents)
+        keys.clear()
+        idents.clear()
         order = np.lexsort((key, ident))
         key, ident = key[order], ident[order]
+        del order
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (ident[1:] != ident[:-1])
         key, ident = key[fresh], ident[fresh]
-        distinct, group, number = np.unique(ident, return_inverse=True, return_counts=True)
-        number = np.where(np.isin(distinct, np.concatenate(notices)), FREQUENT, np.minimum(number, FREQUENT))[group]
+        del fresh
+        # The tokens are sorted: a run's length is the number of sets, and is told to each of its entries.
+        cuts = np.flatnonzero(np.concatenate(([True], ident[1:] != ident[:-1])))
+        length = np.diff(np.append(cuts, len(ident)))
+        number = np.where(np.isin(ident[cuts], np.concatenate(notices)), FREQUENT, np.minimum(length, FREQUENT))
+        number = np.repeat(number, length)
         yield packed(key[number > 1], (ident | (number << 56))[number > 1])
 
     def packed(key: np.ndarray, value: np.ndarray) -> pd.DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql.types import LongType
 
 from permitwright.llm.ann import nearest
 from permitwright.llm.best_fit import cut_documents, pack
-from permitwright.llm.common import id_remainder, saved
+from permitwright.llm.common import id_remainder, prepared, saved
 from permitwright.llm.cover_tree import near_vectors
 from permitwright.llm.license_scan import BASE, SIMILARITY, SLACK, WORDINGS, license_report
 from permitwright.llm.line_dedup import MAX_RATIO, MIN_PAGES, drop_boilerplate
@@ -23,7 +23,6 @@ from permitwright.llm.piece_encoding import encode_documents
 from permitwright.llm.quality import learn_quality, score_quality
 from permitwright.llm.toxicity import learn_lexicon, score_toxicity
 from permitwright.llm.warc import REVISIT_BYTES, read_archives, with_revisits, write_archives
-from permitwright.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,7 +32,7 @@ ACCEPTED = 0.3
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tune(spark)
+        prepared(spark)
         return build(spark, sf_dir)
 
     QUERIES[build.__name__] = run
