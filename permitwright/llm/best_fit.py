@@ -221,37 +221,47 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 6_000, wi
     start = np.zeros(capacity + 1, np.int64)
     for size, n in counts.items():
         start[size] = n
-    stack: list[tuple[np.ndarray, Plan, int]] = [(start, [], 0)]
+    # A branch waits as its parent's pieces and what it takes of them; plans share their beginnings.
+    stack: list[tuple] = [(start, {}, 0, None, 0)]
     weights = np.arange(capacity + 1)
     for step in itertools.count():
         if bins <= goal or step >= nodes or not stack:
             return best
-        avail, plan, used = stack.pop()
+        before, need, times, plan, used = stack.pop()
+        avail = before
+        if need:
+            avail = before.copy()
+            for size, k in need.items():
+                avail[size] -= k * times
         if used + -(-int(avail @ weights) // capacity) >= bins:
             continue
         rest = {int(s): int(avail[s]) for s in np.flatnonzero(avail)}
         if step % 16 == 0 or len(rest) < 12:
             tail = best_fit(rest, capacity)
             if used + sum(t for _, t in tail) < bins:
-                best, bins = plan + tail, used + sum(t for _, t in tail)
+                best, bins = _unrolled(plan) + tail, used + sum(t for _, t in tail)
                 continue
         if not rest:
             continue
         longest = max(rest)
-        avail = avail.copy()
-        avail[longest] -= 1
+        others = avail.copy()
+        others[longest] -= 1
         options = []
-        for filling in fillings(avail, capacity - longest, width):
+        for filling in fillings(others, capacity - longest, width):
             pattern = (longest, *filling)
             need = {s: pattern.count(s) for s in set(pattern)}
             times = min(rest[s] // k for s, k in need.items())
             options += [(pattern, need, t) for t in dict.fromkeys((times, 1))]
         for pattern, need, times in reversed(options):
-            left = avail.copy()
-            left[longest] += 1
-            for size, k in need.items():
-                left[size] -= k * times
-            stack.append((left, [*plan, (pattern, times)], used + times))
+            stack.append((avail, need, times, (plan, (pattern, times)), used + times))
+
+
+def _unrolled(plan: tuple | None) -> Plan:
+    out: Plan = []
+    while plan:
+        plan, step = plan
+        out.append(step)
+    return out[::-1]
 
 
 def _slots(plan: Plan) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
