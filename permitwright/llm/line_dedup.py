@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from permitwright.llm.common import saved
 
 MAX_RATIO = 0.1
+# The floor in the SQL of op5_line_dedup, which that query passes. The operator's own floor is what a repeat needs.
 MIN_PAGES = 10
+REPEATED = 2
 
 
 def line_key(line: Column) -> Column:
@@ -23,7 +25,7 @@ def _lines(text: Column) -> Column:
 
 
 def boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float = MAX_RATIO,
-                min_pages: int = MIN_PAGES) -> DataFrame:
+                min_pages: int = REPEATED) -> DataFrame:
     """(host, keys): per host the lines that stand on at least `min_pages` and over `max_ratio` of its pages.
 
     A line counts once per page. A host has fewer such lines than its pages have lines on average, divided by
@@ -39,7 +41,7 @@ def boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float
 
 
 def drop_boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float = MAX_RATIO,
-                     min_pages: int = MIN_PAGES, max_share: float = 1.0) -> DataFrame:
+                     min_pages: int = REPEATED, max_share: float = 1.0) -> DataFrame:
     """All rows and columns of `pages`, with boilerplate lines taken out of the text, plus _lines and _dropped counts.
 
     A line is what stands between line feeds; blanks around it do not matter and blank lines always stay. `max_share`

@@ -199,6 +199,15 @@ def test_lines(spark, docs, none):
     assert line_dedup.drop_boilerplate(none, "lang", "text").count() == 0
 
 
+def test_lines_of_small_hosts(spark):
+    pages = [(i, "abcd"[i // 2], f"own words {i}\nfoot") for i in range(8)] + [(10, "e", "own\nfoot")]
+    pages += [(20 + i, "f", f"body {i}" + "\nfoot" * (i < 9)) for i in range(60)]
+    table = spark.createDataFrame(pages, "doc_id long, host string, text string")
+    got = {r.doc_id: (r.text, r._dropped) for r in line_dedup.drop_boilerplate(table, "host", "text").collect()}
+    assert all(got[i] == (f"own words {i}", 1) for i in range(8)) and got[10] == ("own\nfoot", 0)
+    assert all(got[20 + i] == (f"body {i}", int(i < 9)) for i in range(60))
+
+
 # Quality
 
 
