@@ -33,9 +33,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their source's boilerplate lines; documents made mostly of such lines are copies and stay whole."""
+    """Texts without their source's boilerplate lines; equal texts of a source count once, so copies keep their own lines."""
     prepared(spark)
-    return drop_boilerplate(docs, "source", "text", max_share=0.5).select(*docs.columns)
+    return drop_boilerplate(docs, "source", "text", once_per_text=True).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,13 +25,17 @@ def _lines(text: Column) -> Column:
 
 
 def boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float = MAX_RATIO,
-                min_pages: int = REPEATED) -> DataFrame:
+                min_pages: int = REPEATED, once_per_text: bool = False) -> DataFrame:
     """(host, keys): per host the lines that stand on at least `min_pages` and over `max_ratio` of its pages.
 
     A line counts once per page. A host has fewer such lines than its pages have lines on average, divided by
-    `max_ratio`, so the list stays short however large the host is.
+    `max_ratio`, so the list stays short however large the host is. `once_per_text` counts pages of one host with equal
+    texts as one page, so that copies do not make each other's lines boilerplate.
     """
-    rows = pages.select(F.col(host_col).alias("host"), _lines(F.col(text_col)).alias("lines"))
+    texts = pages.select(F.col(host_col).alias("host"), F.col(text_col).alias("text"))
+    if once_per_text:
+        texts = texts.groupBy("host", line_key(F.col("text")).alias("same")).agg(F.first("text").alias("text"))
+    rows = texts.select("host", _lines(F.col("text")).alias("lines"))
     totals = rows.groupBy("host").agg(F.count("*").alias("pages"))
     keys = F.array_distinct(F.transform(F.filter(F.transform("lines", lambda s: F.trim(s)), lambda s: s != ""), line_key))
     counts = rows.select("host", F.explode(keys).alias("key")).groupBy("host", "key").agg(F.count("*").alias("n"))
@@ -41,12 +45,12 @@ def boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float
 
 
 def drop_boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float = MAX_RATIO,
-                     min_pages: int = REPEATED, max_share: float = 1.0) -> DataFrame:
+                     min_pages: int = REPEATED, max_share: float = 1.0, once_per_text: bool = False) -> DataFrame:
     """All rows and columns of `pages`, with boilerplate lines taken out of the text, plus _lines and _dropped counts.
 
     A line is what stands between line feeds; blanks around it do not matter and blank lines always stay. `max_share`
-    below 1 leaves pages alone of whose characters boilerplate makes more than that share: such a page is a copy of
-    others, which is for duplicate detection to decide. Null hosts form a host of their own, null texts stay null and
+    below 1 leaves pages alone of whose characters boilerplate makes more than that share. `once_per_text` counts equal
+    texts of a host once; lines are dropped from all of them alike. Null hosts form a host of their own, null texts stay null and
     count as pages without lines, repeated rows count as pages of their own, and a page of one very long line has one
     line. An empty table gives no rows. Columns named _lines, _dropped,
     _keys, _host, _left or _text are replaced.
@@ -54,7 +58,7 @@ def drop_boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio:
     The list of lines per host is written down first, so that Spark knows its size and joins it to the texts without
     a shuffle where it is small; a large list is joined by host, and a hot host is split.
     """
-    listed = saved(boilerplate(pages, host_col, text_col, max_ratio, min_pages), "boilerplate")
+    listed = saved(boilerplate(pages, host_col, text_col, max_ratio, min_pages, once_per_text), "boilerplate")
     listed = listed.select(F.col("host").alias("_host"), F.col("keys").alias("_keys"))
     joined = pages.drop("_lines", "_dropped", "_keys", "_host", "_text", "_left").join(listed, F.col(host_col).eqNullSafe(F.col("_host")), "left")
     lines = _lines(F.col(text_col))

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from permitwright.llm import best_fit, common, cover_tree, line_dedup, license_scan, ngram_join, quality, toxicity, warc
 from permitwright.llm.ann import nearest
 from permitwright.llm.piece_encoding import encode_documents, piece_model
@@ -208,6 +209,16 @@ def test_lines_of_small_hosts(spark):
     assert all(got[20 + i] == (f"body {i}", int(i < 9)) for i in range(60))
 
 
+def test_lines_of_pages_that_are_mostly_boilerplate(spark):
+    foot = "a footer longer than what stands above it"
+    pages = [(i, f"body {i}\n{foot}") for i in range(12)] + [(20 + i, "a copied text\nof two lines") for i in range(12)]
+    pages += [(40, None), (41, None), (42, foot)]
+    table = spark.createDataFrame([(i, "a", t) for i, t in pages], "doc_id long, source string, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, table, "").collect()}
+    assert all(got[i] == f"body {i}" for i in range(12)) and got[40] is None and got[42] == ""
+    assert all(got[20 + i] == "a copied text\nof two lines" for i in range(12)) and len(got) == len(pages)
+
+
 # Quality
 
 
