@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from permitwright.llm.common import saved
 
+# Ratio and floor in the SQL of op5_line_dedup, which that query passes.
 MAX_RATIO = 0.1
-# The floor in the SQL of op5_line_dedup, which that query passes. The operator's own floor is what a repeat needs.
 MIN_PAGES = 10
+# The operator's own: the floor is what a repeat needs; the README says what spread of shares the ratio rests on.
+RATIO = 0.05
 REPEATED = 2
 
 
@@ -24,7 +26,7 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float = MAX_RATIO,
+def boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float = RATIO,
                 min_pages: int = REPEATED, once_per_text: bool = False) -> DataFrame:
     """(host, keys): per host the lines that stand on at least `min_pages` and over `max_ratio` of its pages.
 
@@ -44,7 +46,7 @@ def boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float
     return frequent.select(counts["host"], "key").groupBy("host").agg(F.collect_list("key").alias("keys"))
 
 
-def drop_boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float = MAX_RATIO,
+def drop_boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float = RATIO,
                      min_pages: int = REPEATED, max_share: float = 1.0, once_per_text: bool = False) -> DataFrame:
     """All rows and columns of `pages`, with boilerplate lines taken out of the text, plus _lines and _dropped counts.
 

@@ -71,7 +71,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by source: a source is the host, a document the page."""
-    kept = drop_boilerplate(table(spark, sf_dir, "documents"), "source", "text", min_pages=MIN_PAGES)
+    kept = drop_boilerplate(table(spark, sf_dir, "documents"), "source", "text", MAX_RATIO, MIN_PAGES)
     return kept.select("doc_id", "source", "text", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"))
 
 

@@ -219,6 +219,15 @@ def test_lines_of_pages_that_are_mostly_boilerplate(spark):
     assert all(got[20 + i] == "a copied text\nof two lines" for i in range(12)) and len(got) == len(pages)
 
 
+def test_a_line_near_a_tenth_goes_from_all_sources(spark):
+    # Of 100 pages per source 7 to 13 have the line, 4 to 5 another.
+    pages = [(100 * k + i, f"s{k}", f"body {k} {i}" + "\nmenu" * (i < 7 + k) + "\nyes." * (i >= 96 - k % 2)) for k in range(7) for i in range(100)]
+    table = spark.createDataFrame(pages, "doc_id long, source string, text string")
+    texts = [r.text for r in corpus_pipeline.drop_lines(spark, table, "").collect()]
+    assert len(texts) == 700 and not any("menu" in t for t in texts)
+    assert sum("yes." in t for t in texts) == sum(4 + k % 2 for k in range(7))
+
+
 # Quality
 
 
