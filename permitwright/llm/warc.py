@@ -149,14 +149,17 @@ class _Member:
                 return out
         return b""
 
-    def until(self, mark: bytes, limit: int = 1 << 20) -> bytes:
-        while mark not in self.ready:
+    def until(self, mark: bytes) -> bytes:
+        """What stands before the mark, however long; only new bytes are searched."""
+        ready, seen = bytearray(self.ready), 0
+        while (at := ready.find(mark, seen)) < 0:
+            seen = max(0, len(ready) - len(mark) + 1)
             part = self.more()
-            if not part or len(self.ready) > limit:
+            if not part:
                 raise ValueError("a record's head does not end")
-            self.ready += part
-        head, _, self.ready = self.ready.partition(mark)
-        return head
+            ready += part
+        self.ready = bytes(ready[at + len(mark) :])
+        return bytes(ready[:at])
 
     def exactly(self, size: int) -> bytes:
         parts, have = [self.ready], len(self.ready)
@@ -200,7 +203,12 @@ def records(stream: BinaryIO) -> Iterator[dict]:
         except (ValueError, zlib.error) as problem:
             found["error"] = str(problem)
             yield found
-            if isinstance(problem, zlib.error) or members.inflate.eof is False:
+            if isinstance(problem, zlib.error):
+                return
+            try:  # the rest of a broken record, up to the next one
+                while members.more():
+                    pass
+            except (ValueError, zlib.error):
                 return
             continue
         yield found

@@ -94,6 +94,16 @@ def test_broken_records_are_told(tmp_path):
         assert found[0]["error"] is None and message in found[1]["error"], message
 
 
+def test_records_after_a_long_head_or_a_broken_one():
+    url = "http://a/" + "".join(random.Random(1).choices("abcdefghij", k=5_000_000))
+    last = warc.page_record("urn:page:2", "u", b"last", None, "2000-01-01T00:00:00Z")
+    found = list(warc.records(io.BytesIO(warc.page_record("urn:page:1", url, b"first", None, "2000-01-01T00:00:00Z") + last)))
+    assert [f["error"] for f in found] == [None, None] and found[0]["fields"]["warc-target-uri"] == url
+    for head in (b"HTTP/1.1 200\r\n\r\n", b"WARC/1.1\r\nContent-Length: many\r\n\r\n", b"no head"):
+        found = list(warc.records(io.BytesIO(gzip.compress(head + b"x" * 5_000_000) + last)))
+        assert found[0]["error"] and found[1]["error"] is None and found[1]["block"].endswith(b"last"), head
+
+
 # Pieces
 
 
