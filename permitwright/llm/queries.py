@@ -15,12 +15,15 @@ from pyspark.sql.types import LongType
 from permitwright.llm.ann import nearest
 from permitwright.llm.best_fit import cut_documents, pack
 from permitwright.llm.common import id_remainder, prepared, saved
+from permitwright.llm.conversation_repair import damaged, repair_conversations
 from permitwright.llm.cover_tree import near_vectors
 from permitwright.llm.license_scan import BASE, SIMILARITY, SLACK, WORDINGS, license_report
 from permitwright.llm.line_dedup import MAX_RATIO, MIN_PAGES, drop_boilerplate
 from permitwright.llm.ngram_join import near_duplicates
 from permitwright.llm.piece_encoding import encode_documents
 from permitwright.llm.quality import learn_quality, score_quality
+from permitwright.llm.recompression import WINDOW, without_repeats
+from permitwright.llm.token_alignment import align_documents
 from permitwright.llm.toxicity import learn_lexicon, score_toxicity
 from permitwright.llm.warc import REVISIT_BYTES, read_archives, with_revisits, write_archives
 
@@ -266,3 +269,38 @@ select r.x as vec_id, coalesce(n.n, 0) as n_links, min(r.y) as component_id, r.x
 from reach r left join (select x, count(*) as n from links group by x) n on r.x = n.x
 group by r.x, n.n
 """
+
+
+@query
+def op11_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"), WINDOW, texts=False)
+
+
+SQL["op11_recompression"] = rf"""
+with words as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (
+  select doc_id, place, sha1(array_to_string(w[place:place + {WINDOW - 1}], ' ')) as s
+  from (select doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) as place from words)
+),
+again as (select s from windows group by s having count(*) > 1),
+gone as (select distinct doc_id, unnest(range(place, place + {WINDOW})) as place from windows semi join again using (s)),
+kept as (
+  select doc_id, count(*) as n, string_agg(word, ' ' order by place) as text
+  from (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as place from words) anti join gone using (doc_id, place)
+  group by doc_id
+)
+select w.doc_id, len(w.w) as n_words, len(w.w) - coalesce(k.n, 0) as n_removed, sha256(coalesce(k.text, '')) as kept_sha256
+from words w left join kept k on w.doc_id = k.doc_id
+"""
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair_conversations(damaged(rows), rows)
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align_documents(table(spark, sf_dir, "documents"), *paths, texts=False)
