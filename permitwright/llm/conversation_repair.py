@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark import TaskContext
@@ -156,15 +157,15 @@ _BLOCK = (
 def blocks(rows: DataFrame, size: int) -> DataFrame:
     """The rows in blocks of at most `size` of one conversation, numbered in order, with counts and the ways through each."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[dict]:
         part, programme = TaskContext.get().partitionId(), Programme()
         block: dict = {}
         number = 0
         mark: tuple | None = None
 
-        def closed() -> pd.DataFrame:
+        def closed() -> dict:
             codes = bytes(block.pop("codes"))
-            return pd.DataFrame([block | {"part": part, "no": number, "codes": codes, "ways": programme.ways(codes)}])
+            return block | {"part": part, "no": number, "codes": codes, "ways": programme.ways(codes)}
 
         for frame in frames:
             for cid, known, at, role, text, h1, h2, kind in frame.itertuples(index=False, name=None):
@@ -197,21 +198,15 @@ def blocks(rows: DataFrame, size: int) -> DataFrame:
             yield closed()
 
     columns = ["cid", "known", "at", "role", "text", "h1", "h2", "kind"]
-    found = _ordered(rows).select(*columns).mapInPandas(lambda frames: _in_order(run(frames)), _BLOCK)
+    found = _ordered(rows).select(*columns).mapInPandas(lambda frames: _framed(run(frames)), _BLOCK)
     return found
 
 
-def _in_order(frames: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
-    """Single rows together, columns in the order of the schema."""
+def _framed(rows: Iterator[dict], at_once: int = 500) -> Iterator[pd.DataFrame]:
+    """Rows as frames of a few hundred."""
     names = [f.split()[0] for f in _BLOCK.split(", ")]
-    held = []
-    for frame in frames:
-        held.append(frame)
-        if len(held) >= rows:
-            yield pd.concat(held, ignore_index=True)[names].astype({"low": "Int64", "high": "Int64"})
-            held = []
-    if held:
-        yield pd.concat(held, ignore_index=True)[names].astype({"low": "Int64", "high": "Int64"})
+    while held := list(islice(rows, at_once)):
+        yield pd.DataFrame(held, columns=names).astype({"low": "Int64", "high": "Int64"})
 
 
 def checkpoints(found: DataFrame) -> DataFrame:
