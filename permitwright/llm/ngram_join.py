@@ -9,7 +9,8 @@ decide.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -23,8 +24,10 @@ FREQUENT = 16
 # Frequent tokens are dealt to one class per so many tokens of a set, by size band.
 CLASS_WIDTH = 16
 _TOKENS_AT_ONCE = 500_000
-# Hash buckets in which tokens are counted, where Spark has no more shuffle partitions than that.
-LEAST_BUCKETS = 64
+# Entries of one hash bucket, on average: there are as many buckets as the corpus's tokens ask for.
+BUCKET_TOKENS = 500_000
+# Entries of a bucket that a task holds before it settles which of its tokens are frequent.
+_HELD = 1_000_000
 # Longs of the bitmap by which sets that are still apart are told from each other.
 SKETCH_LONGS = 8
 
@@ -90,15 +93,16 @@ def members(rows: DataFrame, words: int) -> DataFrame:
     return found.select("id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key"))
 
 
-def shared_tokens(rows: DataFrame, words: int) -> DataFrame:
-    """(key, tokens): per distinct set its tokens that other sets hold too, in order.
+def shared_tokens(rows: DataFrame, words: int, total: int) -> DataFrame:
+    """(key, tokens): per distinct set its tokens that other sets hold too, in order. `total` is the number of all tokens.
 
     A token is a long: its number of sets (FREQUENT at most) in the top byte, then its identity, so that ascending
-    order is the global order of tokens. Tokens are counted by hash bucket. Each task first counts what it has read:
-    a token it has seen in FREQUENT sets is frequent for sure, and of it the bucket gets one notice instead of one entry
-    per set. So no bucket grows with a token's number of sets.
+    order is the global order of tokens. Tokens are counted by hash bucket; buckets are sorted by Spark and a task has one of them
+    in memory at a time. Each task first counts what it has read: a token it has seen in FREQUENT sets is frequent for sure,
+    and of it the bucket gets one notice instead of one entry per set. A bucket that fills up passes on the entries of tokens that
+    it has seen in FREQUENT sets, so that it never holds more than FREQUENT - 1 entries per token beside those just read.
     """
-    buckets = groups = max(LEAST_BUCKETS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    buckets = groups = max(8, -(-total // BUCKET_TOKENS))
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, tokens, held = [], [], 0
@@ -146,39 +150,45 @@ def shared_tokens(rows: DataFrame, words: int) -> DataFrame:
             yield from flush()
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, idents, notices = [], [], [np.zeros(0, np.int64)]
-        known: list[tuple[np.ndarray, np.ndarray]] = []
-        for frame in frames:
-            for b, k, c, t, f in frame.itertuples(index=False):
-                if k is None:
-                    notices.append(np.asarray(f, np.int64))
-                    continue
-                owners = np.repeat(np.asarray(k, np.int64), np.asarray(c, np.int64))
-                if t is None:
-                    known.append((owners, np.asarray(f, np.int64) | (FREQUENT << 56)))
-                else:
-                    keys.append(owners)
-                    idents.append((np.int64(b) << 32) | np.asarray(t, np.int32).view(np.uint32).astype(np.int64))
-        for owners, values in known:
-            yield packed(owners, values)
-        if not keys:
-            return
+        for _, parts in _by_first(frames):
+            yield from counted(parts)
+
+    def counted(parts: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        keys, idents, known, held = [], [], np.zeros(0, np.int64), 0
+        for b, k, c, t, f in parts:
+            if k is None:
+                known = np.union1d(known, np.asarray(f, np.int64))
+                continue
+            owners = np.repeat(np.asarray(k, np.int64), np.asarray(c, np.int64))
+            if t is None:
+                yield packed(owners, np.asarray(f, np.int64) | (FREQUENT << 56))
+                continue
+            keys.append(owners)
+            idents.append((np.int64(b) << 32) | np.asarray(t, np.int32).view(np.uint32).astype(np.int64))
+            held += len(owners)
+            if held >= _HELD:
+                key, ident, number = numbered(keys, idents, known)
+                settled = number >= FREQUENT
+                yield packed(key[settled], ident[settled] | (FREQUENT << 56))
+                known = np.union1d(known, ident[settled])
+                keys, idents, held = [key[~settled]], [ident[~settled]], 0
+        if keys:
+            key, ident, number = numbered(keys, idents, known)
+            yield packed(key[number > 1], (ident | (number << 56))[number > 1])
+
+    def numbered(keys: list, idents: list, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Entries without repeats, and for each its token's number of sets, FREQUENT at most."""
         key, ident = np.concatenate(keys), np.concatenate(idents)
-        keys.clear()
-        idents.clear()
         order = np.lexsort((key, ident))
         key, ident = key[order], ident[order]
-        del order
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (ident[1:] != ident[:-1])
         key, ident = key[fresh], ident[fresh]
-        del fresh
         # The tokens are sorted: a run's length is the number of sets, and is told to each of its entries.
-        cuts = np.flatnonzero(np.concatenate(([True], ident[1:] != ident[:-1])))
+        cuts = np.flatnonzero(np.concatenate(([True], ident[1:] != ident[:-1]))) if len(ident) else np.zeros(0, np.int64)
         length = np.diff(np.append(cuts, len(ident)))
-        number = np.where(np.isin(ident[cuts], np.concatenate(notices)), FREQUENT, np.minimum(length, FREQUENT))
-        number = np.repeat(number, length)
-        yield packed(key[number > 1], (ident | (number << 56))[number > 1])
+        number = np.where(np.isin(ident[cuts], known), FREQUENT, np.minimum(length, FREQUENT))
+        return key, ident, np.repeat(number, length)
 
     def packed(key: np.ndarray, value: np.ndarray) -> pd.DataFrame:
         """One row per group of sets, so that rows do not multiply with buckets and sets."""
@@ -192,27 +202,29 @@ def shared_tokens(rows: DataFrame, words: int) -> DataFrame:
         return pd.DataFrame(out, columns=["group", "keys", "counts", "tokens"])
 
     def gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, values = [], []
-        for frame in frames:
-            for _, k, c, t in frame.itertuples(index=False):
+        for _, parts in _by_first(frames):
+            keys, values = [], []
+            for _, k, c, t in parts:
                 keys.append(np.repeat(np.asarray(k, np.int64), np.asarray(c, np.int64)))
                 values.append(np.asarray(t, np.int64))
-        if not keys:
-            return
-        key, value = np.concatenate(keys), np.concatenate(values)
-        order = np.lexsort((value, key))
-        key, value = key[order], value[order]
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (value[1:] != value[:-1])
-        key, value = key[fresh], value[fresh]
-        out = [(k, value[lo:hi]) for k, lo, hi in _runs(key)]
-        for at in range(0, len(out), 2000):
-            yield pd.DataFrame(out[at : at + 2000], columns=["key", "tokens"])
+            key, value = np.concatenate(keys), np.concatenate(values)
+            order = np.lexsort((value, key))
+            key, value = key[order], value[order]
+            fresh = np.ones(len(key), bool)
+            fresh[1:] = (key[1:] != key[:-1]) | (value[1:] != value[:-1])
+            key, value = key[fresh], value[fresh]
+            yield pd.DataFrame([(k, value[lo:hi]) for k, lo, hi in _runs(key)], columns=["key", "tokens"])
 
     dealt = rows.mapInPandas(deal, "bucket int, keys array<long>, counts array<int>, tokens array<int>, frequent array<long>")
-    counted = dealt.repartition(buckets, "bucket").mapInPandas(
+    counted = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
         count, "group int, keys array<long>, counts array<int>, tokens array<long>")
-    return counted.repartition(groups, "group").mapInPandas(gather, "key long, tokens array<long>")
+    return counted.repartition("group").sortWithinPartitions("group").mapInPandas(gather, "key long, tokens array<long>")
+
+
+def _by_first(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, Iterator[tuple]]]:
+    """Rows of sorted frames by their first column, one value after the other."""
+    rows = (row for frame in frames for row in frame.itertuples(index=False, name=None))
+    return groupby(rows, key=itemgetter(0))
 
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -353,7 +365,8 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     known = saved(members(rows, words), "members")
     heads = saved(known.where("id is not null and key is not null").groupBy("key").agg(
         F.min("id").alias("head"), F.max("n").alias("n")), "heads")
-    whole = shared_tokens(rows.where("id is not null"), words)
+    total = known.agg(F.sum("n")).first()[0] or 0
+    whole = shared_tokens(rows.where("id is not null"), words, total)
     # A set that has more tokens of its own than any partner may miss links with nothing.
     sets = saved(whole.join(heads, "key").where(F.size("tokens") * 100 >= percent * F.col("n")).select(
         "key", "n", "tokens"), "sets")
