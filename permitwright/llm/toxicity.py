@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import unicodedata
@@ -15,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from permitwright.llm.common import batches, passing
+from permitwright.llm.common import batches, passing, saved
 
 # Letters that look like Latin ones (Cyrillic, Greek), and the digits and signs that stand for letters.
 LOOKALIKES = dict(
@@ -94,6 +95,16 @@ def _terms(words: set[str], stems: tuple[int, ...]) -> set[str]:
     return words | {f"{w[:n]}*" for w in words for n in stems if len(w) > n}
 
 
+def _times(words: Counter[str], stems: tuple[int, ...]) -> Counter[str]:
+    """How often each term stands in a text, from its words' counts."""
+    found = Counter(words)
+    for word, times in words.items():
+        for n in stems:
+            if len(word) > n:
+                found[f"{word[:n]}*"] += times
+    return found
+
+
 def _curve_points(total: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(total)), np.log1p(total), np.log1p(1000 * total / np.maximum(words, 1))])
 
@@ -102,9 +113,10 @@ def learn_lexicon(
     docs: DataFrame,
     labels: DataFrame,
     sample: int = 20_000,
-    support: int = 3,
-    size: int = 2_000,
-    stems: tuple[int, ...] = (4, 5, 6),
+    support: float = 0.01,
+    contrast: float = 4.0,
+    cover: int = 6,
+    stems: tuple[int, ...] = (3, 4, 5, 6),
     exceptions: tuple[str, ...] = EXCEPTIONS,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -112,11 +124,13 @@ def learn_lexicon(
 ) -> Lexicon:
     """Learn terms, weights and the curve from at most `sample` labelled documents, chosen by a hash of the id.
 
-    Candidates are words and word starts found in at least `support` toxic sample documents and in hardly any clean
-    one; the driver gets at most `size` of them and, per sample document, those it holds. Terms are then picked one by
-    one: the one that explains most toxic documents not yet explained comes next. So words that merely accompany
-    toxic ones stay out. A term's weight is its smoothed log-odds. Null labels, ids and texts are left out of the
-    sample; without toxic examples the lexicon is empty and every score is low.
+    Candidates are words and word starts in at least `support` of the toxic sample documents (two, if that is more) and in
+    `contrast` times as large a share of them as of the clean ones. Fewer than 1 / `support` times a toxic document's terms can
+    be in so many of them, so the candidates' number has a bound that does not grow with the sample, and the driver gets, of
+    each sample document, at most these. Terms are then picked one by one, the one that says most about toxic documents with
+    fewer than `cover` terms so far first, until none adds more than chance would: so words that merely accompany toxic ones stay out,
+    and each toxic document is known by several words. A term's weight is its smoothed log-odds. Rows that repeat an id are one document.
+    Null labels, ids and texts are left out of the sample; without toxic examples the lexicon is empty and every score is low.
     """
     chosen = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
@@ -125,50 +139,59 @@ def learn_lexicon(
         .orderBy(F.xxhash64("id"), "id").limit(sample)
     )
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    rows = rows.join(F.broadcast(chosen), "id")  # at most `sample` rows of two numbers
+    # At most `sample` rows of two numbers are told to all tasks. Documents are written once: at most `sample` of them.
+    rows = saved(rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"]), "examples")
+    number = {r["label"]: r["count"] for r in rows.groupBy(F.least("label", F.lit(1)).alias("label")).count().collect()}
+    n_toxic, n_clean = number.get(1, 0), number.get(0, 0)
+    least = max(2, math.ceil(support * n_toxic))
 
     def terms_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            toxic, clean = Counter(), Counter()
+            toxic, clean, times = Counter(), Counter(), Counter()
             for text, label in zip(frame["text"], frame["label"], strict=True):
-                (toxic if label else clean).update(_terms(set(_WORD.findall(folded(text))), stems))
+                words = Counter(_WORD.findall(folded(text)))
+                (toxic if label else clean).update(_terms(set(words), stems))
+                if label:
+                    times.update(_times(words, stems))
             every = list(toxic | clean)
-            yield pd.DataFrame({"term": every, "toxic": [toxic[t] for t in every], "clean": [clean[t] for t in every]})
+            yield pd.DataFrame({"term": every, "toxic": [toxic[t] for t in every], "clean": [clean[t] for t in every], "times": [times[t] for t in every]})
 
-    counts = rows.mapInPandas(terms_of, "term string, toxic long, clean long").groupBy("term").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    candidates = (
-        counts.where((F.col("toxic") >= support) & (F.col("toxic") >= 9 * F.col("clean")))
-        .orderBy((F.col("toxic") - 9 * F.col("clean")).desc(), "term").limit(size).collect()
-    )
-    rough = Lexicon({r["term"]: 1.0 for r in candidates}, ())
+    counts = rows.mapInPandas(terms_of, "term string, toxic long, clean long, times long").groupBy("term").agg(
+        *[F.sum(c).alias(c) for c in ("toxic", "clean", "times")])
+    share, other = F.col("toxic") / (n_toxic + 1), (F.col("clean") + 0.5) / (n_clean + 1)
+    expected = F.col("clean") * (n_toxic / max(n_clean, 1))
+    known = counts.where((F.col("toxic") >= least) & (share >= contrast * other) & (F.col("toxic") >= contrast * expected))
+    candidates = {r["term"]: r for r in known.collect()}
+    wanted = set(candidates)
 
     def held(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = set(rough.weights)
         for frame in frames:
-            every = [_WORD.findall(folded(t)) for t in frame["text"]]
-            yield pd.DataFrame({
-                "label": frame["label"],
-                "words": [len(words) for words in every],
-                "terms": [sorted(_terms(set(words), stems) & wanted) for words in every],
-            })
-
-    known = rows.mapInPandas(held, "label int, words int, terms array<string>").collect()
-    holders: dict[str, set[int]] = {}
-    for place, row in enumerate(known):
+            yield pd.DataFrame({"terms": [sorted(_terms(set(_WORD.findall(folded(t))), stems) & wanted) for t in frame["text"]]})
+
+    holders: dict[str, list[int]] = {}
+    for place, row in enumerate(rows.where("label > 0").select("text").mapInPandas(held, "terms array<string>").collect()):
         for term in row["terms"]:
-            holders.setdefault(term, set()).add(place)
-    toxic = {i for i, row in enumerate(known) if row["label"]}
-    open_docs, weights = set(toxic), {}
-    n_toxic, n_clean = len(toxic), len(known) - len(toxic)
-    while holders:
-        gain, term = max(((len(d & open_docs) - 3 * len(d - toxic), t) for t, d in holders.items()), default=(0, ""))
-        if gain < 2:
-            break
-        where = holders.pop(term)
-        hit = len(where & toxic)
-        weights[term] = round(math.log((hit + 0.5) / (n_toxic + 1)) - math.log((len(where) - hit + 0.5) / (n_clean + 1)), 4)
-        open_docs -= where
+            holders.setdefault(term, []).append(place)
+    expected_hits = {t: candidates[t]["clean"] * n_toxic / max(n_clean, 1) for t in holders}
+    covered, weights = Counter(), {}
+
+    def gain(term: str) -> float:
+        return sum(covered[d] < cover for d in holders[term]) - 3 * expected_hits[term]
+
+    # A gain only falls as others are picked, so a term whose gain is up to date and still ahead of all others comes next.
+    queue = [(-gain(t), -candidates[t]["times"], t) for t in holders]
+    heapq.heapify(queue)
+    while queue:
+        _, times, term = heapq.heappop(queue)
+        now = gain(term)
+        if now < least:
+            continue
+        if queue and -now > queue[0][0]:
+            heapq.heappush(queue, (-now, times, term))
+            continue
+        hit, miss = candidates[term]["toxic"], candidates[term]["clean"]
+        weights[term] = round(math.log((hit + 0.5) / (n_toxic + 1)) - math.log((miss + 0.5) / (n_clean + 1)), 4)
+        covered.update(holders[term])
     lexicon = Lexicon(weights, exceptions)
     return Lexicon(weights, exceptions, _fit_curve(rows, lexicon))
 
