@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from permitwright.llm.common import saved
 
-# Ratio and floor in the SQL of op5_line_dedup, which that query passes.
-MAX_RATIO = 0.1
-MIN_PAGES = 10
-# The operator's own: the floor is what a repeat needs; the README says what spread of shares the ratio rests on.
+# Share of a host's pages beyond which a line is boilerplate, at every host size, and the pages that a repeat needs. The README
+# says what spread of shares the ratio rests on.
 RATIO = 0.05
 REPEATED = 2
 
@@ -34,13 +32,16 @@ def boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float
     `max_ratio`, so the list stays short however large the host is. `once_per_text` counts pages of one host with equal
     texts as one page, so that copies do not make each other's lines boilerplate.
     """
-    texts = pages.select(F.col(host_col).alias("host"), F.col(text_col).alias("text"))
-    if once_per_text:
-        texts = texts.groupBy("host", line_key(F.col("text")).alias("same")).agg(F.first("text").alias("text"))
-    rows = texts.select("host", _lines(F.col("text")).alias("lines"))
-    totals = rows.groupBy("host").agg(F.count("*").alias("pages"))
+    rows = pages.select(F.col(host_col).alias("host"), _lines(F.col(text_col)).alias("lines"), line_key(F.col(text_col)).alias("same"))
     keys = F.array_distinct(F.transform(F.filter(F.transform("lines", lambda s: F.trim(s)), lambda s: s != ""), line_key))
-    counts = rows.select("host", F.explode(keys).alias("key")).groupBy("host", "key").agg(F.count("*").alias("n"))
+    placed = rows.select("host", "same", F.explode(keys).alias("key"))
+    if once_per_text:
+        # Equal texts are told by their hashes: no text is shuffled.
+        totals = rows.select("host", "same").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+        placed = placed.select("host", "key", F.col("same.a").alias("same")).distinct()
+    else:
+        totals = rows.groupBy("host").agg(F.count("*").alias("pages"))
+    counts = placed.groupBy("host", "key").agg(F.count("*").alias("n"))
     counts = counts.where(F.col("n") >= min_pages)
     frequent = counts.join(totals, counts["host"].eqNullSafe(totals["host"])).where(F.col("n") > max_ratio * F.col("pages"))
     return frequent.select(counts["host"], "key").groupBy("host").agg(F.collect_list("key").alias("keys"))

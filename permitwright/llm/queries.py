@@ -18,7 +18,7 @@ from permitwright.llm.common import id_remainder, prepared, saved
 from permitwright.llm.conversation_repair import damaged, repair_conversations
 from permitwright.llm.cover_tree import near_vectors
 from permitwright.llm.license_scan import BASE, SIMILARITY, SLACK, WORDINGS, license_report
-from permitwright.llm.line_dedup import MAX_RATIO, MIN_PAGES, drop_boilerplate
+from permitwright.llm.line_dedup import RATIO, REPEATED, drop_boilerplate
 from permitwright.llm.ngram_join import near_duplicates
 from permitwright.llm.piece_encoding import encode_documents
 from permitwright.llm.quality import learn_quality, score_quality
@@ -74,7 +74,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by source: a source is the host, a document the page."""
-    kept = drop_boilerplate(table(spark, sf_dir, "documents"), "source", "text", MAX_RATIO, MIN_PAGES)
+    kept = drop_boilerplate(table(spark, sf_dir, "documents"), "source", "text", RATIO, REPEATED)
     return kept.select("doc_id", "source", "text", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"))
 
 
@@ -87,7 +87,7 @@ totals as (select source, count(*) as pages from documents group by source),
 frequent as (
   select p.source, trim(p.line) as line from placed p join totals t on p.source is not distinct from t.source
   where trim(p.line) <> '' group by p.source, trim(p.line), t.pages
-  having count(distinct p.doc_id) >= {MIN_PAGES} and count(distinct p.doc_id) > {MAX_RATIO} * t.pages
+  having count(distinct p.doc_id) >= {REPEATED} and count(distinct p.doc_id) > {RATIO} * t.pages
 ),
 kept as (
   select p.doc_id, string_agg(p.line, chr(10) order by p.place) as text, count(*) as n
