@@ -124,7 +124,7 @@ def near_pairs(left: pd.DataFrame, right: pd.DataFrame, cosine: float, same: boo
     units = [g / n[:, None] for g, n in zip(given, norms, strict=True)]
     trees = [grow(units[0])]
     trees.append(trees[0] if same else grow(units[1]))
-    ids = np.concatenate([left["id"].to_numpy(), [] if same else right["id"].to_numpy()]).astype(np.int64)
+    ids = left["id"].to_numpy() if same else np.concatenate([left["id"].to_numpy(), right["id"].to_numpy()])
     shift = 0 if same else len(left)
     copies = [f["copies"].to_numpy() for f in (left, right)]
     links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
@@ -170,7 +170,7 @@ def near_vectors(df: DataFrame, cosine: float = 0.93, sample: int = 4_000, id_co
     (above 0). n_links counts the other rows linked directly, component_id is the smallest id reachable by links, kept
     marks the row that has it. Vectors that are null, zero, of another length than most, or hold null or non-finite
     components link with nothing, nor do rows without a label or an id; such a row is its own component. Rows that repeat
-    an id are rows of their own that share a component. An empty table gives no rows; other columns are not read.
+    an id are rows of their own, each with its own links, that share a component. An empty table gives no rows; other columns are not read.
 
     Equal vectors of a label meet first and count as copies. The rest of a label is split by the nearest of a few anchors
     (from a sample of at most `sample` vectors), and a crowded anchor by a hash, into blocks that hold a tree each. Blocks
@@ -179,10 +179,14 @@ def near_vectors(df: DataFrame, cosine: float = 0.93, sample: int = 4_000, id_co
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"),
                      F.col(label_col).cast("string").alias("label"))
+    rows = rows.withColumn("v", F.transform("v", lambda x: x + 0.0))  # one zero, not two
+    node = F.xxhash64("label", "v")
     good = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("v")))
     dim = dimension(good, "v")
     good = saved(good.where(F.size("v") == dim), "vectors")
-    heads = saved(good.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "heads")
+    # Trees and links know a vector by a hash of label and components, so that rows that repeat an id stay apart.
+    heads = good.groupBy("label", "v").agg(F.min("id").alias("head"), F.count("*").alias("copies"))
+    heads = saved(heads.withColumn("id", node), "heads")
     chosen = heads.orderBy(F.xxhash64("id"), "id").limit(sample).select("label", "v").toPandas()
     labels = chosen["label"].to_numpy()
     points = np.array(chosen["v"].tolist(), float).reshape(len(chosen), dim)
@@ -202,7 +206,7 @@ def near_vectors(df: DataFrame, cosine: float = 0.93, sample: int = 4_000, id_co
                 cell[at], gap[at] = d.argmin(1), d.min(1)
             yield frame.assign(cell=cell, gap=gap)
 
-    placed = saved(heads.mapInPandas(place, "label string, v array<double>, id long, copies long, cell long, gap double"), "cells")
+    placed = saved(heads.select("label", "v", "id", "copies").mapInPandas(place, "label string, v array<double>, id long, copies long, cell long, gap double"), "cells")
     cells = placed.groupBy("label", "cell").agg(F.max("gap").alias("reach"), F.count("*").alias("n"))
     cells = cells.withColumn("shards", F.ceil(F.col("n") / BLOCK).cast("int"))
     blocks = saved(cells.select("label", "cell", "reach", "shards", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")), "blocks")
@@ -234,18 +238,18 @@ def near_vectors(df: DataFrame, cosine: float = 0.93, sample: int = 4_000, id_co
 
     found = left.groupBy(*keys).cogroup(right.groupBy(*[f"r_{k}" for k in keys])).applyInPandas(compare, "id long, links long, root long")
     found = saved(found, "roots")
-    copies = good.join(heads.select(F.col("label").alias("hl"), F.col("v").alias("hv"), F.col("id").alias("head"), "copies"),
-                       (F.col("label") == F.col("hl")) & (F.col("v") == F.col("hv"))).select("id", "label", "head", "copies")
-    copies = saved(copies.distinct(), "copies")
-    group = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")).unionAll(
-        copies.select(F.col("id").alias("a"), F.col("head").alias("b"))))
-    totals = found.groupBy("id").agg(F.sum("links").alias("links")).withColumnRenamed("id", "head")
-    direct = copies.join(totals, "head", "left").select(
-        F.col("id").alias("_id"), F.col("label").alias("_label"),
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    marked = rows.withColumn("label", F.when(usable(F.col("v")) & (F.size("v") == dim), F.col("label")))
-    joined = marked.join(direct, (F.col("id") == F.col("_id")) & (F.col("label") == F.col("_label")), "left")
-    return joined.join(group.withColumnRenamed("id", "_node"), F.col("id") == F.col("_node"), "left").select(
+    name = heads.select(F.col("id").alias("node"), "head")
+    between = found.select(F.col("id").alias("node"), "root").join(name, "node").select(F.col("head").alias("a"), F.col("root").alias("node"))
+    between = between.join(name, "node").select("a", F.col("head").alias("b"))
+    copies = good.select(F.col("id").alias("a"), node.alias("node")).distinct().join(name, "node").select("a", F.col("head").alias("b"))
+    group = components(between.unionAll(copies))
+    totals = found.groupBy("id").agg(F.sum("links").alias("links"))
+    direct = heads.select("id", "copies").join(totals, "id", "left").select(
+        F.col("id").alias("_node"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    counts = F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("v")) & (F.size("v") == dim)
+    marked = rows.select("id", F.when(counts, node).alias("node"))
+    joined = marked.join(direct, F.col("node") == F.col("_node"), "left")
+    return joined.join(group.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select(
         F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("component", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(False)).alias("kept"))
