@@ -7,7 +7,9 @@ content length, and checks digests; a record that breaks a rule comes out as suc
 from __future__ import annotations
 
 import base64
+import binascii
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -25,6 +27,8 @@ from permitwright.session import fresh_dir
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 64 << 20
 _READ = 1 << 20
+# How a gzip member begins, and bytes that show what one inflates to.
+_GZIP, _ENOUGH = b"\x1f\x8b\x08", 4096
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -56,7 +60,7 @@ def page_record(name: str, url: str | None, payload: bytes, same_as: str | None,
     block = http if same_as else http + payload
     fields = [
         ("WARC-Type", "revisit" if same_as else "response"), ("WARC-Record-ID", f"<{name}>"), ("WARC-Date", date),
-        ("WARC-Target-URI", _one_line(url)), ("WARC-Payload-Digest", _digest(payload)),
+        *[("WARC-Target-URI", _one_line(url))] * (url is not None), ("WARC-Payload-Digest", _digest(payload)),
         ("WARC-Block-Digest", _digest(block)), ("Content-Type", "application/http; msgtype=response"),
     ]
     if same_as:
@@ -143,12 +147,36 @@ class _Member:
             data = self.rest or self.stream.read(_READ)
             if not data:
                 raise ValueError("the archive ends inside a record")
+            self.rest = data  # where to look for the next member, should these bytes be broken
             out = self.inflate.decompress(data, _READ)
             self.rest = self.inflate.unused_data if self.inflate.eof else self.inflate.unconsumed_tail
             if out:
                 return out
         return b""
 
+    def resume(self) -> None:
+        """After bytes that do not inflate: go to the next gzip header that begins a record, or to the end of the file."""
+        rest = self.rest[1:]
+        while True:
+            at = rest.find(_GZIP)
+            if at < 0:
+                part = self.stream.read(_READ)
+                if not part:
+                    self.rest = b""
+                    return
+                rest = rest[-2:] + part
+                continue
+            rest = rest[at:]
+            while len(rest) < _ENOUGH and (part := self.stream.read(_READ)):
+                rest += part
+            try:
+                if zlib.decompressobj(31).decompress(rest[:_ENOUGH], 5) == b"WARC/":
+                    self.rest = rest
+                    return
+            except zlib.error:
+                pass
+            rest = rest[1:]
+
     def until(self, mark: bytes) -> bytes:
         """What stands before the mark, however long; only new bytes are searched."""
         ready, seen = bytearray(self.ready), 0
@@ -186,7 +214,7 @@ def _fields(lines: str) -> dict[str, str]:
 
 
 def records(stream: BinaryIO) -> Iterator[dict]:
-    """The records of an archive in order. A broken one has its `error`; after one that cannot be inflated it ends."""
+    """The records of an archive in order. A broken one has its `error`; the next one that begins as a record should follows."""
     members = _Member(stream)
     while members.start():
         found = {"error": None}
@@ -198,48 +226,69 @@ def records(stream: BinaryIO) -> Iterator[dict]:
             block = members.exactly(int(fields.get("content-length", "-1")))
             members.close()
             found |= {"fields": fields, "block": block}
-            if "warc-block-digest" in fields and fields["warc-block-digest"] != _digest(block):
+            claimed = fields.get("warc-block-digest", "")
+            if claimed.startswith("sha1:") and claimed != _digest(block):
                 found["error"] = "the block's digest differs"
         except (ValueError, zlib.error) as problem:
             found["error"] = str(problem)
             yield found
-            if isinstance(problem, zlib.error):
-                return
             try:  # the rest of a broken record, up to the next one
+                if isinstance(problem, zlib.error):
+                    raise problem
                 while members.more():
                     pass
-            except (ValueError, zlib.error):
+            except zlib.error:
+                members.resume()
+            except ValueError:
                 return
             continue
         yield found
 
 
 def _row(path: str, found: dict) -> dict:
+    """A record's columns. A field that breaks its own rules makes the row's `error` and stays null."""
     row = {"path": path, "error": found["error"]}
     if "block" not in found:
         return row
     fields, block = found["fields"], found["block"]
-    head, _, payload = block.partition(b"\r\n\r\n")
-    http = _fields(head.decode("utf-8", "replace"))
     kind = fields.get("warc-type")
+    carries = kind in ("response", "revisit")
+    head, _, payload = block.partition(b"\r\n\r\n") if carries else (b"", b"", block)
+    http = _fields(head.decode("utf-8", "replace"))
     claimed = fields.get("warc-payload-digest", "")
-    if kind == "response" and claimed != _digest(payload) and not row["error"]:
-        row["error"] = "the payload's digest differs"
-    if kind == "response" and int(http.get("content-length", len(payload))) != len(payload) and not row["error"]:
-        row["error"] = "the payload's length differs"
-    name = lambda key: fields.get(key, "").strip("<>").removeprefix("urn:page:")
+
+    def told(problem: str) -> None:
+        row["error"] = row["error"] or problem
+
+    def named(key: str) -> int | None:
+        name = fields.get(key, "").strip("<>").removeprefix("urn:page:")
+        return int(name) if re.fullmatch("-?[0-9]{1,18}", name) else None
+
+    length = http.get("content-length", str(len(payload)))
+    if not re.fullmatch("[0-9]{1,18}", length):
+        told("the payload's length is no number")
+        length = None
+    digest = None
+    if claimed.startswith("sha1:"):
+        try:
+            digest = base64.b32decode(claimed.removeprefix("sha1:")).hex()
+        except binascii.Error:
+            told("the payload's digest cannot be read")
+    if kind == "response" and claimed and digest and claimed != _digest(payload):
+        told("the payload's digest differs")
+    # What is coded for the way has another length than what was sent.
+    if kind == "response" and length is not None and "transfer-encoding" not in http and int(length) != len(payload):
+        told("the payload's length differs")
     return row | {
-        "page_id": int(name("warc-record-id")) if name("warc-record-id") else None, "url": fields.get("warc-target-uri"),
-        "record_type": kind, "payload_bytes": int(http.get("content-length", len(payload))),
-        "payload_digest": base64.b32decode(claimed.removeprefix("sha1:")).hex() if claimed else None,
-        "refers_to": int(name("warc-refers-to")) if name("warc-refers-to") else None,
-        "payload": payload if kind == "response" else None,
+        "page_id": named("warc-record-id"), "record_id": fields.get("warc-record-id"), "url": fields.get("warc-target-uri"),
+        "record_type": kind, "payload_bytes": int(length) if length is not None else None,
+        "payload_digest": digest, "refers_to": named("warc-refers-to"), "payload": payload if kind != "revisit" else None,
     }
 
 
 _COLUMNS = {
     "page_id": "long", "url": "string", "record_type": "string", "payload_bytes": "long", "payload_digest": "string",
-    "refers_to": "long", "payload": "binary", "path": "string", "error": "string",
+    "refers_to": "long", "payload": "binary", "path": "string", "error": "string", "record_id": "string",
 }
 
 
@@ -247,7 +296,8 @@ def read_archives(spark: SparkSession, paths: DataFrame, payloads: bool = True)
     """One row per record of the archives in `paths` (column path), each archive read front to back by one task.
 
     payload_bytes and payload_digest (SHA-1, hexadecimal) describe the full payload, also for a revisit record, whose
-    payload is null. Null paths are skipped; no paths give no rows. `payloads=False` leaves the payloads out, after
+    payload is null. Records of other types come with their block as payload, foreign ids in record_id alone; a record that
+    breaks a rule has its `error`, and what follows it is read. Null paths are skipped; no paths give no rows. `payloads=False` leaves the payloads out, after
     they have been read and checked.
     """
     names = [c for c in _COLUMNS if payloads or c != "payload"]
@@ -272,6 +322,6 @@ def read_archives(spark: SparkSession, paths: DataFrame, payloads: bool = True)
 
 
 def _frame(rows: list[dict], names: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=names)
+    frame = pd.DataFrame(rows, columns=names, dtype=object)
     whole = {c: "Int64" for c in ("page_id", "payload_bytes", "refers_to")}
     return frame.astype(whole)
