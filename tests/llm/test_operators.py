@@ -1,17 +1,25 @@
 """Operators on small literal tables: nulls, empty and long texts, ties, repeats, empty tables, clashing names."""
 
+import functools
 import gzip
+import hashlib
 import io
 import itertools
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from permitwright.llm import best_fit, common, cover_tree, line_dedup, license_scan, ngram_join, quality, toxicity, warc
+from permitwright.llm import (
+    best_fit, common, conversation_repair, cover_tree, license_scan, line_dedup, ngram_join, quality, recompression, token_alignment, toxicity, warc,
+)
 from permitwright.llm.ann import nearest
 from permitwright.llm.piece_encoding import encode_documents, piece_model
 
@@ -104,6 +112,41 @@ def test_records_after_a_long_head_or_a_broken_one():
         assert found[0]["error"] and found[1]["error"] is None and found[1]["block"].endswith(b"last"), head
 
 
+def foreign_record(kind, name, block, *fields):
+    head = "".join(f"{k}: {v}\r\n" for k, v in [("WARC-Type", kind), ("WARC-Record-ID", name), *fields, ("Content-Length", len(block))])
+    return gzip.compress(b"WARC/1.0\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n")
+
+
+def test_foreign_and_corrupt_archives_are_read_to_their_end(spark, tmp_path):
+    http = lambda body, *more: "\r\n".join(["HTTP/1.1 200 OK", *more, "", body]).encode()
+    own = lambda i: warc.page_record(f"urn:page:{i}", None, b"own", None, "2000-01-01T00:00:00Z")
+    corrupt = bytearray(foreign_record("response", "<urn:uuid:7>", http("x" * 5000)))
+    corrupt[60:80] = b"\xff" * 20
+    late = bytearray(own(3))
+    late[-8:] = b"\0" * 8  # the member's own checksum
+    parts = [
+        foreign_record("warcinfo", "<urn:uuid:1>", b"software: x"),
+        foreign_record("request", "<urn:uuid:2>", b"GET / HTTP/1.1\r\n\r\n"),
+        foreign_record("response", "<urn:uuid:3>", http("hello", "Content-Length: 5")),
+        foreign_record("response", "<urn:uuid:4>", http("hello"), ("WARC-Payload-Digest", "sha1:not base32")),
+        foreign_record("response", "<urn:uuid:5>", http("hello", "Content-Length: many")),
+        foreign_record("response", "<urn:uuid:6>", http("5\r\nhello\r\n0\r\n\r\n", "Transfer-Encoding: chunked", "Content-Length: 5"),
+                       ("WARC-Payload-Digest", "sha256:00"), ("WARC-Block-Digest", "md5:00")),
+        bytes(corrupt), own(1), b"\x1f\x8b\x08 noise between members", own(2), bytes(late), own(4), own(5)[:-20],
+    ]
+    path = tmp_path / "foreign.warc.gz"
+    path.write_bytes(b"".join(parts))
+    rows = warc.read_archives(spark, spark.createDataFrame([(f"file://{path}",)], "path string")).collect()
+    told = [(r.record_id, r.record_type, r.error) for r in rows]
+    assert told[:3] == [("<urn:uuid:1>", "warcinfo", None), ("<urn:uuid:2>", "request", None), ("<urn:uuid:3>", "response", None)]
+    assert [t[0] for t in told[3:6]] == ["<urn:uuid:4>", "<urn:uuid:5>", "<urn:uuid:6>"]
+    assert ["digest cannot" in told[3][2], "no number" in told[4][2], told[5][2]] == [True, True, None]
+    assert bytes(rows[0].payload) == b"software: x" and bytes(rows[2].payload) == b"hello" and rows[2].payload_bytes == 5
+    own_rows = [(r.page_id, r.url) for r in rows if r.page_id is not None and r.error is None]
+    assert own_rows == [(1, None), (2, None), (4, None)]
+    assert sum(t[2] is not None for t in told) == 2 + 4
+
+
 # Pieces
 
 
@@ -402,3 +445,265 @@ def test_toxicity_of_odd_rows(docs, none, spark):
     assert by_id(toxicity.without_toxic(docs, lexicon).select("doc_id")) == sorted([(1,), (2,), (3,), (4,), (6,), (None,)], key=str)
     assert toxicity.without_toxic(docs, lexicon).columns == docs.columns
     assert toxicity.score_toxicity(none, lexicon).count() == 0 and toxicity.without_toxic(none, lexicon).count() == 0
+
+
+# Substring dedup
+
+
+def without_repeats_plain(rows, window):
+    seen, words = Counter(), [(t or "").encode().split() for _, t in rows]
+    for w in words:
+        seen.update(tuple(w[i : i + window]) for i in range(len(w) - window + 1))
+    out = []
+    for (i, _), w in zip(rows, words, strict=True):
+        gone = {k for at in range(len(w) - window + 1) if seen[tuple(w[at : at + window])] > 1 for k in range(at, at + window)}
+        left = [x for k, x in enumerate(w) if k not in gone]
+        out.append((i, len(w), len(gone), hashlib.sha256(b" ".join(left)).hexdigest(), b" ".join(left).decode()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("window, seed", [(35, 1), (8, 2), (3, 3), (1, 4)])
+def test_repeats_against_a_plain_search(spark, window, seed):
+    """Copied, overlapping, periodic and near-equal passages over a small vocabulary, which chance repeats as well."""
+    rng = random.Random(seed)
+    word = lambda: rng.choice(["a", "b", "c", "Ä", "w w"][:4] + [f"x{rng.randrange(400)}"] * 3)
+    shared = [[word() for _ in range(window + rng.randrange(20))] for _ in range(4)] + [["r"] * (2 * window), ["p", "q"] * window]
+    rows = []
+    for i in range(60):
+        text = [word() for _ in range(rng.randrange(30))]
+        for _ in range(rng.randrange(4)):
+            part = list(rng.choice(shared))
+            if rng.random() < 0.4:
+                part[rng.randrange(len(part))] = "edited"
+            if rng.random() < 0.3:
+                part = part[rng.randrange(len(part)) :]
+            text += part + [word() for _ in range(rng.randrange(3))]
+        rows.append((i, rng.choice([" ", "\n", "\t  "]).join(text)))
+    rows += [(3, rows[3][1]), (None, "only " * 5), (None, None), (90, ""), (91, " \n"), (92, "r " * 30_000), (93, "n\u00a0o\u2003blank " * 3)]
+    table = spark.createDataFrame([(t, i, "x", 1) for i, t in rows], "text string, doc_id long, kept string, start int").repartition(5)
+    got = sorted((tuple(r) for r in recompression.without_repeats(table, window).collect()), key=str)
+    assert got == without_repeats_plain(rows, window)
+
+
+def test_repeats_of_odd_rows(docs, none):
+    assert recompression.without_repeats(none).count() == 0
+    got = {(r.doc_id, r.n_words, r.n_removed, r.kept) for r in recompression.without_repeats(docs).collect()}
+    assert got == {(1, 3, 0, "one two three"), (2, 0, 0, ""), (3, 0, 0, ""), (4, 0, 0, ""), (None, 3, 0, "no id here"), (5, 1, 0, "same"),
+                   (6, 40_000, 40_000, "")}
+
+
+def test_equal_stretches_have_equal_inner_symbols():
+    rng = np.random.default_rng(2)
+    common_part = rng.integers(1, 30, 200, np.uint64)
+    def found(left, right):
+        row = np.concatenate((rng.integers(1, 30, left, np.uint64), common_part, rng.integers(1, 30, right, np.uint64)))
+        border = np.zeros(len(row) + 2, bool)
+        border[[0, -1]] = True
+        last = recompression.levels(np.concatenate(([0], row, [0])).astype(np.uint64), border, 4)[-1]
+        inside = (last.low >= left + 1) & (last.high <= left + 201)
+        return list(zip(last.name[inside].tolist(), (last.low[inside] - left).tolist(), strict=True))
+    one = found(17, 40)
+    assert len(one) > 20 and one == found(90, 3) == found(1, 1)
+
+
+# Conversations
+
+
+def solved(rows):
+    """Least cost, ASCII-least edits and lines of rows of (role, text), by trying everything."""
+    faults, seen = [], set()
+    for role, text in rows:
+        shown = text.strip(" \t\n\x0b\x0c\r")
+        faults.append("blank" if not shown else "duplicate" if (role, text) in seen else "truncated" if shown[-1] not in ".!?" else "")
+        seen.add((role, text))
+    after = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+
+    @functools.cache
+    def best(place, state, inserted):
+        ways = [(0, "", ())] if place == len(rows) and state in ("", "a") else []
+        if place < len(rows):
+            role, text = rows[place]
+            cost, edits, lines = best(place + 1, state, 0)
+            ways.append((cost + 2, "D" + edits, lines))
+            if faults[place] not in ("blank", "duplicate"):
+                extra = 5 * (faults[place] == "truncated")
+                for edit, name, price in [("K", role, 0), ("R", "user", 1), ("R", "assistant", 1)]:
+                    if name[:1] in after[state]:
+                        cost, edits, lines = best(place + 1, after[state][name[:1]], 0)
+                        ways.append((cost + extra + price, edit + edits, (f"{name}:{text}", *lines)))
+        if inserted < 3:
+            for name in ("user", "assistant"):
+                if name[0] in after[state]:
+                    cost, edits, lines = best(place, after[state][name[0]], inserted + 1)
+                    ways.append((cost + 5, "I" + edits, (f"{name}:", *lines)))
+        return min(ways) if ways else (10**6, "~", ())
+
+    return faults, best(0, "", 0)
+
+
+@pytest.mark.parametrize("least_block", [64, 2])
+def test_repairs_against_all_ways(spark, monkeypatch, least_block):
+    """Also with blocks of few rows, so that walks go on from one block to the next."""
+    monkeypatch.setattr(conversation_repair, "LEAST_BLOCK", least_block)
+    rng = random.Random(8)
+    conversations = {}
+    for i in range(60):
+        turns = sorted(rng.sample(range(40), rng.randrange(0, 14)))
+        conversations[i] = [(t, rng.choice(["user", "assistant", "system", "tool", ""]), rng.choice(["a.", "b!", "c?", "cut", " ", "", "d. ", f"n{t}."])) for t in turns]
+        conversations[i] += [r for r in conversations[i] if rng.random() < 0.1]
+    conversations[99] = [(None, "user", "no turn."), (None, "user", "no turn."), (5, "assistant", "x.")]
+    conversations[None] = [(1, None, None), (2, "user", "y.")]
+    rows = [(c, t, r, x, "clash", 7) for c, part in conversations.items() for t, r, x in part]
+    rng.shuffle(rows)
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, cid string, part int").repartition(6)
+    ids = spark.createDataFrame([(c,) for c in conversations], "conv_id long")
+    got = {r.conv_id: tuple(r)[1:] for r in conversation_repair.repair_conversations(table, ids).collect()}
+    assert set(got) == set(conversations)
+    for c, part in conversations.items():
+        part = sorted(((t, " " if r is None else r, " " if x is None else x) for t, r, x in part), key=lambda r: (r[0] is not None, r[0] or 0))
+        turns = [t for t, _, _ in part if t is not None]
+        faults, (cost, edits, lines) = solved([(r, x) for _, r, x in part])
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(part))
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        sha = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+        assert got[c] == (gaps, *map(faults.count, ("blank", "duplicate", "truncated")), illegal, cost, edits, sha), c
+
+
+def test_a_long_conversation_spreads_over_blocks(spark):
+    rows = [(7, i, ("user", "assistant")[i % 2], f"turn {i}.") for i in range(3000) if i % 97]
+    rows += [(1, 0, "system", "one.")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    found = conversation_repair.blocks(table, 64).collect()
+    assert len(found) >= 3000 // 64 and max(len(r.codes) for r in found) == 64
+    r = {r.conv_id: r for r in conversation_repair.repair_conversations(table).collect()}
+    assert (r[1].audit, r[1].cost) == ("D", 2)
+    faults, (cost, edits, lines) = None, (0, "", ())
+    assert len(r[7].audit.replace("I", "")) == len(rows) - 1 and r[7].gaps == 30
+    # Every missing row costs one insert, or one deleted neighbour.
+    assert r[7].cost <= 31 * 5 and set(r[7].audit) <= set("DIKR")
+
+
+def test_damage(spark):
+    rows = [(i, t, r, x) for i in range(40) for t, r, x in [(0, "system", "One. Two!"), (None, None, None), (2, "assistant", "Three?")]]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = Counter(tuple(r) for r in conversation_repair.damaged(table).collect())
+    want = Counter()
+    for i, t, r, x in rows:
+        kind = zlib.crc32(f"{i}:{' ' if t is None else t}".encode()) % 20
+        r, x = " " if r is None else r, " " if x is None else x
+        x = "" if kind == 1 else x.translate(str.maketrans("", "", ".!?")) if kind == 2 else x
+        want[i, t, "user" if kind == 4 else r, x] += {0: 0, 3: 2}.get(kind, 1)
+    assert got == +want
+
+
+# Alignment
+
+
+def aligned_plain(docs_, paths):
+    """Every text's numbers from the two libraries' ids of the whole text, by going through all pairs of tokens."""
+    library, pieces = Tokenizer.from_file(paths[0]), sentencepiece.SentencePieceProcessor(model_file=paths[1])
+    library.encode_special_tokens = True
+    byte_of = token_alignment.byte_table()
+    links, out = Counter(), []
+    for i, text in docs_:
+        a, b = (library.encode(f" {text}", add_special_tokens=False).ids, pieces.encode(text)) if text else ([], [])
+        a_bytes = [bytes(byte_of[c] for c in library.id_to_token(x)) for x in a]
+        b_bytes = [bytes([int(pieces.id_to_piece(x)[3:5], 16)]) if pieces.is_byte(x) else pieces.id_to_piece(x).replace("▁", " ").encode() for x in b]
+        if text and not b"".join(a_bytes) == b"".join(b_bytes) == f" {text}".encode():
+            a, b = [], []
+        spans = []
+        for ids, entries in ((a, a_bytes), (b, b_bytes)):
+            ends = list(itertools.accumulate(map(len, entries)))[: len(ids)]
+            spans.append(list(zip([0, *ends[:-1]], ends, ids, strict=True)) if ids else [])
+        pairs = [(x[2], y[2]) for x in spans[0] for y in spans[1] if x[0] < y[1] and y[0] < x[1]]
+        cuts = sorted({x[1] for x in spans[0]} & {y[1] for y in spans[1]})
+        groups = [
+            "|".join(",".join(str(x[2]) for x in side if lo < x[1] <= hi) for side in spans) for lo, hi in itertools.pairwise([0, *cuts])
+        ]
+        links.update(pairs)
+        out.append((i, len(a), len(b), len(groups), pairs, ";".join(groups)))
+    top = {}
+    for (_, y), n in links.items():
+        top[y] = max(top.get(y, 0), n)
+    return sorted([(i, x, y, g, len(p), sum(links[q] == top[q[1]] for q in p), sum(links[q] for q in p),
+                    hashlib.sha256(t.encode()).hexdigest() if t else "", t) for i, x, y, g, p, t in out], key=str)
+
+
+def test_alignment_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(token_alignment, "BLOCK_BYTES", 200)
+    rng = random.Random(6)
+    texts = ["the cat sat on the mat", "", None, " ", "  two  blanks", "tab\tline\n\nend ", "<s> and <|endoftext|> </s> <unk> <0x41>", "▁lower ▁", "é ü ñ 漢字 😀 \u00a0x",
+             "naïve café" * 3, "a" * 300, "the cat sat on the mat", "it's 'tis don't \'s", "x\u2028y \u2003 z", "a \x1c b \x85 c", "1 2  3 4", "привет мир", "a\u00adb c\u200bd e"]
+    texts += [" ".join(rng.choice(["the", "tion", "Über", "x1", "…", "internationalisation"]) for _ in range(20)) for _ in range(25)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, "no id")]
+    table = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, pair long, block int").repartition(4)
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    got = sorted((tuple(r) for r in token_alignment.align_documents(table, *paths).collect()), key=str)
+    want = aligned_plain(rows, paths)
+    assert got == want and sum(r[1] > 0 for r in got) > 25 and any(r[1] == 0 and r[0] == 7 for r in got)
+
+
+def test_alignment_of_odd_rows(docs, none):
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    assert token_alignment.align_documents(none, *paths).count() == 0
+    rows = token_alignment.align_documents(docs, *paths).collect()
+    assert len(rows) == docs.count()
+    assert {tuple(r)[1:] for r in rows if r.doc_id in (2, 3)} == {(0, 0, 0, 0, 0, 0, "", "")}
+    assert all(r.n_a and r.n_links >= max(r.n_a, r.n_b) and r.groups.count(";") == r.n_groups - 1 for r in rows if r.doc_id in (1, 5, 6))
+
+
+def test_intervals_coalesce():
+    starts = lambda ends: np.array([0, *ends[:-1]])
+    a, b = np.array([2, 5, 7, 9]), np.array([3, 7, 8, 9])
+    found = token_alignment.align(starts(a), a, starts(b), b)
+    assert found.a_group.tolist() == [0, 0, 0, 1] and found.b_group.tolist() == [0, 0, 1, 1] and found.groups == 2
+    assert sorted(zip(found.a.tolist(), found.b.tolist(), strict=True)) == [(0, 0), (1, 0), (1, 1), (2, 1), (3, 2), (3, 3)]
+
+
+def test_near_vectors_that_repeat_an_id(spark):
+    rows = [(1, [1.0, 0.0], "a"), (1, [0.0, 1.0], "a"), (0, [1.0, 0.01], "a"), (2, [0.01, 1.0], "a"), (3, [0.0, -1.0], "a"), (3, [0.0, -1.0], "a"),
+            (None, [1.0, 0.0], "a"), (4, [-0.0, 1.0], "b"), (5, [0.0, 2.0], "b")]
+    table = spark.createDataFrame([(*r, 9, 1) for r in rows], "vec_id long, embedding array<double>, label string, id long, copies int")
+    got = sorted((tuple(r) for r in cover_tree.near_vectors(table).collect()), key=str)
+    assert got == sorted([(1, 1, 0, False), (1, 1, 0, False), (0, 1, 0, True), (2, 1, 0, False), (3, 1, 3, True), (3, 1, 3, True),
+                          (None, 0, None, False), (4, 1, 4, True), (5, 1, 4, False)], key=str)
+
+
+def test_hot_tokens_are_settled_in_bounded_memory(spark, monkeypatch):
+    """Buckets that fill up several times give the same classes."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(["hot words here"] + [rng.choice("abcdefgh") for _ in range(rng.randrange(3, 9))])) for i in range(300)]
+    rows += [(i + 1000, t) for i, t in rows[:40]]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    want = by_id(ngram_join.near_duplicates(table, 3, 80))
+    for name, value in (("_HELD", 40), ("BUCKET_TOKENS", 300), ("_TOKENS_AT_ONCE", 200)):
+        monkeypatch.setattr(ngram_join, name, value)
+    assert by_id(ngram_join.near_duplicates(table, 3, 80)) == want
+
+
+def test_the_lexicon_knows_what_it_was_shown(spark):
+    """A hundred documents, ten toxic in two languages: most toxic words are learned, and their other forms by a common start."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("aeiounrst", k=rng.randrange(3, 8)))
+    vocabulary = [word() for _ in range(300)]
+    bad = {0: ["blorg", "vexil", "dratz"], 1: ["quompa", "quombo", "quomti", "quomle"]}
+    rows = []
+    for i in range(240):
+        text = [rng.choice(vocabulary) for _ in range(60)]
+        if i % 10 == 0:
+            for at in range(6):
+                text[at * 7] = rng.choice(bad[i // 10 % 2])
+        rows.append((i, " ".join(text), int(i % 10 == 0)))
+    docs_ = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(0, 1)], "doc_id long, toxic int")
+    lexicon = toxicity.learn_lexicon(docs_, labels)
+    known = lambda w: any(w.startswith(t.rstrip("*")) for t in lexicon.weights)
+    assert known("quompa") and sum(map(known, bad[0])) >= 2, lexicon.weights
+    scores = {r.doc_id: r.score for r in toxicity.score_toxicity(docs_, lexicon).collect()}
+    assert all((scores[i] >= 0.3) == bool(y) for i, _, y in rows)
+    other = spark.createDataFrame([(1, "a Bl0rg and quomzz here"), (2, "nothing of the kind")], "doc_id long, text string")
+    told = {r.doc_id: r.hits for r in toxicity.score_toxicity(other, lexicon).collect()}
+    assert told == {1: 2, 2: 0}
+    # The same again without toxic examples, and with repeated rows of documents.
+    assert toxicity.learn_lexicon(docs_, labels.where("toxic = 0")).weights == {}
+    assert toxicity.learn_lexicon(docs_.unionAll(docs_), labels).weights == lexicon.weights
