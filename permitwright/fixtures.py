@@ -175,6 +175,16 @@ select k, line, concat('<table><thead><tr><td>a</td><td>b</td><td>c</td><td>d</t
 from fx_doc_links
 """
 
+# A page per link with a table in a cell, and a row none of whose elements has an end.
+VIEWS["fx_nested_pages"] = """
+select k, line, doc_type, description, date, url, concat('<table><tbody><tr><td>', doc_type,
+  '<table><tr><td>in1</td><td>in2</td><td>in3</td><td>in4</td><td>in5</td><td><a href="/DocumentViewer?Name_File=in">x</a></td></tr></table>',
+  '</td><td>', description, '</td><td>', date, '</td><td>p</td><td>q</td><td><a href="', replace(url, '&', '&amp;'), '">y</a></td></tr>',
+  '<tr><td>', description, '<td>', date, '<td>', doc_type, '<td>', case when k % 3 = 0 then '<b>r</b>' else '' end, '<td>s<td><a href="',
+  replace(url, '&', '&amp;'), '">z</a></table>') as html
+from fx_doc_links
+"""
+
 VIEWS["fx_listing_pages"] = """
 select page_id, url, case page_id % 10
   when 0 then concat('<h1>Cloudflare</h1><p>Ray ID</p>', html)
@@ -238,10 +248,19 @@ select pdf_path, case when k % 2 = 0 then ' משפחת תיקון ' else ' ' end
 from fx_permits_all where prio in ('1-URGENT', '2-HIGH')
 """
 
+# Marks with what they say. File numbers are a city's own; lists are joined with ';'.
 VIEWS["fx_activity"] = """
-select event_id, ts, cast(user_id as string) as file_id,
+select event_id, ts, concat('city', cast(event_id % 3 as string)) as city, cast(user_id as string) as file_id,
   case event_type when 'view' then 'listed' when 'click' then 'downloaded' when 'purchase' then 'processed'
-    when 'signup' then 'skipped' else 'error' end as mark
+    when 'signup' then 'skipped' else 'error' end as mark,
+  case event_type when 'view' then concat('/BuildingArchiveDetails?OrgEntityNumber=', cast(user_id as string), '&v=',
+    cast(event_id % 5 as string)) else '' end as url,
+  case event_type when 'view' then concat('הרצל ', cast(event_id % 40 as string)) else '' end as address,
+  case when event_type = 'click' and event_id % 4 <> 0 or event_type = 'purchase' and event_id % 2 = 0
+    then concat('p', cast(event_id as string), '_a.pdf;p', cast(event_id as string), '_b.pdf') else '' end as pdfs_joined,
+  case when event_type = 'click' and event_id % 4 <> 0 then concat('01/02/', cast(1950 + event_id % 70 as string)) else '' end
+    as dates_joined,
+  case event_type when 'error' then concat('timeout ', cast(event_id % 9 as string)) else '' end as error
 from events
 """
 
@@ -279,9 +298,12 @@ class Fixtures:
     """The views over one folder of driver tables.
 
     A view is written as a Parquet table to the shared folder when it is first asked for, so that queries start from
-    stored tables, as they do in use, and their filters and column lists reach the scan.
+    stored tables, as they do in use, and their filters and column lists reach the scan. Its files have a fixed number of rows,
+    so that they are read by as many tasks as their rows ask for, on every master.
     """
 
+    ROWS_PER_FILE = 20_000
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
@@ -308,6 +330,6 @@ class Fixtures:
                 if problem.getCondition() != "PATH_NOT_FOUND":
                     raise
         path = fresh_dir(self.spark, view)
-        self.derived(view).write.parquet(path)
+        self.derived(view).write.option("maxRecordsPerFile", self.ROWS_PER_FILE).parquet(path)
         _STORED[key] = path
         return self.spark.read.parquet(path)

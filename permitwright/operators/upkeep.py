@@ -144,11 +144,13 @@ def review_summary(corrected: DataFrame) -> DataFrame:
     )
 
 
-def cleanup_plan(records: DataFrame, inventory: DataFrame) -> DataFrame:
+def cleanup_plan(records: DataFrame, inventory: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """What a cleanup would remove: `delete_document` for stored documents of complete records, and `remove_folder`
-    for folders that lose all their documents. Reports only.
+    for folders that lose a document and are empty then. Reports only.
 
-    A document may have several records; the first complete one already removes it.
+    A document may have several records; the first complete one already removes it. `files` lists all files of the store (path,
+    folder), whatever their kind; a folder stays if anything else than removed documents is in it. Without it the inventory
+    counts as all there is.
     """
     finished = records.filter(complete()).select(F.col("pdf_path").alias("path")).distinct().withColumn("_done", F.lit(True))
     stays = F.col("_done").isNull()
@@ -158,6 +160,9 @@ def cleanup_plan(records: DataFrame, inventory: DataFrame) -> DataFrame:
         F.struct(F.lit("remove_folder").alias("action"), F.col("folder").alias("path"), stays.alias("stays")),
     )
     stored = inventory.join(finished, "path", "left").select(F.inline(votes))
+    if files is not None:
+        others = files.join(inventory.select("path"), "path", "left_anti")
+        stored = stored.unionByName(others.select(F.lit("remove_folder").alias("action"), F.col("folder").alias("path"), F.lit(True).alias("stays")))
     kept = stored.groupBy("action", "path").agg(F.count_if(F.col("stays")).alias("kept"))
     return kept.filter(F.col("kept") == 0).select("action", "path")
 

@@ -6,16 +6,24 @@ rewrites a table; what it returns is a DataFrame and costs nothing until it is u
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from permitwright.operators import documents, extract, ledger, upkeep
-from permitwright.schema import PENDING
+from permitwright.operators.rank import key_set
+from permitwright.schema import DOWNLOADED, ERROR, PENDING
 from permitwright.session import fresh_dir
 from permitwright.plans import browse
 from permitwright.sources.tables import LedgerTable, RecordTable, write_export, write_record_csv
 
 
+def _cities(rows: DataFrame) -> list[str]:
+    """The cities some rows are of: a list as short as the city list."""
+    return sorted(row["city"] for row in rows.select("city").distinct().collect())
+
+
 class Archive:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -35,9 +43,23 @@ class Archive:
         """Add files that the listing has and the ledger does not. Known entries are not written again."""
         self.ledger.append(ledger.new_entries(listing, self.ledger.read()))
 
+    def record(self, marks: DataFrame) -> None:
+        """Apply marks with their payload (see `ledger.mark_aggregates`); only the marks' cities are written again."""
+        cities = _cities(marks.select(F.coalesce("city", F.lit("")).alias("city")))
+        before = self.ledger.read(cities)
+        changed = self._stored(ledger.marked_entries(before, marks), "marked")
+        others = before.join(changed.select(*ledger.KEY), ledger.KEY, "left_anti")
+        self._rewrite_ledger(others.unionByName(changed), _cities(changed))
+
     def retry_errors(self) -> int:
-        """Put failed files back in line."""
-        return self.ledger.rewrite(ledger.retry_errors(self.ledger.read()))
+        """Put failed files back in line. Cities without any are left alone."""
+        cities = _cities(ledger.with_status(self.ledger.read(), ERROR))
+        return self._rewrite_ledger(ledger.retry_errors(self.ledger.read(cities)), cities)
+
+    def _rewrite_ledger(self, entries: DataFrame, cities: list[str]) -> int:
+        version = self.ledger.rewrite(entries, cities) if cities else self.ledger.version()
+        self.ledger.clean()
+        return version
 
     def wanted_documents(self, links: DataFrame, folder: Column) -> DataFrame:
         """Permit documents of pending files and where each is to be stored."""
@@ -67,7 +89,13 @@ class Archive:
         if failures is not None:
             settled = settled.unionByName(failures.select("pdf_path"))
         # The ledger is computed from the table as it now is, so a run that stops in between is made good by the next.
-        self.ledger.rewrite(ledger.mark_processed(entries, self.records.read(), settled))
+        open_cities = _cities(ledger.with_status(entries, DOWNLOADED))
+        before = self.ledger.read(open_cities)
+        after = self._stored(ledger.mark_processed(before, self.records.read(open_cities), settled), "processed")
+        waiting = ledger.with_status(before, DOWNLOADED).groupBy("city").agg(F.count("*").alias("b"))
+        left = ledger.with_status(after, DOWNLOADED).groupBy("city").agg(F.count("*").alias("a"))
+        done = _cities(waiting.join(left, "city", "left").filter("a is null or a < b"))
+        self._rewrite_ledger(after.filter(F.col("city").isin(done)), done)
 
     def take_batch_results(self, responses: DataFrame, city: str) -> DataFrame:
         """Write records from batch responses, leaving out documents that have one.
@@ -98,21 +126,31 @@ class Archive:
         responses: DataFrame | None = None,
     ) -> DataFrame:
         """Read documents of records without owner or architect again and fill empty fields; returns the counts."""
-        table = self.records.read()
-        again = upkeep.reextract_candidates(table, inventory).select("pdf_path").distinct()
+        again = upkeep.reextract_candidates(self.records.read(), inventory).select("pdf_path").distinct()
         ready = texts.join(again, "pdf_path", "left_semi").select(*texts.columns)
-        found = extract.extract_records(ready, mode, geometry, responses)
-        return self._change(upkeep.backfill(table, found))
+        found = self._stored(extract.extract_records(ready, mode, geometry, responses), "found")
+        return self._change(found.select("pdf_path"), lambda table: upkeep.backfill(table, found))
 
     def correct(self, corrections: DataFrame) -> DataFrame:
         """Apply reviewed edits; returns the counts."""
-        return self._change(upkeep.apply_corrections(self.records.read(), corrections))
+        return self._change(corrections.select("pdf_path"), lambda table: upkeep.apply_corrections(table, corrections))
+
+    def _change(self, documents: DataFrame, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Apply a change that concerns some documents; returns the counts over the whole table.
 
-    def _change(self, changed: DataFrame) -> DataFrame:
+        Only the cities with such a document are computed, and only those in which a record changed are written again.
+        """
+        table = self.records.read()
+        cities = _cities(table.join(key_set(documents, ["pdf_path"]), "pdf_path", "left_semi"))
         # Written once and read twice, for the new version and for the counts, instead of computed twice.
-        result = self._stored(changed, "changed")
-        self.records.rewrite(result)
-        return upkeep.review_summary(result)
+        result = self._stored(change(self.records.read(cities)), "changed")
+        others = table.filter(~F.col("city").isin(cities)).withColumn("changed", F.lit(False))
+        counts = self._stored(upkeep.review_summary(result.unionByName(others)), "summary")
+        touched = _cities(result.filter("changed"))
+        if touched:
+            self.records.rewrite(result.filter(F.col("city").isin(touched)), touched)
+            self.records.clean()
+        return counts
 
     def review(self) -> DataFrame:
         """Records that need a look."""
@@ -128,7 +166,7 @@ class Archive:
 
     def redownloaded(self, plan: DataFrame) -> DataFrame:
         """Point records to the documents that were fetched by a plan; returns the counts."""
-        return self._change(upkeep.redownloaded(self.records.read(), plan))
+        return self._change(plan.select("pdf_path"), lambda table: upkeep.redownloaded(table, plan))
 
     def merge(self, cities: DataFrame, path: str) -> DataFrame:
         """Write the configured cities' records, each with a city, as one table of CSV files; returns them."""

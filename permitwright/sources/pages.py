@@ -59,26 +59,97 @@ def _text(html: Column) -> Column:
     return page_strip(decoded(F.regexp_replace(html, r"<[^>]*>", "")))
 
 
+_TABLE_TAGS = "table|thead|tbody|tfoot|tr|td|th"
+# Tags that end a row, and those that end a cell, of the same table. A new row or cell ends the one before it.
+_ROW_ENDS = ["tr", "/tr", "tbody", "/tbody", "thead", "/thead", "tfoot", "/tfoot", "/table"]
+_CELL_ENDS = ["td", "/td", "th", "/th", *_ROW_ENDS]
+
+
+def _is_irregular(body: Column, shape: RowShape) -> Column:
+    """Whether a table stands in a table, or a row or cell is not closed: then patterns cannot find where rows end."""
+    def times(tag: str) -> Column:
+        return F.regexp_count(body, F.lit(rf"(?i)<{tag}\b"))
+
+    nested = F.exists(F.split(body, "(?i)</table"), lambda part: F.regexp_count(part, F.lit(r"(?i)<table\b")) > 1)
+    return nested | (times(shape.row) != times(f"/{shape.row}")) | (times(shape.cell) != times(f"/{shape.cell}"))
+
+
+def _stretches(marks: Column, starts: str) -> Column:
+    """(at, end) of each `starts` tag among sorted marks, in page order: it reaches to its successor in the same table."""
+    paired = F.zip_with(
+        marks, F.slice(marks, 2, F.greatest(F.size(marks), F.lit(1))),
+        lambda t, after: F.struct(
+            t["at"].alias("at"), F.when(after["depth"] == t["depth"], after["at"]).otherwise(F.lit(1 << 30)).alias("end"), t["kind"].alias("kind")),
+    )
+    return F.array_sort(F.filter(paired, lambda t: t["kind"] == starts))
+
+
+def _with_balanced_rows(bodies: DataFrame, shape: RowShape) -> DataFrame:
+    """Add `_rows`, (html, cells) of every row in page order, to irregular pages: by the running depth of tables over a page's tags.
+
+    A row that holds a table holds its rows and cells too, and these rows come once more as rows of their own. Each step is a
+    column of its own, so that none is evaluated again for every tag.
+    """
+    body = F.when(F.col("_odd"), F.col("_body"))
+    pieces = bodies.withColumn("_pieces", F.split(body, rf"(?i)(?=</?(?:{_TABLE_TAGS})\b)"))
+
+    def walked(state: Column, piece: Column) -> Column:
+        kind = F.lower(F.regexp_extract(piece, rf"(?i)^<(/?(?:{_TABLE_TAGS}))\b", 1))
+        # A table's own tags stand at the depth of what is in it.
+        inside = F.when(kind == "table", state["depth"] + 1).otherwise(state["depth"])
+        tag = F.struct(inside.alias("depth"), F.size(state["tags"]).alias("at"), kind.alias("kind"))
+        after = F.when(kind == "/table", F.greatest(inside - 1, F.lit(0))).otherwise(inside)
+        return F.struct(after.alias("depth"), F.concat(state["tags"], F.array(tag)).alias("tags"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<struct<depth: int, at: int, kind: string>>").alias("tags"))
+    tags = pieces.withColumn("_tags", F.aggregate("_pieces", start, walked, lambda state: state["tags"]))
+    marks = tags.withColumns({
+        "_row_marks": F.array_sort(F.filter("_tags", lambda t: t["kind"].isin(_ROW_ENDS))),
+        "_cell_marks": F.array_sort(F.filter("_tags", lambda t: t["kind"].isin(_CELL_ENDS))),
+    })
+
+    def text(at: Column, end: Column) -> Column:
+        return F.array_join(F.slice("_pieces", at + 1, F.greatest(end - at, F.lit(1))), "")
+
+    cells = marks.withColumn("_cells", F.transform(
+        _stretches(F.col("_cell_marks"), shape.cell), lambda c: F.struct(c["at"].alias("at"), text(c["at"], c["end"]).alias("html"))))
+    return cells.withColumn("_rows", F.transform(
+        _stretches(F.col("_row_marks"), shape.row),
+        lambda r: F.struct(
+            text(r["at"], r["end"]).alias("html"),
+            F.transform(F.filter("_cells", lambda c: (c["at"] > r["at"]) & (c["at"] < r["end"])), lambda c: c["html"]).alias("cells"),
+        ),
+    ))
+
+
+def _plain_rows(body: Column, shape: RowShape) -> Column:
+    """(html, cells) of every row of a page without tables in tables, whose rows and cells are all closed."""
+    rows = F.regexp_extract_all(body, F.lit(rf"(?is)<{shape.row}\b[^>]*>(.*?)</{shape.row}>"), F.lit(1))
+    cell = F.lit(rf"(?is)<{shape.cell}\b[^>]*>(.*?)</{shape.cell}>")
+    return F.transform(rows, lambda r: F.struct(r.alias("html"), F.regexp_extract_all(r, cell, F.lit(1)).alias("cells")))
+
+
 def html_rows(pages: DataFrame, html: str, shape: RowShape, keep: list[str]) -> DataFrame:
     """`keep` columns, row_pos, href and cell texts (`cells`) of every row that has the link and enough cells.
 
-    Rows of a table's head do not count. Links and texts come decoded; links may stand in either kind of quotes.
+    Rows of a table's head do not count. Links and texts come decoded; links may stand in either kind of quotes. Tables in
+    tables, and rows and cells without an end, are told apart by the depth of the tags.
     """
     body = F.regexp_replace(F.col(html), r"(?is)<thead\b.*?</thead>", "")
-    found = pages.select(
-        *keep,
-        F.posexplode(F.regexp_extract_all(body, F.lit(rf"(?is)<{shape.row}\b[^>]*>(.*?)</{shape.row}>"), F.lit(1))).alias(
-            "row_pos", "_row"
-        ),
-    )
+    bodies = pages.select(*keep, body.alias("_body"))
+    rows = _plain_rows(F.col("_body"), shape)
+    if (shape.row, shape.cell) == ("tr", "td"):
+        bodies = _with_balanced_rows(bodies.withColumn("_odd", _is_irregular(F.col("_body"), shape)), shape)
+        rows = F.when(F.col("_odd"), F.col("_rows")).otherwise(rows)
+    found = bodies.select(*keep, F.posexplode(rows).alias("row_pos", "_row"))
     part = shape.link_part
     link = rf"""(?is)<a\b[^>]*?href\s*=\s*("[^"]*{part}[^"]*"|'[^']*{part}[^']*')"""
-    href = F.regexp_extract("_row", link, 1)
+    href = F.regexp_extract("_row.html", link, 1)
     parts = found.select(
         *keep,
         "row_pos",
         decoded(F.substr(href, F.lit(2), F.greatest(F.length(href) - 2, F.lit(0)))).alias("href"),
-        F.regexp_extract_all("_row", F.lit(rf"(?is)<{shape.cell}\b[^>]*>(.*?)</{shape.cell}>"), F.lit(1)).alias("_cells"),
+        F.col("_row.cells").alias("_cells"),
     )
     kept = parts.filter((F.col("href") != "") & (F.size("_cells") >= shape.min_cells))
     return kept.select(*keep, "row_pos", "href", F.transform("_cells", _text).alias("cells"))

@@ -334,6 +334,18 @@ def html_document_links(fx):
     return pages.document_rows(fx["fx_doc_pages"], "html", ["k", "line"])
 
 
+@query(
+    "html_nested_rows",
+    """select k, line, 0 as row_pos, concat(doc_type, 'in1in2in3in4in5x') as doc_type, 'in1' as description, 'in2' as date,
+      'in3' as entity_type, 'in4' as entity_number, '/DocumentViewer?Name_File=in' as url from fx_nested_pages
+    union all select k, line, 1, 'in1', 'in2', 'in3', 'in4', 'in5', '/DocumentViewer?Name_File=in' from fx_nested_pages
+    union all select k, line, 2, description, date, doc_type, case when k % 3 = 0 then 'r' else '' end, 's', url
+      from fx_nested_pages""",
+)
+def html_nested_rows(fx):
+    return pages.document_rows(fx["fx_nested_pages"], "html", ["k", "line"])
+
+
 @query(
     "page_quarantine",
     """select page_id, case when contains(html, 'Cloudflare') and (contains(html, 'blocked') or contains(html, 'Ray ID'))

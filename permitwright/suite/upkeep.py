@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from permitwright.functions.patterns import SET_A, extract_values
 from permitwright.operators import upkeep as U
 from permitwright.operators.extract import with_outcome
+from permitwright.plans.archive import Archive
+from permitwright.session import fresh_dir
 from permitwright.suite import rules as R
 from permitwright.suite.registry import query
 
@@ -71,6 +73,18 @@ def apply_corrections(fx):
     return U.apply_corrections(fx["fx_permits"], fx["fx_corrections"])
 
 
+@query(
+    "corrected_archive",
+    f"""with {_CORRECTED} select {R.RECORD_LIST}, {R.BLANK_CONFIDENCES} from corrected""",
+)
+def corrected_archive(fx):
+    """The corrections as a run over an archive, which writes the cities again in which a record changed."""
+    archive = Archive(fx.spark, fresh_dir(fx.spark, "archive"))
+    archive.records.append(fx["fx_permits"])
+    archive.correct(fx["fx_corrections"])
+    return archive.records.read()
+
+
 @query(
     "review_summary",
     f"""with {_CORRECTED} select count(*) as records, count(*) filter (changed) as changed,
@@ -93,6 +107,20 @@ def cleanup_plan(fx):
     return U.cleanup_plan(fx["fx_permits"], fx["fx_inventory"])
 
 
+@query(
+    "cleanup_plan_of_store",
+    f"""with {_DONE} select 'delete_document' as action, path from fx_inventory where path in (select pdf_path from done)
+    union all select 'remove_folder', folder from fx_inventory where folder not in (
+        select folder from fx_base where k % 8 = 1) group by folder
+      having count(*) filter (path not in (select pdf_path from done)) = 0""",
+)
+def cleanup_plan_of_store(fx):
+    """Beside its documents a folder may hold other files, which keep it."""
+    notes = fx.derived("fx_base").filter("k % 8 = 1").select(F.concat("folder", F.lit("/notes.txt")).alias("path"), "folder").distinct()
+    files = fx["fx_inventory"].select("path", "folder").unionByName(notes)
+    return U.cleanup_plan(fx["fx_permits"], fx["fx_inventory"], files)
+
+
 @query(
     "cleanup_summary",
     f"""with {_DONE} select (select count(*) from fx_inventory where path in (select pdf_path from done)) as deleted,

@@ -91,3 +91,49 @@ def test_cities(spark, archive):
     cities = spark.createDataFrame([("akko", "עכו"), ("arad", "ערד")], "subdomain string, name string")
     got = sorted((r.subdomain, r.total, r.processed) for r in archive.cities(cities).collect())
     assert got == [("akko", 1, 0), ("arad", None, None)]
+
+
+def files(table, cities):
+    return sorted(f.split("/data/")[1] for f in table.read(cities).inputFiles())
+
+
+def test_runs_leave_untouched_cities_alone(spark, archive, columns):
+    names = "city string, file_id string, url string, address string, status string, pdfs array<string>, doc_meta array<struct<date: string, entity_number: string>>, error string"
+    entry = lambda city, i, status, pdfs=(): (city, i, "/u", "א", status, list(pdfs), [], "e" if status == "error" else None)
+    archive.ledger.append(spark.createDataFrame(
+        [entry("akko", "1", "error"), entry("arad", "1", "downloaded", ["p1"]), entry("lod", "1", "processed"), entry("lod", "2", "pending")], names))
+    archive.records.append(columns(city=["akko", "arad", "lod"], pdf_path=["a", "b", "c"], owner=["", "x", "y"], architect=["", "", ""]))
+
+    before = files(archive.ledger, ["arad", "lod"])
+    archive.retry_errors()
+    assert files(archive.ledger, ["arad", "lod"]) == before
+    before = files(archive.ledger, ["akko", "lod"])
+    archive.extract(columns(pdf_path=["p1"], ocr_text=["טופס 3\nבעל היתר: משפחת כהן"]), "tesseract")
+    assert files(archive.ledger, ["akko", "lod"]) == before
+    assert states(archive) == {"pending": 2, "processed": 2, "total": 4}
+
+    before = files(archive.records, ["arad", "lod"])
+    counts = archive.correct(columns(pdf_path=["a", "b"], owner=["משפחת לוי", ""], architect=["", ""], action=["save", "save"])).first()
+    assert (counts.records, counts.changed) == (4, 1)
+    assert files(archive.records, ["arad", "lod"]) == before
+    version = archive.records.version()
+    assert archive.correct(columns(pdf_path=["zz"], owner=["x"], architect=["y"], action=["save"])).first().changed == 0
+    assert archive.records.version() == version
+
+
+def test_marks_are_recorded_by_city(spark, archive):
+    archive.update(listing(spark, ["1", "2"]))
+    archive.ledger.append(archive.ledger.read().withColumn("city", F.lit("lod")))
+    before = files(archive.ledger, ["lod"])
+    marks = spark.createDataFrame(
+        [(1, "akko", "1", "downloaded", None, None, ["p"], [("d", "n")], None), (2, "akko", "2", "error", None, None, None, None, "timeout"),
+         (3, "akko", "9", "listed", "/n", "new", None, None, None)],
+        "event_id bigint, city string, file_id string, mark string, url string, address string, pdfs array<string>,"
+        " doc_meta array<struct<date: string, entity_number: string>>, error string").withColumn("ts", F.timestamp_seconds("event_id"))
+    archive.record(marks)
+    got = {(r.city, r.file_id): (r.status, r.pdfs, r.error, r.url) for r in archive.ledger.read().collect()}
+    assert got == {
+        ("akko", "1"): ("downloaded", ["p"], None, "/f1"), ("akko", "2"): ("error", [], "timeout", "/f2"), ("akko", "9"): ("pending", [], None, "/n"),
+        ("lod", "1"): ("pending", [], None, "/f1"), ("lod", "2"): ("pending", [], None, "/f2"),
+    }
+    assert files(archive.ledger, ["lod"]) == before

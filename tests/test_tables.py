@@ -1,11 +1,14 @@
 """Sources and sinks on literal files."""
 
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from permitwright.schema import ALL_COLUMNS, RECORD_COLUMNS, as_records
 from permitwright.sources import ledger, pages, tables
+from permitwright.sources.inventory import InventoryLog
 
 
 def record(**values):
@@ -51,14 +54,18 @@ def test_every_citys_file_is_read_with_its_folder(spark, tmp_path):
     assert sorted(map(tuple, rows.collect())) == [("akko", "c", "1", ""), ("arad", "c", "", "x")]
 
 
+def files_of(table, cities=None):
+    return {f.split("/data/")[1] for f in table.read(cities).inputFiles()}
+
+
 def test_table_versions(spark, tmp_path):
     table = tables.RecordTable(spark, str(tmp_path / "t"))
-    assert (table.version(), table.read().count()) == (0, 0)
+    assert (table.version(), table.read().count(), table.cities()) == (0, 0, [])
     table.append(spark.createDataFrame([("", "a"), ("x", "b"), ("7", "c")], "city string, pdf_path string"))
     table.append(spark.createDataFrame([("x", "d")], "city string, pdf_path string"))
     before = table.read()
     assert sorted((r.city, r.pdf_path) for r in before.collect()) == [("", "a"), ("7", "c"), ("x", "b"), ("x", "d")]
-    assert table.rewrite(before.filter("pdf_path <> 'b'").withColumn("owner", F.upper("pdf_path"))) == 2
+    assert table.rewrite(before.filter("pdf_path <> 'b'").withColumn("owner", F.upper("pdf_path"))) == 3
     assert sorted((r.city, r.pdf_path, r.owner) for r in table.read().collect()) == [
         ("", "a", "A"), ("7", "c", "C"), ("x", "d", "D"),
     ]
@@ -66,6 +73,43 @@ def test_table_versions(spark, tmp_path):
     assert before.count() == 4
 
 
+def test_a_rewrite_leaves_other_cities_files_alone(spark, tmp_path):
+    table = tables.RecordTable(spark, str(tmp_path / "t"))
+    rows = [(city, f"{city}{i}") for city in ("", "x", "y/z", "עכו") for i in range(3)]
+    table.append(spark.createDataFrame(rows, "city string, pdf_path string"))
+    assert table.cities() == ["", "x", "y/z", "עכו"]
+    others = files_of(table, ["x", "y/z"])
+    table.rewrite(table.read(["", "עכו"]).withColumn("owner", F.lit("n")), ["", "עכו"])
+    assert files_of(table, ["x", "y/z"]) == others and not files_of(table, ["", "עכו"]) & others
+    assert {(r.city, r.owner) for r in table.read().collect()} == {("", "n"), ("x", ""), ("y/z", ""), ("עכו", "n")}
+    # A city that loses all its rows is gone, and no other.
+    table.rewrite(table.read(["x"]).limit(0), ["x"])
+    assert table.cities() == ["", "y/z", "עכו"] and table.read().count() == 9
+
+
+def test_clean_removes_what_no_recent_version_names(spark, tmp_path):
+    table = tables.RecordTable(spark, str(tmp_path / "t"))
+    table.append(spark.createDataFrame([("x", "a"), ("y", "b")], "city string, pdf_path string"))
+    for owner in "123":
+        table.rewrite(table.read(["x"]).withColumn("owner", F.lit(owner)), ["x"])
+    before = table.read()
+    assert sorted(table.clean()) == ["write=1/city=x", "write=2/city=x"]
+    assert table.versions() == [3, 4] and not (tmp_path / "t" / "data" / "write=2").exists()
+    assert before.count() == 2 and {(r.city, r.owner) for r in table.read().collect()} == {("x", "3"), ("y", "")}
+    assert table.clean() == []
+
+
+def test_a_write_that_failed_changes_nothing(spark, tmp_path):
+    table = tables.RecordTable(spark, str(tmp_path / "t"))
+    table.append(spark.createDataFrame([("x", "a")], "city string, pdf_path string"))
+    broken = spark.createDataFrame([("x", "b")], "city string, pdf_path string").withColumn("owner", F.raise_error(F.lit("no")))
+    with pytest.raises(Exception, match="no"):
+        table.append(broken)
+    assert table.version() == 1 and [r.pdf_path for r in table.read().collect()] == ["a"]
+    table.append(spark.createDataFrame([("x", "c")], "city string, pdf_path string"))
+    assert sorted(r.pdf_path for r in table.read().collect()) == ["a", "c"]
+
+
 def test_table_scan_is_pruned_by_city(spark, tmp_path):
     table = tables.RecordTable(spark, str(tmp_path / "t"))
     table.append(spark.createDataFrame([("x", "a"), ("y", "b")], "city string, pdf_path string"))
@@ -142,3 +186,50 @@ def test_record_files_are_read_by_header(spark, tmp_path):
     assert (got["p2"].owner, got["p2"].building_file_number, got["p2"].source, got["p2"].city) == ("דן", "7", "arad", "")
     assert tables.read_record_csv(spark, str(tmp_path / "none")).count() == 0
     assert tables.read_city_tables(spark, str(tmp_path / "none")).columns[0] == "source"
+
+
+NESTED = """<table><tbody>
+<tr><td>1 <table><tr><td>in</td><td>n</td><td>m</td><td><a href='/BuildingArchiveDetails?id=9'>i</a></td></tr></table></td>
+<td>b</td><td>c</td><td><a href="/BuildingArchiveDetails?id=1">x</a></td></tr>
+<tr><td>2<td>open<td>row<td><a href="/BuildingArchiveDetails?id=2">x</a>
+<tr><td>3</td><td>d</td><td>e</td><td><a href="/BuildingArchiveDetails?id=3">x</a></td></tr>
+</tbody></table><table><tr><td>4</td><td>f</td><td>g</td><td><a href="/BuildingArchiveDetails?id=4">x</a></td></tr></table>"""
+
+
+def test_tables_in_tables_and_open_rows(columns):
+    rows = pages.listing_rows(columns(html=[NESTED]), "html", []).orderBy("row_pos").drop("row_pos").collect()
+    assert [tuple(r) for r in rows] == [
+        ("1", "in", "n", "/BuildingArchiveDetails?id=9"),
+        ("in", "n", "m", "/BuildingArchiveDetails?id=9"),
+        ("2", "open", "row", "/BuildingArchiveDetails?id=2"),
+        ("3", "d", "e", "/BuildingArchiveDetails?id=3"),
+        ("4", "f", "g", "/BuildingArchiveDetails?id=4"),
+    ]
+
+
+def test_both_ways_agree_on_regular_pages(columns, monkeypatch):
+    page = columns(html=[LISTING, "", "<table></table>", "no table"])
+    plain = sorted(map(tuple, pages.listing_rows(page, "html", []).collect()))
+    monkeypatch.setattr(pages, "_is_irregular", lambda body, shape: F.lit(True))
+    assert sorted(map(tuple, pages.listing_rows(page, "html", []).collect())) == plain != []
+
+
+def test_inventory_changes_between_visits(spark, tmp_path):
+    store = tmp_path / "store"
+    (store / "a").mkdir(parents=True)
+    for name, text in (("same", "1"), ("longer", "1"), ("touched", "1"), ("gone", "1")):
+        (store / "a" / f"{name}.pdf").write_text(text)
+    log = InventoryLog(spark, str(tmp_path / "log"), str(store))
+    assert log.visit() == 1
+    (store / "a" / "longer.pdf").write_text("123")
+    os.utime(store / "a" / "touched.pdf", (1, 1))
+    (store / "a" / "gone.pdf").unlink()
+    (store / "a" / "new.pdf").write_text("12")
+    assert log.visit() == 2
+    got = {r.path.rsplit("/", 1)[1]: (r.change, r.length, r.old_length) for r in log.changes(1, 2).collect()}
+    assert got == {
+        "longer.pdf": ("changed", 3, 1), "touched.pdf": ("changed", 1, 1), "gone.pdf": ("removed", None, 1), "new.pdf": ("added", 2, None),
+    }
+    assert log.changes(0, 2).count() == 4 and {r.change for r in log.changes(0, 2).collect()} == {"added"}
+    log.visit()
+    assert log.visits() == [2, 3] and log.changes(2, 3).count() == 0
