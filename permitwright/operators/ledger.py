@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from permitwright.operators.rank import keep_first, key_set
+from permitwright.operators.rank import join_side, keep_first, key_set
 from permitwright.schema import DOC_META_TYPE, DOWNLOADED, ERROR, LEDGER_COLUMNS, PENDING, PROCESSED, SKIPPED
 
 KEY = ["city", "file_id"]
@@ -93,12 +95,28 @@ def retry_errors(ledger: DataFrame) -> DataFrame:
 
 def progress(ledger: DataFrame) -> DataFrame:
     """Entries per status, and in total."""
-    counts = ledger.groupBy("status").agg(F.count("*").alias("files"))
-    # The total is summed from the few counts, not counted again over the ledger.
+    return with_total(ledger.groupBy("status").agg(F.count("*").alias("files")))
+
+
+def with_total(counts: DataFrame) -> DataFrame:
+    """Counts per status, and their sum: of the few counts, not counted again over the ledger."""
     total = F.explode(F.array(F.col("status"), F.lit("total")))
     return counts.select(total.alias("status"), "files").groupBy("status").agg(F.sum("files").alias("files"))
 
 
+def status_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(city, status, files): what a change of entries adds to the counts; an entry leaves one status and enters another."""
+    left = before.select("city", "status", F.lit(-1).cast("bigint").alias("files"))
+    entered = after.select("city", "status", F.lit(1).cast("bigint").alias("files"))
+    return summed(left.unionByName(entered))
+
+
+def summed(counts: DataFrame) -> DataFrame:
+    """Counts and changes of counts, added up; what nothing is left of goes."""
+    added = counts.groupBy("city", "status").agg(F.sum("files").alias("files"))
+    return added.filter("files != 0")
+
+
 def city_overview(cities: DataFrame, ledger: DataFrame) -> DataFrame:
     """Every configured city, with totals where a ledger exists and NULL where none does."""
     totals = ledger.groupBy("city").agg(
@@ -107,32 +125,83 @@ def city_overview(cities: DataFrame, ledger: DataFrame) -> DataFrame:
     return cities.join(totals, cities["subdomain"] == totals["city"], "left").drop("city")
 
 
-def replay_aggregates(file_time: Column, event_id: Column, mark: Column) -> list[Column]:
+def mark_aggregates() -> list[Column]:
     """Aggregates that stand for a file's whole history of marks; they combine in any order.
 
-    An entry starts pending with its first listing. Marks before that find no entry and are lost. The last mark
-    after it is the status. The message of an error stays when a later mark succeeds.
+    Marks have city, file_id, ts, event_id, mark, url, address, pdfs, doc_meta and error. Each part of an entry has a last
+    writer of its own: url and address the first listing, status any later mark, documents a download or a processing that
+    names some, their metadata a download, the message an error.
     """
-    at = F.struct(file_time.alias("ts"), event_id.alias("event_id"))
+    at = [F.col("ts"), F.col("event_id")]
+    mark = F.col("mark")
+
+    def last(when: Column, *payload: str) -> Column:
+        return F.max(F.when(when, F.struct(*at, *payload)))
+
+    named = (mark == DOWNLOADED) | ((mark == PROCESSED) & (F.coalesce(F.size("pdfs"), F.lit(0)) > 0))
     return [
-        F.min(F.when(mark == LISTED, at)).alias("first_listed"),
-        F.max(F.when(mark.isin(*MARK_STATES), F.struct(at.alias("at"), mark.alias("mark")))).alias("last_mark"),
-        F.max(F.when(mark == ERROR, at)).alias("last_error"),
+        F.min(F.when(mark == LISTED, F.struct(*at, "url", "address"))).alias("listed"),
+        last(mark.isin(*MARK_STATES), "mark").alias("marked"),
+        last(named, "pdfs").alias("named"),
+        last(mark == DOWNLOADED, "doc_meta").alias("described"),
+        last(mark == ERROR, "error").alias("failed"),
     ]
 
 
+def _entry(base: dict[str, Column], counts: Callable[[str], Column]) -> list[Column]:
+    """An entry's fields: of each the last writer's value if that mark counts, else the one it began with."""
+    def field(writer: str, value: str, name: str) -> Column:
+        return F.when(counts(writer), F.col(f"{writer}.{value}")).otherwise(base[name]).alias(name)
+
+    return [
+        base["url"].alias("url"),
+        base["address"].alias("address"),
+        field("marked", "mark", "status"),
+        F.coalesce(field("named", "pdfs", "pdfs"), F.array().cast("array<string>")).alias("pdfs"),
+        F.coalesce(field("described", "doc_meta", "doc_meta"), F.array().cast(DOC_META_TYPE)).alias("doc_meta"),
+        field("failed", "error", "error"),
+    ]
+
+
+def _new_entry() -> tuple[dict[str, Column], Callable[[str], Column]]:
+    """An entry begins pending with its first listing. Marks before that found no entry and are lost."""
+    base = {
+        "url": F.coalesce("listed.url", F.lit("")),
+        "address": F.coalesce("listed.address", F.lit("")),
+        "status": F.lit(PENDING),
+        "pdfs": F.array().cast("array<string>"),
+        "doc_meta": F.array().cast(DOC_META_TYPE),
+        "error": F.lit(None).cast("string"),
+    }
+
+    def after(writer: str) -> Column:
+        at = F.struct(F.col(f"{writer}.ts"), F.col(f"{writer}.event_id"))
+        return F.col(writer).isNotNull() & (at > F.struct("listed.ts", "listed.event_id"))
+
+    return base, after
+
+
 def replayed_entries(aggregated: DataFrame) -> DataFrame:
-    """file_id, status and had_error of every file that was ever listed."""
-    listed = F.col("first_listed")
-    marked = F.col("last_mark").isNotNull() & (F.col("last_mark.at") > listed)
-    return aggregated.filter(listed.isNotNull()).select(
-        "file_id",
-        F.when(marked, F.col("last_mark.mark")).otherwise(PENDING).alias("status"),
-        F.coalesce(F.col("last_error") > listed, F.lit(False)).alias("had_error"),
-    )
+    """The entry of every file that was ever listed."""
+    listed = aggregated.filter(F.col("listed").isNotNull())
+    return listed.select(*KEY, *_entry(*_new_entry()))
+
+
+def histories(activity: DataFrame) -> DataFrame:
+    """One row per marked file. Marks without a city are of the city without a name, as entries are."""
+    return activity.withColumn("city", F.coalesce("city", F.lit(""))).groupBy(*KEY).agg(*mark_aggregates())
 
 
 def replay(activity: DataFrame) -> DataFrame:
-    """State of every file after all its marks."""
-    aggregates = replay_aggregates(F.col("ts"), F.col("event_id"), F.col("mark"))
-    return replayed_entries(activity.groupBy("file_id").agg(*aggregates))
+    """State of every file after all its marks, from nothing."""
+    return replayed_entries(histories(activity))
+
+
+def marked_entries(ledger: DataFrame, activity: DataFrame) -> DataFrame:
+    """The entries that marks concern, after them. Marks are later than what the ledger says; files that it does not know
+    begin with their first listing, and without one stay unknown."""
+    marked = join_side(histories(activity), KEY)
+    known = ledger.join(marked, KEY).select(
+        *KEY, *_entry({name: F.col(name) for name in LEDGER_COLUMNS if name not in KEY}, lambda writer: F.col(writer).isNotNull()))
+    unknown = marked.join(ledger.select(*KEY), KEY, "left_anti")
+    return known.unionByName(replayed_entries(unknown))

@@ -1,106 +1,227 @@
 """Documents and ledger marks as streams.
 
 State that must outlive a run is in tables in the shared folder: the record table tells which documents are done, so
-nothing is kept in memory per document and a restart goes on where the last one ended.
+a restart goes on where the last one ended.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from permitwright.operators.ledger import progress, replay_aggregates, replayed_entries
-from permitwright.operators.upkeep import new_records
+from permitwright.operators.ledger import KEY, histories, replayed_entries, status_changes, summed, with_total
+from permitwright.operators.rank import key_set
+from permitwright.schema import LEDGER_COLUMNS, LEDGER_SCHEMA
+from permitwright.session import fresh_dir
+from permitwright.sources import store
 from permitwright.sources.tables import RecordTable
 
+# How long a stream remembers which documents it has seen. Repeats that come later meet the record table instead.
+RETENTION = "7 days"
+# By how much the clocks of the machines that run one stream after another may differ.
+CLOCKS = "1 hour"
+
 
 def document_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1000) -> DataFrame:
     """Text tables arriving as Parquet files in a folder."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def first_arrivals(texts: DataFrame, order: list[str], retention: str = RETENTION) -> DataFrame:
+    """(pdf_path, file, row) of each arriving document that has not arrived within `retention`, the first in `order` of its batch.
+
+    `texts` is a stream of Parquet files. A document's time is that of its batch, so none comes late but by clocks that differ by
+    more than CLOCKS. The state per document is when it was first seen, kept until that time is `retention` past. Only keys and
+    places go through the state; texts stay in their files.
+    """
+    kept = pd.Timedelta(retention) // pd.Timedelta(milliseconds=1)
+    place = texts.select(
+        "pdf_path", *order, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
+        F.current_timestamp().alias("arrived")).withWatermark("arrived", CLOCKS)
+
+    def arrive(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(frames))
+        if state.exists:
+            return
+        seen = int(rows["arrived"].max().timestamp() * 1000)
+        state.update((seen,))
+        state.setTimeoutTimestamp(max(seen, state.getCurrentWatermarkMs()) + kept)
+        yield rows.sort_values([*order, "file", "row"]).head(1)[["pdf_path", "file", "row"]]
+
+    return place.groupBy("pdf_path").applyInPandasWithState(
+        arrive, "pdf_path string, file string, row long", "seen long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def extract_stream(
     texts: DataFrame,
     table: RecordTable,
     checkpoint: str,
     extract: Callable[[DataFrame], DataFrame],
     order: list[str] | None = None,
+    retention: str = RETENTION,
 ) -> StreamingQuery:
-    """Write a record for each arriving document that has none.
+    """Write a record for each arriving document that has none. `texts` comes from `document_stream`.
 
-    A document is written once: repeats inside a batch keep the first in `order`, and documents with a record are
-    dropped by an anti-join with the table. A batch that runs again after a failure finds its own rows there. The
-    repeats are dropped before extraction, so no text is searched twice. Of the table only the batch's own documents
-    are looked at beyond the scan of their column.
+    A document is written once. Repeats inside a batch keep the first in `order`; repeats of a later batch are known to the
+    stream's state for `retention`, and a batch of nothing else ends there, without a look at the table. What passes is held
+    against the table, which is exact at any age and for batches that run again after a failure. Texts are read last, of the
+    documents that get a record, from the batch's own files.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        known = table.read().select("pdf_path").join(batch.select("pdf_path").distinct(), "pdf_path", "left_semi")
-        fresh = new_records(batch, known, [F.col(name) for name in order or []])
-        table.append(extract(fresh))
+        spark = batch.sparkSession
+        path = fresh_dir(spark, "arrivals")
+        batch.write.parquet(path)
+        arrivals = spark.read.schema(batch.schema).parquet(path)
+        if arrivals.isEmpty():
+            return
+        known = table.read().select("pdf_path").join(arrivals.select("pdf_path"), "pdf_path", "left_semi")
+        fresh = arrivals.join(key_set(known, ["pdf_path"]), "pdf_path", "left_anti")
+        files = [unquote(row["file"]) for row in fresh.select("file").distinct().collect()]  # at most a batch's files
+        if not files:
+            return
+        stored = spark.read.schema(texts.schema).parquet(*files)
+        places = stored.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+        wanted = fresh.select(F.col("file").alias("_file"), F.col("row").alias("_row"))
+        table.append(extract(places.join(wanted, ["_file", "_row"], "left_semi").select(*texts.columns)))
+
+    arrivals = first_arrivals(texts, order or [], retention)
+    return arrivals.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    return texts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+_STORED = T.StructType([*LEDGER_SCHEMA.fields, T.StructField("bucket", T.IntegerType())])
 
 
 class LedgerLog:
     """A ledger kept as one folder of changed entries per batch, on top of a compacted base.
 
-    A batch that runs again overwrites its own folder. The newest batch holds an entry's state.
+    Entries lie in folders by a hash of their key, so that a batch's own entries are found without reading the others'. A batch that
+    runs again overwrites its own folder. The newest batch holds an entry's state. Compacting puts the log into a new base and
+    removes what the base before it already had, so that a reader or a batch that began before goes on.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
+
+    def bucket(self) -> Column:
+        """Which folder an entry is in: fixed by its key and the log's number of buckets."""
+        return F.pmod(F.xxhash64(*KEY), F.lit(self.buckets)).cast("int")
+
+    def _write(self, entries: DataFrame, path: str) -> None:
+        rows = entries.select(*LEDGER_COLUMNS, self.bucket().alias("bucket"))
+        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
     def write(self, entries: DataFrame, batch_id: int) -> None:
-        entries.write.mode("overwrite").parquet(f"{self.root}/log/batch={batch_id}")
-
-    def _base(self) -> tuple[DataFrame | None, int]:
-        try:
-            base = self.spark.read.parquet(f"{self.root}/base")
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                return None, -1
-            raise
-        upto = base.agg(F.max("upto")).first()[0]
-        return base.filter(F.col("upto") == upto).withColumnRenamed("upto", "batch"), upto
-
-    def read(self) -> DataFrame:
-        """Current entries."""
-        base, upto = self._base()
-        rows = self.spark.read.parquet(f"{self.root}/log").filter(F.col("batch") > upto)
-        if base is not None:
-            rows = rows.unionByName(base)
-        names = [name for name in rows.columns if name not in ("file_id", "batch")]
-        newest = rows.groupBy("file_id").agg(F.max_by(F.struct(*names), "batch").alias("_e"))
-        return newest.select("file_id", "_e.*")
+        self._write(entries, f"{self.root}/log/batch={batch_id}")
+
+    def bases(self) -> list[int]:
+        """Batches up to which there is a finished base, oldest first."""
+        found = store.numbered(self.spark, f"{self.root}/base", "upto")
+        return [upto for upto in found if store.is_complete(self.spark, f"{self.root}/base/upto={upto}")]
+
+    def read(self, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """Current entries, or those before a batch; of some buckets only, if given."""
+        limit = float("inf") if before is None else before
+        upto = max((u for u in self.bases() if u < limit), default=-1)
+        logs = [b for b in store.numbered(self.spark, f"{self.root}/log", "batch") if upto < b < limit]
+        parts = [(f"{self.root}/base/upto={upto}", upto)] * (upto >= 0) + [(f"{self.root}/log/batch={b}", b) for b in logs]
+        rows = None
+        for path, batch in parts:
+            part = self.spark.read.schema(_STORED).parquet(path)
+            part = part if buckets is None else part.filter(F.col("bucket").isin(buckets))
+            part = part.select(*LEDGER_COLUMNS, F.lit(batch).cast("bigint").alias("_batch"))
+            rows = part if rows is None else rows.unionAll(part)
+        if rows is None:
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        names = [name for name in LEDGER_COLUMNS if name not in KEY]
+        newest = rows.groupBy(*KEY).agg(F.max_by(F.struct(*names), "_batch").alias("_e"))
+        return newest.select(*KEY, "_e.*")
 
     def compact(self, batch_id: int) -> None:
-        """Put all entries up to a finished batch into the base; later reads skip the folders before it."""
-        self.read().write.mode("overwrite").parquet(f"{self.root}/base/upto={batch_id}")
+        """Put all entries up to a finished batch into a new base."""
+        self._write(self.read(before=batch_id + 1), f"{self.root}/base/upto={batch_id}")
+        kept = self.bases()[-2:]
+        for upto in store.numbered(self.spark, f"{self.root}/base", "upto"):
+            if upto < kept[0]:
+                store.remove(self.spark, f"{self.root}/base/upto={upto}")
+        for batch in store.numbered(self.spark, f"{self.root}/log", "batch"):
+            if len(kept) > 1 and batch <= kept[0]:
+                store.remove(self.spark, f"{self.root}/log/batch={batch}")
+
+
+class ProgressCounts:
+    """Entries per city and status, kept by what each batch changes.
+
+    A batch's counts are those before it plus its own changes; a batch that runs again writes the same ones.
+    """
+
+    schema = "city string, status string, files bigint"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.root}/batch={batch_id}"
+
+    def batches(self) -> list[int]:
+        found = store.numbered(self.spark, self.root, "batch")
+        return [batch for batch in found if store.is_complete(self.spark, self._folder(batch))]
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """Counts after the last batch, or after the last one before some batch."""
+        known = [batch for batch in self.batches() if before is None or batch < before]
+        if not known:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self._folder(known[-1]))
+
+    def add(self, changes: DataFrame, batch_id: int, keep: int = 3) -> None:
+        counts = summed(self.read(before=batch_id).unionByName(changes))
+        counts.coalesce(1).write.mode("overwrite").parquet(self._folder(batch_id))
+        for batch in self.batches()[:-keep]:
+            store.remove(self.spark, self._folder(batch))
+
+
+def batch_changes(batch: DataFrame, log: LedgerLog, batch_id: int) -> DataFrame:
+    """What a batch of entries changes in the counts per city and status.
+
+    The entries' old states come from the batch's own buckets of the log; no other file is read.
+    """
+    keys = batch.select(*KEY, log.bucket().alias("_bucket"))
+    touched = [row["_bucket"] for row in keys.select("_bucket").distinct().collect()]  # at most the number of buckets
+    before = log.read(before=batch_id, buckets=touched).join(keys.select(*KEY), KEY, "left_semi")
+    return status_changes(before, batch)
 
 
 def ledger_stream(
     activity: DataFrame, log: LedgerLog, checkpoint: str, progress_path: str | None = None, compact_every: int = 50
 ) -> StreamingQuery:
-    """Keep the ledger up to date from a stream of marks; optionally write the progress counts after each batch.
+    """Keep whole ledger entries up to date from a stream of marks; optionally keep the counts per city and status too.
 
-    The state per file is three small values that combine in any order. Counting reads the status column of the
-    compacted ledger.
+    The state per file is five values, each with its last writer, that combine in any order, so marks may come late.
     """
-    aggregates = replay_aggregates(F.col("ts"), F.col("event_id"), F.col("mark"))
-    changed = replayed_entries(activity.groupBy("file_id").agg(*aggregates))
+    spark = log.spark
+    changed = replayed_entries(histories(activity))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         log.write(batch, batch_id)
+        if progress_path:
+            entries = spark.read.schema(batch.schema).parquet(f"{log.root}/log/batch={batch_id}")
+            ProgressCounts(spark, progress_path).add(batch_changes(entries, log, batch_id), batch_id)
         if batch_id and batch_id % compact_every == 0:
             log.compact(batch_id)
-        if progress_path:
-            progress(log.read()).write.mode("overwrite").parquet(f"{progress_path}/batch={batch_id}")
 
     return (
         changed.writeStream.outputMode("update")
@@ -112,7 +233,6 @@ def ledger_stream(
 
 
 def newest_progress(spark: SparkSession, progress_path: str) -> DataFrame:
-    """Counts after the last batch."""
-    counts = spark.read.parquet(progress_path)
-    last = counts.agg(F.max("batch").alias("batch"))
-    return counts.filter(F.col("batch") == last.scalar()).drop("batch")
+    """Entries per status after the last batch, and in total."""
+    counts = ProgressCounts(spark, progress_path).read()
+    return with_total(counts.groupBy("status").agg(F.sum("files").alias("files")))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from permitwright.fixtures import Fixtures
 from permitwright.operators import ledger as L
+from permitwright.plans.archive import Archive
+from permitwright.session import fresh_dir
 from permitwright.suite.registry import query
 
 
@@ -135,16 +137,62 @@ def city_overview(fx):
     return L.city_overview(fx["fx_cities"], ledger)
 
 
-# Marks replayed: last mark after the first listing.
-REPLAYED = """replayed as (select file_id, case when last_mark > first_listed then last_name else 'pending' end as status,
-      coalesce(last_error > first_listed, false) as had_error
-    from (select file_id, min(struct_pack(ts := ts, event_id := event_id)) filter (mark = 'listed') as first_listed,
-        max(struct_pack(ts := ts, event_id := event_id)) filter (mark <> 'listed') as last_mark,
-        arg_max(mark, struct_pack(ts := ts, event_id := event_id)) filter (mark <> 'listed') as last_name,
-        max(struct_pack(ts := ts, event_id := event_id)) filter (mark = 'error') as last_error
-      from fx_activity group by file_id) a where first_listed is not null)"""
+def typed_marks(rows: DataFrame) -> DataFrame:
+    """Marks with their lists as arrays."""
+    def listed(name: str):
+        return F.filter(F.split(name, ";"), lambda item: item != "")
+
+    meta = F.transform(listed("dates_joined"), lambda d: F.struct(d.alias("date"), F.lit("").alias("entity_number")))
+    return rows.select(
+        "event_id", "ts", "city", "file_id", "mark", "url", "address", listed("pdfs_joined").alias("pdfs"), meta.alias("doc_meta"),
+        F.nullif("error", F.lit("")).alias("error"))
+
+
+def _last(value: str, when: str, name: str) -> str:
+    at = "struct_pack(ts := ts, event_id := event_id)"
+    return f"max({at}) filter ({when}) as {name}_at, arg_max({value}, {at}) filter ({when}) as {name}_value"
+
+
+# Marks replayed: of each part of an entry the last writer after the first listing.
+REPLAYED = f"""replayed as (select city, file_id, url, address,
+      case when status_at > listed_at then status_value else 'pending' end as status,
+      case when pdfs_at > listed_at then pdfs_value else '' end as pdfs_joined,
+      case when dates_at > listed_at then dates_value else '' end as dates_joined,
+      case when error_at > listed_at then error_value else '' end as error
+    from (select city, file_id, min(struct_pack(ts := ts, event_id := event_id)) filter (mark = 'listed') as listed_at,
+        arg_min(url, struct_pack(ts := ts, event_id := event_id)) filter (mark = 'listed') as url,
+        arg_min(address, struct_pack(ts := ts, event_id := event_id)) filter (mark = 'listed') as address,
+        {_last("mark", "mark <> 'listed'", "status")},
+        {_last("pdfs_joined", "mark = 'downloaded' or mark = 'processed' and pdfs_joined <> ''", "pdfs")},
+        {_last("dates_joined", "mark = 'downloaded'", "dates")},
+        {_last("error", "mark = 'error'", "error")}
+      from fx_activity group by city, file_id) a where listed_at is not null)"""
 
 
 @query("ledger_replay", f"with {REPLAYED} select * from replayed")
 def ledger_replay(fx):
-    return L.replay(fx["fx_activity"])
+    return flat_ledger(L.replay(typed_marks(fx["fx_activity"])))
+
+
+@query(
+    "ledger_marks",
+    f"""with {REPLAYED}, named as (select concat('city', cast(cast(file_id as bigint) % 3 as varchar)) as city, file_id, url, address, status,
+      pdfs_joined, dates_joined, error from fx_ledger_all where oy < 1995),
+    marked as (select city, file_id, {_last("mark", "mark <> 'listed'", "status")},
+        {_last("pdfs_joined", "mark = 'downloaded' or mark = 'processed' and pdfs_joined <> ''", "pdfs")},
+        {_last("dates_joined", "mark = 'downloaded'", "dates")}, {_last("error", "mark = 'error'", "error")}
+      from fx_activity group by city, file_id)
+    select n.city, n.file_id, n.url, n.address, coalesce(status_value, n.status) as status,
+      coalesce(pdfs_value, n.pdfs_joined) as pdfs_joined, coalesce(dates_value, n.dates_joined) as dates_joined,
+      coalesce(error_value, n.error) as error
+    from named n left join marked m on n.city = m.city and n.file_id = m.file_id
+    union all select r.* from replayed r where not exists (select 1 from named n where n.city = r.city and n.file_id = r.file_id)""",
+)
+def ledger_marks(fx):
+    """An archive's ledger before and after a run of marks; files it knows and files it does not."""
+    archive = Archive(fx.spark, fresh_dir(fx.spark, "archive"))
+    before = typed_ledger(fx, "fx_ledger_all").join(fx["fx_ledger_all"].filter("oy < 1995").select("city", "file_id"), L.KEY, "left_semi")
+    named = F.concat(F.lit("city"), (F.col("file_id").cast("bigint") % 3).cast("string"))
+    archive.ledger.append(before.withColumn("city", named))
+    archive.record(typed_marks(fx["fx_activity"]))
+    return flat_ledger(archive.ledger.read())

@@ -73,43 +73,97 @@ def test_listing_adds_each_new_file_once(spark, ledger):
     }
 
 
+MARKS = (
+    "event_id bigint, t bigint, city string, file_id string, mark string, url string, address string, pdfs array<string>,"
+    " doc_meta array<struct<date: string, entity_number: string>>, error string"
+)
+
+
 def activity_rows():
     rng = random.Random(5)
-    marks = ["listed", "downloaded", "processed", "skipped", "error"]
     rows = []
     for i in range(3000):
-        file_id = "hot" if i % 3 == 0 else str(rng.randint(0, 300))
-        rows.append((i, rng.randint(0, 500), file_id, rng.choice(marks)))
+        file_id = "hot" if i % 3 == 0 else str(rng.randint(0, 150))
+        mark = rng.choice(["listed", "downloaded", "processed", "skipped", "error"])
+        pdfs = [f"p{i}_{n}" for n in range(rng.randint(0, 2))] if mark in ("downloaded", "processed") else None
+        meta = [(f"d{i}", "n")] if mark == "downloaded" else None
+        told = (f"/u{i}", f"a{i}") if mark == "listed" else (None, None)
+        rows.append((i, rng.randint(0, 500), rng.choice(["c", "d"]), file_id, mark, *told, pdfs, meta, f"e{i}" if mark == "error" else None))
     return rows
 
 
-def fold(rows):
-    """Marks applied one after the other."""
-    state = {}
-    for event_id, ts, file_id, mark in sorted(rows, key=lambda r: (r[1], r[0])):
+def fold(rows, state=None):
+    """Marks applied one after the other to whole entries."""
+    state = {key: dict(value) for key, value in (state or {}).items()}
+    for _, _, city, file_id, mark, url, address, pdfs, meta, error in sorted(rows, key=lambda r: (r[1], r[0])):
+        entry = state.get((city, file_id))
         if mark == "listed":
-            state.setdefault(file_id, ["pending", False])
-        elif file_id in state:
-            state[file_id][0] = mark
-            state[file_id][1] |= mark == "error"
-    return {file_id: tuple(value) for file_id, value in state.items()}
+            if entry is None:
+                state[city, file_id] = {"url": url, "address": address, "status": "pending", "pdfs": [], "doc_meta": [], "error": None}
+            continue
+        if entry is None:
+            continue
+        entry["status"] = mark
+        if mark == "downloaded":
+            entry["pdfs"], entry["doc_meta"] = pdfs, meta
+        elif mark == "processed" and pdfs:
+            entry["pdfs"] = pdfs
+        elif mark == "error":
+            entry["error"] = error
+    return state
 
 
 def activity_table(spark, rows):
-    table = spark.createDataFrame(rows, "event_id bigint, t bigint, file_id string, mark string")
-    return table.select("event_id", F.timestamp_seconds("t").cast("timestamp_ntz").alias("ts"), "file_id", "mark")
+    table = spark.createDataFrame(rows, MARKS)
+    return table.withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz")).drop("t")
+
+
+def entries_of(ledger):
+    found = {}
+    for r in ledger.collect():
+        meta = [tuple(m) for m in r.doc_meta]
+        assert (r.city, r.file_id) not in found
+        found[r.city, r.file_id] = {"url": r.url, "address": r.address, "status": r.status, "pdfs": r.pdfs, "doc_meta": meta, "error": r.error}
+    return found
 
 
 def test_replay_equals_a_fold(spark):
     rows = activity_rows()
-    got = {r.file_id: (r.status, r.had_error) for r in L.replay(activity_table(spark, rows)).collect()}
-    assert got == fold(rows)
+    assert entries_of(L.replay(activity_table(spark, rows))) == fold(rows)
+    assert L.replay(activity_table(spark, rows[:1]).limit(0)).count() == 0
+
+
+def test_histories_combine_in_any_order(spark):
+    rows = activity_rows()
+    shuffled = list(rows)
+    random.Random(9).shuffle(shuffled)
+    one = activity_table(spark, shuffled).repartition(7, "event_id")
+    assert entries_of(L.replay(one)) == fold(rows)
+
+
+def test_marks_change_a_ledger(spark, ledger):
+    known = entries_of(ledger)
+    marks = [
+        (1, 5, "c", "1", "error", None, None, None, None, "late"),
+        (2, 6, "c", "2", "processed", None, None, [], None, None),
+        (3, 7, "c", "3", "downloaded", None, None, ["x"], [("d", "n")], None),
+        (4, 8, "d", "1", "listed", "/other", "other", None, None, None),
+        (5, 9, "c", "new", "skipped", None, None, None, None, None),
+        (6, 10, "d", "new", "listed", "/n", "n", None, None, None),
+        (7, 11, "d", "new", "processed", None, None, ["q"], None, None),
+        (8, 12, None, "bare", "listed", "/b", "b", None, None, None),
+    ]
+    changed = entries_of(L.marked_entries(ledger, activity_table(spark, marks)))
+    named = [(*m[:2], m[2] or "", *m[3:]) for m in marks]
+    want = fold(named, known)
+    assert {**known, **changed} == want
+    assert set(changed) == {(m[2], m[3]) for m in named} - {("c", "new")}
 
 
 def test_ledger_stream_over_batches_restart_and_compaction(spark, tmp_path):
     rows = activity_rows()
     arrived, checkpoint, counts = (str(tmp_path / n) for n in ("arrived", "checkpoint", "counts"))
-    log = jobs.LedgerLog(spark, str(tmp_path / "log"))
+    log = jobs.LedgerLog(spark, str(tmp_path / "log"), buckets=4)
     rng = random.Random(1)
     rng.shuffle(rows)
 
@@ -121,13 +175,43 @@ def test_ledger_stream_over_batches_restart_and_compaction(spark, tmp_path):
     for part in (rows[:700], rows[700:1500]):
         activity_table(spark, part).coalesce(1).write.mode("append").parquet(arrived)
     run()
-    for part in (rows[1500:2000], rows[2000:]):
+    for part in (rows[1500:1900], rows[1900:2000], rows[2000:]):
         activity_table(spark, part).coalesce(1).write.mode("append").parquet(arrived)
     run()
     want = fold(rows)
-    assert {r.file_id: (r.status, r.had_error) for r in log.read().collect()} == want
+    assert entries_of(log.read()) == want
     counted = {r.status: r.files for r in jobs.newest_progress(spark, counts).collect()}
-    assert counted == {**Counter(s for s, _ in want.values()), "total": len(want)}
+    assert counted == {**Counter(e["status"] for e in want.values()), "total": len(want)}
+    by_city = {(r.city, r.status): r.files for r in jobs.ProgressCounts(spark, counts).read().collect()}
+    assert by_city == Counter((city, e["status"]) for (city, _), e in want.items())
+    # Bases and the logs they hold do not pile up.
+    assert len(log.bases()) == 2 and min(int(p.name[6:]) for p in (tmp_path / "log" / "log").glob("batch=*")) > log.bases()[0]
+
+
+def test_counting_reads_only_the_batchs_buckets(spark, tmp_path):
+    log = jobs.LedgerLog(spark, str(tmp_path / "log"), buckets=16)
+    many = spark.createDataFrame([entry("c", str(i), "pending") for i in range(200)], SCHEMA)
+    log.write(many, 0)
+    log.compact(0)
+    batch = spark.createDataFrame([entry("c", "7", "processed"), entry("c", "new", "pending")], SCHEMA)
+    log.write(batch, 1)
+    changes = jobs.batch_changes(batch, log, 1)
+    assert {(r.status, r.files) for r in changes.collect()} == {("processed", 1)}
+    touched = [r.b for r in batch.select(log.bucket().alias("b")).collect()]
+    read = log.read(before=1, buckets=touched)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert 0 < read.count() < 200 and {r.b for r in read.select(log.bucket().alias("b")).collect()} <= set(touched)
+
+
+def test_a_repeated_batch_counts_once(spark, tmp_path):
+    log, counts = jobs.LedgerLog(spark, str(tmp_path / "log")), jobs.ProgressCounts(spark, str(tmp_path / "counts"))
+    for number, states in enumerate((["pending", "pending"], ["processed"], ["processed"])):
+        batch = spark.createDataFrame([entry("c", str(i), s) for i, s in enumerate(states)], SCHEMA)
+        number = min(number, 1)  # the last one is the second batch again
+        log.write(batch, number)
+        counts.add(jobs.batch_changes(batch, log, number), number)
+    assert {(r.city, r.status): r.files for r in counts.read().collect()} == {("c", "pending"): 1, ("c", "processed"): 1}
 
 
 def test_documents_are_extracted_once_over_restarts(spark, tmp_path):
@@ -160,9 +244,37 @@ def test_documents_are_extracted_once_over_restarts(spark, tmp_path):
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     log = jobs.LedgerLog(spark, str(tmp_path / "log"))
-    one = spark.createDataFrame([("1", "pending", False)], "file_id string, status string, had_error boolean")
+    one = spark.createDataFrame([entry("c", "1", "pending")], SCHEMA)
     two = one.withColumn("status", F.lit("processed"))
     log.write(one, 0)
     log.write(two, 1)
     log.write(two, 1)
-    assert [tuple(r) for r in log.read().collect()] == [("1", "processed", False)]
+    assert [(r.city, r.file_id, r.status) for r in log.read().collect()] == [("c", "1", "processed")]
+    assert [r.status for r in log.read(before=1).collect()] == ["pending"]
+
+
+def test_repeats_of_later_batches_never_meet_the_table(spark, tmp_path, monkeypatch):
+    arrived, checkpoint = str(tmp_path / "arrived"), str(tmp_path / "checkpoint")
+    table = RecordTable(spark, str(tmp_path / "records"))
+    looks = []
+    monkeypatch.setattr(table, "read", lambda *a, f=table.read: looks.append(1) or f(*a))
+
+    def visit(names, note):
+        rows = [(n, f"טופס 3\nבעל היתר: {note} {n}", i) for i, n in enumerate(names)]
+        texts = spark.createDataFrame(rows, "pdf_path string, ocr_text string, seq int")
+        texts.coalesce(1).write.mode("append").parquet(arrived)
+        stream = jobs.document_stream(spark, arrived, texts.schema)
+        jobs.extract_stream(stream, table, checkpoint, lambda b: extract.extract_records(b, "tesseract"), ["seq"]).awaitTermination()
+
+    visit(["a", "b"], "one")
+    assert len(looks) == 1
+    visit(["b", "a"], "two")
+    assert len(looks) == 1
+    visit(["b", "c"], "three")
+    assert len(looks) == 2
+    monkeypatch.undo()
+    assert {r.pdf_path: r.owner for r in table.read().collect()} == {"a": "one a", "b": "one b", "c": "three c"}
+    # Another stream, whose state knows nothing: the table still decides.
+    checkpoint = str(tmp_path / "other")
+    visit(["a", "d"], "four")
+    assert {r.pdf_path: r.owner for r in table.read().collect()}["a"] == "one a" and table.read().count() == 4
