@@ -158,7 +158,7 @@ def _descending_text(value: Column) -> Column:
     return F.concat(F.translate(F.hex(value), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
 
 
-def _ascending_key(sort: Sort) -> Column:
+def ascending_key(sort: Sort) -> Column:
     """Sort key turned so that ascending order is the wanted order, as a min aggregate needs it."""
     key = sort.key()
     if sort.ascending:
@@ -173,7 +173,7 @@ def grouped_heads(records: DataFrame, sort: Sort | None = None) -> DataFrame:
     """
     sort = sort or Sort()
     rest = [name for name in records.columns if name not in sort.tie_break]
-    place = F.struct(_ascending_key(sort).alias("_key"), *[F.col(name) for name in [*sort.tie_break, *rest]])
+    place = F.struct(ascending_key(sort).alias("_key"), *[F.col(name) for name in [*sort.tie_break, *rest]])
     newest_first = sort.column == "date" and not sort.ascending
     if newest_first:
         # The first row of a group is its newest, so one aggregate gives both.

@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 from permitwright.plans import browse
 from permitwright.plans.browse import Filters, Sort
-from permitwright.sources.tables import EXPORT_LABELS
+from permitwright.plans.facets import FacetDictionary
+from permitwright.plans.order_index import OrderIndex
+from permitwright.plans.search import SearchIndex
+from permitwright.session import fresh_dir
+from permitwright.sources.tables import EXPORT_LABELS, RecordTable
 from permitwright.suite import rules as R
 from permitwright.suite.registry import query
 
@@ -198,3 +202,77 @@ def page_of_groups(fx):
 def export_rows(fx):
     wanted = browse.filtered(fx["fx_permits"], Filters(missing_only=True))
     return browse.labelled(browse.sorted_records(wanted), ["position"])
+
+
+_DEEP = 7
+
+
+@query(
+    "page_by_stored_order",
+    f"""select *, cast(row_number() over (order by {R.NEWEST}) as bigint) as position from fx_permits
+    qualify position > {_DEEP * 40} and position <= {_DEEP * 40 + 40}""",
+)
+def page_by_stored_order(fx):
+    """A deep page from an order that is stored once for all pages."""
+    index = OrderIndex(fx.spark, fresh_dir(fx.spark, "order"), ranges=8)
+    index.build(fx["fx_permits"])
+    return index.page(fx["fx_permits"], _DEEP)
+
+
+@query(
+    "page_of_groups_by_stored_order",
+    f"""with {_GROUPS} select group_key, group_size, {R.RECORD_LIST}, position, "groups",
+      cast(ceil("groups" / 40.0) as bigint) as pages
+    from (select *, count(*) over () as "groups" from heads) h where position > {_PAGE * 40} and position <= {_PAGE * 40 + 40}""",
+)
+def page_of_groups_by_stored_order(fx):
+    index = OrderIndex(fx.spark, fresh_dir(fx.spark, "order"), grouped=True, ranges=8)
+    index.build(fx["fx_permits"])
+    return index.page(fx["fx_permits"], _PAGE)
+
+
+def _kept_dictionary(fx):
+    """A dictionary of the records known before, kept through an append and a change of the owners' architects."""
+    known, every = fx["fx_known_records"], fx["fx_permits"]
+    dictionary = FacetDictionary(fx.spark, fresh_dir(fx.spark, "facets"))
+    dictionary.rebuild(known.withColumn("architect", F.concat("architect", F.lit(" ישן"))), 1)
+    fresh = every.join(known.select("pdf_path"), "pdf_path", "left_anti").select(*every.columns)
+    dictionary.change(1, 2, added=fresh)
+    dictionary.change(2, 3, added=known, removed=known.withColumn("architect", F.concat("architect", F.lit(" ישן"))))
+    return dictionary
+
+
+@query(
+    "facet_dictionary",
+    f"""with {_FACETS} select facet, value, case when facet in ('year', 'gush') then cast(value as double) end as number
+    from facets""",
+)
+def facet_dictionary(fx):
+    return _kept_dictionary(fx).values(3)
+
+
+@query(
+    "suggest_from_dictionary",
+    f"""with {_FACETS}, top as (select value from facets where facet = 'architect' and contains(value, 'לוי')
+      order by value limit 20)
+    select value, cast(row_number() over (order by value) as int) as rank from top""",
+)
+def suggest_from_dictionary(fx):
+    return _kept_dictionary(fx).suggest(3, "architect", "לוי")
+
+
+@query(
+    "search_with_file_filters",
+    "select pdf_path from fx_permits where "
+    + " or ".join(f"contains(lower({c}), 'arch ltd')" for c in R.RECORD)
+    + " union all select concat('rare ', pdf_path) from fx_permits where "
+    + " or ".join(f"contains(lower({c}), '/france/pdfs/')" for c in R.RECORD),
+)
+def search_with_file_filters(fx):
+    """A needle that is in most files, and one that is in a city's files alone."""
+    table = RecordTable(fx.spark, fresh_dir(fx.spark, "records"))
+    table.append(fx["fx_permits"])
+    index = SearchIndex(table, fresh_dir(fx.spark, "search"))
+    index.refresh()
+    rare = index.search("/FRANCE/pdfs/").select(F.concat(F.lit("rare "), "pdf_path").alias("pdf_path"))
+    return index.search(" Arch LTD ").select("pdf_path").unionAll(rare)
