@@ -53,9 +53,8 @@ def _breaks_out(body: Column) -> Column:
     return body.rlike(r"\}\s*,") & (F.coalesce(F.size(F.json_object_keys(_wrapped(body))), F.lit(0)) != 2)
 
 
-def response_json(text: Column) -> Column:
-    """Parsed response, for `response_values`."""
-    body = response_body(text)
+def body_json(body: Column) -> Column:
+    """Parsed response body, for `response_values`. The body is named several times, so it should be a column by itself."""
     return F.when(~_breaks_out(body), F.from_json(_wrapped(body), _WRAPPED_TYPE, _JSON_OPTIONS))
 
 
@@ -73,7 +72,8 @@ def response_values(parsed: Column) -> tuple[dict[str, Column], dict[str, Column
 
 def parse_responses(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """`keep` columns plus value and confidence per field."""
-    parsed = df.select(*keep, response_json(F.col(text)).alias("_json"))
+    bodies = df.select(*keep, response_body(F.col(text)).alias("_body"))
+    parsed = bodies.select(*keep, body_json(F.col("_body")).alias("_json"))
     values, confidences = response_values(F.col("_json"))
     return parsed.select(*keep, *aliased(values), *aliased(confidences, "_confidence"))
 
