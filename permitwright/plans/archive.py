@@ -13,9 +13,13 @@ from pyspark.sql import functions as F
 
 from permitwright.operators import documents, extract, ledger, upkeep
 from permitwright.operators.rank import key_set
-from permitwright.schema import DOWNLOADED, ERROR, PENDING
+from permitwright.schema import DOWNLOADED, ERROR, PENDING, as_records
 from permitwright.session import fresh_dir
 from permitwright.plans import browse
+from permitwright.plans.facets import FacetDictionary
+from permitwright.plans.order_index import OrderIndex
+from permitwright.plans.search import SearchIndex
+from permitwright.sources import store
 from permitwright.sources.tables import LedgerTable, RecordTable, write_export, write_record_csv
 
 
@@ -30,6 +34,9 @@ class Archive:
         self.root = root.rstrip("/")
         self.records = RecordTable(spark, f"{self.root}/records")
         self.ledger = LedgerTable(spark, f"{self.root}/ledger")
+        # What answers questions without a scan of the records; each knows the version of the table it belongs to.
+        self.facets = FacetDictionary(spark, f"{self.root}/facets")
+        self.search_index = SearchIndex(self.records, f"{self.root}/search")
 
     def status(self) -> DataFrame:
         """Files per status, and in total."""
@@ -83,8 +90,8 @@ class Archive:
         entries = self.ledger.read()
         work = upkeep.first_records(ledger.pending_extraction(entries, self.records.read()), [F.col("file_id")])
         ready = texts.join(work.select("pdf_path"), "pdf_path", "left_semi").select(*texts.columns)
-        found = extract.extract_records(ready, mode, geometry, responses)
-        self.records.append(extract.stamp_records(found, work))
+        found = self._stored(extract.stamp_records(extract.extract_records(ready, mode, geometry, responses), work), "extracted")
+        self._append_records(found)
         settled = ready.select("pdf_path")
         if failures is not None:
             settled = settled.unionByName(failures.select("pdf_path"))
@@ -104,7 +111,7 @@ class Archive:
         """
         marked = self._stored(extract.with_outcome(responses), "responses")
         fresh = self._stored(upkeep.batch_records(marked, self.records.read(), F.lit(city)), "batch-records")
-        self.records.append(fresh)
+        self._append_records(fresh)
         aside = marked.filter("outcome = 'quarantined'")
         aside.write.mode("append").parquet(f"{self.root}/quarantine")
         written = fresh.agg(F.count("*").alias("written"))
@@ -148,10 +155,48 @@ class Archive:
         counts = self._stored(upkeep.review_summary(result.unionByName(others)), "summary")
         touched = _cities(result.filter("changed"))
         if touched:
-            self.records.rewrite(result.filter(F.col("city").isin(touched)), touched)
+            base, old, new = self.records.version(), self.records.read(touched), result.filter(F.col("city").isin(touched))
+            self.facets.change(base, self.records.rewrite(new, touched), added=new, removed=old)
             self.records.clean()
         return counts
 
+    def _append_records(self, rows: DataFrame) -> None:
+        base = self.records.version()
+        self.facets.change(base, self.records.append(rows), added=as_records(rows))
+
+    def _facet_version(self) -> int:
+        """The records' version, with its dictionary made if it was not kept."""
+        version = self.records.version()
+        if version not in self.facets.versions():
+            self.facets.rebuild(self.records.read(), version)
+        return version
+
+    def choices(self) -> DataFrame:
+        """Values to filter by, from the kept dictionary."""
+        return self.facets.values(self._facet_version())
+
+    def suggest(self, facet: str, needle: str = "", count: int = browse.SUGGESTIONS) -> DataFrame:
+        """First values of a facet that contain the text as typed, from the kept dictionary."""
+        return self.facets.suggest(self._facet_version(), facet, needle, count)
+
+    def search(self, text: str, filters: browse.Filters | None = None) -> DataFrame:
+        """Records in which any column holds the text; files that cannot hold it are not read. New files are indexed first."""
+        self.search_index.refresh()
+        return self.search_index.search(text, filters)
+
+    def page(self, page: int, sort: browse.Sort | None = None, grouped: bool = False, size: int = browse.PAGE_SIZE) -> DataFrame:
+        """One page of all records or addresses. The order is stored with the first page that is asked of a version and sort."""
+        sort, version = sort or browse.Sort(), self.records.version()
+        for old in store.numbered(self.spark, f"{self.root}/order", "table"):
+            if old < version:
+                store.remove(self.spark, f"{self.root}/order/table={old}")
+        name = f"{sort.column}-{'up' if sort.ascending else 'down'}-{'-'.join(sort.tie_break)}{'-addresses' * grouped}"
+        index = OrderIndex(self.spark, f"{self.root}/order/table={version}/{name}", sort, grouped)
+        records = self.records.read()
+        if not index.is_built():
+            index.build(records)
+        return index.page(records, page, size)
+
     def review(self) -> DataFrame:
         """Records that need a look."""
         return upkeep.review_queue(self.records.read())

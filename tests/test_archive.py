@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from permitwright.plans.archive import Archive
-from permitwright.plans.browse import Filters, browse
+from permitwright.plans.browse import Filters, browse, facet_values, filtered, grouped_by_address, sorted_records, suggest_values
 
 LINKS = (
     "city string, file_id string, pos int, doc_type string, description string, date string, entity_type string,"
@@ -137,3 +137,31 @@ def test_marks_are_recorded_by_city(spark, archive):
         ("lod", "1"): ("pending", [], None, "/f1"), ("lod", "2"): ("pending", [], None, "/f2"),
     }
     assert files(archive.ledger, ["lod"]) == before
+
+
+def test_stored_answers_follow_the_records(spark, archive, columns):
+    """Choices, search and pages stay equal to the full computation through appends and corrections."""
+    def told(df):
+        return sorted(map(tuple, df.collect()), key=str)
+
+    def check():
+        rows = archive.records.read()
+        assert told(archive.choices()) == told(facet_values(rows))
+        assert [tuple(r) for r in archive.suggest("architect", "אדר").collect()] == [tuple(r) for r in suggest_values(rows, "architect", "אדר").collect()]
+        assert told(archive.search("לוי")) == told(filtered(rows, Filters(text="לוי")))
+        assert told(archive.page(0, size=3)) == told(sorted_records(rows).filter("position <= 3"))
+        assert told(archive.page(0, grouped=True, size=2).drop("groups", "pages")) == told(grouped_by_address(rows).filter("position <= 2"))
+
+    archive.records.append(columns(
+        city=["akko", "akko", "arad", ""], pdf_path=["a", "b", "c", "d"], owner=["", "משפחת לוי", "x", "משפחת כהן"], architect=["אדריכל דן", "", "אדריכל רון", "אדריכל דן"],
+        date=["1/1/2005", "1/1/2010", "", "2/2/2002"], address=["הרצל 1", "הרצל 1", "ויצמן 5", ""], gush=["3600", "3601", "x", ""]))
+    check()
+    version = archive.records.version()
+    archive.correct(columns(pdf_path=["a", "b"], owner=["משפחת לוי", ""], architect=["", "אדריכל גל"], action=["save", "save"]))
+    # Kept by the change itself, not made anew when asked.
+    assert archive.records.version() > version and archive.records.version() in archive.facets.versions()
+    check()
+    answers = spark.createDataFrame([("e", '{"owner": "משפחת לוי", "architect": "אדריכל טל"}')], "record_id string, response_text string")
+    archive.take_batch_results(answers, "lod")
+    assert archive.records.version() in archive.facets.versions()
+    check()
