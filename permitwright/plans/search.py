@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from urllib.parse import unquote
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,8 @@ from permitwright.sources.tables import RecordTable
 # Bits of a file's filter. A file with more than about a fifth as many different trigrams no longer leaves out much.
 BITS = 1 << 16
 _GRAM = 3
+# Parts of an index are named after how their bits are made; parts of another name are not read.
+_PART = "mixed"
 
 
 # What comes before a file's place in the table.
@@ -30,14 +35,31 @@ def _joined(columns: list[str]) -> Column:
     return F.lower(F.concat_ws("\0", *columns))
 
 
-def _grams(text: Column) -> Column:
-    """Every run of three characters of a text, once; nothing for a shorter one."""
-    starts = F.when(F.char_length(text) >= _GRAM, F.sequence(F.lit(1), F.char_length(text) - (_GRAM - 1))).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, F.lit(_GRAM))))
+def _grams(points: np.ndarray) -> np.ndarray:
+    """The bit of every run of three characters, from code points one after the other."""
+    p = points.astype(np.uint64)
+    mixed = ((p[:-2] << np.uint64(42)) ^ (p[1:-1] << np.uint64(21)) ^ p[2:]) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(48)
 
 
-def _bits(text: Column) -> Column:
-    return F.transform(_grams(text), lambda g: F.pmod(F.xxhash64(g), F.lit(BITS)).cast("int"))
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, text) rows to (file, bits): one bitmap per run of rows of a file, with a break between texts that no needle spans."""
+    for batch in batches:
+        files, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        starts = [i for i in range(len(files)) if not i or files[i] != files[i - 1]]
+        bits = []
+        for start, end in zip(starts, [*starts[1:], len(files)], strict=True):
+            found = np.zeros(BITS, bool)
+            points = _points("\0\0".join(texts[start:end]))
+            if len(points) >= _GRAM:
+                found[_grams(points)] = True
+            bits.append(np.packbits(found, bitorder="little").view("<i8"))
+        shape = pa.schema([("file", pa.string()), ("bits", pa.list_(pa.int64()))])
+        yield pa.RecordBatch.from_arrays([pa.array([files[i] for i in starts], pa.string()), pa.array(bits, shape.field(1).type)], schema=shape)
 
 
 class SearchIndex:
@@ -56,7 +78,7 @@ class SearchIndex:
         self.root = root.rstrip("/")
 
     def _known(self) -> DataFrame:
-        parts = [f"{self.root}/{name}" for name in store.names(self.spark, self.root)]
+        parts = [f"{self.root}/{name}" for name in store.names(self.spark, self.root) if name.startswith(f"{_PART}-")]
         parts = [part for part in parts if store.is_complete(self.spark, part)]
         return self.spark.read.schema(self.schema).parquet(*parts) if parts else self.spark.createDataFrame([], self.schema)
 
@@ -71,13 +93,12 @@ class SearchIndex:
         if fresh:
             rows = self._rows(fresh)
             place = F.url_decode(F.replace(F.substring_index("_metadata.file_path", _DATA, -1), F.lit("+"), F.lit("%2B")))
-            bits = rows.select(place.alias("file"), F.explode(_bits(_joined(self._columns()))).alias("bit"))
-            longs = bits.select("file", F.shiftright("bit", 6).alias("at"), F.pmod("bit", F.lit(64)).alias("bit")).distinct()
-            filled = longs.groupBy("file", "at").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))).alias("long"))
-            found = filled.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("at", "long"))).alias("m"))
-            every = F.sequence(F.lit(0), F.lit((BITS >> 6) - 1))
-            dense = found.select("file", F.transform(every, lambda i: F.coalesce(F.element_at("m", i), F.lit(0).cast("bigint"))).alias("bits"))
-            dense.write.parquet(f"{self.root}/{fresh_dir(self.spark, 'part').rsplit('/', 1)[1]}")
+            # Texts go to numpy tasks, bitmaps come back: what is joined after that is a bitmap per file and batch of rows.
+            bits = rows.select(place.alias("file"), _joined(self._columns()).alias("text")).mapInArrow(_bitmaps, self.schema)
+            longs = bits.select("file", F.posexplode("bits").alias("at", "long")).groupBy("file", "at").agg(F.bit_or("long").alias("long"))
+            found = longs.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("at", "long"))).alias("m"))
+            dense = found.select("file", F.transform("m", lambda m: m["long"]).alias("bits"))
+            dense.write.parquet(f"{self.root}/{fresh_dir(self.spark, _PART).rsplit('/', 1)[1]}")
         return len(fresh)
 
     def _columns(self) -> list[str]:
@@ -93,7 +114,7 @@ class SearchIndex:
         current = self._current()
         if len(needle) < _GRAM or "\0" in needle:
             return current
-        wanted = sorted({row["b"] for row in self.spark.range(1).select(F.explode(_bits(F.lit(needle))).alias("b")).collect()})
+        wanted = sorted({int(bit) for bit in _grams(_points(needle))})
         lacking = F.lit(False)
         for bit in wanted:
             has = F.call_function("shiftright", F.get("bits", F.lit(bit >> 6)), F.lit(bit & 63)).bitwiseAND(F.lit(1).cast("bigint"))

@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from permitwright.operators import upkeep
-from permitwright.plans import browse
+from permitwright.plans import browse, search
 from permitwright.plans.browse import Filters, Sort
 from permitwright.plans.facets import FacetDictionary
 from permitwright.plans.order_index import OrderIndex
@@ -112,3 +114,24 @@ def test_search_leaves_out_files_and_no_row(spark, records, tmp_path):
     assert index.refresh() == 1 and len(index.files("zebra")) == 1
     found = index.search("akko", Filters(year_from=2000))
     assert found.count() == browse.filtered(table.read(), Filters(text="akko", year_from=2000)).count()
+
+
+def test_bitmaps_hold_every_run_of_three_characters():
+    """One pass over a task's rows: a row per file, no row per trigram."""
+    texts = ["abc", "", "x", "בעל היתר", "a\0b\U0001f600c"]
+    batch = pa.RecordBatch.from_pydict({"file": ["f", "f", "f", "f", "g"], "text": texts})
+    (out,) = search._bitmaps(iter([batch]))
+    assert out.column(0).to_pylist() == ["f", "g"]
+    bitmaps = [np.unpackbits(np.array(bits, "<i8").view(np.uint8), bitorder="little") for bits in out.column(1).to_pylist()]
+    for text, bitmap in zip(texts, [bitmaps[0]] * 4 + [bitmaps[1]], strict=True):
+        assert all(bitmap[search._grams(search._points(text[i : i + 3]))].all() for i in range(len(text) - 2))
+    assert bitmaps[1].sum() <= 3 and not bitmaps[1][search._grams(search._points("abc"))].any()
+
+
+def test_an_index_of_other_bits_is_not_believed(spark, records, tmp_path):
+    table = RecordTable(spark, str(tmp_path / "t"))
+    table.append(records)
+    index = SearchIndex(table, str(tmp_path / "s"))
+    empty = [(file, [0] * (search.BITS >> 6)) for file in index._current()]
+    spark.createDataFrame(empty, "file string, bits array<bigint>").write.parquet(str(tmp_path / "s" / "part-1"))
+    assert index.refresh() == len(empty) and index.search("akko").count() > 0
