@@ -6,7 +6,7 @@ a restart goes on where the last one ended.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from urllib.parse import unquote
 
 import pandas as pd
@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from permitwright.operators.ledger import KEY, histories, replayed_entries, status_changes, summed, with_total
 from permitwright.operators.rank import key_set
@@ -34,32 +33,30 @@ def document_stream(spark: SparkSession, path: str, schema, files_per_batch: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def first_arrivals(texts: DataFrame, order: list[str], retention: str = RETENTION) -> DataFrame:
-    """(pdf_path, file, row) of each arriving document that has not arrived within `retention`, the first in `order` of its batch.
+def arrivals(texts: DataFrame, order: list[str], retention: str = RETENTION) -> DataFrame:
+    """Every arriving row's place (pdf_path, order, file, row), and one more row, with `fresh` set, per document that has not
+    arrived within `retention`.
 
-    `texts` is a stream of Parquet files. A document's time is that of its batch, so none comes late but by clocks that differ by
-    more than CLOCKS. The state per document is when it was first seen, kept until that time is `retention` past. Only keys and
-    places go through the state; texts stay in their files.
+    `texts` is a stream of Parquet files, read as one source. A document's time is that of its batch, so none comes late but by
+    clocks that differ by more than CLOCKS. The state per document is its key and when it may go. Only keys and places go
+    through the stream; texts stay in their files.
     """
-    kept = pd.Timedelta(retention) // pd.Timedelta(milliseconds=1)
+    # A key stays for a delay after its time has left the watermark, which is as much behind: twice the delay.
+    delay = max((pd.Timedelta(retention) + pd.Timedelta(CLOCKS)) / 2, pd.Timedelta(CLOCKS)) // pd.Timedelta(milliseconds=1)
     place = texts.select(
         "pdf_path", *order, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
-        F.current_timestamp().alias("arrived")).withWatermark("arrived", CLOCKS)
+        F.current_timestamp().alias("arrived"))
+    keys = place.select("pdf_path", "arrived").withWatermark("arrived", f"{delay} milliseconds").dropDuplicatesWithinWatermark(["pdf_path"])
+    return place.drop("arrived").withColumn("fresh", F.lit(False)).unionByName(
+        keys.select("pdf_path", F.lit(True).alias("fresh")), allowMissingColumns=True)
 
-    def arrive(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(frames))
-        if state.exists:
-            return
-        seen = int(rows["arrived"].max().timestamp() * 1000)
-        state.update((seen,))
-        state.setTimeoutTimestamp(max(seen, state.getCurrentWatermarkMs()) + kept)
-        yield rows.sort_values([*order, "file", "row"]).head(1)[["pdf_path", "file", "row"]]
 
-    return place.groupBy("pdf_path").applyInPandasWithState(
-        arrive, "pdf_path string, file string, row long", "seen long", "append", GroupStateTimeout.EventTimeTimeout)
+def first_places(batch: DataFrame, order: list[str]) -> DataFrame:
+    """(pdf_path, file, row) of a batch's fresh documents, the first in `order`; missing values come last."""
+    ranks = [c for i, name in enumerate(order) for c in (F.col(name).isNull().alias(f"_n{i}"), F.col(name).alias(f"_o{i}"))]
+    first = F.min(F.when(~F.col("fresh"), F.struct(*ranks, "file", "row"))).alias("_first")
+    found = batch.groupBy("pdf_path").agg(first, F.max("fresh").alias("fresh"))
+    return found.filter("fresh").select("pdf_path", "_first.file", "_first.row")
 
 
 def extract_stream(
@@ -82,11 +79,12 @@ def extract_stream(
         spark = batch.sparkSession
         path = fresh_dir(spark, "arrivals")
         batch.write.parquet(path)
-        arrivals = spark.read.schema(batch.schema).parquet(path)
-        if arrivals.isEmpty():
+        arrived = spark.read.schema(batch.schema).parquet(path)
+        if arrived.filter("fresh").isEmpty():
             return
-        known = table.read().select("pdf_path").join(arrivals.select("pdf_path"), "pdf_path", "left_semi")
-        fresh = arrivals.join(key_set(known, ["pdf_path"]), "pdf_path", "left_anti")
+        first = first_places(arrived, order or [])
+        known = table.read().select("pdf_path").join(first.select("pdf_path"), "pdf_path", "left_semi")
+        fresh = first.join(key_set(known, ["pdf_path"]), "pdf_path", "left_anti")
         files = [unquote(row["file"]) for row in fresh.select("file").distinct().collect()]  # at most a batch's files
         if not files:
             return
@@ -95,8 +93,7 @@ def extract_stream(
         wanted = fresh.select(F.col("file").alias("_file"), F.col("row").alias("_row"))
         table.append(extract(places.join(wanted, ["_file", "_row"], "left_semi").select(*texts.columns)))
 
-    arrivals = first_arrivals(texts, order or [], retention)
-    return arrivals.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return arrivals(texts, order or [], retention).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 _STORED = T.StructType([*LEDGER_SCHEMA.fields, T.StructField("bucket", T.IntegerType())])

@@ -278,3 +278,30 @@ def test_repeats_of_later_batches_never_meet_the_table(spark, tmp_path, monkeypa
     checkpoint = str(tmp_path / "other")
     visit(["a", "d"], "four")
     assert {r.pdf_path: r.owner for r in table.read().collect()}["a"] == "one a" and table.read().count() == 4
+
+
+def test_arrivals_are_told_apart_by_spark_and_the_first_place_wins(spark, tmp_path):
+    """No Python call per document: the state is Spark's own, and a batch's first row is found by an aggregate."""
+    arrived = str(tmp_path / "arrived")
+    rows = [("a", 2, "late"), ("a", None, "none"), ("a", 1, "first"), (None, 5, "nameless"), ("b", None, "only"), (None, 4, "nameless")]
+    texts = spark.createDataFrame(rows, "pdf_path string, seq int, ocr_text string").coalesce(1)
+    texts.write.parquet(arrived)
+    found = []
+
+    def visit():
+        def write(batch, batch_id):
+            found.append(sorted(map(tuple, jobs.first_places(batch, ["seq"]).select("pdf_path", "row").collect()), key=str))
+
+        stream = jobs.arrivals(jobs.document_stream(spark, arrived, texts.schema), ["seq"]).writeStream.foreachBatch(write)
+        query = stream.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query.recentProgress
+
+    progress = visit()
+    assert len(progress[0]["sources"]) == 1
+    assert [s["operatorName"] for s in progress[0]["stateOperators"]] == ["dedupeWithinWatermark"]
+    assert found[0] == [("a", 2), ("b", 4), (None, 5)] and not any(found[1:])
+    found.clear()
+    texts.filter("pdf_path = 'a'").union(spark.createDataFrame([("c", 1, "new")], texts.schema)).coalesce(1).write.mode("append").parquet(arrived)
+    visit()
+    assert [[name for name, _ in batch] for batch in found if batch] == [["c"]]
