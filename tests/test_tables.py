@@ -2,6 +2,7 @@
 
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from permitwright.schema import ALL_COLUMNS, RECORD_COLUMNS, as_records
 from permitwright.sources import ledger, pages, tables
 from permitwright.sources.inventory import InventoryLog
+from permitwright.suite import storage
 
 
 def record(**values):
@@ -233,3 +235,17 @@ def test_inventory_changes_between_visits(spark, tmp_path):
     assert log.changes(0, 2).count() == 4 and {r.change for r in log.changes(0, 2).collect()} == {"added"}
     log.visit()
     assert log.visits() == [2, 3] and log.changes(2, 3).count() == 0
+
+
+def test_a_citys_files_are_written_by_many_tasks(spark, tmp_path):
+    per_folder = storage._PER_FILE * storage._PER_FOLDER
+    count = 2 * per_folder + 50
+    rows = spark.range(count).select(F.lit("data/akko/pdfs/a").alias("folder"), F.format_string("p%07d", "id").alias("path"))
+    storage._store_documents(SimpleNamespace(spark=spark), rows, str(tmp_path / "s"))
+    found = tables.document_inventory(spark, str(tmp_path / "s"), "*.txt").collect()
+    assert len(found) == -(-count // storage._PER_FILE) and len({r.folder for r in found}) == 3
+    lines = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "s"))
+    assert lines.distinct().count() == lines.count() == count
+    storage._store_documents(SimpleNamespace(spark=spark), rows.limit(30), str(tmp_path / "s"), visit=2)
+    cities = tables.document_inventory(spark, str(tmp_path / "s"), "*.txt").groupBy(storage._city_of("folder").alias("city"))
+    assert [tuple(r) for r in cities.count().collect()] == [("akko", len(found) + 2)]
