@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from permitwright.functions.text import page_strip
+from permitwright.functions.text import PAGE_SPACE
 
 # Markers of a blocked page (the first plus any of the others) and of the portal's error page.
 BLOCK_VENDOR = "Cloudflare"
@@ -33,126 +38,139 @@ DOCUMENT_ROW = RowShape(link_part="DocumentViewer", min_cells=5)
 _REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\xa0", "&amp;": "&"}
 
 
-def _character(reference: Column) -> Column:
-    """The character of a numeric reference's body, such as 1488 or x5D0; the replacement character for no such one."""
-    code = F.when(reference.rlike("^[xX]"), F.conv(F.substring(reference, 2, 8), 16, 10)).otherwise(reference).try_cast("bigint")
-    text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    return F.when(usable, text).otherwise(F.lit("\ufffd"))
+# A numeric reference: its body is decimal, or hexadecimal behind an x.
+_NUMERIC = re.compile(r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});")
+_MARKUP = re.compile(r"<[^>]*>")
 
 
-def decoded(value: Column) -> Column:
+def _character(found: re.Match) -> str:
+    """The character of a numeric reference, such as 1488 or x5D0; the replacement character for no such one."""
+    body = found[1]
+    code = int(body[1:], 16) if body[0] in "xX" else int(body)
+    if code == 0xFEFF:
+        return ""  # a byte order mark is no text
+    return chr(code) if 1 <= code <= 0x10FFFF and not 0xD800 <= code <= 0xDFFF else "\ufffd"
+
+
+def decoded(value: str) -> str:
     """A text of markup with its character references replaced."""
-    # The text is cut in front of each numeric reference, and each piece but the first starts with one.
-    pieces = F.split(value, r"&#(?=[0-9]{1,7};|[xX][0-9a-fA-F]{1,6};)")
-    rest = F.transform(
-        F.slice(pieces, 2, F.size(pieces)),
-        lambda p: F.concat(_character(F.substring_index(p, ";", 1)), F.substr(p, F.instr(p, ";") + 1)),
-    )
-    numeric = F.when(value.contains("&#"), F.array_join(F.concat(F.slice(pieces, 1, 1), rest), "")).otherwise(value)
+    if "&" not in value:
+        return value
+    value = _NUMERIC.sub(_character, value)
     for reference, character in _REFERENCES.items():
-        numeric = F.replace(numeric, F.lit(reference), F.lit(character))
-    return numeric
+        value = value.replace(reference, character)
+    return value
 
 
-def _text(html: Column) -> Column:
-    return page_strip(decoded(F.regexp_replace(html, r"<[^>]*>", "")))
+def _text(html: str) -> str:
+    return decoded(_MARKUP.sub("", html) if "<" in html else html).strip(PAGE_SPACE)
 
 
-_TABLE_TAGS = "table|thead|tbody|tfoot|tr|td|th"
 # Tags that end a row, and those that end a cell, of the same table. A new row or cell ends the one before it.
-_ROW_ENDS = ["tr", "/tr", "tbody", "/tbody", "thead", "/thead", "tfoot", "/tfoot", "/table"]
-_CELL_ENDS = ["td", "/td", "th", "/th", *_ROW_ENDS]
+_ROW_ENDS = frozenset(["tr", "/tr", "tbody", "/tbody", "thead", "/thead", "tfoot", "/tfoot", "/table"])
+_CELL_ENDS = _ROW_ENDS | {"td", "/td", "th", "/th"}
+_TABLE_TAG = re.compile(r"<((?ai:/?(?:table|thead|tbody|tfoot|tr|td|th)))\b")
+_HEAD = re.compile(r"(?ai:<thead)\b(?s:.)*?(?ai:</thead>)")
 
 
-def _is_irregular(body: Column, shape: RowShape) -> Column:
-    """Whether a table stands in a table, or a row or cell is not closed: then patterns cannot find where rows end."""
-    def times(tag: str) -> Column:
-        return F.regexp_count(body, F.lit(rf"(?i)<{tag}\b"))
+@cache
+def _patterns(shape: RowShape) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    """A row's, a cell's and the link's; tags are ASCII in either case."""
+    row, cell = (re.compile(rf"(?ai:<{tag})\b[^>]*>((?s:.)*?)(?ai:</{tag}>)") for tag in (shape.row, shape.cell))
+    part = shape.link_part
+    space = r"[ \t\n\x0b\f\r]*"
+    return row, cell, re.compile(rf"""(?ai:<a)\b[^>]*?(?ai:href){space}={space}("[^"]*(?ai:{part})[^"]*"|'[^']*(?ai:{part})[^']*')""")
 
-    nested = F.exists(F.split(body, "(?i)</table"), lambda part: F.regexp_count(part, F.lit(r"(?i)<table\b")) > 1)
-    return nested | (times(shape.row) != times(f"/{shape.row}")) | (times(shape.cell) != times(f"/{shape.cell}"))
 
+def _is_irregular(tags: list[str], shape: RowShape) -> bool:
+    """Whether a table stands in a table, or a row or cell is not closed: then patterns cannot find where rows end."""
+    inside = 0
+    for tag in tags:
+        inside = inside + 1 if tag == "table" else 0 if tag == "/table" else inside
+        if inside > 1:
+            return True
+    return any(tags.count(tag) != tags.count(f"/{tag}") for tag in (shape.row, shape.cell))
 
-def _stretches(marks: Column, starts: str) -> Column:
-    """(at, end) of each `starts` tag among sorted marks, in page order: it reaches to its successor in the same table."""
-    paired = F.zip_with(
-        marks, F.slice(marks, 2, F.greatest(F.size(marks), F.lit(1))),
-        lambda t, after: F.struct(
-            t["at"].alias("at"), F.when(after["depth"] == t["depth"], after["at"]).otherwise(F.lit(1 << 30)).alias("end"), t["kind"].alias("kind")),
-    )
-    return F.array_sort(F.filter(paired, lambda t: t["kind"] == starts))
 
+def _stretches(marks: list[tuple[int, int, str]], starts: str) -> list[tuple[int, int]]:
+    """(at, end) of each `starts` tag among (depth, at, kind) marks, in page order: it reaches to its successor in the same table."""
+    marks = sorted(marks)
+    following = [*marks[1:], (-1, 0, "")][: len(marks)]
+    found = [(mark[1], after[1] if after[0] == mark[0] else None) for mark, after in zip(marks, following, strict=True) if mark[2] == starts]
+    return sorted(found, key=lambda stretch: stretch[0])
 
-def _with_balanced_rows(bodies: DataFrame, shape: RowShape) -> DataFrame:
-    """Add `_rows`, (html, cells) of every row in page order, to irregular pages: by the running depth of tables over a page's tags.
 
-    A row that holds a table holds its rows and cells too, and these rows come once more as rows of their own. Each step is a
-    column of its own, so that none is evaluated again for every tag.
-    """
-    body = F.when(F.col("_odd"), F.col("_body"))
-    pieces = bodies.withColumn("_pieces", F.split(body, rf"(?i)(?=</?(?:{_TABLE_TAGS})\b)"))
+def _balanced_rows(body: str, tags: list[str], shape: RowShape) -> list[tuple[str, list[str]]]:
+    """(html, cells) of every row in page order, by the running depth of tables over a page's tags.
 
-    def walked(state: Column, piece: Column) -> Column:
-        kind = F.lower(F.regexp_extract(piece, rf"(?i)^<(/?(?:{_TABLE_TAGS}))\b", 1))
+    A row that holds a table holds its rows and cells too, and these rows come once more as rows of their own.
+    """
+    starts = [tag.start() for tag in _TABLE_TAG.finditer(body)]
+    depth, marks = 0, []
+    for at, kind in enumerate(tags):
         # A table's own tags stand at the depth of what is in it.
-        inside = F.when(kind == "table", state["depth"] + 1).otherwise(state["depth"])
-        tag = F.struct(inside.alias("depth"), F.size(state["tags"]).alias("at"), kind.alias("kind"))
-        after = F.when(kind == "/table", F.greatest(inside - 1, F.lit(0))).otherwise(inside)
-        return F.struct(after.alias("depth"), F.concat(state["tags"], F.array(tag)).alias("tags"))
-
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<struct<depth: int, at: int, kind: string>>").alias("tags"))
-    tags = pieces.withColumn("_tags", F.aggregate("_pieces", start, walked, lambda state: state["tags"]))
-    marks = tags.withColumns({
-        "_row_marks": F.array_sort(F.filter("_tags", lambda t: t["kind"].isin(_ROW_ENDS))),
-        "_cell_marks": F.array_sort(F.filter("_tags", lambda t: t["kind"].isin(_CELL_ENDS))),
-    })
-
-    def text(at: Column, end: Column) -> Column:
-        return F.array_join(F.slice("_pieces", at + 1, F.greatest(end - at, F.lit(1))), "")
-
-    cells = marks.withColumn("_cells", F.transform(
-        _stretches(F.col("_cell_marks"), shape.cell), lambda c: F.struct(c["at"].alias("at"), text(c["at"], c["end"]).alias("html"))))
-    return cells.withColumn("_rows", F.transform(
-        _stretches(F.col("_row_marks"), shape.row),
-        lambda r: F.struct(
-            text(r["at"], r["end"]).alias("html"),
-            F.transform(F.filter("_cells", lambda c: (c["at"] > r["at"]) & (c["at"] < r["end"])), lambda c: c["html"]).alias("cells"),
-        ),
-    ))
-
-
-def _plain_rows(body: Column, shape: RowShape) -> Column:
+        depth += kind == "table"
+        marks.append((depth, at, kind))
+        if kind == "/table":
+            depth = max(depth - 1, 0)
+
+    def stretch(at: int, end: int | None) -> str:
+        return body[starts[at] : None if end is None else starts[end]]
+
+    cells = [(at, stretch(at, end)) for at, end in _stretches([m for m in marks if m[2] in _CELL_ENDS], shape.cell)]
+    return [
+        (stretch(at, end), [html for place, html in cells if at < place and (end is None or place < end)])
+        for at, end in _stretches([m for m in marks if m[2] in _ROW_ENDS], shape.row)
+    ]
+
+
+def _plain_rows(body: str, shape: RowShape) -> list[tuple[str, list[str]]]:
     """(html, cells) of every row of a page without tables in tables, whose rows and cells are all closed."""
-    rows = F.regexp_extract_all(body, F.lit(rf"(?is)<{shape.row}\b[^>]*>(.*?)</{shape.row}>"), F.lit(1))
-    cell = F.lit(rf"(?is)<{shape.cell}\b[^>]*>(.*?)</{shape.cell}>")
-    return F.transform(rows, lambda r: F.struct(r.alias("html"), F.regexp_extract_all(r, cell, F.lit(1)).alias("cells")))
+    row, cell, _ = _patterns(shape)
+    return [(html, cell.findall(html)) for html in row.findall(body)]
+
+
+def page_rows(html: str | None, shape: RowShape) -> list[tuple[int, str, list[str]]]:
+    """(place, link, cell texts) of every row of a page that has the link and enough cells."""
+    if not html:
+        return []
+    body = _HEAD.sub("", html)
+    rows = None
+    if (shape.row, shape.cell) == ("tr", "td"):
+        tags = [tag.lower() for tag in _TABLE_TAG.findall(body)]
+        if _is_irregular(tags, shape):
+            rows = _balanced_rows(body, tags, shape)
+    if rows is None:
+        rows = _plain_rows(body, shape)
+    link = _patterns(shape)[2]
+    told = []
+    for place, (row, cells) in enumerate(rows):
+        href = link.search(row) if len(cells) >= shape.min_cells else None
+        if href and len(href[1]) > 2:
+            told.append((place, decoded(href[1][1:-1]), [_text(cell) for cell in cells]))
+    return told
 
 
 def html_rows(pages: DataFrame, html: str, shape: RowShape, keep: list[str]) -> DataFrame:
     """`keep` columns, row_pos, href and cell texts (`cells`) of every row that has the link and enough cells.
 
     Rows of a table's head do not count. Links and texts come decoded; links may stand in either kind of quotes. Tables in
-    tables, and rows and cells without an end, are told apart by the depth of the tags.
+    tables, and rows and cells without an end, are told apart by the depth of the tags. A page is walked once, in a task of
+    Spark's; native expressions on arrays of tags cost five times as much.
     """
-    body = F.regexp_replace(F.col(html), r"(?is)<thead\b.*?</thead>", "")
-    bodies = pages.select(*keep, body.alias("_body"))
-    rows = _plain_rows(F.col("_body"), shape)
-    if (shape.row, shape.cell) == ("tr", "td"):
-        bodies = _with_balanced_rows(bodies.withColumn("_odd", _is_irregular(F.col("_body"), shape)), shape)
-        rows = F.when(F.col("_odd"), F.col("_rows")).otherwise(rows)
-    found = bodies.select(*keep, F.posexplode(rows).alias("row_pos", "_row"))
-    part = shape.link_part
-    link = rf"""(?is)<a\b[^>]*?href\s*=\s*("[^"]*{part}[^"]*"|'[^']*{part}[^']*')"""
-    href = F.regexp_extract("_row.html", link, 1)
-    parts = found.select(
-        *keep,
-        "row_pos",
-        decoded(F.substr(href, F.lit(2), F.greatest(F.length(href) - 2, F.lit(0)))).alias("href"),
-        F.col("_row.cells").alias("_cells"),
-    )
-    kept = parts.filter((F.col("href") != "") & (F.size("_cells") >= shape.min_cells))
-    return kept.select(*keep, "row_pos", "href", F.transform("_cells", _text).alias("cells"))
+    told = pages.select(*keep, F.col(html).alias("_html"))
+    shown = T.StructType([*told.schema.fields[:-1], T.StructField("row_pos", T.IntegerType(), False),
+                          T.StructField("href", T.StringType()), T.StructField("cells", T.ArrayType(T.StringType()))])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(at, *row) for at, page in enumerate(batch.column(batch.num_columns - 1).to_pylist()) for row in page_rows(page, shape)]
+            at, place, href, cells = zip(*rows, strict=True) if rows else ((), (), (), ())
+            kept = [column.take(pa.array(at, pa.int32())) for column in batch.columns[:-1]]
+            texts = [pa.array(place, pa.int32()), pa.array(href, pa.string()), pa.array(cells, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*kept, *texts], names=[*batch.schema.names[:-1], "row_pos", "href", "cells"])
+
+    return told.mapInArrow(walk, shown)
 
 
 def _cell(index: int) -> Column:
