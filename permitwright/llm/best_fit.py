@@ -47,7 +47,8 @@ class ByteEncoder:
     def encode(self, text: str) -> np.ndarray:
         if not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.array(self.fast.encode_ordinary(text), np.uint32)
+        # No string of a special token is in the text; the ids come as an array, with no list between.
+        return self.fast.encode_to_numpy(text, disallowed_special=())
 
 
 @lru_cache(maxsize=2)

@@ -707,3 +707,17 @@ def test_the_lexicon_knows_what_it_was_shown(spark):
     # The same again without toxic examples, and with repeated rows of documents.
     assert toxicity.learn_lexicon(docs_, labels.where("toxic = 0")).weights == {}
     assert toxicity.learn_lexicon(docs_.unionAll(docs_), labels).weights == lexicon.weights
+
+
+def test_byte_ids_come_as_one_array_and_as_the_library_gives_them(monkeypatch):
+    """Ordinary texts go to the merger that answers with an array, never by way of a list; others to the library."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, library = best_fit.ByteEncoder(path), Tokenizer.from_file(path)
+
+    def listed(self, text):
+        raise AssertionError("ids by way of a list")
+
+    monkeypatch.setattr(type(encoder.fast), "encode_ordinary", listed)
+    for text in ["", "a", "one  two\n\n three's ", "x" * 3000, "naïve 12345", "שלום 中文", "end <|endoftext|> of"]:
+        got = encoder.encode(text)
+        assert got.dtype == np.uint32 and got.tolist() == library.encode(text, add_special_tokens=False).ids, text
