@@ -55,8 +55,10 @@ def decoded(value: Column) -> Column:
     return numeric
 
 
-def _text(html: Column) -> Column:
-    return page_strip(decoded(F.regexp_replace(html, r"<[^>]*>", "")))
+def _texts(cells: Column) -> Column:
+    """The cells' texts. Markup goes in a pass of its own: `decoded` names its value several times, and each evaluates it."""
+    bare = F.transform(cells, lambda html: F.regexp_replace(html, r"<[^>]*>", ""))
+    return F.transform(bare, lambda text: page_strip(decoded(text)))
 
 
 _TABLE_TAGS = "table|thead|tbody|tfoot|tr|td|th"
@@ -152,7 +154,7 @@ def html_rows(pages: DataFrame, html: str, shape: RowShape, keep: list[str]) ->
         F.col("_row.cells").alias("_cells"),
     )
     kept = parts.filter((F.col("href") != "") & (F.size("_cells") >= shape.min_cells))
-    return kept.select(*keep, "row_pos", "href", F.transform("_cells", _text).alias("cells"))
+    return kept.select(*keep, "row_pos", "href", _texts(F.col("_cells")).alias("cells"))
 
 
 def _cell(index: int) -> Column:

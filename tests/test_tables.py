@@ -249,3 +249,10 @@ def test_a_citys_files_are_written_by_many_tasks(spark, tmp_path):
     storage._store_documents(SimpleNamespace(spark=spark), rows.limit(30), str(tmp_path / "s"), visit=2)
     cities = tables.document_inventory(spark, str(tmp_path / "s"), "*.txt").groupBy(storage._city_of("folder").alias("city"))
     assert [tuple(r) for r in cities.count().collect()] == [("akko", len(found) + 2)]
+
+
+def test_markup_goes_before_references_are_decoded(columns):
+    """Texts in two passes: what a reference stands for is text, never markup, and markup is taken out once per cell."""
+    cells = columns(a=["<b>&lt;i&gt;</b> "], b=["&#x5D0;<br>&amp;lt;"]).select(pages._texts(F.array("a", "b")))
+    assert cells.first()[0] == ["<i>", "א&lt;"]
+    assert cells._jdf.queryExecution().analyzed().toString().count("<[^>]*>") == 1
