@@ -30,6 +30,11 @@ BUCKET_TOKENS = 500_000
 _HELD = 1_000_000
 # Longs of the bitmap by which sets that are still apart are told from each other.
 SKETCH_LONGS = 8
+# Sets of a signature that are still apart are compared with one of them, this often at most, while more pairs than this per row are left.
+ROUNDS = 6
+PAIRS_PER_ROW = 8
+# Different sets drawn from a group of the same signatures in a round.
+DRAWN = 4
 
 
 def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -290,7 +295,7 @@ def _may_link(a: str, b: str, percent: int) -> Column:
 
 
 def _sketches(sets: DataFrame) -> DataFrame:
-    """(key, b0, b1, ...): a bitmap of a set's shared tokens in longs."""
+    """(key, b0, b1, ...): for each hash value of tokens whether an odd number of a set's shared tokens has it, as bits of longs."""
     names = [f"b{i}" for i in range(SKETCH_LONGS)]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -298,19 +303,17 @@ def _sketches(sets: DataFrame) -> DataFrame:
             bits = np.zeros((len(frame), SKETCH_LONGS), np.uint64)
             for row, tokens in enumerate(frame["tokens"]):
                 place = mixed(np.asarray(tokens, np.int64).view(np.uint64)) % np.uint64(64 * SKETCH_LONGS)
-                np.bitwise_or.at(bits[row], (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+                np.bitwise_xor.at(bits[row], (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
             yield pd.DataFrame(bits.view(np.int64), columns=names).assign(key=frame["key"].to_numpy())[["key", *names]]
 
     return sets.select("key", "tokens").mapInPandas(run, "key long, " + ", ".join(f"{n} long" for n in names))
 
 
-def _sketches_allow(percent: int) -> Column:
-    """Whether the bitmaps leave room for enough shared tokens: a bit that only one side has is a token that it alone has."""
-    def lacking(one: str, other: str) -> Column:
-        return sum((F.bit_count(F.col(f"{one}b{i}").bitwiseAND(F.bitwise_not(F.col(f"{other}b{i}")))) for i in range(SKETCH_LONGS)), F.lit(0))
-
-    room = F.least(F.col("a_r") - lacking("a_", "b_"), F.col("b_r") - lacking("b_", "a_")).cast("long")
-    return room * (100 + percent) >= percent * (F.col("a_n") + F.col("b_n")).cast("long")
+def _sketches_allow(a: str, b: str, percent: int) -> Column:
+    """Whether the bitmaps leave room for enough shared tokens: bits that differ are at most as many as tokens that one side has alone."""
+    alone = sum((F.bit_count(F.col(f"{a}b{i}").bitwiseXOR(F.col(f"{b}b{i}"))) for i in range(SKETCH_LONGS)), F.lit(0))
+    twice = (F.col(f"{a}r") + F.col(f"{b}r") - alone).cast("long")
+    return twice * (100 + percent) >= 2 * percent * (F.col(f"{a}n") + F.col(f"{b}n")).cast("long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -321,12 +324,36 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(shared * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
+def _open(posted: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of signatures whose sets `links` leaves in several components, with each set's component."""
+    group = components(links).withColumnRenamed("id", "key")
+    placed = saved(
+        posted.join(group, "key", "left").withColumn("component", F.coalesce("component", "key")), "placed")
+    mixed_ones = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    return saved(placed.join(mixed_ones.select((F.col("sig") + 0).alias("sig")), "sig", "left_semi"), "open")
+
+
+def _many_apart(open_ones: DataFrame) -> bool:
+    """Whether the pairs of one signature and different components are many more than the rows."""
+    sizes = open_ones.groupBy("sig", "component").agg(F.count("*").cast("double").alias("m"))
+    sizes = sizes.groupBy("sig").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within"))
+    rows, pairs = sizes.agg(F.sum("m"), F.sum((F.col("m") * F.col("m") - F.col("within")) / 2)).first()
+    return (pairs or 0) > PAIRS_PER_ROW * (rows or 0)
+
+
+def _distinct_pairs(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of keys that connect exactly what all similar pairs would connect.
 
     First each signature's sets are compared with one of them, the one with the fewest tokens of its own: what others are
-    copies of. That mostly connects them. Only sets of one signature that are then still apart are compared with each
-    other, so copies of a text do not multiply into all pairs.
+    copies of. That mostly connects them. Where many pairs of one signature are still apart, as in a large group that is just
+    about similar, one set of each signature is drawn at random and compared with those of other components, then others. A round's
+    rows are no more than the signatures' own; signatures draw in a few ways, so that a set meets a few of its group.
+    Only sets of one signature that are then still apart are compared with each other, so copies of a text do not multiply
+    into all pairs.
     """
     posted = saved(_postings(sets, percent), "postings")
     lead = posted.groupBy("sig").agg(
@@ -334,21 +361,30 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     lead = lead.where("m > 1").select(
         (F.col("sig") + 0).alias("sig"), *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("key", "n", "place", "r")])
     near = posted.join(lead, "sig").where(F.col("key") != F.col("l_key")).where(_may_link("", "l_", percent))
-    first = saved(_verified(near.select(F.col("l_key").alias("a"), F.col("key").alias("b")).distinct(), sets, percent), "links")
-    group = components(first).withColumnRenamed("id", "key")
-    placed = saved(
-        posted.join(group, "key", "left").withColumn("component", F.coalesce("component", "key")), "placed")
-    mixed_ones = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_ones = saved(placed.join(mixed_ones.select((F.col("sig") + 0).alias("sig")), "sig", "left_semi"), "open")
+    links = saved(_verified(_distinct_pairs(near, "l_key", "key"), sets, percent), "links")
+    open_ones = _open(posted, links)
     sketched = sets.join(open_ones.select("key").distinct(), "key", "left_semi")
-    open_ones = open_ones.join(saved(_sketches(sketched), "sketches"), "key")
+    sketches = saved(_sketches(sketched), "sketches")
+    for turn in range(ROUNDS):
+        if not _many_apart(open_ones):
+            break
+        left = open_ones.join(sketches, "key")
+        drawn = left.groupBy("sig").agg(F.min(F.struct(F.xxhash64("key", F.pmod("sig", F.lit(DRAWN)), F.lit(turn)).alias("drawn"), *left.columns)).alias("l"))
+        drawn = drawn.select(F.col("l.sig").alias("sig"), *[F.col(f"l.{c}").alias(f"l_{c}") for c in left.columns if c != "sig"])
+        near = left.join(drawn, "sig").where(F.col("component") != F.col("l_component")).where(
+            _may_link("", "l_", percent) & _sketches_allow("", "l_", percent))
+        more = saved(_verified(_distinct_pairs(near, "l_key", "key"), sets, percent), "links")
+        if more.isEmpty():
+            break
+        links = links.unionAll(more)
+        open_ones = _open(open_ones.drop("component"), links)
+    open_ones = open_ones.join(sketches, "key")
     left = open_ones.select(*[F.col(c).alias(f"a_{c}") for c in open_ones.columns])
     right = open_ones.select(*[F.col(c).alias(f"b_{c}") for c in open_ones.columns])
     apart = left.join(
         right, (F.col("a_sig") == F.col("b_sig")) & (F.col("a_key") < F.col("b_key"))
-        & (F.col("a_component") != F.col("b_component")) & _may_link("a_", "b_", percent) & _sketches_allow(percent))
-    rest = _verified(apart.select(F.col("a_key").alias("a"), F.col("b_key").alias("b")).distinct(), sets, percent)
-    return first.unionAll(rest)
+        & (F.col("a_component") != F.col("b_component")) & _may_link("a_", "b_", percent) & _sketches_allow("a_", "b_", percent))
+    return links.unionAll(_verified(_distinct_pairs(apart, "a_key", "b_key"), sets, percent))
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -681,6 +681,20 @@ def test_hot_tokens_are_settled_in_bounded_memory(spark, monkeypatch):
     assert by_id(ngram_join.near_duplicates(table, 3, 80)) == want
 
 
+def test_sets_still_apart_are_not_all_compared(spark, monkeypatch):
+    """What all sets of a signature are first compared with is similar to none, so all of them are still apart."""
+    frequent = ngram_join.FREQUENT << 56
+    shared, first, second, rest = (list(range(frequent + lo, frequent + hi)) for lo, hi in ((0, 40), (100, 160), (200, 260), (300, 360)))
+    group = lambda base, i: sorted(shared + base[: i % 60] + base[i % 60 + 1 :])
+    sets = [(0, 100, sorted(shared + rest))] + [(i, 101, group(first if i % 3 else second, i)) for i in range(1, 401)]
+    frame = spark.createDataFrame(sets, "key long, n int, tokens array<long>").repartition(4)
+    compared, verified = [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, *more: compared.append(pairs.count()) or verified(pairs, *more))
+    links = ngram_join._links(frame, 80)
+    assert dict(tuple(r) for r in common.components(links).collect()) == {i: 1 if i % 3 else 3 for i in range(1, 401)}
+    assert sum(compared) < 10 * len(sets), compared
+
+
 def test_the_lexicon_knows_what_it_was_shown(spark):
     """A hundred documents, ten toxic in two languages: most toxic words are learned, and their other forms by a common start."""
     rng = random.Random(4)
