@@ -9,6 +9,7 @@ decide.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import combinations, groupby
 from operator import itemgetter
 
@@ -28,6 +29,8 @@ _TOKENS_AT_ONCE = 500_000
 BUCKET_TOKENS = 500_000
 # Entries of a bucket that a task holds before it settles which of its tokens are frequent.
 _HELD = 1_000_000
+# The bits of a token or a key that are told.
+_PART = np.uint64(0xFFFFFFFF)
 # Longs of the bitmap by which sets that are still apart are told from each other.
 SKETCH_LONGS = 8
 # Sets of a signature that are still apart are compared with one of them, this often at most, while more pairs than this per row are left.
@@ -98,132 +101,173 @@ def members(rows: DataFrame, words: int) -> DataFrame:
     return found.select("id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key"))
 
 
-def shared_tokens(rows: DataFrame, words: int, total: int) -> DataFrame:
-    """(key, tokens): per distinct set its tokens that other sets hold too, in order. `total` is the number of all tokens.
+def shared_tokens(rows: DataFrame, words: int, total: int, percent: int = 0) -> DataFrame:
+    """(key, n, tokens): per set its size and its tokens that other sets hold too, in order. `total` is the number of all tokens.
+
+    A set has a row if at least `percent` of its tokens, and one, are held by others too.
 
     A token is a long: its number of sets (FREQUENT at most) in the top byte, then its identity, so that ascending
     order is the global order of tokens. Tokens are counted by hash bucket; buckets are sorted by Spark and a task has one of them
     in memory at a time. Each task first counts what it has read: a token it has seen in FREQUENT sets is frequent for sure,
     and of it the bucket gets one notice instead of one entry per set. A bucket that fills up passes on the entries of tokens that
-    it has seen in FREQUENT sets, so that it never holds more than FREQUENT - 1 entries per token beside those just read.
+    it has seen in FREQUENT sets, so that it never holds more than those of FREQUENT - 1 sets per token beside those just read.
+
+    An entry is as long however many buckets there are: 32 bits of the token and 32 of its set's key. What is shared goes back to
+    the portion of texts it came from, whose own list of keys, none of which agree in those bits, tells the whole key and the set's size. Sets that
+    occur in several portions come back once for each; they count once.
     """
-    buckets = groups = max(8, -(-total // BUCKET_TOKENS))
+    buckets = max(8, -(-total // BUCKET_TOKENS))
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, tokens, held = [], [], 0
+        keys, tokens, known_keys, sizes, held = [], [], [], [], 0
 
         def flush() -> Iterator[pd.DataFrame]:
             key, token = np.concatenate(keys), np.concatenate(tokens)
+            whole, first = np.unique(np.concatenate(known_keys), return_index=True)
+            size = np.concatenate(sizes)[first]
+            layer = _layers(whole)
+            of = layer[np.searchsorted(whole, key)]
+            for number in range(layer.max() + 1):
+                yield dealt_out(key[of == number], token[of == number], whole[layer == number], size[layer == number])
+
+        def dealt_out(key: np.ndarray, token: np.ndarray, whole: np.ndarray, size: np.ndarray) -> pd.DataFrame:
+            # What names a portion is what is in it, so one that is read again has the same name.
+            source = int.from_bytes(blake2b(whole.tobytes(), digest_size=8).digest(), "little", signed=True)
             bucket = ((token >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            ident = (bucket << 32) | (token & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            order = np.lexsort((key, ident))
-            key, ident = key[order], ident[order]
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (ident[1:] != ident[:-1])
-            key, ident = key[fresh], ident[fresh]
+            ident = (bucket << 32) | (token & _PART).astype(np.int64)
+            part = (key & _PART).astype(np.uint32)
+            order = np.lexsort((part, ident))
+            part, ident = part[order], ident[order]
+            fresh = np.ones(len(part), bool)
+            fresh[1:] = (part[1:] != part[:-1]) | (ident[1:] != ident[:-1])
+            part, ident = part[fresh], ident[fresh]
             _, group, count = np.unique(ident, return_inverse=True, return_counts=True)
             known = count[group] >= FREQUENT
             notices = np.unique(ident[known])
-            order = np.lexsort((ident[~known], key[~known], ident[~known] >> 32))
-            k, t = key[~known][order], ident[~known][order]
-            out = []
-            for b, lo, hi in _runs(t >> 32):
-                runs = list(_runs(k[lo:hi]))
-                out.append((b, [r[0] for r in runs], [r[2] - r[1] for r in runs], (t[lo:hi] & 0xFFFFFFFF).astype(np.uint32).view(np.int32), None))
-            for b, lo, hi in _runs(notices >> 32):
-                out.append((b, None, None, None, notices[lo:hi]))
-            # Frequent tokens go straight on to their sets; any bucket may carry them.
-            order = np.argsort(key[known], kind="stable")
-            k, t = key[known][order], ident[known][order]
-            if len(k):
-                runs = list(_runs(k))
-                out.append((int(k[0]) % buckets, [r[0] for r in runs], [r[2] - r[1] for r in runs], None, t))
-            yield pd.DataFrame(out, columns=["bucket", "keys", "counts", "tokens", "frequent"])
+            p, t = part[~known], ident[~known]
+            out = [(b, source, p[lo:hi].tobytes(), _told(t[lo:hi] & 0xFFFFFFFF), None) for b, lo, hi in _runs(t >> 32)]
+            out += [(b, 0, None, None, notices[lo:hi]) for b, lo, hi in _runs(notices >> 32)]
+            # Frequent tokens go straight on to their sets, and so do the keys; any bucket may carry them.
+            if known.any():
+                out.append((source % buckets, source, part[known].tobytes(), None, ident[known]))
+            out.append((source % buckets, source, np.concatenate((whole, size.astype(np.uint64))).tobytes(), None, None))
+            return pd.DataFrame(out, columns=["bucket", "source", "owners", "tokens", "frequent"])
 
         for frame in frames:
             for _, key, owner, value in _sets(frame, words):
                 # Copies in one group of texts count once.
                 _, firsts = np.unique(key, return_index=True)
+                firsts = firsts[np.isin(firsts, owner)]
                 mine = np.isin(owner, firsts)
-                keys.append(key[owner[mine]].view(np.int64))
+                known_keys.append(key[firsts])
+                sizes.append(np.bincount(owner, minlength=len(key))[firsts])
+                keys.append(key[owner[mine]])
                 tokens.append(value[mine])
                 held += int(mine.sum())
                 if held >= _TOKENS_AT_ONCE:
                     yield from flush()
-                    keys, tokens, held = [], [], 0
+                    keys, tokens, known_keys, sizes, held = [], [], [], [], 0
         if held:
             yield from flush()
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, parts in _by_first(frames):
-            yield from counted(parts)
-
-    def counted(parts: Iterator[tuple]) -> Iterator[pd.DataFrame]:
-        keys, idents, known, held = [], [], np.zeros(0, np.int64), 0
-        for b, k, c, t, f in parts:
-            if k is None:
-                known = np.union1d(known, np.asarray(f, np.int64))
+        for bucket, parts in _by_first(frames):
+            yield from counted(bucket, parts)
+
+    def counted(bucket: int, parts: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        entries, known, held = [], np.zeros(0, np.int64), 0
+        for _, source, owners, told, frequent in parts:
+            if owners is None:
+                known = np.union1d(known, np.asarray(frequent, np.int64) & 0xFFFFFFFF)
                 continue
-            owners = np.repeat(np.asarray(k, np.int64), np.asarray(c, np.int64))
-            if t is None:
-                yield packed(owners, np.asarray(f, np.int64) | (FREQUENT << 56))
+            if told is None:
+                tokens = None if frequent is None else np.asarray(frequent, np.int64).tobytes()
+                yield pd.DataFrame([(int(source), bucket, owners, tokens, None)], columns=back)
                 continue
-            keys.append(owners)
-            idents.append((np.int64(b) << 32) | np.asarray(t, np.int32).view(np.uint32).astype(np.int64))
-            held += len(owners)
+            part = np.frombuffer(owners, np.uint32)
+            entries.append((np.full(len(part), int(source), np.int64), part, _heard(told)))
+            held += len(part)
             if held >= _HELD:
-                key, ident, number = numbered(keys, idents, known)
+                source, part, token, number = numbered(entries, known)
                 settled = number >= FREQUENT
-                yield packed(key[settled], ident[settled] | (FREQUENT << 56))
-                known = np.union1d(known, ident[settled])
-                keys, idents, held = [key[~settled]], [ident[~settled]], 0
-        if keys:
-            key, ident, number = numbered(keys, idents, known)
-            yield packed(key[number > 1], (ident | (number << 56))[number > 1])
-
-    def numbered(keys: list, idents: list, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Entries without repeats, and for each its token's number of sets, FREQUENT at most."""
-        key, ident = np.concatenate(keys), np.concatenate(idents)
-        order = np.lexsort((key, ident))
-        key, ident = key[order], ident[order]
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (ident[1:] != ident[:-1])
-        key, ident = key[fresh], ident[fresh]
-        # The tokens are sorted: a run's length is the number of sets, and is told to each of its entries.
-        cuts = np.flatnonzero(np.concatenate(([True], ident[1:] != ident[:-1]))) if len(ident) else np.zeros(0, np.int64)
-        length = np.diff(np.append(cuts, len(ident)))
-        number = np.where(np.isin(ident[cuts], known), FREQUENT, np.minimum(length, FREQUENT))
-        return key, ident, np.repeat(number, length)
-
-    def packed(key: np.ndarray, value: np.ndarray) -> pd.DataFrame:
-        """One row per group of sets, so that rows do not multiply with buckets and sets."""
-        group = (mixed(key.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
-        order = np.lexsort((key, group))
-        group, key, value = group[order], key[order], value[order]
-        out = []
-        for g, lo, hi in _runs(group):
-            runs = list(_runs(key[lo:hi]))
-            out.append((g, [r[0] for r in runs], [r[2] - r[1] for r in runs], value[lo:hi]))
-        return pd.DataFrame(out, columns=["group", "keys", "counts", "tokens"])
+                yield packed(bucket, source[settled], part[settled], token[settled], number[settled])
+                known = np.union1d(known, token[settled])
+                entries, held = [(source[~settled], part[~settled], token[~settled])], 0
+        if entries:
+            found = numbered(entries, known)
+            yield packed(bucket, *(x[found[3] > 1] for x in found))
+
+    def numbered(entries: list, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Entries by token, and for each its token's number of sets, FREQUENT at most."""
+        source, part, token = (np.concatenate(x) for x in zip(*entries, strict=True))
+        order = np.lexsort((part, token))
+        source, part, token = source[order], part[order], token[order]
+        # The tokens are sorted: the number of sets in a run is told to each of its entries.
+        cuts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))) if len(token) else np.zeros(0, np.int64)
+        fresh = np.ones(len(token), np.int64)
+        fresh[1:] = (part[1:] != part[:-1]) | (token[1:] != token[:-1])
+        sets = np.add.reduceat(fresh, cuts) if len(cuts) else cuts
+        number = np.where(np.isin(token[cuts], known), FREQUENT, np.minimum(sets, FREQUENT))
+        return source, part, token, np.repeat(number, np.diff(np.append(cuts, len(token))))
+
+    def packed(bucket: int, source: np.ndarray, part: np.ndarray, token: np.ndarray, number: np.ndarray) -> pd.DataFrame:
+        """One row per portion, so that rows do not multiply with buckets and sets."""
+        order = np.lexsort((token, source))
+        source, part, token, number = source[order], part[order], token[order], number[order].astype(np.uint8)
+        return pd.DataFrame([(of, bucket, part[lo:hi].tobytes(), _told(token[lo:hi]), number[lo:hi].tobytes())
+                             for of, lo, hi in _runs(source)], columns=back)
 
     def gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, parts in _by_first(frames):
-            keys, values = [], []
-            for _, k, c, t in parts:
-                keys.append(np.repeat(np.asarray(k, np.int64), np.asarray(c, np.int64)))
-                values.append(np.asarray(t, np.int64))
-            key, value = np.concatenate(keys), np.concatenate(values)
-            order = np.lexsort((value, key))
-            key, value = key[order], value[order]
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (value[1:] != value[:-1])
-            key, value = key[fresh], value[fresh]
-            yield pd.DataFrame([(k, value[lo:hi]) for k, lo, hi in _runs(key)], columns=["key", "tokens"])
-
-    dealt = rows.mapInPandas(deal, "bucket int, keys array<long>, counts array<int>, tokens array<int>, frequent array<long>")
-    counted = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
-        count, "group int, keys array<long>, counts array<int>, tokens array<long>")
-    return counted.repartition("group").sortWithinPartitions("group").mapInPandas(gather, "key long, tokens array<long>")
+            whole, size, owners, values = np.zeros(0, np.uint64), np.zeros(0, np.uint64), [], []
+            for _, bucket, owner, told, number in parts:
+                if told is None:
+                    whole, size = np.frombuffer(owner, np.uint64).reshape(2, -1)
+                    continue
+                owners.append(np.frombuffer(owner, np.uint32))
+                if number is None:
+                    values.append(np.frombuffer(told, np.int64) | (FREQUENT << 56))
+                else:
+                    values.append((np.int64(bucket) << 32) | _heard(told) | (np.frombuffer(number, np.uint8).astype(np.int64) << 56))
+            if not owners:
+                continue
+            owner, value = np.concatenate(owners), np.concatenate(values)
+            order = np.argsort(whole & _PART)
+            whole, size = whole[order], size[order]
+            at = np.searchsorted(whole & _PART, owner)
+            if len(whole) == 0 or ((whole & _PART)[np.minimum(at, len(whole) - 1)] != owner).any():
+                raise RuntimeError("texts changed while they were read")
+            order = np.lexsort((value, at))
+            at, value = at[order], value[order]
+            fresh = np.ones(len(at), bool)
+            fresh[1:] = (at[1:] != at[:-1]) | (value[1:] != value[:-1])
+            at, value = at[fresh], value[fresh]
+            found = [(int(whole[i].view(np.int64)), int(size[i]), value[lo:hi]) for i, lo, hi in _runs(at)]
+            yield pd.DataFrame([row for row in found if len(row[2]) * 100 >= percent * row[1]], columns=["key", "n", "tokens"])
+
+    back = ["source", "bucket", "owners", "tokens", "numbers"]
+    dealt = rows.mapInPandas(deal, "bucket int, source long, owners binary, tokens binary, frequent array<long>")
+    counted_ones = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
+        count, "source long, bucket int, owners binary, tokens binary, numbers binary")
+    return counted_ones.repartition("source").sortWithinPartitions("source").mapInPandas(gather, "key long, n long, tokens array<long>")
+
+
+def _layers(keys: np.ndarray) -> np.ndarray:
+    """A number from 0 per key, so that keys that agree in the bits told have different ones; nearly always 0."""
+    _, part, times = np.unique(keys & _PART, return_inverse=True, return_counts=True)
+    layer = np.empty(len(keys), np.int64)
+    layer[np.argsort(part, kind="stable")] = np.arange(len(keys)) - np.repeat(np.cumsum(times) - times, times)
+    return layer
+
+
+def _told(values: np.ndarray) -> bytes:
+    """Ascending 32-bit values as their differences, the first bytes of all, then the second ones, which packs well."""
+    return np.ascontiguousarray(np.diff(values, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _heard(data: bytes) -> np.ndarray:
+    """What `_told` was given, as longs."""
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64))
 
 
 def _by_first(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, Iterator[tuple]]]:
@@ -399,13 +443,10 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = saved(members(rows, words), "members")
-    heads = saved(known.where("id is not null and key is not null").groupBy("key").agg(
-        F.min("id").alias("head"), F.max("n").alias("n")), "heads")
+    heads = saved(known.where("id is not null and key is not null").groupBy("key").agg(F.min("id").alias("head")), "heads")
     total = known.agg(F.sum("n")).first()[0] or 0
-    whole = shared_tokens(rows.where("id is not null"), words, total)
     # A set that has more tokens of its own than any partner may miss links with nothing.
-    sets = saved(whole.join(heads, "key").where(F.size("tokens") * 100 >= percent * F.col("n")).select(
-        "key", "n", "tokens"), "sets")
+    sets = saved(shared_tokens(rows.where("id is not null"), words, total, percent).dropDuplicates(["key"]), "sets")
     links = _links(sets, percent)
     name = heads.select("key", "head")
     between = links.join(name.select(F.col("key").alias("a"), F.col("head").alias("x")), "a").join(

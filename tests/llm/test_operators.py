@@ -695,6 +695,29 @@ def test_sets_still_apart_are_not_all_compared(spark, monkeypatch):
     assert sum(compared) < 10 * len(sets), compared
 
 
+def test_the_exchange_of_tokens_does_not_grow_with_the_buckets(spark, monkeypatch):
+    """What a task tells of its texts is as long for many buckets as for few, but for a row's own bytes."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(5000)) for _ in range(400))) for i in range(60)]
+    table = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    told = []
+    monkeypatch.setattr(type(table), "repartition", lambda self, *_: told.append(self) or self.coalesce(1))
+    for tokens in (3000, 100):
+        monkeypatch.setattr(ngram_join, "BUCKET_TOKENS", tokens)
+        ngram_join.shared_tokens(table, 3, 60 * 398).count()
+    few, many = (sum(len(bytes(x)) if isinstance(x, (bytes, bytearray)) else 8 * len(x) if isinstance(x, list) else 0
+                     for r in told[at].collect() for x in r) for at in (0, 2))
+    assert few > 60 * 398 * 8 - 1000 and many < 1.1 * few
+
+
+def test_keys_that_agree_in_the_bits_told():
+    keys = np.array([5, 7, (1 << 32) + 5, (2 << 32) + 5, (1 << 40) + 7, 9], np.uint64)
+    layer = ngram_join._layers(keys)
+    assert layer.tolist() == [0, 0, 1, 2, 1, 0] and ngram_join._layers(keys[:2]).tolist() == [0, 0]
+    values = np.array([0, 0, 3, 70000, 0xFFFFFFFF])
+    assert ngram_join._heard(ngram_join._told(values)).tolist() == values.tolist() and len(ngram_join._told(values)) == 20
+
+
 def test_the_lexicon_knows_what_it_was_shown(spark):
     """A hundred documents, ten toxic in two languages: most toxic words are learned, and their other forms by a common start."""
     rng = random.Random(4)
