@@ -408,21 +408,21 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     links = saved(_verified(_distinct_pairs(near, "l_key", "key"), sets, percent), "links")
     open_ones = _open(posted, links)
     sketched = sets.join(open_ones.select("key").distinct(), "key", "left_semi")
-    sketches = saved(_sketches(sketched), "sketches")
+    open_ones = saved(open_ones.join(saved(_sketches(sketched), "sketches"), "key"), "open")
     for turn in range(ROUNDS):
         if not _many_apart(open_ones):
             break
-        left = open_ones.join(sketches, "key")
-        drawn = left.groupBy("sig").agg(F.min(F.struct(F.xxhash64("key", F.pmod("sig", F.lit(DRAWN)), F.lit(turn)).alias("drawn"), *left.columns)).alias("l"))
-        drawn = drawn.select(F.col("l.sig").alias("sig"), *[F.col(f"l.{c}").alias(f"l_{c}") for c in left.columns if c != "sig"])
-        near = left.join(drawn, "sig").where(F.col("component") != F.col("l_component")).where(
+        names = open_ones.columns
+        drawn = open_ones.groupBy("sig").agg(
+            F.min(F.struct(F.xxhash64("key", F.pmod("sig", F.lit(DRAWN)), F.lit(turn)).alias("drawn"), *names)).alias("l"))
+        drawn = drawn.select((F.col("sig") + 0).alias("sig"), *[F.col(f"l.{c}").alias(f"l_{c}") for c in names if c != "sig"])
+        near = open_ones.join(drawn, "sig").where(F.col("component") != F.col("l_component")).where(
             _may_link("", "l_", percent) & _sketches_allow("", "l_", percent))
         more = saved(_verified(_distinct_pairs(near, "l_key", "key"), sets, percent), "links")
         if more.isEmpty():
             break
         links = links.unionAll(more)
         open_ones = _open(open_ones.drop("component"), links)
-    open_ones = open_ones.join(sketches, "key")
     left = open_ones.select(*[F.col(c).alias(f"a_{c}") for c in open_ones.columns])
     right = open_ones.select(*[F.col(c).alias(f"b_{c}") for c in open_ones.columns])
     apart = left.join(
