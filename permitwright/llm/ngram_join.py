@@ -33,11 +33,12 @@ _HELD = 1_000_000
 _PART = np.uint64(0xFFFFFFFF)
 # Longs of the bitmap by which sets that are still apart are told from each other.
 SKETCH_LONGS = 8
-# Sets of a signature that are still apart are compared with one of them, this often at most, while more pairs than this per row are left.
-ROUNDS = 6
+# While more pairs than this per row are still apart, signatures take turns: this many shares of them in each, the rest in the last.
 PAIRS_PER_ROW = 8
-# Different sets drawn from a group of the same signatures in a round.
+TURNS = (1, 1, 2, 4, 8)
+# Sets drawn from a signature at a time; in turns of few shares this is done again with others, so often as shares go into this number.
 DRAWN = 4
+DRAWS = 4
 
 
 def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -368,36 +369,76 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(shared * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
-def _open(posted: DataFrame, links: DataFrame) -> DataFrame:
-    """The rows of signatures whose sets `links` leaves in several components, with each set's component."""
+def _placed(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows with the component that `links` gives each set."""
     group = components(links).withColumnRenamed("id", "key")
-    placed = saved(
-        posted.join(group, "key", "left").withColumn("component", F.coalesce("component", "key")), "placed")
+    return saved(rows.join(group, "key", "left").withColumn("component", F.coalesce("component", "key")), "placed")
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """The rows of signatures whose sets are in several components."""
     mixed_ones = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return saved(placed.join(mixed_ones.select((F.col("sig") + 0).alias("sig")), "sig", "left_semi"), "open")
+    return placed.join(mixed_ones.select((F.col("sig") + 0).alias("sig")), "sig", "left_semi")
 
 
-def _many_apart(open_ones: DataFrame) -> bool:
-    """Whether the pairs of one signature and different components are many more than the rows."""
-    sizes = open_ones.groupBy("sig", "component").agg(F.count("*").cast("double").alias("m"))
+def _many_apart(placed: DataFrame) -> bool | None:
+    """Whether the pairs of one signature and different components are many more than the rows; None without rows."""
+    sizes = placed.groupBy("sig", "component").agg(F.count("*").cast("double").alias("m"))
     sizes = sizes.groupBy("sig").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within"))
     rows, pairs = sizes.agg(F.sum("m"), F.sum((F.col("m") * F.col("m") - F.col("within")) / 2)).first()
-    return (pairs or 0) > PAIRS_PER_ROW * (rows or 0)
+    return None if rows is None else pairs > PAIRS_PER_ROW * rows
+
+
+def _strays(placed: DataFrame) -> DataFrame:
+    """The rows outside the component that most sets of their signature are in, with that component as `main`."""
+    sizes = placed.groupBy("sig", "component").agg(F.count("*").alias("m"))
+    main = sizes.groupBy("sig").agg(F.max(F.struct("m", "component"))["component"].alias("main"), F.count("*").alias("parts"))
+    main = main.where("parts > 1").select((F.col("sig") + 0).alias("sig"), "main")
+    return placed.join(main, "sig").where("component != main")
 
 
 def _distinct_pairs(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
+def _drawn_pairs(placed: DataFrame, percent: int, salt: int) -> DataFrame:
+    """Pairs of a few sets drawn from each signature and its sets of other components.
+
+    Every other draw is one of components, so that one component of most sets does not hide the rest.
+    """
+    names = placed.columns
+    drawn = [F.min(F.struct(F.xxhash64("component" if way % 2 else "key", F.lit(way), F.lit(salt)).alias("drawn"), *names))
+             for way in range(DRAWN)]
+    drawn = placed.groupBy("sig").agg(F.array(*drawn).alias("l")).select(F.explode("l").alias("l"))
+    drawn = drawn.select(*[F.col(f"l.{c}").alias(f"l_{c}") for c in names])
+    near = placed.join(drawn, (F.col("sig") == F.col("l_sig")) & (F.col("component") != F.col("l_component"))
+                       & _may_link("", "l_", percent) & _sketches_allow("", "l_", percent))
+    return _distinct_pairs(near, "l_key", "key")
+
+
+def _apart_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """All pairs of one signature and different components that may be similar enough."""
+    strays = _strays(placed)
+    left = strays.withColumn("sig", F.col("sig") + 0).select(*[F.col(c).alias(f"a_{c}") for c in strays.columns])
+    right = placed.select(*[F.col(c).alias(f"b_{c}") for c in placed.columns])
+    apart = left.join(
+        right, (F.col("a_sig") == F.col("b_sig")) & (F.col("a_component") != F.col("b_component"))
+        & ((F.col("a_key") < F.col("b_key")) | (F.col("b_component") == F.col("a_main")))
+        & _may_link("a_", "b_", percent) & _sketches_allow("a_", "b_", percent))
+    return _distinct_pairs(apart, "a_key", "b_key")
+
+
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of keys that connect exactly what all similar pairs would connect.
 
     First each signature's sets are compared with one of them, the one with the fewest tokens of its own: what others are
-    copies of. That mostly connects them. Where many pairs of one signature are still apart, as in a large group that is just
-    about similar, one set of each signature is drawn at random and compared with those of other components, then others. A round's
-    rows are no more than the signatures' own; signatures draw in a few ways, so that a set meets a few of its group.
-    Only sets of one signature that are then still apart are compared with each other, so copies of a text do not multiply
-    into all pairs.
+    copies of. That mostly connects them. Only sets of one signature that are then still apart are compared with each other,
+    those outside its largest component with all others, so copies of a text do not multiply into all pairs.
+
+    Where many pairs of one signature are still apart, as in a large group that is just about similar, signatures take turns,
+    few at first. In a turn some sets of each signature, drawn at random, are compared with those of other components, then what is
+    still apart. Sets that are similar share many signatures, so the first turns connect most of what later ones would
+    compare again. Each signature has one turn, no pair is compared twice.
     """
     posted = saved(_postings(sets, percent), "postings")
     lead = posted.groupBy("sig").agg(
@@ -405,30 +446,39 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     lead = lead.where("m > 1").select(
         (F.col("sig") + 0).alias("sig"), *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("key", "n", "place", "r")])
     near = posted.join(lead, "sig").where(F.col("key") != F.col("l_key")).where(_may_link("", "l_", percent))
-    links = saved(_verified(_distinct_pairs(near, "l_key", "key"), sets, percent), "links")
-    open_ones = _open(posted, links)
+    seen = saved(_distinct_pairs(near, "l_key", "key"), "pairs")
+    links = saved(_verified(seen, sets, percent), "links")
+
+    def compare(candidates: DataFrame) -> bool:
+        """Whether a pair that was not compared before is a link."""
+        nonlocal seen, links
+        pairs = saved(candidates.join(seen, ["a", "b"], "left_anti"), "pairs")
+        more = saved(_verified(pairs, sets, percent), "links")
+        seen, links = seen.unionAll(pairs), links.unionAll(more)
+        return not more.isEmpty()
+
+    open_ones = saved(_open(_placed(posted, links)), "open")
     sketched = sets.join(open_ones.select("key").distinct(), "key", "left_semi")
     open_ones = saved(open_ones.join(saved(_sketches(sketched), "sketches"), "key"), "open")
-    for turn in range(ROUNDS):
-        if not _many_apart(open_ones):
+    share = F.pmod(F.xxhash64("sig"), F.lit(sum(TURNS)))
+    rows, done = open_ones.drop("component"), 0
+    for size in TURNS:
+        mine = (share >= done) & (share < done + size)
+        now = _placed(rows.where(mine), links) if done else open_ones.where(mine)
+        many = _many_apart(now)
+        if many is False:
             break
-        names = open_ones.columns
-        drawn = open_ones.groupBy("sig").agg(
-            F.min(F.struct(F.xxhash64("key", F.pmod("sig", F.lit(DRAWN)), F.lit(turn)).alias("drawn"), *names)).alias("l"))
-        drawn = drawn.select((F.col("sig") + 0).alias("sig"), *[F.col(f"l.{c}").alias(f"l_{c}") for c in names if c != "sig"])
-        near = open_ones.join(drawn, "sig").where(F.col("component") != F.col("l_component")).where(
-            _may_link("", "l_", percent) & _sketches_allow("", "l_", percent))
-        more = saved(_verified(_distinct_pairs(near, "l_key", "key"), sets, percent), "links")
-        if more.isEmpty():
-            break
-        links = links.unionAll(more)
-        open_ones = _open(open_ones.drop("component"), links)
-    left = open_ones.select(*[F.col(c).alias(f"a_{c}") for c in open_ones.columns])
-    right = open_ones.select(*[F.col(c).alias(f"b_{c}") for c in open_ones.columns])
-    apart = left.join(
-        right, (F.col("a_sig") == F.col("b_sig")) & (F.col("a_key") < F.col("b_key"))
-        & (F.col("a_component") != F.col("b_component")) & _may_link("a_", "b_", percent) & _sketches_allow("a_", "b_", percent))
-    return links.unionAll(_verified(_distinct_pairs(apart, "a_key", "b_key"), sets, percent))
+        for again in range(max(1, DRAWS // size)):
+            if not many or not compare(_drawn_pairs(now, percent, DRAWS * done + again)):
+                break
+            now = _placed(rows.where(mine), links)
+            many = _many_apart(now)
+        if many is not None:
+            compare(_apart_pairs(now, percent))
+        done += size
+    if done < sum(TURNS):
+        compare(_apart_pairs(_placed(rows.where(share >= done), links) if done else open_ones, percent))
+    return links
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -695,6 +695,44 @@ def test_sets_still_apart_are_not_all_compared(spark, monkeypatch):
     assert sum(compared) < 10 * len(sets), compared
 
 
+def test_rows_of_sets_still_apart_are_taken_a_few_times(spark, monkeypatch):
+    """Sets that lack five tokens in a row are similar if their gaps lie one apart at most, so most stay apart for long."""
+    frequent = ngram_join.FREQUENT << 56
+    rng = random.Random(8)
+    gaps = [*range(52), *(rng.randrange(52) for _ in range(350))]
+    sets = [(i, 56, [frequent + j for j in range(56) if not gap <= j < gap + 5]) for i, gap in enumerate(gaps, 1)]
+    sets += [(i + 1000, 56, [frequent + j for j in range(56) if j % 11 != i % 11]) for i in range(40)]
+    frame = spark.createDataFrame(sets, "key long, n int, tokens array<long>").repartition(4)
+    taken, saved = [], ngram_join.saved
+
+    def counted(df, name):
+        out = saved(df, name)
+        taken.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "saved", counted)
+    got = dict(tuple(r) for r in common.components(ngram_join._links(frame, 80)).collect())
+    assert got == {i: 1 if i <= len(gaps) else (i - 1000) % 11 + 1000 for i, *_ in sets if i <= len(gaps) or i < 1040}
+    posted = dict(taken)["postings"]
+    assert sum(n for name, n in taken if name in ("placed", "open")) <= 5 * posted, taken
+
+
+def test_turns_of_signatures_give_the_same_classes(spark, monkeypatch):
+    rng = random.Random(21)
+    base = [[f"w{rng.randrange(900)}" for _ in range(60)] for _ in range(3)]
+    texts = []
+    for i in range(240):
+        text = list(base[i % 3])
+        for _ in range(1 + i % 2):
+            text[rng.randrange(60)] = f"x{i}"
+        texts.append((i, " ".join(text)))
+    table = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_ROW", 1 << 40)
+    want = by_id(ngram_join.near_duplicates(table, 5, 80))
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_ROW", 0)
+    assert by_id(ngram_join.near_duplicates(table, 5, 80)) == want and 3 < len({r[2] for r in want}) < 240
+
+
 def test_the_exchange_of_tokens_does_not_grow_with_the_buckets(spark, monkeypatch):
     """What a task tells of its texts is as long for many buckets as for few, but for a row's own bytes."""
     rng = random.Random(5)
