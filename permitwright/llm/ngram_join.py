@@ -438,7 +438,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     Where many pairs of one signature are still apart, as in a large group that is just about similar, signatures take turns,
     few at first. In a turn some sets of each signature, drawn at random, are compared with those of other components, then what is
     still apart. Sets that are similar share many signatures, so the first turns connect most of what later ones would
-    compare again. Each signature has one turn, no pair is compared twice.
+    compare again. Each signature has one turn, no pair is compared twice. After a turn without a link all others have theirs at once.
     """
     posted = saved(_postings(sets, percent), "postings")
     lead = posted.groupBy("sig").agg(
@@ -468,14 +468,18 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         many = _many_apart(now)
         if many is False:
             break
+        done += size
+        if many is None:
+            continue
+        linked = False
         for again in range(max(1, DRAWS // size)):
             if not many or not compare(_drawn_pairs(now, percent, DRAWS * done + again)):
                 break
+            linked = True
             now = _placed(rows.where(mine), links)
             many = _many_apart(now)
-        if many is not None:
-            compare(_apart_pairs(now, percent))
-        done += size
+        if not compare(_apart_pairs(now, percent)) and not linked:
+            break
     if done < sum(TURNS):
         compare(_apart_pairs(_placed(rows.where(share >= done), links) if done else open_ones, percent))
     return links
