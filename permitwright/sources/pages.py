@@ -55,106 +55,103 @@ def decoded(value: Column) -> Column:
     return numeric
 
 
-def _texts(cells: Column) -> Column:
+def _texts(cells: Column, marked: bool = False) -> Column:
     """The cells' texts. Markup goes in a pass of its own: `decoded` names its value several times, and each evaluates it."""
-    bare = F.transform(cells, lambda html: F.regexp_replace(html, r"<[^>]*>", ""))
-    return F.transform(bare, lambda text: page_strip(decoded(text)))
+    markup = rf"<[^>]*>|{_MARK}\d+" if marked else r"<[^>]*>"
+    bare = F.transform(cells, lambda html: F.regexp_replace(html, markup, ""))
+    bare = F.transform(bare, _unescaped) if marked else bare
+    return F.transform(bare, lambda text: page_strip(F.when(text.contains("&"), decoded(text)).otherwise(text)))
 
 
-_TABLE_TAGS = "table|thead|tbody|tfoot|tr|td|th"
-# Tags that end a row, and those that end a cell, of the same table. A new row or cell ends the one before it.
-_ROW_ENDS = ["tr", "/tr", "tbody", "/tbody", "thead", "/thead", "tfoot", "/tfoot", "/table"]
-_CELL_ENDS = ["td", "/td", "th", "/th", *_ROW_ENDS]
+# Marks in a page's text. A page's own \x01 and \x02 are written as \x02a and \x02b while the marks are in it.
+_MARK, _ESCAPE = "\x01", "\x02"
+# Tags that end a cell of their depth, but for a table's end; and those that end a row. A new row or cell ends the one before it.
+_CELL_END = r"<(?=/?(?i:thead|tbody|tfoot|tr|td|th)\b)"
+_ROW_END = r"</?(?i:thead|tbody|tfoot|tr|table)\b"
+# Rows and cells in a marked page: each reaches to the next tag of its depth that ends it, and they may stand in one another.
+# The possessive repeat goes from mark to mark, by a loop and not by calls, so that a page may be as long as it likes.
+_MARKED_ROW = rf"{_MARK}(\d+)(?=(<(?i:tr)\b(?:[^{_MARK}]++|{_MARK}(?!\1{_ROW_END}))*+))"
+_MARKED_CELL = rf"{_MARK}(\d+)(?=(<(?i:td)\b(?:[^{_MARK}]++|{_MARK}(?!\1<))*+))"
 
 
 def _is_irregular(body: Column, shape: RowShape) -> Column:
     """Whether a table stands in a table, or a row or cell is not closed: then patterns cannot find where rows end."""
     def times(tag: str) -> Column:
-        return F.regexp_count(body, F.lit(rf"(?i)<{tag}\b"))
+        return F.regexp_count(body, F.lit(rf"<(?i){tag}\b"))
 
-    nested = F.exists(F.split(body, "(?i)</table"), lambda part: F.regexp_count(part, F.lit(r"(?i)<table\b")) > 1)
-    return nested | (times(shape.row) != times(f"/{shape.row}")) | (times(shape.cell) != times(f"/{shape.cell}"))
+    nested = F.exists(F.split(body, "</(?i)table"), lambda part: F.regexp_count(part, F.lit(r"<(?i)table\b")) > 1)
+    # The dearest test goes last: where another has told already, it is not made.
+    return (times(shape.row) != times(f"/{shape.row}")) | (times(shape.cell) != times(f"/{shape.cell}")) | nested
 
 
-def _stretches(marks: Column, starts: str) -> Column:
-    """(at, end) of each `starts` tag among sorted marks, in page order: it reaches to its successor in the same table."""
-    paired = F.zip_with(
-        marks, F.slice(marks, 2, F.greatest(F.size(marks), F.lit(1))),
-        lambda t, after: F.struct(
-            t["at"].alias("at"), F.when(after["depth"] == t["depth"], after["at"]).otherwise(F.lit(1 << 30)).alias("end"), t["kind"].alias("kind")),
-    )
-    return F.array_sort(F.filter(paired, lambda t: t["kind"] == starts))
+def _marked(body: Column) -> Column:
+    """A page with `_MARK` and the depth of tables in front of each tag that ends a cell.
+
+    Between two tags of tables all others stand at one depth, so that there is a step per such tag, and one pattern marks all
+    tags of a step.
+    """
+    def tags_at(part: Column, depth: Column) -> Column:
+        return F.regexp_replace(part, F.lit(_CELL_END), F.concat(F.lit(_MARK), depth, F.lit("<")))
+
+    def walked(state: Column, part: Column) -> Column:
+        # A table's own tags stand at the depth of what is in it.
+        closes = part.startswith("</")
+        depth = F.when(closes, F.greatest(state["depth"] - 1, F.lit(0))).otherwise(state["depth"] + 1)
+        own = F.when(closes, F.concat(F.lit(_MARK), state["depth"])).otherwise("")
+        return F.struct(depth.alias("depth"), F.concat(state["text"], own, tags_at(part, depth)).alias("text"))
 
+    plain = F.replace(F.replace(body, F.lit(_ESCAPE), F.lit(f"{_ESCAPE}b")), F.lit(_MARK), F.lit(f"{_ESCAPE}a"))
+    parts = F.split(F.regexp_replace(plain, r"<(?=/?(?i:table)\b)", f"{_MARK}<"), _MARK)
+    start = F.struct(F.lit(0).alias("depth"), tags_at(F.get(parts, F.lit(0)), F.lit(0)).alias("text"))
+    return F.aggregate(F.slice(parts, 2, F.size(parts)), start, walked, lambda state: state["text"])
 
-def _with_balanced_rows(bodies: DataFrame, shape: RowShape) -> DataFrame:
-    """Add `_rows`, (html, cells) of every row in page order, to irregular pages: by the running depth of tables over a page's tags.
 
-    A row that holds a table holds its rows and cells too, and these rows come once more as rows of their own. Each step is a
-    column of its own, so that none is evaluated again for every tag.
+def _unescaped(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit(f"{_ESCAPE}a"), F.lit(_MARK)), F.lit(f"{_ESCAPE}b"), F.lit(_ESCAPE))
+
+
+def _balanced_rows(marked: Column, link: str) -> Column:
+    """(link, cells) of every row of a marked page, in page order, with the marks that are in them.
+
+    A row that holds a table holds its rows and cells too, and these rows come once more as rows of their own.
     """
-    body = F.when(F.col("_odd"), F.col("_body"))
-    pieces = bodies.withColumn("_pieces", F.split(body, rf"(?i)(?=</?(?:{_TABLE_TAGS})\b)"))
+    return _with_cells(F.regexp_extract_all(marked, F.lit(_MARKED_ROW), F.lit(2)), F.lit(_MARKED_CELL), 2, link)
 
-    def walked(state: Column, piece: Column) -> Column:
-        kind = F.lower(F.regexp_extract(piece, rf"(?i)^<(/?(?:{_TABLE_TAGS}))\b", 1))
-        # A table's own tags stand at the depth of what is in it.
-        inside = F.when(kind == "table", state["depth"] + 1).otherwise(state["depth"])
-        tag = F.struct(inside.alias("depth"), F.size(state["tags"]).alias("at"), kind.alias("kind"))
-        after = F.when(kind == "/table", F.greatest(inside - 1, F.lit(0))).otherwise(inside)
-        return F.struct(after.alias("depth"), F.concat(state["tags"], F.array(tag)).alias("tags"))
-
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<struct<depth: int, at: int, kind: string>>").alias("tags"))
-    tags = pieces.withColumn("_tags", F.aggregate("_pieces", start, walked, lambda state: state["tags"]))
-    marks = tags.withColumns({
-        "_row_marks": F.array_sort(F.filter("_tags", lambda t: t["kind"].isin(_ROW_ENDS))),
-        "_cell_marks": F.array_sort(F.filter("_tags", lambda t: t["kind"].isin(_CELL_ENDS))),
-    })
-
-    def text(at: Column, end: Column) -> Column:
-        return F.array_join(F.slice("_pieces", at + 1, F.greatest(end - at, F.lit(1))), "")
-
-    cells = marks.withColumn("_cells", F.transform(
-        _stretches(F.col("_cell_marks"), shape.cell), lambda c: F.struct(c["at"].alias("at"), text(c["at"], c["end"]).alias("html"))))
-    return cells.withColumn("_rows", F.transform(
-        _stretches(F.col("_row_marks"), shape.row),
-        lambda r: F.struct(
-            text(r["at"], r["end"]).alias("html"),
-            F.transform(F.filter("_cells", lambda c: (c["at"] > r["at"]) & (c["at"] < r["end"])), lambda c: c["html"]).alias("cells"),
-        ),
-    ))
-
-
-def _plain_rows(body: Column, shape: RowShape) -> Column:
-    """(html, cells) of every row of a page without tables in tables, whose rows and cells are all closed."""
-    rows = F.regexp_extract_all(body, F.lit(rf"(?is)<{shape.row}\b[^>]*>(.*?)</{shape.row}>"), F.lit(1))
-    cell = F.lit(rf"(?is)<{shape.cell}\b[^>]*>(.*?)</{shape.cell}>")
-    return F.transform(rows, lambda r: F.struct(r.alias("html"), F.regexp_extract_all(r, cell, F.lit(1)).alias("cells")))
-
-
-def html_rows(pages: DataFrame, html: str, shape: RowShape, keep: list[str]) -> DataFrame:
-    """`keep` columns, row_pos, href and cell texts (`cells`) of every row that has the link and enough cells.
+
+def _with_cells(rows: Column, cell: Column, group: int, link: str) -> Column:
+    return F.transform(
+        rows, lambda r: F.struct(F.regexp_extract(r, link, 1).alias("link"), F.regexp_extract_all(r, cell, F.lit(group)).alias("cells")))
+
+
+def _plain_rows(body: Column, shape: RowShape, link: str) -> Column:
+    """(link, cells) of every row of a page without tables in tables, whose rows and cells are all closed."""
+    rows = F.regexp_extract_all(body, F.lit(rf"<(?is){shape.row}\b[^>]*>(.*?)</{shape.row}>"), F.lit(1))
+    return _with_cells(rows, F.lit(rf"<(?is){shape.cell}\b[^>]*>(.*?)</{shape.cell}>"), 1, link)
+
+
+def html_rows(pages: DataFrame, html: str, shape: RowShape, keep: list[str], texts: int | None = None) -> DataFrame:
+    """`keep` columns, row_pos, href and the first `texts` cell texts (`cells`, all by default) of every row that has the link and enough cells.
 
     Rows of a table's head do not count. Links and texts come decoded; links may stand in either kind of quotes. Tables in
     tables, and rows and cells without an end, are told apart by the depth of the tags.
     """
-    body = F.regexp_replace(F.col(html), r"(?is)<thead\b.*?</thead>", "")
+    body = F.regexp_replace(F.col(html), r"<(?is)thead\b.*?</thead>", "")
     bodies = pages.select(*keep, body.alias("_body"))
-    rows = _plain_rows(F.col("_body"), shape)
-    if (shape.row, shape.cell) == ("tr", "td"):
-        bodies = _with_balanced_rows(bodies.withColumn("_odd", _is_irregular(F.col("_body"), shape)), shape)
-        rows = F.when(F.col("_odd"), F.col("_rows")).otherwise(rows)
-    found = bodies.select(*keep, F.posexplode(rows).alias("row_pos", "_row"))
     part = shape.link_part
-    link = rf"""(?is)<a\b[^>]*?href\s*=\s*("[^"]*{part}[^"]*"|'[^']*{part}[^']*')"""
-    href = F.regexp_extract("_row.html", link, 1)
-    parts = found.select(
-        *keep,
-        "row_pos",
-        decoded(F.substr(href, F.lit(2), F.greatest(F.length(href) - 2, F.lit(0)))).alias("href"),
-        F.col("_row.cells").alias("_cells"),
-    )
-    kept = parts.filter((F.col("href") != "") & (F.size("_cells") >= shape.min_cells))
-    return kept.select(*keep, "row_pos", "href", _texts(F.col("_cells")).alias("cells"))
+    link = rf"""<(?is)a\b[^>]*?href\s*=\s*("[^"]*{part}[^"]*"|'[^']*{part}[^']*')"""
+    rows, odd = _plain_rows(F.col("_body"), shape, link), F.lit(False)
+    if (shape.row, shape.cell) == ("tr", "td"):
+        odd = _is_irregular(F.col("_body"), shape)
+        rows = F.when(F.col("_odd"), _balanced_rows(_marked(F.col("_body")), link)).otherwise(rows)
+    found = bodies.withColumn("_odd", odd).select(*keep, "_odd", F.posexplode(rows).alias("row_pos", "_row"))
+    # The link still has its quotes: one of two characters is empty.
+    kept = found.filter((F.length("_row.link") > 2) & (F.size("_row.cells") >= shape.min_cells))
+    href = F.substr("_row.link", F.lit(2), F.length("_row.link") - 2)
+    # Marks stand in front of tags only, and a link's pattern passes over them.
+    href = F.when(F.col("_odd"), _unescaped(F.regexp_replace(href, rf"{_MARK}\d+", ""))).otherwise(href)
+    few = F.slice("_row.cells", 1, texts) if texts else F.col("_row.cells")
+    cells = F.when(F.col("_odd"), _texts(few, marked=True)).otherwise(_texts(few))
+    return kept.select(*keep, "row_pos", decoded(href).alias("href"), cells.alias("cells"))
 
 
 def _cell(index: int) -> Column:
@@ -163,7 +160,7 @@ def _cell(index: int) -> Column:
 
 def listing_rows(pages: DataFrame, html: str, keep: list[str], shape: RowShape = LISTING_ROW) -> DataFrame:
     """Files of the archive: number, address, parcel and link."""
-    rows = html_rows(pages, html, shape, keep)
+    rows = html_rows(pages, html, shape, keep, 3)
     return rows.select(
         *keep,
         "row_pos",
@@ -176,14 +173,12 @@ def listing_rows(pages: DataFrame, html: str, keep: list[str], shape: RowShape =
 
 def document_rows(pages: DataFrame, html: str, keep: list[str], shape: RowShape = DOCUMENT_ROW) -> DataFrame:
     """Documents of a file, in page order."""
-    rows = html_rows(pages, html, shape, keep)
+    names = ["doc_type", "description", "date", "entity_type", "entity_number"]
+    rows = html_rows(pages, html, shape, keep, len(names))
     return rows.select(
         *keep,
         "row_pos",
-        *[
-            _cell(i).alias(name)
-            for i, name in enumerate(["doc_type", "description", "date", "entity_type", "entity_number"])
-        ],
+        *[_cell(i).alias(name) for i, name in enumerate(names)],
         F.col("href").alias("url"),
     )
 

@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -216,6 +217,26 @@ def test_both_ways_agree_on_regular_pages(columns, monkeypatch):
     assert sorted(map(tuple, pages.listing_rows(page, "html", []).collect())) == plain != []
 
 
+def test_a_long_irregular_page_is_read_row_by_row(columns):
+    """Time goes with a page's tags: before, each tag copied all earlier ones, and each row looked at all cells of the page."""
+    row = "<tr><td>{0}<table><tr><td>in{0}</table><td>b<td>c<td><a href='/BuildingArchiveDetails?id={0}'>x</a>"
+    page = columns(html=["<table>" + "".join(row.format(i) for i in range(6000)) + "</table>"])
+    began = time.monotonic()
+    rows = pages.listing_rows(page, "html", []).orderBy("row_pos").drop("row_pos").collect()
+    assert [tuple(r) for r in rows] == [(f"{i}in{i}", f"in{i}", "b", f"/BuildingArchiveDetails?id={i}") for i in range(6000)]
+    assert time.monotonic() - began < 30
+
+
+def test_a_pages_own_control_characters_stay(columns):
+    """Depths are marked in the page's text; what looks like a mark in the page itself is text."""
+    cells = ["\x011<td", "\x02a", "\x02b\x011<b>", "&#1;2", "\x01\x02"]
+    html = "<table><tr><td>" + "<td>".join([*cells, "<a title='<tr>' href='/DocumentViewer?\x012\x02a'>x</a>"]) + "<table></table>"
+    rows = [tuple(r) for r in pages.document_rows(columns(html=[html]), "html", []).drop("row_pos").collect()]
+    assert rows == []  # the row ends at the tag in the title
+    rows = pages.document_rows(columns(html=[html.replace(" title='<tr>'", "")]), "html", []).drop("row_pos").collect()
+    assert [tuple(r) for r in rows] == [("\x011", "<td", "\x02a", "\x02b\x011", "\x012", "/DocumentViewer?\x012\x02a")]
+
+
 def test_inventory_changes_between_visits(spark, tmp_path):
     store = tmp_path / "store"
     (store / "a").mkdir(parents=True)
