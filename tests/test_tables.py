@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from permitwright.schema import ALL_COLUMNS, RECORD_COLUMNS, as_records
-from permitwright.sources import ledger, pages, tables
+from permitwright.sources import ledger, pages, tables, text_files
 from permitwright.sources.inventory import InventoryLog
+from permitwright.sources.text_files import write_text_files
 from permitwright.suite import storage
 
 
@@ -277,3 +278,43 @@ def test_markup_goes_before_references_are_decoded(columns):
     cells = columns(a=["<b>&lt;i&gt;</b> "], b=["&#x5D0;<br>&amp;lt;"]).select(pages._texts(F.array("a", "b")).alias("cells"))
     assert cells.first()[0] == ["<i>", "א&lt;"]
     assert cells._jdf.queryExecution().analyzed().toString().count("regexp_replace(") == 1
+
+
+def _stored(root):
+    """The lines of each file by its folder, files in the order of their names."""
+    files = sorted(p for p in root.rglob("*.txt") if not any(part[0] in "._" for part in p.relative_to(root).parts))
+    return [(str(p.parent.relative_to(root)), p.read_text(encoding="utf-8")) for p in files]
+
+
+def test_text_files_are_those_of_sparks_writer(spark, tmp_path, monkeypatch):
+    cities = ["akko", "", "a/b=c %[x]{y}", "בת ים'\"#?*:\\^", "\x01\x7f"]
+    lines = [(city, f"r{i // 9}", i % 9, None if i == 4 else f"{city} שורה {i}") for city in cities for i in range(14)]
+    rows = spark.createDataFrame(lines, "city string, run string, line bigint, value string")
+    write_text_files(rows, str(tmp_path / "here"), ["city", "run"], "line", 4)
+    # Spark wrote a checksum beside each file, and started a process for each of them.
+    assert not list((tmp_path / "here").rglob("*.crc")) and not list((tmp_path / "here").rglob("_*"))
+    monkeypatch.setattr(text_files.store, "local_path", lambda spark, path: None)
+    write_text_files(rows, str(tmp_path / "there"), ["city", "run"], "line", 4)
+    assert _stored(tmp_path / "here") == _stored(tmp_path / "there") and len(_stored(tmp_path / "here")) == 5 * 5
+
+
+def test_text_files_are_added_to_a_folder(spark, tmp_path):
+    rows = spark.createDataFrame([("akko", i, f"a{i}") for i in range(5)], "city string, line bigint, value string")
+    for _ in range(2):
+        write_text_files(rows, (tmp_path / "s").as_uri(), ["city"], "line", 3)
+    write_text_files(rows.limit(0), str(tmp_path / "s"), ["city"], "line", 3)
+    assert sorted(_stored(tmp_path / "s")) == [("city=akko", "a0\na1\na2\n")] * 2 + [("city=akko", "a3\na4\n")] * 2
+    assert len(list((tmp_path / "s").iterdir())) == 1 and len(list((tmp_path / "s" / "city=akko").iterdir())) == 4
+
+
+def test_many_short_files_are_listed_by_few_tasks(spark, tmp_path):
+    for i in range(60):
+        (tmp_path / f"{i}.txt").write_text("x")
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1b")  # a task per file
+    try:
+        found = tables.document_inventory(spark, str(tmp_path), "*.txt")
+        assert found.rdd.getNumPartitions() <= most < 60 and found.count() == 60
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString()
